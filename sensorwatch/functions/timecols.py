@@ -77,8 +77,15 @@ def _epoch_ntz() -> Column:
 
 
 def utc_wall_to_instant(ntz: Column) -> Column:
-    """TIMESTAMP_NTZ read as UTC wall-clock time -> TIMESTAMP, whatever the session zone."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), ntz))
+    """TIMESTAMP_NTZ read as UTC wall-clock time -> TIMESTAMP, whatever the session zone.
+
+    Built from the wall-clock fields, so it holds for walls that do not exist
+    in the session zone (a cast through the session zone shifts those).
+    """
+    return F.make_timestamp(
+        F.year(ntz), F.month(ntz), F.dayofmonth(ntz), F.hour(ntz), F.minute(ntz),
+        F.extract(F.lit("SECOND"), ntz), F.lit("UTC"),
+    )
 
 
 def instant_to_utc_wall(ts: Column) -> Column:
