@@ -32,6 +32,12 @@ def event_file_readings(spark: SparkSession, sf_dir: str, max_files_per_trigger:
     return decode_readings(encode_readings(readings_from_events(events, keep_fraction=True)))
 
 
+def json_file_readings(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """Readings from text files of JSON messages (one message per line), oldest file first."""
+    raw = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(path)
+    return decode_readings(raw)
+
+
 def watermarked(readings: DataFrame, settings: AlertSettings = DEFAULT) -> DataFrame:
     return readings.withWatermark("timestamp", settings.watermark)
 
