@@ -76,16 +76,29 @@ def _epoch_ntz() -> Column:
     return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
 
-def utc_wall_to_instant(ntz: Column) -> Column:
+def utc_wall_micros(ntz: Column) -> Column:
+    """Microseconds since the epoch of a TIMESTAMP_NTZ read as UTC wall-clock time (BIGINT).
+
+    Computed from the wall-clock fields (day number, time of day), so it does
+    not depend on the session zone and holds for walls that do not exist in
+    it; a cast through the session zone would shift those.
+    """
+    days = F.unix_date(F.to_date(ntz)).cast("bigint")
+    minutes = (F.hour(ntz) * 60 + F.minute(ntz)).cast("bigint")
+    second_micros = (F.extract(F.lit("SECOND"), ntz) * F.lit(1_000_000)).cast("bigint")
+    return days * F.lit(86_400_000_000) + minutes * F.lit(60_000_000) + second_micros
+
+
+def utc_wall_to_instant(ntz: Column, unit_micros: int = 1) -> Column:
     """TIMESTAMP_NTZ read as UTC wall-clock time -> TIMESTAMP, whatever the session zone.
 
-    Built from the wall-clock fields, so it holds for walls that do not exist
-    in the session zone (a cast through the session zone shifts those).
+    ``unit_micros`` > 1 cuts the time down to a multiple of it (1_000_000 =
+    whole seconds, toward the past).
     """
-    return F.make_timestamp(
-        F.year(ntz), F.month(ntz), F.dayofmonth(ntz), F.hour(ntz), F.minute(ntz),
-        F.extract(F.lit("SECOND"), ntz), F.lit("UTC"),
-    )
+    us = utc_wall_micros(ntz)
+    if unit_micros > 1:
+        us = us - F.pmod(us, F.lit(unit_micros))
+    return F.timestamp_micros(us)
 
 
 def instant_to_utc_wall(ts: Column) -> Column:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, AlertSettings
-from ..functions.timecols import instant_to_utc_wall, pane_micros
+from ..functions.timecols import duration_micros, instant_to_utc_wall, pane_micros
 
 
 def _keys(by_sensor: bool) -> list[Column]:
@@ -49,19 +49,42 @@ def window_averages(
         grouped = readings.groupBy(F.window(ts, settings.window, settings.slide).alias("window"), *_keys(by_sensor))
         return grouped.agg(*[F.avg(F.when(F.col("sensor") == m, F.col("value"))).alias(f"avg_{m}") for m in measures])
 
+    length, slide = duration_micros(settings.window), duration_micros(settings.slide)
     pane = pane_micros(settings.window, settings.slide)
     micros = F.unix_micros(ts)
-    pane_start = F.timestamp_micros(micros - F.pmod(micros, F.lit(pane)))
     partial = []
     for m in measures:
         hit = F.col("sensor") == m
         partial.append(F.sum(F.when(hit, F.col("value").cast("double"))).alias(f"_s_{m}"))
         partial.append(F.count(F.when(hit, F.col("value"))).alias(f"_n_{m}"))
-    panes = readings.where(ts.isNotNull()).groupBy(pane_start.alias("_pane"), *_keys(by_sensor)).agg(*partial)
+    # stage 1, per reading: sums and counts per pane (BIGINT start, microseconds)
+    panes = readings.groupBy((micros - F.pmod(micros, F.lit(pane))).alias("_pane"), *_keys(by_sensor)).agg(*partial)
 
+    # stage 2, per pane: the windows that hold it. Window starts are multiples
+    # of the slide; those in (pane - length, pane] contain the whole pane,
+    # because pane boundaries divide both length and slide. Rows of a NULL pane
+    # (NULL time) or with a start outside that range are marked and their group
+    # is dropped by a flag aggregated alongside: a filter on the pane itself
+    # would be pushed below stage 1 by the optimizer and evaluate the time
+    # expression a second time for every reading.
+    p = F.col("_pane")
+    n = -(-length // slide)
+    start = p - F.pmod(p, F.lit(slide)) - F.col("_k") * F.lit(slide)
+    keep = p.isNotNull()
+    if length % slide:
+        keep = keep & (start + F.lit(length) > p)
+    window = F.when(
+        keep,
+        F.struct(F.timestamp_micros(start).alias("start"), F.timestamp_micros(start + F.lit(length)).alias("end")),
+    )
     keys = ["sensor_id"] if by_sensor else []
-    windows = panes.groupBy(F.window("_pane", settings.window, settings.slide).alias("window"), *keys)
-    return windows.agg(*[F.try_divide(F.sum(f"_s_{m}"), F.sum(f"_n_{m}")).alias(f"avg_{m}") for m in measures])
+    expanded = panes.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    windows = expanded.groupBy(window.alias("window"), *keys)
+    out = windows.agg(
+        *[F.try_divide(F.sum(f"_s_{m}"), F.sum(f"_n_{m}")).alias(f"avg_{m}") for m in measures],
+        F.max(F.when(keep, F.lit(1)).otherwise(F.lit(0))).alias("_ok"),
+    )
+    return out.where(F.col("_ok") == 1).drop("_ok")
 
 
 def flatten_window(df: DataFrame, wall: bool = True) -> DataFrame:

@@ -67,9 +67,7 @@ def readings_from_events(events: DataFrame, keep_fraction: bool = False) -> Data
     kept (as a producer stamping ``time.time()`` would send it); otherwise the
     time is cut to whole seconds, as decoding does.
     """
-    t = utc_wall_to_instant(F.col("ts"))
-    if not keep_fraction:
-        t = F.date_trunc("second", t)
+    t = utc_wall_to_instant(F.col("ts"), 1 if keep_fraction else 1_000_000)
     sensor = event_sensor(F.col("event_type"))
     v = F.floor(F.col("value"))
     value = (
