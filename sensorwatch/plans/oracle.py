@@ -15,7 +15,7 @@ from ..config import DEFAULT, HOURLY, HUMIDITY_RANGE, TEMPERATURE_RANGE, AlertSe
 from ..functions.timecols import duration_micros
 from ..sources.events import HUMIDITY_EVENT_TYPES, OTHER_SENSOR, TEMPERATURE_EVENT_TYPES
 from ..sources.rules import RULE_COLUMNS, default_rules_path
-from .queries import PINNED_SENT_AT
+from .queries import LATE_BATCH_SECONDS, LATE_DELAY_UNIT_SECONDS, PINNED_SENT_AT
 
 
 def _sql_list(items) -> str:
@@ -172,6 +172,39 @@ def stream_alerts_append_sql() -> str:
     return alerts_sql(where=where)
 
 
+def stream_late_data_sql() -> str:
+    # per delivery period: the watermark in force is the newest event time of
+    # all earlier periods minus the delay; a (reading, window) pair is late when
+    # the window ends at or before it
+    length, slide = duration_micros(DEFAULT.window), duration_micros(DEFAULT.slide)
+    n = math.ceil(length / slide)
+    delay = duration_micros(DEFAULT.watermark)
+    avgs = ",\n         ".join(f"avg(CASE WHEN sensor = '{m}' THEN value END) AS avg_{m}" for m in DEFAULT.measures)
+    arrival = (
+        f"floor(CAST(epoch_us(ts) + CAST(floor(value) AS BIGINT) * {LATE_DELAY_UNIT_SECONDS * 1_000_000} AS DOUBLE)"
+        f" / CAST({LATE_BATCH_SECONDS * 1_000_000} AS DOUBLE))"
+    )
+    readings = _readings_cte().replace("FROM events\n", f", {arrival} AS period\n  FROM events\n").replace(
+        "SELECT t, id, sensor,", "SELECT t, id, sensor, period,"
+    )
+    return f"""WITH {readings},
+periods AS (SELECT period, max(epoch_us(t)) AS newest FROM readings GROUP BY period),
+marks AS (
+  SELECT period, max(newest) OVER (ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {delay} AS wm
+  FROM periods
+),
+expanded AS (
+  SELECT (epoch_us(t) // {slide}) * {slide} - g.k * {slide} AS ws, epoch_us(t) AS tu, sensor, value, m.wm
+  FROM readings JOIN marks m USING (period) CROSS JOIN range({n}) AS g(k)
+  WHERE t IS NOT NULL
+)
+SELECT make_timestamp(ws) AS window_start, make_timestamp(ws + {length}) AS window_end,
+       {avgs}
+FROM expanded
+WHERE ws + {length} > tu AND (wm IS NULL OR ws + {length} > wm)
+GROUP BY ws"""
+
+
 ORACLE: dict[str, str] = {
     "decode_readings": decode_readings_sql(),
     "decode_event_time": decode_event_time_sql(),
@@ -187,4 +220,5 @@ ORACLE: dict[str, str] = {
     "stream_window_avg_update": window_avg_sql(DEFAULT),
     "stream_alerts_update": alerts_sql(DEFAULT),
     "stream_alerts_append": stream_alerts_append_sql(),
+    "stream_late_data": stream_late_data_sql(),
 }

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, HOURLY, AlertSettings
@@ -20,7 +20,7 @@ from ..functions.timecols import epoch_text_to_time, instant_to_utc_wall, utc_wa
 from ..operators.rule_join import match_rules
 from ..operators.windows import flatten_window, window_averages
 from ..session import run_dir
-from ..sources.events import read_events, readings_from_events
+from ..sources.events import read_events, read_events_stream, readings_from_events
 from ..sources.rules import read_rules
 from ..streaming import jobs, sinks
 
@@ -120,6 +120,43 @@ def stream_alerts_append_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_window(spark.read.schema(alerts.schema).parquet(f"{base}/table"))
 
 
+# Fixed values of the late-data scenario: an event is delivered floor(value)
+# minutes after its time, and deliveries are processed in runs of 5 days of
+# arrival time.
+LATE_DELAY_UNIT_SECONDS = 60
+LATE_BATCH_SECONDS = 5 * 86_400
+
+
+def _arrival_period() -> Column:
+    sent = F.unix_micros(utc_wall_to_instant(F.col("ts")))
+    delay = F.floor(F.col("value")) * F.lit(LATE_DELAY_UNIT_SECONDS * 1_000_000)
+    return F.floor((sent + delay).cast("double") / F.lit(float(LATE_BATCH_SECONDS * 1_000_000)))
+
+
+def stream_late_data_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late data: events arrive by delivery time, one ``availableNow`` run per delivery period.
+
+    Each run appends that period's events to the input folder and drains it
+    into the same checkpointed stream. An event delivered after the watermark
+    (newest event time of earlier runs minus the delay) has passed the end of
+    one of its windows is dropped for that window. Result: the newest
+    averages per window (update-mode changelog).
+    """
+    base = run_dir(spark, "stream_late_data")
+    events = read_events(spark, sf_dir).withColumn("_arrival", _arrival_period())
+    # the delivery periods: one small number per 5 days of data
+    periods = [r[0] for r in events.select("_arrival").distinct().orderBy("_arrival").collect()]
+    schema = None
+    for period in periods:
+        events.where(F.col("_arrival") == period).drop("_arrival").write.mode("append").parquet(f"{base}/input")
+        readings = readings_from_events(read_events_stream(spark, f"{base}/input", None, "*.parquet"))
+        averages = jobs.averages_stream(readings, DEFAULT)
+        schema = averages.schema
+        _drain(sinks.start_changelog(averages, f"{base}/changelog", f"{base}/checkpoint", "update"))
+    log = sinks.read_changelog(spark, f"{base}/changelog", schema)
+    return flatten_window(sinks.latest_rows(log, ["window"]))
+
+
 QUERIES: dict[str, QueryFn] = {
     "decode_readings": decode_readings_q,
     "decode_event_time": decode_event_time_q,
@@ -135,4 +172,5 @@ QUERIES: dict[str, QueryFn] = {
     "stream_window_avg_update": stream_window_avg_update_q,
     "stream_alerts_update": stream_alerts_update_q,
     "stream_alerts_append": stream_alerts_append_q,
+    "stream_late_data": stream_late_data_q,
 }

@@ -37,14 +37,17 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def read_events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """``events`` as a file stream: each new parquet file named ``events*.parquet`` is new input."""
-    return (
-        spark.readStream.schema(EVENTS_SCHEMA)
-        .option("pathGlobFilter", "events*.parquet")
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(sf_dir)
-    )
+def read_events_stream(
+    spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = 1, glob: str = "events*.parquet"
+) -> DataFrame:
+    """``events`` as a file stream: each new parquet file matching ``glob`` is new input.
+
+    ``max_files_per_trigger=None`` takes every new file into the next micro-batch.
+    """
+    reader = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(sf_dir)
 
 
 def _in_range(v: Column, lo_hi: tuple[int, int]) -> Column:
