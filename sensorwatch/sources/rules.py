@@ -29,7 +29,9 @@ def default_rules_path() -> str:
 def read_rules(spark: SparkSession, path: str | None = None, infer_schema: bool = False) -> DataFrame:
     """Read a rules CSV with a header line.
 
-    By default the schema is fixed (:data:`RULE_SCHEMA`): a stray fraction or
+    ``path`` should be on storage every executor can read (a running stream
+    re-reads it each micro-batch, so edits take effect); ``None`` reads the
+    packaged four rules. By default the schema is fixed (:data:`RULE_SCHEMA`): a stray fraction or
     word in one cell then gives NULL in that cell (a rule with a NULL bound
     never fires) instead of silently changing the type of a whole column, as
     inference would. ``infer_schema=True`` reads the file the way a plain
@@ -41,4 +43,11 @@ def read_rules(spark: SparkSession, path: str | None = None, infer_schema: bool
         reader = reader.option("inferSchema", "true")
     else:
         reader = reader.schema(RULE_SCHEMA).option("mode", "PERMISSIVE")
-    return reader.csv(path or default_rules_path())
+    if path is None:
+        # The packaged file lives next to the driver's copy of the library,
+        # which executors on other hosts may not have: hand its few lines to
+        # the same CSV reader instead of the path.
+        with open(default_rules_path(), encoding="utf-8") as fh:
+            lines = [ln.rstrip("\n") for ln in fh if ln.strip()]
+        return reader.csv(spark.sparkContext.parallelize(lines, 1))
+    return reader.csv(path)
