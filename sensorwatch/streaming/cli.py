@@ -40,6 +40,9 @@ from ..sources.rules import read_rules
 from . import jobs, sinks
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sensorwatch", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("job", choices=["averages", "alerts", "publish"])
@@ -59,6 +62,12 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--topic-prefix", help="topics named <prefix>_building_sensors, …")
     p.add_argument("--max-offsets-per-trigger", type=int)
     p.add_argument("--max-files-per-trigger", type=int)
+    p.add_argument(
+        "--state-store",
+        choices=["default", "rocksdb"],
+        default="default",
+        help="rocksdb keeps window state off the JVM heap (for --by-sensor with many sensors)",
+    )
     p.add_argument("--once", action="store_true", help="availableNow: process what is there, then stop")
     p.add_argument("--interval", help="processing-time trigger, e.g. '30 seconds'")
     return p
@@ -103,6 +112,9 @@ def build(spark: SparkSession, args) -> tuple[DataFrame, str, str]:
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"sensorwatch-{args.job}").getOrCreate()
+    if args.state_store == "rocksdb":
+        # read when a stateful query starts; a restarted query keeps the provider of its checkpoint
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     df, sink, mode = build(spark, args)
     checkpoint = args.checkpoint or f"{run_dir(spark, args.job)}/checkpoint"
     trig = {"available_now": args.once, "processing_time": args.interval}

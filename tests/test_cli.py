@@ -29,3 +29,20 @@ def test_averages_changelog_once(spark, tmp_path):
     q = cli.main(["averages", "--source", "json", "--path", src, "--sink", "changelog", "--out", out, "--once"], spark=spark)
     assert q.exception() is None
     assert spark.read.parquet(out).count() == 10  # update-mode rows of the golden run
+
+
+def test_by_sensor_with_rocksdb_state(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    _write_inputs(src, list(FILES.items()))
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    try:
+        cli.main(["alerts", "--source", "json", "--path", src, "--sink", "changelog", "--out", out, "--once",
+                  "--by-sensor", "--state-store", "rocksdb"], spark=spark)
+    finally:
+        if before:
+            spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+        else:
+            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    rows = spark.read.parquet(out).collect()
+    assert {r.sensor_id for r in rows} == {1}
+    assert len(rows) == 12  # the update-mode alerts of the golden run, all from sensor 1
