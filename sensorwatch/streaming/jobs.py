@@ -9,7 +9,6 @@ as already consumed.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
 
 from ..config import DEFAULT, AlertSettings
 from ..functions.decode import decode_readings, encode_readings

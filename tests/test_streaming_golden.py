@@ -1,12 +1,10 @@
 """Golden micro-batch run (FIXTURES.md section 3): four files, one per batch."""
 
-import datetime as dt
 import json
 import os
 import time
 
 import pytest
-from pyspark.sql import functions as F
 
 from sensorwatch.config import DEFAULT
 from sensorwatch.operators.windows import flatten_window
