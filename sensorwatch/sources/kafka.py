@@ -59,13 +59,22 @@ def source_options(
     starting_offsets: str = "earliest",
     fail_on_data_loss: bool = False,
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
+    """Options of the Kafka stream source.
+
+    ``min_partitions`` splits the offset range of each micro-batch over at
+    least that many tasks; without it a topic with few partitions (two, say)
+    is read by as few tasks however large the cluster.
+    """
     opts = dict(kafka.options())
     opts["subscribe"] = topic
     opts["startingOffsets"] = starting_offsets
     opts["failOnDataLoss"] = str(fail_on_data_loss).lower()
     if max_offsets_per_trigger is not None:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions is not None:
+        opts["minPartitions"] = str(min_partitions)
     return opts
 
 
@@ -74,6 +83,6 @@ def read_kafka_stream(spark: SparkSession, kafka: KafkaSettings, topic: str, **k
 
     Feed it to :func:`sensorwatch.functions.decode.decode_readings`. Spark reads
     each Kafka partition in its own task, so parallelism follows the topic's
-    partition count (raise ``minPartitions`` to split further).
+    partition count unless ``min_partitions`` splits further.
     """
     return spark.readStream.format("kafka").options(**source_options(kafka, topic, **kwargs)).load()

@@ -61,6 +61,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--by-sensor", action="store_true", help="group by sensor id as well")
     p.add_argument("--topic-prefix", help="topics named <prefix>_building_sensors, …")
     p.add_argument("--max-offsets-per-trigger", type=int)
+    p.add_argument("--min-partitions", type=int, help="Kafka: split each micro-batch over at least this many tasks")
     p.add_argument("--max-files-per-trigger", type=int)
     p.add_argument(
         "--state-store",
@@ -78,6 +79,8 @@ def _readings(spark: SparkSession, args, settings: AlertSettings) -> DataFrame:
         opts = {}
         if args.max_offsets_per_trigger:
             opts["max_offsets_per_trigger"] = args.max_offsets_per_trigger
+        if args.min_partitions:
+            opts["min_partitions"] = args.min_partitions
         return jobs.kafka_readings(spark, KafkaSettings.from_env(), settings, **opts)
     if not args.path:
         raise SystemExit(f"--path is required for --source {args.source}")

@@ -9,7 +9,7 @@ def test_options_plaintext():
 
 def test_options_sasl_and_source():
     k = KafkaSettings("h:9092", "SASL_PLAINTEXT", "PLAIN", "user", 'pa"ss')
-    opts = source_options(k, "me_building_sensors", max_offsets_per_trigger=5)
+    opts = source_options(k, "me_building_sensors", max_offsets_per_trigger=5, min_partitions=64)
     assert opts["kafka.security.protocol"] == "SASL_PLAINTEXT"
     assert opts["kafka.sasl.mechanism"] == "PLAIN"
     assert opts["kafka.sasl.jaas.config"] == (
@@ -19,6 +19,7 @@ def test_options_sasl_and_source():
     assert opts["startingOffsets"] == "earliest"
     assert opts["failOnDataLoss"] == "false"
     assert opts["maxOffsetsPerTrigger"] == "5"
+    assert opts["minPartitions"] == "64"
 
 
 def test_from_env(monkeypatch):
