@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,16 +40,40 @@ def read_rules(spark: SparkSession, path: str | None = None, infer_schema: bool
     ``spark.read.csv(header, inferSchema)`` does, at the cost of one extra
     pass over the file when the plan is built.
     """
+    if path is None:
+        return _packaged_rules(spark, infer_schema)
     reader = spark.read.option("header", "true")
     if infer_schema:
         reader = reader.option("inferSchema", "true")
     else:
         reader = reader.schema(RULE_SCHEMA).option("mode", "PERMISSIVE")
-    if path is None:
-        # The packaged file lives next to the driver's copy of the library,
-        # which executors on other hosts may not have: hand its few lines to
-        # the same CSV reader instead of the path.
-        with open(default_rules_path(), encoding="utf-8") as fh:
-            lines = [ln.rstrip("\n") for ln in fh if ln.strip()]
-        return reader.csv(spark.sparkContext.parallelize(lines, 1))
     return reader.csv(path)
+
+
+def _packaged_rules(spark: SparkSession, infer_schema: bool) -> DataFrame:
+    # The packaged file lives next to the driver's copy of the library, which
+    # executors on other hosts may not have. Its four lines become a local
+    # relation (read and size-checked without a Spark job); with schema
+    # inference they go through Spark's CSV reader instead.
+    with open(default_rules_path(), encoding="utf-8", newline="") as fh:
+        text = fh.read()
+    if infer_schema:
+        lines = [ln for ln in text.splitlines() if ln.strip()]
+        reader = spark.read.option("header", "true").option("inferSchema", "true")
+        return reader.csv(spark.sparkContext.parallelize(lines, 1))
+
+    def cell(value: str, field: T.StructField):
+        if value == "":
+            return None
+        if isinstance(field.dataType, T.IntegerType):
+            try:
+                return int(value)
+            except ValueError:  # as the PERMISSIVE reader: a bad cell is NULL
+                return None
+        return value
+
+    rows = [
+        tuple(cell(r.get(f.name, ""), f) for f in RULE_SCHEMA.fields)
+        for r in csv.DictReader(io.StringIO(text))
+    ]
+    return spark.createDataFrame(rows, RULE_SCHEMA)
