@@ -1,5 +1,7 @@
 """Command line for the streaming jobs.
 
+    python -m sensorwatch rules    [--rules PATH]                 # print the alert rules table
+    python -m sensorwatch readings --source kafka                 # decoded readings -> console (append)
     python -m sensorwatch averages --source kafka                 # window averages -> console (update)
     python -m sensorwatch alerts   --source kafka                 # alerts -> console (update)
     python -m sensorwatch publish  --source kafka --sink kafka    # alert messages -> Kafka topics (append)
@@ -45,7 +47,7 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sensorwatch", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    p.add_argument("job", choices=["averages", "alerts", "publish"])
+    p.add_argument("job", choices=["rules", "readings", "averages", "alerts", "publish"])
     p.add_argument("--source", choices=["kafka", "json", "events"], default="kafka")
     p.add_argument("--path", help="input folder for --source json/events")
     p.add_argument("--sink", choices=["console", "table", "changelog", "kafka"])
@@ -99,6 +101,9 @@ def build(spark: SparkSession, args) -> tuple[DataFrame, str, str]:
         topics=Topics.with_prefix(args.topic_prefix) if args.topic_prefix else Topics(),
     )
     readings = _readings(spark, args, settings)
+    if args.job == "readings":
+        sink = args.sink or "console"
+        return readings, sink, args.mode or "append"
     averages = jobs.averages_stream(readings, settings, by_sensor=args.by_sensor)
     if args.job == "averages":
         df = averages
@@ -118,6 +123,10 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
     if args.state_store == "rocksdb":
         # read when a stateful query starts; a restarted query keeps the provider of its checkpoint
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    if args.job == "rules":
+        rules = read_rules(spark, args.rules, infer_schema=args.infer_schema)
+        rules.show(truncate=False)
+        return rules
     df, sink, mode = build(spark, args)
     checkpoint = args.checkpoint or f"{run_dir(spark, args.job)}/checkpoint"
     trig = {"available_now": args.once, "processing_time": args.interval}

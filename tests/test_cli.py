@@ -46,3 +46,14 @@ def test_by_sensor_with_rocksdb_state(spark, tmp_path):
     rows = spark.read.parquet(out).collect()
     assert {r.sensor_id for r in rows} == {1}
     assert len(rows) == 12  # the update-mode alerts of the golden run, all from sensor 1
+
+
+def test_rules_and_readings_jobs(spark, tmp_path, capsys):
+    rules = cli.main(["rules"], spark=spark)
+    assert rules.count() == 4
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    _write_inputs(src, list(FILES.items()))
+    cli.main(["readings", "--source", "json", "--path", src, "--sink", "table", "--out", out, "--once"], spark=spark)
+    rows = spark.read.parquet(out).collect()
+    assert len(rows) == sum(len(v) for v in FILES.values())
+    assert {r.sensor for r in rows} == {"temperature", "humidity"}
