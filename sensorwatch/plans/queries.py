@@ -88,6 +88,11 @@ def alert_messages_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming: events files as a stream, drained with an availableNow trigger
 
 
+def _state_partitions(spark: SparkSession) -> int:
+    # one state partition per core of the cluster; fixed for the life of a checkpoint
+    return spark.sparkContext.defaultParallelism
+
+
 def _drain(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:  # pragma: no cover - surfaced to the caller
@@ -98,7 +103,9 @@ def stream_window_avg_update_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Update-mode averages, each batch appended to a changelog; the newest version per window."""
     base = run_dir(spark, "stream_window_avg_update")
     averages = jobs.averages_stream(jobs.event_file_readings(spark, sf_dir), DEFAULT)
-    _drain(sinks.start_changelog(averages, f"{base}/changelog", f"{base}/checkpoint", "update"))
+    _drain(sinks.start_changelog(
+        averages, f"{base}/changelog", f"{base}/checkpoint", "update", state_partitions=_state_partitions(spark)
+    ))
     log = sinks.read_changelog(spark, f"{base}/changelog", averages.schema)
     return flatten_window(sinks.latest_rows(log, ["window"]))
 
@@ -107,7 +114,9 @@ def stream_alerts_update_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Update mode without stale alerts: upsert the averages by window, derive alerts from that table."""
     base = run_dir(spark, "stream_alerts_update")
     averages = jobs.averages_stream(jobs.event_file_readings(spark, sf_dir), DEFAULT)
-    _drain(sinks.start_changelog(averages, f"{base}/changelog", f"{base}/checkpoint", "update"))
+    _drain(sinks.start_changelog(
+        averages, f"{base}/changelog", f"{base}/checkpoint", "update", state_partitions=_state_partitions(spark)
+    ))
     current = sinks.latest_rows(sinks.read_changelog(spark, f"{base}/changelog", averages.schema), ["window"])
     return flatten_window(match_rules(current, read_rules(spark), DEFAULT))
 
@@ -116,7 +125,7 @@ def stream_alerts_append_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append mode: each (rule, window) once, after the watermark passes the window's end."""
     base = run_dir(spark, "stream_alerts_append")
     alerts = jobs.alerts_stream(jobs.event_file_readings(spark, sf_dir), read_rules(spark), DEFAULT)
-    _drain(sinks.start_table(alerts, f"{base}/table", f"{base}/checkpoint"))
+    _drain(sinks.start_table(alerts, f"{base}/table", f"{base}/checkpoint", state_partitions=_state_partitions(spark)))
     return flatten_window(spark.read.schema(alerts.schema).parquet(f"{base}/table"))
 
 
@@ -152,7 +161,9 @@ def stream_late_data_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         readings = readings_from_events(read_events_stream(spark, f"{base}/input", None, "*.parquet"))
         averages = jobs.averages_stream(readings, DEFAULT)
         schema = averages.schema
-        _drain(sinks.start_changelog(averages, f"{base}/changelog", f"{base}/checkpoint", "update"))
+        _drain(sinks.start_changelog(
+        averages, f"{base}/changelog", f"{base}/checkpoint", "update", state_partitions=_state_partitions(spark)
+    ))
     log = sinks.read_changelog(spark, f"{base}/changelog", schema)
     return flatten_window(sinks.latest_rows(log, ["window"]))
 

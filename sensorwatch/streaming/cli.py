@@ -71,6 +71,7 @@ def _parser() -> argparse.ArgumentParser:
         default="default",
         help="rocksdb keeps window state off the JVM heap (for --by-sensor with many sensors)",
     )
+    p.add_argument("--state-partitions", type=int, help="state partitions of a new checkpoint (default: shuffle partitions)")
     p.add_argument("--once", action="store_true", help="availableNow: process what is there, then stop")
     p.add_argument("--interval", help="processing-time trigger, e.g. '30 seconds'")
     return p
@@ -129,7 +130,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
         return rules
     df, sink, mode = build(spark, args)
     checkpoint = args.checkpoint or f"{run_dir(spark, args.job)}/checkpoint"
-    trig = {"available_now": args.once, "processing_time": args.interval}
+    trig = {"available_now": args.once, "processing_time": args.interval, "state_partitions": args.state_partitions}
     if sink == "console":
         q = sinks.start_console(df, checkpoint, mode, **trig)
     elif sink == "kafka":

@@ -22,6 +22,25 @@ from pyspark.sql.streaming import StreamingQuery
 from ..sources.kafka import KafkaSettings
 
 
+def _start(df: DataFrame, writer, state_partitions: int | None):
+    """Start a query; ``state_partitions`` sets its shuffle/state partition count.
+
+    A stateful query fixes that count at its first start (it is kept in the
+    checkpoint). The query runs on its own copy of the session's settings,
+    taken at start, so the session setting is changed only around ``start``.
+    """
+    if not state_partitions:
+        return writer.start()
+    conf = df.sparkSession.conf
+    key = "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        conf.set(key, before)
+
+
 def _trigger(writer, available_now: bool, processing_time: str | None):
     if processing_time:
         return writer.trigger(processingTime=processing_time)
@@ -37,12 +56,13 @@ def start_table(
     available_now: bool = True,
     processing_time: str | None = None,
     query_name: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     writer = df.writeStream.format("parquet").outputMode("append").option("path", path)
     writer = writer.option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
-    return _trigger(writer, available_now, processing_time).start()
+    return _start(df, _trigger(writer, available_now, processing_time), state_partitions)
 
 
 CHANGELOG_COLUMN = "batch_id"
@@ -56,6 +76,7 @@ def start_changelog(
     available_now: bool = True,
     processing_time: str | None = None,
     query_name: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Write each micro-batch's output rows to ``<path>/batch_id=<n>``."""
 
@@ -65,7 +86,7 @@ def start_changelog(
     writer = df.writeStream.outputMode(output_mode).foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
-    return _trigger(writer, available_now, processing_time).start()
+    return _start(df, _trigger(writer, available_now, processing_time), state_partitions)
 
 
 def read_changelog(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -132,13 +153,14 @@ def start_kafka(
     available_now: bool = False,
     processing_time: str | None = None,
     query_name: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Publish ``topic, value`` rows (each row names its own topic). Needs the Kafka connector jar."""
     writer = messages.writeStream.format("kafka").outputMode("append").options(**kafka.options())
     writer = writer.option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
-    return _trigger(writer, available_now, processing_time).start()
+    return _start(messages, _trigger(writer, available_now, processing_time), state_partitions)
 
 
 def start_console(
@@ -147,7 +169,8 @@ def start_console(
     output_mode: str = "update",
     available_now: bool = True,
     processing_time: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     writer = df.writeStream.format("console").outputMode(output_mode).option("truncate", "false")
     writer = writer.option("checkpointLocation", checkpoint)
-    return _trigger(writer, available_now, processing_time).start()
+    return _start(df, _trigger(writer, available_now, processing_time), state_partitions)
