@@ -76,29 +76,46 @@ def _epoch_ntz() -> Column:
     return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
 
-def utc_wall_micros(ntz: Column) -> Column:
-    """Microseconds since the epoch of a TIMESTAMP_NTZ read as UTC wall-clock time (BIGINT).
+def utc_wall_micros_sql(name: str) -> str:
+    """SQL: microseconds since the epoch of TIMESTAMP_NTZ column ``name`` read as UTC wall-clock time.
 
     Computed from the wall-clock fields (day number, time of day), so it does
     not depend on the session zone and holds for walls that do not exist in
     it; a cast through the session zone would shift those.
     """
-    days = F.unix_date(F.to_date(ntz)).cast("bigint")
-    minutes = (F.hour(ntz) * 60 + F.minute(ntz)).cast("bigint")
-    second_micros = (F.extract(F.lit("SECOND"), ntz) * F.lit(1_000_000)).cast("bigint")
-    return days * F.lit(86_400_000_000) + minutes * F.lit(60_000_000) + second_micros
+    c = f"`{name}`"
+    return (
+        f"CAST(unix_date(to_date({c})) AS BIGINT) * 86400000000"
+        f" + CAST(hour({c}) * 60 + minute({c}) AS BIGINT) * 60000000"
+        f" + CAST(extract(SECOND FROM {c}) * 1000000 AS BIGINT)"
+    )
+
 
+def utc_wall_micros(name: str) -> Column:
+    """BIGINT column: :func:`utc_wall_micros_sql` of column ``name``."""
+    return F.expr(utc_wall_micros_sql(name))
 
-def utc_wall_to_instant(ntz: Column, unit_micros: int = 1) -> Column:
-    """TIMESTAMP_NTZ read as UTC wall-clock time -> TIMESTAMP, whatever the session zone.
+
+def utc_wall_to_instant_sql(name: str, unit_micros: int = 1) -> str:
+    """SQL: TIMESTAMP_NTZ column ``name`` read as UTC wall-clock time -> TIMESTAMP, whatever the session zone.
 
     ``unit_micros`` > 1 cuts the time down to a multiple of it (1_000_000 =
     whole seconds, toward the past).
     """
-    us = utc_wall_micros(ntz)
+    us = f"({utc_wall_micros_sql(name)})"
     if unit_micros > 1:
-        us = us - F.pmod(us, F.lit(unit_micros))
-    return F.timestamp_micros(us)
+        return f"timestamp_micros({us} - pmod({us}, {unit_micros}))"
+    return f"timestamp_micros({us})"
+
+
+def utc_wall_to_instant(name: str, unit_micros: int = 1) -> Column:
+    """TIMESTAMP column: :func:`utc_wall_to_instant_sql` of column ``name``."""
+    return F.expr(utc_wall_to_instant_sql(name, unit_micros))
+
+
+def instant_to_utc_wall_sql(expr: str) -> str:
+    """SQL: TIMESTAMP expression -> its UTC wall-clock time as TIMESTAMP_NTZ, whatever the session zone."""
+    return f"timestampadd(MICROSECOND, unix_micros({expr}), TIMESTAMP_NTZ'1970-01-01 00:00:00')"
 
 
 def instant_to_utc_wall(ts: Column) -> Column:

@@ -52,18 +52,24 @@ def match_rules(
     rules: DataFrame,
     settings: AlertSettings = DEFAULT,
     strategy: str | None = None,
+    rules_rows: int | None = None,
 ) -> DataFrame:
     """Window averages x rules -> one row per (rule, window) where the rule fires.
 
     Columns: the rule columns (``id, humidity_min, …, code, message``), then the
     columns of ``averages`` (``window``, optional ``sensor_id``, ``avg_*``).
     ``strategy`` forces ``"broadcast"`` or ``"binned"``; by default the size
-    check picks one. ``averages`` may be a stream (stream-static join).
+    check picks one, skipped when the caller knows the exact ``rules_rows``.
+    ``averages`` may be a stream (stream-static join).
     """
     rule_cols = _rule_columns(rules)
     avg_cols = list(averages.columns)
     if strategy is None:
-        strategy = "broadcast" if broadcast_rules_fit(rules, settings) else "binned"
+        if rules_rows is not None:
+            fits = 0 < settings.max_broadcast_rules and rules_rows <= settings.max_broadcast_rules
+        else:
+            fits = broadcast_rules_fit(rules, settings)
+        strategy = "broadcast" if fits else "binned"
     cond = rule_predicate(settings.measures, settings.unused_bound)
     if strategy == "broadcast":
         joined = averages.join(F.broadcast(rules), on=cond, how="inner")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, AlertSettings
-from ..functions.timecols import duration_micros, instant_to_utc_wall, pane_micros
+from ..functions.timecols import duration_micros, instant_to_utc_wall_sql, pane_micros
 
 
 def _keys(by_sensor: bool) -> list[Column]:
@@ -51,14 +51,16 @@ def window_averages(
 
     length, slide = duration_micros(settings.window), duration_micros(settings.slide)
     pane = pane_micros(settings.window, settings.slide)
-    micros = F.unix_micros(ts)
+    keys = ["sensor_id"] if by_sensor else []
+
+    # stage 1, per reading: sums and counts per pane (BIGINT start, microseconds)
+    us = f"unix_micros(`{time_col}`)"
     partial = []
     for m in measures:
-        hit = F.col("sensor") == m
-        partial.append(F.sum(F.when(hit, F.col("value").cast("double"))).alias(f"_s_{m}"))
-        partial.append(F.count(F.when(hit, F.col("value"))).alias(f"_n_{m}"))
-    # stage 1, per reading: sums and counts per pane (BIGINT start, microseconds)
-    panes = readings.groupBy((micros - F.pmod(micros, F.lit(pane))).alias("_pane"), *_keys(by_sensor)).agg(*partial)
+        hit = f"sensor = {_quote(m)}"
+        partial.append(F.expr(f"sum(CASE WHEN {hit} THEN CAST(value AS DOUBLE) END) AS `_s_{m}`"))
+        partial.append(F.expr(f"count(CASE WHEN {hit} THEN value END) AS `_n_{m}`"))
+    panes = readings.groupBy(F.expr(f"{us} - pmod({us}, {pane}) AS _pane"), *_keys(by_sensor)).agg(*partial)
 
     # stage 2, per pane: the windows that hold it. Window starts are multiples
     # of the slide; those in (pane - length, pane] contain the whole pane,
@@ -67,33 +69,32 @@ def window_averages(
     # is dropped by a flag aggregated alongside: a filter on the pane itself
     # would be pushed below stage 1 by the optimizer and evaluate the time
     # expression a second time for every reading.
-    p = F.col("_pane")
     n = -(-length // slide)
-    start = p - F.pmod(p, F.lit(slide)) - F.col("_k") * F.lit(slide)
-    keep = p.isNotNull()
-    if length % slide:
-        keep = keep & (start + F.lit(length) > p)
-    window = F.when(
-        keep,
-        F.struct(F.timestamp_micros(start).alias("start"), F.timestamp_micros(start + F.lit(length)).alias("end")),
+    start = f"(_pane - pmod(_pane, {slide}) - _k * {slide})"
+    keep = "_pane IS NOT NULL" + (f" AND {start} + {length} > _pane" if length % slide else "")
+    window = (
+        f"CASE WHEN {keep} THEN named_struct('start', timestamp_micros({start}),"
+        f" 'end', timestamp_micros({start} + {length})) END AS window"
     )
-    keys = ["sensor_id"] if by_sensor else []
-    expanded = panes.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    windows = expanded.groupBy(window.alias("window"), *keys)
-    out = windows.agg(
-        *[F.try_divide(F.sum(f"_s_{m}"), F.sum(f"_n_{m}")).alias(f"avg_{m}") for m in measures],
-        F.max(F.when(keep, F.lit(1)).otherwise(F.lit(0))).alias("_ok"),
+    expanded = panes.selectExpr("*", f"explode(sequence(0, {n - 1})) AS _k")
+    out = expanded.groupBy(F.expr(window), *keys).agg(
+        *[F.expr(f"try_divide(sum(`_s_{m}`), sum(`_n_{m}`)) AS `avg_{m}`") for m in measures],
+        F.expr(f"max(CASE WHEN {keep} THEN 1 ELSE 0 END) AS _ok"),
     )
-    return out.where(F.col("_ok") == 1).drop("_ok")
+    return out.where("_ok = 1").select("window", *keys, *[f"avg_{m}" for m in measures])
+
+
+def _quote(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def flatten_window(df: DataFrame, wall: bool = True) -> DataFrame:
     """Replace ``window`` by ``window_start``, ``window_end`` (UTC wall-clock TIMESTAMP_NTZ when ``wall``)."""
-    conv = instant_to_utc_wall if wall else (lambda c: c)
+    conv = instant_to_utc_wall_sql if wall else (lambda e: e)
     cols = []
     for name in df.columns:
         if name == "window":
-            cols += [conv(F.col("window.start")).alias("window_start"), conv(F.col("window.end")).alias("window_end")]
+            cols += [f"{conv('window.start')} AS window_start", f"{conv('window.end')} AS window_end"]
         else:
-            cols.append(F.col(name))
-    return df.select(*cols)
+            cols.append(f"`{name}`")
+    return df.selectExpr(*cols)

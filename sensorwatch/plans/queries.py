@@ -21,7 +21,7 @@ from ..operators.rule_join import match_rules
 from ..operators.windows import flatten_window, window_averages
 from ..session import run_dir
 from ..sources.events import read_events, read_events_stream, readings_from_events
-from ..sources.rules import read_rules
+from ..sources.rules import packaged_rule_count, read_rules
 from ..streaming import jobs, sinks
 
 # Fixed send time of the messages in the `alert_messages` query, so that the
@@ -31,6 +31,16 @@ PINNED_SENT_AT = "2024-08-18T16:05:50.907777"
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def _rules(spark: SparkSession) -> tuple[DataFrame, int]:
+    """The packaged rules and their row count (so the size check needs no job)."""
+    return read_rules(spark), packaged_rule_count()
+
+
+def _match(averages: DataFrame, spark: SparkSession, settings: AlertSettings = DEFAULT) -> DataFrame:
+    rules, rows = _rules(spark)
+    return match_rules(averages, rules, settings, rules_rows=rows)
+
+
 def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings_from_events(read_events(spark, sf_dir))
 
@@ -45,7 +55,7 @@ def decode_readings_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decode_event_time_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Epoch seconds as the text a JSON number arrives as (``1.704067798778549E9``) -> event time."""
     events = read_events(spark, sf_dir)
-    micros = F.unix_micros(utc_wall_to_instant(F.col("ts")))
+    micros = F.unix_micros(utc_wall_to_instant("ts"))
     text = (micros / F.lit(1_000_000)).cast("double").cast("string")
     return events.select(
         "event_id", instant_to_utc_wall(epoch_text_to_time(text)).alias("event_time")
@@ -68,21 +78,21 @@ def _window_avg(settings: AlertSettings, by_sensor: bool = False) -> QueryFn:
 def _alerts(settings: AlertSettings, by_sensor: bool = False) -> QueryFn:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         averages = window_averages(_readings(spark, sf_dir), settings, by_sensor=by_sensor)
-        return flatten_window(match_rules(averages, read_rules(spark), settings))
+        return flatten_window(_match(averages, spark, settings))
 
     return q
 
 
 def alert_routing_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     averages = window_averages(_readings(spark, sf_dir), DEFAULT)
-    alerts = flatten_window(match_rules(averages, read_rules(spark), DEFAULT))
+    alerts = flatten_window(_match(averages, spark))
     return alerts.select("window_start", "window_end", "id", "code", route_topic(F.col("code")).alias("topic"))
 
 
 def alert_messages_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = AlertSettings(message_time_zone="UTC")
     averages = window_averages(_readings(spark, sf_dir), settings)
-    return alert_messages(match_rules(averages, read_rules(spark), settings), settings, sent_at=PINNED_SENT_AT)
+    return alert_messages(_match(averages, spark, settings), settings, sent_at=PINNED_SENT_AT)
 
 
 # --- streaming: events files as a stream, drained with an availableNow trigger
@@ -118,13 +128,14 @@ def stream_alerts_update_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         averages, f"{base}/changelog", f"{base}/checkpoint", "update", state_partitions=_state_partitions(spark)
     ))
     current = sinks.latest_rows(sinks.read_changelog(spark, f"{base}/changelog", averages.schema), ["window"])
-    return flatten_window(match_rules(current, read_rules(spark), DEFAULT))
+    return flatten_window(_match(current, spark))
 
 
 def stream_alerts_append_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append mode: each (rule, window) once, after the watermark passes the window's end."""
     base = run_dir(spark, "stream_alerts_append")
-    alerts = jobs.alerts_stream(jobs.event_file_readings(spark, sf_dir), read_rules(spark), DEFAULT)
+    rules, rows = _rules(spark)
+    alerts = jobs.alerts_stream(jobs.event_file_readings(spark, sf_dir), rules, DEFAULT, rules_rows=rows)
     _drain(sinks.start_table(alerts, f"{base}/table", f"{base}/checkpoint", state_partitions=_state_partitions(spark)))
     return flatten_window(spark.read.schema(alerts.schema).parquet(f"{base}/table"))
 
@@ -137,7 +148,7 @@ LATE_BATCH_SECONDS = 5 * 86_400
 
 
 def _arrival_period() -> Column:
-    sent = F.unix_micros(utc_wall_to_instant(F.col("ts")))
+    sent = F.unix_micros(utc_wall_to_instant("ts"))
     delay = F.floor(F.col("value")) * F.lit(LATE_DELAY_UNIT_SECONDS * 1_000_000)
     return F.floor((sent + delay).cast("double") / F.lit(float(LATE_BATCH_SECONDS * 1_000_000)))
 

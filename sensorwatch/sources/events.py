@@ -9,12 +9,12 @@ humidity reading also occur.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import HUMIDITY_RANGE, SENSOR_HUMIDITY, SENSOR_TEMPERATURE, TEMPERATURE_RANGE
-from ..functions.timecols import utc_wall_to_instant
+from ..functions.timecols import utc_wall_to_instant_sql
 
 # Event types read as each sensor (others become "other").
 TEMPERATURE_EVENT_TYPES = ("click", "view")
@@ -50,16 +50,17 @@ def read_events_stream(
     return reader.parquet(sf_dir)
 
 
-def _in_range(v: Column, lo_hi: tuple[int, int]) -> Column:
-    lo, hi = lo_hi
-    return F.lit(lo) + v % F.lit(hi - lo + 1)
+def _sql_list(items) -> str:
+    return ", ".join("'" + i.replace("'", "''") + "'" for i in items)
 
 
-def event_sensor(event_type: Column) -> Column:
+def event_sensor_sql(event_type: str = "event_type") -> str:
+    """SQL: the sensor an event type is read as."""
+    c = f"`{event_type}`"
     return (
-        F.when(event_type.isin(*TEMPERATURE_EVENT_TYPES), F.lit(SENSOR_TEMPERATURE))
-        .when(event_type.isin(*HUMIDITY_EVENT_TYPES), F.lit(SENSOR_HUMIDITY))
-        .otherwise(F.lit(OTHER_SENSOR))
+        f"CASE WHEN {c} IN ({_sql_list(TEMPERATURE_EVENT_TYPES)}) THEN '{SENSOR_TEMPERATURE}'"
+        f" WHEN {c} IN ({_sql_list(HUMIDITY_EVENT_TYPES)}) THEN '{SENSOR_HUMIDITY}'"
+        f" ELSE '{OTHER_SENSOR}' END"
     )
 
 
@@ -68,19 +69,20 @@ def readings_from_events(events: DataFrame, keep_fraction: bool = False) -> Data
 
     ``ts`` is UTC wall-clock time. With ``keep_fraction`` the sub-second part is
     kept (as a producer stamping ``time.time()`` would send it); otherwise the
-    time is cut to whole seconds, as decoding does.
+    time is cut to whole seconds, as decoding does. Values are folded into each
+    sensor's range: ``lo + floor(value) % (hi - lo + 1)``.
     """
-    t = utc_wall_to_instant(F.col("ts"), 1 if keep_fraction else 1_000_000)
-    sensor = event_sensor(F.col("event_type"))
-    v = F.floor(F.col("value"))
-    value = (
-        F.when(sensor == SENSOR_TEMPERATURE, _in_range(v, TEMPERATURE_RANGE))
-        .when(sensor == SENSOR_HUMIDITY, _in_range(v, HUMIDITY_RANGE))
-        .otherwise(v)
+    (tlo, thi), (hlo, hhi) = TEMPERATURE_RANGE, HUMIDITY_RANGE
+    step = events.selectExpr(
+        f"{utc_wall_to_instant_sql('ts', 1 if keep_fraction else 1_000_000)} AS timestamp",
+        "try_cast(user_id AS INT) AS id",
+        f"{event_sensor_sql()} AS sensor",
+        "floor(value) AS _v",
     )
-    return events.select(
-        t.alias("timestamp"),
-        F.col("user_id").try_cast("int").alias("id"),
-        sensor.alias("sensor"),
-        value.try_cast("int").alias("value"),
+    return step.selectExpr(
+        "timestamp",
+        "id",
+        "sensor",
+        f"try_cast(CASE sensor WHEN '{SENSOR_TEMPERATURE}' THEN {tlo} + _v % {thi - tlo + 1}"
+        f" WHEN '{SENSOR_HUMIDITY}' THEN {hlo} + _v % {hhi - hlo + 1} ELSE _v END AS INT) AS value",
     )

@@ -50,6 +50,12 @@ def read_rules(spark: SparkSession, path: str | None = None, infer_schema: bool
     return reader.csv(path)
 
 
+def packaged_rule_count() -> int:
+    """Rows of the packaged rules file (known without a Spark job)."""
+    with open(default_rules_path(), encoding="utf-8", newline="") as fh:
+        return sum(1 for _ in csv.DictReader(fh))
+
+
 def _packaged_rules(spark: SparkSession, infer_schema: bool) -> DataFrame:
     # The packaged file lives next to the driver's copy of the library, which
     # executors on other hosts may not have. Its four lines become a local

@@ -47,10 +47,14 @@ def averages_stream(readings: DataFrame, settings: AlertSettings = DEFAULT, by_s
 
 
 def alerts_stream(
-    readings: DataFrame, rules: DataFrame, settings: AlertSettings = DEFAULT, by_sensor: bool = False
+    readings: DataFrame,
+    rules: DataFrame,
+    settings: AlertSettings = DEFAULT,
+    by_sensor: bool = False,
+    rules_rows: int | None = None,
 ) -> DataFrame:
     """Averages joined with the (static) rules; the rules file is re-read each micro-batch."""
-    return match_rules(averages_stream(readings, settings, by_sensor), rules, settings)
+    return match_rules(averages_stream(readings, settings, by_sensor), rules, settings, rules_rows=rules_rows)
 
 
 def messages_stream(
