@@ -1,6 +1,7 @@
 """Command line for the streaming jobs.
 
     python -m sensorwatch rules    [--rules PATH]                 # print the alert rules table
+    python -m sensorwatch produce  --path DIR --sink kafka        # readings of an events table -> readings topic
     python -m sensorwatch readings --source kafka                 # decoded readings -> console (append)
     python -m sensorwatch averages --source kafka                 # window averages -> console (update)
     python -m sensorwatch alerts   --source kafka                 # alerts -> console (update)
@@ -25,6 +26,7 @@ import argparse
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import (
     SLIDE_DURATION,
@@ -34,9 +36,11 @@ from ..config import (
     AlertSettings,
     Topics,
 )
+from ..functions.decode import encode_readings
 from ..functions.messages import alert_messages
 from ..operators.rule_join import match_rules
 from ..session import run_dir
+from ..sources.events import read_events, readings_from_events
 from ..sources.kafka import KafkaSettings
 from ..sources.rules import read_rules
 from . import jobs, sinks
@@ -47,7 +51,7 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sensorwatch", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    p.add_argument("job", choices=["rules", "readings", "averages", "alerts", "publish"])
+    p.add_argument("job", choices=["rules", "produce", "readings", "averages", "alerts", "publish"])
     p.add_argument("--source", choices=["kafka", "json", "events"], default="kafka")
     p.add_argument("--path", help="input folder for --source json/events")
     p.add_argument("--sink", choices=["console", "table", "changelog", "kafka"])
@@ -118,12 +122,38 @@ def build(spark: SparkSession, args) -> tuple[DataFrame, str, str]:
     return df, sink, mode
 
 
+def produce(spark: SparkSession, args):
+    """Batch job: readings derived from ``<path>/events.parquet`` -> JSON messages on the readings topic.
+
+    Each reading becomes one message (random quoted UUID key, JSON value with
+    the time as epoch seconds), written by the Kafka sink in parallel from
+    every partition, or appended to a parquet folder with ``--sink table``.
+    """
+    if not args.path:
+        raise SystemExit("--path is required for produce")
+    topics = Topics.with_prefix(args.topic_prefix) if args.topic_prefix else Topics()
+    readings = readings_from_events(read_events(spark, args.path), keep_fraction=True)
+    messages = encode_readings(readings).withColumn("topic", F.lit(topics.readings))
+    sink = args.sink or "kafka"
+    if sink == "kafka":
+        messages.write.format("kafka").options(**KafkaSettings.from_env().options()).save()
+    elif sink == "table":
+        if not args.out:
+            raise SystemExit("--out is required for --sink table")
+        messages.write.mode("append").parquet(args.out)
+    else:
+        raise SystemExit(f"produce writes to kafka or table, not {sink}")
+    return messages
+
+
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"sensorwatch-{args.job}").getOrCreate()
     if args.state_store == "rocksdb":
         # read when a stateful query starts; a restarted query keeps the provider of its checkpoint
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    if args.job == "produce":
+        return produce(spark, args)
     if args.job == "rules":
         rules = read_rules(spark, args.rules, infer_schema=args.infer_schema)
         rules.show(truncate=False)
