@@ -114,8 +114,8 @@ def compact_changelog(
 
     The snapshot is written to a new folder ``<snapshot_root>/upto=<n>`` (``n``
     = highest batch folded in), never over an older one, so readers of the
-    previous snapshot are not disturbed and a failed compaction leaves nothing
-    half-written in use. Passing the previous ``snapshot`` folds only the
+    previous snapshot are not disturbed. A folder is handed out only after its
+    write succeeded; a retry after a failed attempt rewrites the same folder. Passing the previous ``snapshot`` folds only the
     batches after it. Run it from time to time (a batch job next to the
     stream); the stream keeps appending batches meanwhile.
     """
@@ -124,7 +124,7 @@ def compact_changelog(
     if upto is None:
         raise ValueError("the changelog has no batches yet")
     out = f"{snapshot_root}/upto={upto}"
-    rows.write.mode("errorifexists").parquet(out)
+    rows.write.mode("overwrite").parquet(out)
     return out
 
 
