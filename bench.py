@@ -62,6 +62,7 @@ def main() -> None:
     for name in names:
         times[name] = round(min(run(name) for _ in range(max(repeat, 1))), 3)
 
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").count()  # untimed: input size for context
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(
         json.dumps(
@@ -70,6 +71,8 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "events": events,
+                "events_per_sec": {k: round(events / v) for k, v in times.items() if v > 0},
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
                 "spark": spark_version,
