@@ -25,6 +25,10 @@ NOTES = {
     "statistics: at this size both sides are small and one is broadcast; at scale the windows side is past the "
     "threshold, so only the binned rules can be broadcast, else both sides are shuffled on (axis, bin).",
     "decode_readings": "One `from_json` per message; fields read from its struct.",
+    "stream_alerts (executed micro-batch)": "Streaming alerts in append mode, as executed for the query's last micro-batch (the eviction batch without new "
+    "input, hence the empty scan; batches with data have the same operators over the file source): "
+    "partial aggregation before the state shuffle, `StateStoreRestore`/`StateStoreSave` keyed by window (eviction by "
+    "watermark), and the stream-static `BroadcastNestedLoopJoin` with the rules broadcast.",
 }
 
 
@@ -52,8 +56,22 @@ if __name__ == "__main__":
     frames = {name: QUERIES[name](spark, sf) for name in ("window_avg", "window_avg_by_sensor", "alerts", "decode_readings")}
     avgs = window_averages(readings_from_events(read_events(spark, sf)))
     frames["alerts_binned"] = flatten_window(match_rules(avgs, read_rules(spark), AlertSettings(max_broadcast_rules=0)))
+    from sensorwatch.session import run_dir
+    from sensorwatch.streaming import jobs, sinks
+
+    base = run_dir(spark, "show_plans")
+    alerts = jobs.alerts_stream(jobs.event_file_readings(spark, sf), read_rules(spark))
+    q = sinks.start_table(alerts, f"{base}/table", f"{base}/checkpoint", state_partitions=4)
+    q.awaitTermination()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain()
+    stream_tree = "\n".join(ln for ln in buf.getvalue().splitlines() if ln.strip())
+
     print("# Physical plans of the key queries\n")
     print(f"Generated by `tools/show_plans.py` on `{sf}` (local session, AQE on; `isFinalPlan=false`, i.e. before")
     print("run-time re-planning). Operator trees only, plus the scan details.\n")
     for name, df in frames.items():
         print(f"## {name}\n\n{NOTES[name]}\n\n```\n{tree(df)}\n```\n")
+    name = "stream_alerts (executed micro-batch)"
+    print(f"## {name}\n\n{NOTES[name]}\n\n```\n{stream_tree}\n```")
