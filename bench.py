@@ -33,6 +33,7 @@ HEADLINE = [
     "stream_window_avg_update",
     "stream_alerts_update",
     "stream_alerts_append",
+    "stream_alerts_by_sensor",
 ]
 # Not timed by default: `stream_late_data` runs one availableNow query per
 # 5-day delivery period (seven runs here) to show late-data handling; its time

@@ -162,14 +162,14 @@ def encode_readings_sql() -> str:
     return f"WITH {_readings_cte(truncate=False)}\nSELECT '{DEFAULT.topics.readings}' AS topic, {value} AS value FROM readings"
 
 
-def stream_alerts_append_sql() -> str:
+def stream_alerts_append_sql(by_sensor: bool = False) -> str:
     # append mode emits a window once the watermark (max event time - delay) reaches its end
     delay = duration_micros(DEFAULT.watermark)
     where = (
         "WHERE epoch_us(window_end) <= "
         f"(SELECT max(epoch_us(t)) FROM readings) - {delay}"
     )
-    return alerts_sql(where=where)
+    return alerts_sql(by_sensor=by_sensor, where=where)
 
 
 def stream_late_data_sql() -> str:
@@ -220,5 +220,6 @@ ORACLE: dict[str, str] = {
     "stream_window_avg_update": window_avg_sql(DEFAULT),
     "stream_alerts_update": alerts_sql(DEFAULT),
     "stream_alerts_append": stream_alerts_append_sql(),
+    "stream_alerts_by_sensor": stream_alerts_append_sql(by_sensor=True),
     "stream_late_data": stream_late_data_sql(),
 }
