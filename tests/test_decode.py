@@ -67,3 +67,19 @@ def test_encode_writes_null_fields(spark):
     df = spark.sql("SELECT TIMESTAMP'2024-08-19 13:05:00.25' AS timestamp, CAST(NULL AS INT) AS id, 'humidity' AS sensor, 20 AS value")
     v = encode_readings(df).first().value
     assert v == '{"timestamp":1724072700.250000,"id":null,"sensor":"humidity","value":20}'
+
+
+def test_decode_keeps_instant_in_repeated_hour(spark):
+    """2024-10-27 01:30 UTC is 03:30 local time in Kyiv, a wall time that occurs twice; no shift by an hour."""
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Kyiv")
+    try:
+        epoch = 1729992600  # 2024-10-27 01:30:00 UTC, second pass through 03:30 local
+        df = spark.createDataFrame(
+            [(f'{{"timestamp": {epoch}.75, "id": 1, "sensor": "humidity", "value": 50}}',),
+             (f'{{"timestamp": {epoch - 3600}.75, "id": 1, "sensor": "humidity", "value": 50}}',)],
+            "value string",
+        )
+        got = [r.s for r in decode_readings(df).select(F.unix_seconds("timestamp").alias("s")).collect()]
+        assert got == [epoch, epoch - 3600]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
