@@ -40,14 +40,17 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_events_stream(
     spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = 1, glob: str = "events*.parquet"
 ) -> DataFrame:
-    """``events`` as a file stream: each new parquet file matching ``glob`` is new input.
+    """``events`` as a file stream: new parquet files under ``<sf_dir>/<glob>`` are new input.
 
-    ``max_files_per_trigger=None`` takes every new file into the next micro-batch.
+    The glob matches single files (``events.parquet``) as well as directories of
+    part files written by Spark (``events.parquet/part-*.parquet``); it is
+    listed again at every trigger. ``max_files_per_trigger=None`` takes every
+    new file into the next micro-batch.
     """
-    reader = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", glob)
+    reader = spark.readStream.schema(EVENTS_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(sf_dir)
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{glob}")
 
 
 def _sql_list(items) -> str:
