@@ -103,6 +103,12 @@ def _state_partitions(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
 
+def _start_update_changelog(spark: SparkSession, averages: DataFrame, base: str):
+    return sinks.start_changelog(
+        averages, f"{base}/changelog", f"{base}/checkpoint", "update", state_partitions=_state_partitions(spark)
+    )
+
+
 def _drain(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:  # pragma: no cover - surfaced to the caller
@@ -113,9 +119,7 @@ def stream_window_avg_update_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Update-mode averages, each batch appended to a changelog; the newest version per window."""
     base = run_dir(spark, "stream_window_avg_update")
     averages = jobs.averages_stream(jobs.event_file_readings(spark, sf_dir), DEFAULT)
-    _drain(sinks.start_changelog(
-        averages, f"{base}/changelog", f"{base}/checkpoint", "update", state_partitions=_state_partitions(spark)
-    ))
+    _drain(_start_update_changelog(spark, averages, base))
     log = sinks.read_changelog(spark, f"{base}/changelog", averages.schema)
     return flatten_window(sinks.latest_rows(log, ["window"]))
 
@@ -124,9 +128,7 @@ def stream_alerts_update_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Update mode without stale alerts: upsert the averages by window, derive alerts from that table."""
     base = run_dir(spark, "stream_alerts_update")
     averages = jobs.averages_stream(jobs.event_file_readings(spark, sf_dir), DEFAULT)
-    _drain(sinks.start_changelog(
-        averages, f"{base}/changelog", f"{base}/checkpoint", "update", state_partitions=_state_partitions(spark)
-    ))
+    _drain(_start_update_changelog(spark, averages, base))
     current = sinks.latest_rows(sinks.read_changelog(spark, f"{base}/changelog", averages.schema), ["window"])
     return flatten_window(_match(current, spark))
 
@@ -182,9 +184,7 @@ def stream_late_data_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         readings = readings_from_events(read_events_stream(spark, f"{base}/input", None, "*.parquet"))
         averages = jobs.averages_stream(readings, DEFAULT)
         schema = averages.schema
-        _drain(sinks.start_changelog(
-        averages, f"{base}/changelog", f"{base}/checkpoint", "update", state_partitions=_state_partitions(spark)
-    ))
+        _drain(_start_update_changelog(spark, averages, base))
     log = sinks.read_changelog(spark, f"{base}/changelog", schema)
     return flatten_window(sinks.latest_rows(log, ["window"]))
 
