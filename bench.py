@@ -5,7 +5,7 @@
 Each query runs to completion through the ``noop`` sink (the whole plan
 executes, nothing is collected); its time is the best of ``BENCH_REPEAT``
 runs (default 2) after one warm-up query. ``BENCH_QUERIES`` (comma list)
-restricts the set.
+restricts the set; ``BENCH_EVENT_LOG=<folder>`` writes Spark's event log there.
 """
 
 from __future__ import annotations
@@ -51,7 +51,12 @@ def main() -> None:
     from sensorwatch.plans.queries import QUERIES
     from sensorwatch.session import local_session
 
-    spark = local_session(cores=cpus, app="sensorwatch-bench", shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):  # folder for Spark's event log (stage and task times), no UI needed
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
+    spark = local_session(
+        cores=cpus, app="sensorwatch-bench", shuffle_partitions=int(cpus) if cpus.isdigit() else 8, **extra
+    )
 
     def run(name: str) -> float:
         t0 = time.perf_counter()
