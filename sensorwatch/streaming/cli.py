@@ -66,6 +66,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--unused-bound", type=int, default=UNUSED_BOUND)
     p.add_argument("--by-sensor", action="store_true", help="group by sensor id as well")
     p.add_argument("--topic-prefix", help="topics named <prefix>_building_sensors, …")
+    p.add_argument("--message-time-zone", help="zone of the window times in alert messages (default: session zone)")
     p.add_argument("--max-offsets-per-trigger", type=int)
     p.add_argument("--min-partitions", type=int, help="Kafka: split each micro-batch over at least this many tasks")
     p.add_argument("--max-files-per-trigger", type=int)
@@ -104,6 +105,7 @@ def build(spark: SparkSession, args) -> tuple[DataFrame, str, str]:
         watermark=args.watermark,
         unused_bound=args.unused_bound,
         topics=Topics.with_prefix(args.topic_prefix) if args.topic_prefix else Topics(),
+        message_time_zone=args.message_time_zone,
     )
     readings = _readings(spark, args, settings)
     if args.job == "readings":

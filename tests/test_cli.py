@@ -9,7 +9,7 @@ def test_publish_to_table_once(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     _write_inputs(src, list(FILES.items()))
     cli.main(["publish", "--source", "json", "--path", src, "--sink", "table", "--out", out, "--once",
-              "--topic-prefix", "me"], spark=spark)
+              "--topic-prefix", "me", "--message-time-zone", "UTC"], spark=spark)
     rows = spark.read.parquet(out).collect()
     got = sorted((r.topic, json.loads(r.value)["window"]["start"][11:], json.loads(r.value)["code"]) for r in rows)
     assert got == sorted(
