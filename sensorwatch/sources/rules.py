@@ -1,4 +1,9 @@
-"""Alert rules: a small CSV table of optional, inclusive bounds per measure."""
+"""Alert rules: a small CSV table of optional, inclusive bounds per measure.
+
+Fixed values: the packaged file ``data/alert_rules.csv`` holds the four rules
+the original job runs with (too dry, too wet, too cold, too hot; codes
+101-104), unchanged, so that the alerts match.
+"""
 
 from __future__ import annotations
 
