@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .timecols import epoch_text_to_time
+from .timecols import epoch_text_to_time_sql
 
 # Schema of the JSON value of a reading. ``timestamp`` is read as text so that
 # both a JSON number (epoch seconds) and a quoted number are accepted.
@@ -18,6 +17,7 @@ READING_JSON_SCHEMA = T.StructType(
         T.StructField("value", T.IntegerType(), True),
     ]
 )
+_READING_DDL = ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in READING_JSON_SCHEMA.fields)
 
 
 def decode_readings(messages: DataFrame, value_col: str = "value") -> DataFrame:
@@ -27,15 +27,15 @@ def decode_readings(messages: DataFrame, value_col: str = "value") -> DataFrame:
     a row of NULLs, a field of the wrong type (``25.5`` or ``"41"`` for an INT)
     gives NULL in that field only. The event time is the epoch seconds cut to
     whole seconds; unparsable or out-of-range times are NULL (such rows fall
-    out of every window).
+    out of every window). One ``from_json`` per message; the fields are read
+    from its struct.
     """
-    j = F.from_json(F.col(value_col).cast("string"), READING_JSON_SCHEMA)
-    parsed = messages.select(j.alias("r"))
-    return parsed.select(
-        epoch_text_to_time(F.col("r.timestamp")).alias("timestamp"),
-        F.col("r.id").alias("id"),
-        F.col("r.sensor").alias("sensor"),
-        F.col("r.value").alias("value"),
+    parsed = messages.selectExpr(f"from_json(CAST(`{value_col}` AS STRING), '{_READING_DDL}') AS r")
+    return parsed.selectExpr(
+        f"{epoch_text_to_time_sql('r.`timestamp`')} AS timestamp",
+        "r.id AS id",
+        "r.sensor AS sensor",
+        "r.value AS value",
     )
 
 
@@ -43,17 +43,12 @@ def encode_readings(readings: DataFrame) -> DataFrame:
     """Readings -> ``key STRING, value STRING`` as a sensor producer sends them.
 
     ``value`` is JSON ``{"timestamp": <epoch seconds, 6 decimals>, "id", "sensor",
-    "value"}``; ``key`` a random UUID, itself JSON-encoded (so quoted). Both
-    columns are ready for the Kafka sink.
+    "value"}`` (NULL fields written as ``null``); ``key`` a random UUID, itself
+    JSON-encoded (so quoted). Both columns are ready for the Kafka sink.
     """
-    seconds = (F.unix_micros(F.col("timestamp")).cast("decimal(26,0)") / F.lit(1_000_000)).cast("decimal(20,6)")
-    body = F.struct(
-        seconds.alias("timestamp"),
-        F.col("id").alias("id"),
-        F.col("sensor").alias("sensor"),
-        F.col("value").alias("value"),
-    )
-    return readings.select(
-        F.concat(F.lit('"'), F.uuid(), F.lit('"')).alias("key"),
-        F.to_json(body, {"ignoreNullFields": "false"}).alias("value"),
+    seconds = "CAST(CAST(unix_micros(`timestamp`) AS DECIMAL(26,0)) / 1000000 AS DECIMAL(20,6))"
+    body = f"named_struct('timestamp', {seconds}, 'id', id, 'sensor', sensor, 'value', value)"
+    return readings.selectExpr(
+        "concat('\"', uuid(), '\"') AS key",
+        f"to_json({body}, map('ignoreNullFields', 'false')) AS value",
     )

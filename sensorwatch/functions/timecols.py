@@ -61,15 +61,22 @@ def pane_micros(window: str, slide: str) -> int:
     return math.gcd(w, s)
 
 
-def epoch_text_to_time(text: Column) -> Column:
-    """Epoch seconds given as text (``"1724072749.98"``, ``"1.7E9"``) -> TIMESTAMP, whole seconds.
+def epoch_text_to_time_sql(expr: str) -> str:
+    """SQL: epoch seconds given as text (``"1724072749.98"``, ``"1.7E9"``) -> TIMESTAMP, whole seconds.
 
-    The fraction is cut toward zero. Unparsable text, NaN, infinities and
-    values beyond the timestamp range give NULL instead of failing the query.
+    ``expr`` is a SQL expression of the text. The fraction is cut toward zero.
+    Unparsable text, NaN, infinities and values beyond the timestamp range give
+    NULL instead of failing the query.
     """
-    seconds = text.try_cast("double")
-    whole = F.when(F.abs(seconds) <= F.lit(_MAX_EPOCH_SECONDS), seconds).try_cast("bigint")
-    return F.timestamp_seconds(whole)
+    seconds = f"try_cast({expr} AS DOUBLE)"
+    return (
+        f"timestamp_seconds(try_cast(CASE WHEN abs({seconds}) <= {_MAX_EPOCH_SECONDS} THEN {seconds} END AS BIGINT))"
+    )
+
+
+def epoch_text_to_time(expr: str) -> Column:
+    """TIMESTAMP column: :func:`epoch_text_to_time_sql` of the SQL expression ``expr``."""
+    return F.expr(epoch_text_to_time_sql(expr))
 
 
 def _epoch_ntz() -> Column:

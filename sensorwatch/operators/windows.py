@@ -44,10 +44,11 @@ def window_averages(
     ``sensor_id`` to the grouping.
     """
     measures = settings.measures
-    ts = F.col(time_col)
     if readings.isStreaming:
-        grouped = readings.groupBy(F.window(ts, settings.window, settings.slide).alias("window"), *_keys(by_sensor))
-        return grouped.agg(*[F.avg(F.when(F.col("sensor") == m, F.col("value"))).alias(f"avg_{m}") for m in measures])
+        grouped = readings.groupBy(F.window(time_col, settings.window, settings.slide).alias("window"), *_keys(by_sensor))
+        return grouped.agg(
+            *[F.expr(f"avg(CASE WHEN sensor = {_quote(m)} THEN value END) AS `avg_{m}`") for m in measures]
+        )
 
     length, slide = duration_micros(settings.window), duration_micros(settings.slide)
     pane = pane_micros(settings.window, settings.slide)

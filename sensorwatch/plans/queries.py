@@ -16,7 +16,13 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, HOURLY, AlertSettings
 from ..functions.decode import decode_readings, encode_readings
 from ..functions.messages import alert_messages, route_topic
-from ..functions.timecols import epoch_text_to_time, instant_to_utc_wall, utc_wall_to_instant
+from ..functions.timecols import (
+    epoch_text_to_time_sql,
+    instant_to_utc_wall,
+    instant_to_utc_wall_sql,
+    utc_wall_to_instant,
+    utc_wall_to_instant_sql,
+)
 from ..operators.rule_join import match_rules
 from ..operators.windows import flatten_window, window_averages
 from ..session import run_dir
@@ -55,11 +61,8 @@ def decode_readings_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decode_event_time_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Epoch seconds as the text a JSON number arrives as (``1.704067798778549E9``) -> event time."""
     events = read_events(spark, sf_dir)
-    micros = F.unix_micros(utc_wall_to_instant("ts"))
-    text = (micros / F.lit(1_000_000)).cast("double").cast("string")
-    return events.select(
-        "event_id", instant_to_utc_wall(epoch_text_to_time(text)).alias("event_time")
-    )
+    text = f"CAST(CAST(unix_micros({utc_wall_to_instant_sql('ts')}) / 1000000 AS DOUBLE) AS STRING)"
+    return events.selectExpr("event_id", f"{instant_to_utc_wall_sql(epoch_text_to_time_sql(text))} AS event_time")
 
 
 def encode_readings_q(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,7 +45,7 @@ def test_pane_is_gcd():
 
 def test_epoch_text_to_time(spark):
     rows = [("1724072749.987654",), ("1.724072749987654E9",), ("-1.5",), ("abc",), (None,), ("NaN",), ("1e30",), ("9e15",)]
-    df = spark.createDataFrame(rows, "t string").select(epoch_text_to_time(F.col("t")).alias("ts"))
+    df = spark.createDataFrame(rows, "t string").select(epoch_text_to_time("t").alias("ts"))
     got = [r.ts for r in df.collect()]
     utc = dt.timezone.utc
     assert got[0].astimezone(utc).replace(tzinfo=None) == dt.datetime(2024, 8, 19, 13, 5, 49)
