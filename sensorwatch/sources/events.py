@@ -10,7 +10,6 @@ humidity reading also occur.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import HUMIDITY_RANGE, SENSOR_HUMIDITY, SENSOR_TEMPERATURE, TEMPERATURE_RANGE
