@@ -141,3 +141,38 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
 def text_column(name: str = "text") -> Column:
     """The whole text, null as empty."""
     return F.coalesce(quoted(name).cast("string"), F.lit(""))
+
+
+#: Keys of two integers up to this many are broadcast (about 30 MB in memory); more are joined by shuffle.
+BROADCAST_KEYS = 500_000
+
+
+def row_key(doc_id: str, text: str) -> list[Column]:
+    """What tells rows apart: the id and a 64-bit hash of the text. Rows equal in both are repeats of one document."""
+    return [quoted(doc_id).alias("_id"), F.xxhash64(text_column(text)).alias("_hash")]
+
+
+def only_kept(docs: DataFrame, verdicts: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``verdicts`` (``_id``, ``_hash``, ``kept``; one row per document) keeps.
+
+    Of rows repeated with their id and text just one stays. Only the keys of
+    dropped and of repeated rows are joined, texts are shuffled only beyond
+    ``BROADCAST_KEYS`` of them.
+    """
+    names = free_name(docs.columns, "_id"), free_name(docs.columns, "_hash")
+    keys = verdicts.groupBy("_id", "_hash").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    keys = materialize(keys.where(~F.col("kept") | (F.col("n") > 1)), "kept-keys")
+    keyed = docs.withColumns(dict(zip(names, row_key(doc_id, text), strict=True)))
+
+    def side(some: DataFrame) -> tuple[DataFrame, Column]:
+        small = some.select(F.col("_id").alias("_i"), F.col("_hash").alias("_h"))
+        if small.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+            small = F.broadcast(small)
+        return small, quoted(names[0]).eqNullSafe(F.col("_i")) & (quoted(names[1]) == F.col("_h"))
+
+    stay = keyed.join(*side(keys.where(~F.col("kept"))), "left_anti")
+    repeated = keys.where("kept")
+    if repeated.limit(1).count():
+        once = stay.join(*side(repeated), "left_semi").dropDuplicates(list(names))
+        stay = stay.join(*side(repeated), "left_anti").unionByName(once)
+    return stay.select(*map(quoted, docs.columns))

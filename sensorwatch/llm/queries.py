@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from .block_dedup import OP4_SQL, op4_block_dedup
+from .chat_format import OP7_SQL, op7_chat_format
 from .quality_rules import op9_quality_rules
 from .sentencepiece_bpe import op5_sentencepiece
 from .token_files import op10_token_files
 
 QUERIES = {
+    "op4_block_dedup": op4_block_dedup,
     "op5_sentencepiece": op5_sentencepiece,
+    "op7_chat_format": op7_chat_format,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_files": op10_token_files,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {"op4_block_dedup": OP4_SQL, "op7_chat_format": OP7_SQL}

@@ -6,9 +6,9 @@ in stripes with integer run-length encoding, row indexes, and Bloom filters on
 documents is pruned by the min/max of files, stripes and row groups and by the
 Bloom filters (:func:`read_documents`).
 
-The encoding splits a text at single spaces between non-space characters (the
-pre-tokenizer always starts a new token there), encodes each distinct word of
-a batch once, and joins the stored ids.
+The encoding splits a text at single spaces and line feeds between other
+characters (the pre-tokenizer always starts a new token there), encodes each
+distinct word of a batch once, and joins the stored ids.
 
 Contract: null text counts as empty (its ids are just the end id); null
 ``doc_id`` sorts first; repeated ids keep all their rows, in the order of their
@@ -23,6 +23,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +34,15 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from ..session import checkpoint_root
-from .common import BROADCAST_ROWS, cut, map_batches, process_memo, quoted, read_table, remember, text_column
+from .common import BROADCAST_ROWS, cut, map_batches, process_memo, quoted, read_table, text_column
 
-#: Words remembered per Python worker (about 0.2 KB each).
-MEMO_WORDS = 500_000
-#: Where a text may be cut: one space between characters that are not white space.
+#: Words remembered per Python worker (about 0.2 KB each); beyond that the memory starts anew.
+MEMO_WORDS = 600_000
+#: White space other than the space and the line feed; a text without it is split at those two alone.
+_OTHER_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_RUN = re.compile(r"\s | \s")
+#: Words encoded in one call, joined by the character that separates them in a text.
+_JOINED = 64
 
 #: Writer settings: stripes of 16 MB, an index entry every 1,000 rows, Bloom filters on the document id.
 ORC_OPTIONS = {
@@ -51,17 +54,31 @@ ORC_OPTIONS = {
 }
 
 
-def split_words(text: str) -> list[str]:
-    """Parts of a text that are encoded on their own; joined they are the text."""
-    if _RUN.search(text) or text[:1] == " " or text[-1:] == " ":
-        first, *rest = _CUT.split(text)
-    else:
-        first, *rest = text.split(" ")
-    return [first, *[" " + w for w in rest]] if first else []
+def is_regular(text: str) -> bool:
+    """Whether each white space of a text is one space or line feed between other characters."""
+    if not text or text[0].isspace() or text[-1].isspace():
+        return False
+    if "  " in text or "\n " in text or " \n" in text or "\n\n" in text:
+        return False
+    return not any(c in text for c in _OTHER_SPACE)
+
+
+class WordNumbers(dict):
+    """Numbers words in the order they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
 
 
 class TokenEncoder:
-    """Encodes texts with a tokenizers file; control strings inside a text are ordinary text."""
+    """Encodes texts with a tokenizers file; control strings inside a text are ordinary text.
+
+    Texts are split at their spaces, with a space put before each line feed: a
+    word stands for itself behind a space, or has its line feed in front. Words
+    are numbered as they come; their ids are looked up by number once all new
+    words of a batch are encoded.
+    """
 
     def __init__(self, tokenizer_json: str, memo: dict | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
@@ -70,25 +87,68 @@ class TokenEncoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
         self.memo = {} if memo is None else memo
+        self.line = self._ids("\n")
+        self.led = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)  # tokens that begin with a space
+        for token, i in self.tokenizer.get_vocab().items():
+            self.led[i] = token.startswith("\u0120")
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _groups(self, words: list[str], led: bool) -> list[bytes]:
+        """Ids of words that follow a space (``led``) or start a line, encoded in joined groups."""
+        out: list[bytes] = []
+        groups = [words[i : i + _JOINED] for i in range(0, len(words), _JOINED)]
+        joined = [" " + " ".join(g) if led else "\n".join(g) + "\n" for g in groups]
+        newline = int(np.frombuffer(self.line, dtype="<u4")[0])
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, dtype="<u4")
+            cuts = np.flatnonzero(self.led[ids]) if led else np.flatnonzero(ids == newline)
+            if len(cuts) != len(group):
+                out.extend(self._ids(" " + w if led else w) for w in group)
+            elif led:
+                data, at = ids.tobytes(), (4 * np.r_[cuts, len(ids)]).tolist()
+                out.extend(data[a:b] for a, b in zip(at, at[1:], strict=False))
+            else:
+                data, at = ids.tobytes(), (4 * np.r_[-1, cuts]).tolist()
+                out.extend(data[a + 4 : b] for a, b in zip(at, at[1:], strict=False))
+        return out
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        # a full stop or comma behind a letter is a token of its own
+        bare = [w[:-1] if w[-1] in ".," and w[-2:-1].isalpha() else w for w in words]
+        ids = {}
+        for led in (True, False):
+            distinct = list({w for w in bare if (w[0] != "\n") == led})
+            if led:
+                ids.update(zip(distinct, self._groups(distinct, True), strict=True))
+            else:
+                starts = self._groups([w[1:] for w in distinct], False)
+                ids.update((w, self.line + i) for w, i in zip(distinct, starts, strict=True))
+        mark = {".": self._ids("."), ",": self._ids(",")}
+        return [ids[w] if w is b or len(w) == len(b) else ids[b] + mark[w[-1]] for w, b in zip(words, bare, strict=True)]
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """Ids of each text and the end id, as little-endian uint32 bytes."""
-        split = [split_words(t) for t in texts]
-        new = set()
-        for words in split:
-            new.update(words)
-        new.difference_update(self.memo)
-        here = self.memo
-        if new:
-            words = list(new)
-            encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-            ids = [e.ids for e in encoded]
-            ends = np.cumsum([4 * len(x) for x in ids]).tolist()
-            flat = np.fromiter((i for x in ids for i in x), dtype="<u4").tobytes()
-            found = {w: flat[a:b] for w, a, b in zip(words, [0, *ends], ends, strict=False)}
-            here = remember(self.memo, found, MEMO_WORDS)
-        get, last = here.__getitem__, np.array([end], dtype="<u4").tobytes()
-        return [b"".join(map(get, words)) + last for words in split]
+        memo = self.memo
+        if not memo or len(memo["numbers"]) > MEMO_WORDS:
+            memo.update(numbers=WordNumbers(), ids=[])
+        number, known = memo["numbers"].__getitem__, memo["ids"]
+        numbered = [
+            list(map(number, ("\n" + t.replace("\n", " \n")).split(" "))) if is_regular(t) else t for t in texts
+        ]
+        known.extend(self._encode_words(list(islice(memo["numbers"], len(known), None))))
+        last, get = np.array([end], dtype="<u4").tobytes(), known.__getitem__
+        return [
+            self._irregular(x) + last if isinstance(x, str) else b"".join(map(get, x))[len(self.line) :] + last
+            for x in numbered
+        ]
+
+    def _irregular(self, text: str) -> bytes:
+        if not text:
+            return b""
+        first, *rest = _CUT.split(text)
+        return b"".join([self._ids(first), *[self._ids(" " + w) for w in rest]])
 
 
 SCHEMA = T.StructType(
@@ -119,7 +179,7 @@ def write_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
         encoder = TokenEncoder(shared.value, process_memo("token_files").setdefault(zlib.crc32(shared.value.encode()), {}))
-        for batch in cut(batches, "text"):
+        for batch in cut(batches, "text", 2 << 20):
             encoded = encoder.encode(batch.column("text").to_pylist(), end_id)
             n = np.array([len(e) // 4 for e in encoded], dtype=np.int64)
             ends = np.cumsum(n)
