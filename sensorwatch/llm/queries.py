@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from .block_dedup import OP4_SQL, op4_block_dedup
 from .chat_format import OP7_SQL, op7_chat_format
+from .mixing import op3_entropy_mix
+from .pii_crf import op1_pii_crf
 from .quality_rules import op9_quality_rules
+from .secret_scan import op2_secret_scan
 from .sentencepiece_bpe import op5_sentencepiece
 from .token_files import op10_token_files
 
 QUERIES = {
+    "op1_pii_crf": op1_pii_crf,
+    "op2_secret_scan": op2_secret_scan,
+    "op3_entropy_mix": op3_entropy_mix,
     "op4_block_dedup": op4_block_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op7_chat_format": op7_chat_format,
