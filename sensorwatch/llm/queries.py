@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .block_dedup import OP4_SQL, op4_block_dedup
+from .brown_lm import op6_brown_lm
 from .chat_format import OP7_SQL, op7_chat_format
 from .mixing import op3_entropy_mix
 from .pii_crf import op1_pii_crf
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_entropy_mix": op3_entropy_mix,
     "op4_block_dedup": op4_block_dedup,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_brown_lm": op6_brown_lm,
     "op7_chat_format": op7_chat_format,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_files": op10_token_files,
