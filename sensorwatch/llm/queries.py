@@ -6,6 +6,7 @@ from .block_dedup import OP4_SQL, op4_block_dedup
 from .brown_lm import op6_brown_lm
 from .chat_format import OP7_SQL, op7_chat_format
 from .mixing import op3_entropy_mix
+from .near_dedup import op8_near_dedup
 from .pii_crf import op1_pii_crf
 from .quality_rules import op9_quality_rules
 from .secret_scan import op2_secret_scan
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_sentencepiece": op5_sentencepiece,
     "op6_brown_lm": op6_brown_lm,
     "op7_chat_format": op7_chat_format,
+    "op8_near_dedup": op8_near_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_files": op10_token_files,
 }
