@@ -15,9 +15,12 @@ Not all pairs of a bucket are formed:
 2. each node is confirmed against one representative, that of most of its
    buckets (the least node of the bucket), which gives first components;
 3. in buckets that still hold several components, sketches are compared in
-   blocks of bounded size, whatever the bucket's size; pairs of different
-   components whose estimate is not far below the threshold are confirmed, each
-   pair once, in the first band that it shares.
+   blocks of bounded size, whatever the bucket's size; each pair of different
+   components whose estimate is not far below the threshold is a candidate in
+   the first band that it shares;
+4. the nodes of candidates bring their full sets to the block, once each, and
+   candidates are confirmed there from the most similar down, leaving out those
+   that confirmed ones connect already. Only links leave the block.
 
 What is missed: a pair at similarity 0.75 shares no band with probability
 (1 - 0.75^4)^32 = 5e-6, or is estimated below ``LEAST_ESTIMATE`` (over 4.5
@@ -196,75 +199,150 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.where(both * 100 >= union * SIMILAR).select("a", "b")
 
 
-def compare_blocks(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different labels in one bucket that may be similar, each in the first band it shares.
+_GROUP = ["band", "key", "low", "high"]
+_BLOCK_COLUMNS = [*_GROUP, "node", "label", "n", "part", "codes", "keys"]
+
+
+def _candidates(g: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the candidate pairs in a block, and their numbers of equal coordinates."""
+    least = int(np.ceil(LEAST_ESTIMATE * COORDINATES))
+    first = g["part"] == g["low"][0]
+    inside = g["low"][0] == g["high"][0]
+    left, right = (np.arange(len(first)),) * 2 if inside else (np.flatnonzero(first), np.flatnonzero(~first))
+    found = [np.zeros((3, 0), dtype=np.int64)]
+    for i in range(0, len(left), 64):
+        some = left[i : i + 64]
+        ok = g["label"][some][:, None] != g["label"][right][None]
+        if inside:
+            ok &= some[:, None] < right[None]
+        small, large = np.minimum(g["n"][some][:, None], g["n"][right]), np.maximum(g["n"][some][:, None], g["n"][right])
+        x, y = np.nonzero(ok & (small * 100 >= large * SIMILAR))
+        x, y = some[x], right[y]
+        for k in range(0, len(x), 4096):
+            p, q = x[k : k + 4096], y[k : k + 4096]
+            same = (g["codes"][p] == g["codes"][q]).sum(axis=1)
+            near = same >= least
+            p, q, same = p[near], q[near], same[near]
+            mine = (g["keys"][p] == g["keys"][q]).argmax(axis=1) == g["band"][0]
+            found.append(np.stack([p[mine], q[mine], same[mine]]))
+    return tuple(np.concatenate(found, axis=1))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], sets: bool) -> Iterator[dict[str, np.ndarray]]:
+    """The blocks of a sorted partition, one after the other."""
+
+    def arrays(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        get = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in _BLOCK_COLUMNS[:8]}
+        get["codes"] = np.frombuffer(b"".join(batch.column("codes").to_pylist()), np.uint8).reshape(-1, COORDINATES)
+        get["keys"] = np.array(batch.column("keys").flatten()).reshape(-1, BANDS)
+        if sets:
+            get["shingles"] = np.empty(batch.num_rows, dtype=object)
+            get["shingles"][:] = [x.values.to_numpy() for x in batch.column("shingles")]
+        return get
+
+    held: dict[str, np.ndarray] | None = None
+    for whole in batches:
+        for start in range(0, whole.num_rows, 2 * BLOCK):
+            now = arrays(whole.slice(start, 2 * BLOCK))
+            if held is not None:
+                now = {c: np.concatenate([held[c], now[c]]) for c in now}
+            change = np.zeros(len(now["node"]) - 1, dtype=bool)
+            for c in _GROUP:
+                change |= now[c][1:] != now[c][:-1]
+            starts = np.r_[0, np.flatnonzero(change) + 1]
+            for i, j in zip(starts[:-1], starts[1:], strict=True):
+                yield {c: v[i:j] for c, v in now.items()}
+            held = {c: v[starts[-1] :] for c, v in now.items()}
+    if held is not None:
+        yield held
+
+
+def candidate_rows(rows: DataFrame) -> DataFrame:
+    """The rows of blocks that are in a candidate pair.
 
     ``rows``: band, key, size (of the bucket), node, label, n, codes, keys. A
     bucket of more than ``BLOCK`` nodes is cut into parts, and each two parts
-    meet in a group of their own.
+    meet in a block of their own.
     """
     parts = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    group = ["band", "key", "low", "high"]
-    rows = rows.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")}).drop("other", "size")
-    rows = rows.repartition(*group).sortWithinPartitions(*group, "node")
-    least = int(np.ceil(LEAST_ESTIMATE * COORDINATES))
+    rows = rows.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")})
+    rows = rows.select(*_BLOCK_COLUMNS).repartition(*_GROUP).sortWithinPartitions(*_GROUP, "node")
 
-    def pairs(g: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        first = g["part"] == g["low"][0]
-        inside = g["low"][0] == g["high"][0]
-        left, right = (np.arange(len(first)),) * 2 if inside else (np.flatnonzero(first), np.flatnonzero(~first))
-        out_a, out_b = [], []
-        for i in range(0, len(left), 64):
-            some = left[i : i + 64]
-            ok = g["label"][some][:, None] != g["label"][right][None]
-            if inside:
-                ok &= some[:, None] < right[None]
-            small, large = np.minimum(g["n"][some][:, None], g["n"][right]), np.maximum(g["n"][some][:, None], g["n"][right])
-            ok &= small * 100 >= large * SIMILAR
-            x, y = np.nonzero(ok)
-            x, y = some[x], right[y]
-            for k in range(0, len(x), 4096):
-                p, q = x[k : k + 4096], y[k : k + 4096]
-                near = (g["codes"][p] == g["codes"][q]).sum(axis=1) >= least
-                p, q = p[near], q[near]
-                mine = (g["keys"][p] == g["keys"][q]).argmax(axis=1) == g["band"][0]
-                out_a.append(g["node"][p[mine]])
-                out_b.append(g["node"][q[mine]])
-        if not out_a:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(out_a), np.concatenate(out_b)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in _blocks(batches, sets=False):
+            p, q, _ = _candidates(g)
+            some = np.union1d(p, q)
+            if len(some):
+                columns = [pa.array(g[c][some]) for c in _BLOCK_COLUMNS[:8]]
+                columns.append(pa.array([c.tobytes() for c in g["codes"][some]], pa.binary()))
+                columns.append(pa.array(list(g["keys"][some]), pa.list_(pa.int64())))
+                yield pa.RecordBatch.from_arrays(columns, names=_BLOCK_COLUMNS)
+
+    return map_batches(rows, run, rows.select(*_BLOCK_COLUMNS).schema)
+
+
+def block_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) that connect what the candidates of each block connect, confirmed on the full sets."""
+    rows = rows.join(sets, "node").repartition(*_GROUP).sortWithinPartitions(*_GROUP, "node")
+
+    def links(g: dict[str, np.ndarray]) -> list[tuple[int, int]]:
+        p, q, same = _candidates(g)
+        parent = {x: x for x in g["label"].tolist()}
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        out = []
+        for k in np.argsort(-same, kind="stable").tolist():
+            i, j = int(p[k]), int(q[k])
+            a, b = root(int(g["label"][i])), root(int(g["label"][j]))
+            if a != b:
+                x, y = g["shingles"][i], g["shingles"][j]
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if both * 100 >= (len(x) + len(y) - both) * SIMILAR:
+                    parent[a] = b
+                    out.append((int(g["node"][i]), int(g["node"][j])))
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def arrays(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
-            get = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in (*group, "node", "label", "n", "part")}
-            get["codes"] = np.frombuffer(b"".join(batch.column("codes").to_pylist()), np.uint8).reshape(-1, COORDINATES)
-            get["keys"] = np.array(batch.column("keys").flatten()).reshape(-1, BANDS)
-            return get
-
-        held: dict[str, np.ndarray] | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            now = arrays(batch)
-            if held is not None:
-                now = {c: np.concatenate([held[c], now[c]]) for c in now}
-            change = np.zeros(len(now["node"]) - 1, dtype=bool)
-            for c in group:
-                change |= now[c][1:] != now[c][:-1]
-            starts = np.r_[0, np.flatnonzero(change) + 1]
-            found = [pairs({c: v[i:j] for c, v in now.items()}) for i, j in zip(starts[:-1], starts[1:], strict=True)]
-            held = {c: v[starts[-1] :] for c, v in now.items()}
+        for g in _blocks(batches, sets=True):
+            found = links(g)
             if found:
-                a, b = (np.concatenate(z) for z in zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-        if held is not None:
-            a, b = pairs(held)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                a, b = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    columns = [*group, "node", "label", "n", "part", "codes", "keys"]
-    return map_batches(rows.select(*columns), run, "a long, b long")
+    return map_batches(rows.select(*_BLOCK_COLUMNS, "shingles"), run, "a long, b long")
+
+
+def _open_rows(met: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows for :func:`candidate_rows`: the nodes of all buckets that hold more than one label."""
+    labelled = met.select("band", "key", "node").join(labels, "node", "left")
+    labelled = labelled.withColumn("label", F.coalesce("label", "node"))
+    open_ = labelled.groupBy("band", "key").agg(
+        F.count("*").alias("size"), F.min("label").alias("l"), F.max("label").alias("h")
+    )
+    open_ = materialize(open_.where("l <> h").select("band", "key", "size"), "near-open")
+    rows = join_counted(labelled, open_, ["band", "key"], "size", max(1, met.count()))
+    return rows.join(nodes.select("node", "n", "codes", "keys"), "node")
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels (node, label) after further links (a, b) between nodes."""
+    known = labels.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
+    ends = links
+    for side in ("a", "b"):
+        ends = ends.join(known, F.col(side) == F.col("_n"), "left")
+        ends = ends.withColumn(side, F.coalesce("_l", side)).drop("_n", "_l")
+    again = components(ends).select(F.col("node").alias("label"), F.col("label").alias("to"))
+    # nodes that had no link so far are their own label
+    alone = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels, "node", "left_anti")
+    every = labels.unionByName(alone.withColumn("label", F.col("node")))
+    moved = join_small(every, again, ["label"]).select("node", F.coalesce("to", "label").alias("label"))
+    return materialize(moved, "near-merged")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -296,28 +374,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     labels = components(first)
 
     # buckets that hold several components
-    labelled = met.select("band", "key", "node").join(labels, "node", "left")
-    labelled = labelled.withColumn("label", F.coalesce("label", "node"))
-    open_ = labelled.groupBy("band", "key").agg(
-        F.count("*").alias("size"), F.min("label").alias("l"), F.max("label").alias("h")
-    )
-    open_ = materialize(open_.where("l <> h").select("band", "key", "size"), "near-open")
-    rows = join_counted(labelled, open_, ["band", "key"], "size", max(1, met.count()))
-    rows = rows.join(nodes.select("node", "n", "codes", "keys"), "node")
-    second = materialize(confirmed(materialize(compare_blocks(rows), "near-pairs"), sets), "near-links")
-
-    # labels of labels
-    ends = second
-    for side in ("a", "b"):
-        known = labels.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
-        ends = ends.join(known, F.col(side) == F.col("_n"), "left")
-        ends = ends.withColumn(side, F.coalesce("_l", side)).drop("_n", "_l")
-    again = components(ends)
+    rows = materialize(candidate_rows(_open_rows(met, nodes, labels)), "near-candidates")
+    labels = _merged(labels, materialize(block_links(rows, sets), "near-links"))
     known = labels.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
     final = nodes.select("node", "n", "d1", "d2", "least_id", "size").join(known, F.col("node") == F.col("_n"), "left")
     final = final.withColumn("label", F.coalesce("_l", "node")).drop("_n", "_l")
-    final = join_small(final, again.select(F.col("node").alias("label"), F.col("label").alias("to")), ["label"])
-    final = materialize(final.withColumn("label", F.coalesce("to", "label")).drop("to"), "near-labels")
+    final = materialize(final, "near-labels")
     least = final.groupBy("label").agg(F.min("least_id").alias("component_id"), F.count("*").alias("members"))
     least = materialize(least, "near-components")
     placed = join_counted(final, least, ["label"], "members", max(1, final.count()))
