@@ -114,19 +114,24 @@ class TokenEncoder:
                 out.extend(data[a + 4 : b] for a, b in zip(at, at[1:], strict=False))
         return out
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        # a full stop or comma behind a letter is a token of its own
-        bare = [w[:-1] if w[-1] in ".," and w[-2:-1].isalpha() else w for w in words]
-        ids = {}
+    def _encode_new(self) -> None:
+        """Find the ids of all words that were numbered since the last call."""
+        numbers, known = self.memo["numbers"], self.memo["ids"]
+        start = len(known)
+        # a full stop or comma behind a letter is a token of its own; the word before it is remembered too
+        marked = [w for w in islice(numbers, start, None) if w[-1] in ".," and w[-2:-1].isalpha()]
+        for w in marked:
+            numbers[w[:-1]]
+        known.extend([b""] * (len(numbers) - start))
+        whole = set(islice(numbers, start, None)).difference(marked)
         for led in (True, False):
-            distinct = list({w for w in bare if (w[0] != "\n") == led})
-            if led:
-                ids.update(zip(distinct, self._groups(distinct, True), strict=True))
-            else:
-                starts = self._groups([w[1:] for w in distinct], False)
-                ids.update((w, self.line + i) for w, i in zip(distinct, starts, strict=True))
+            words = [w for w in whole if (w[0] != "\n") == led]
+            found = self._groups(words if led else [w[1:] for w in words], led)
+            for w, ids in zip(words, found, strict=True):
+                known[numbers[w]] = ids if led else self.line + ids
         mark = {".": self._ids("."), ",": self._ids(",")}
-        return [ids[w] if w is b or len(w) == len(b) else ids[b] + mark[w[-1]] for w, b in zip(words, bare, strict=True)]
+        for w in marked:
+            known[numbers[w]] = known[numbers[w[:-1]]] + mark[w[-1]]
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """Ids of each text and the end id, as little-endian uint32 bytes."""
@@ -137,7 +142,7 @@ class TokenEncoder:
         numbered = [
             list(map(number, ("\n" + t.replace("\n", " \n")).split(" "))) if is_regular(t) else t for t in texts
         ]
-        known.extend(self._encode_words(list(islice(memo["numbers"], len(known), None))))
+        self._encode_new()
         last, get = np.array([end], dtype="<u4").tobytes(), known.__getitem__
         return [
             self._irregular(x) + last if isinstance(x, str) else b"".join(map(get, x))[len(self.line) :] + last
@@ -178,7 +183,10 @@ def write_tokens(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
-        encoder = TokenEncoder(shared.value, process_memo("token_files").setdefault(zlib.crc32(shared.value.encode()), {}))
+        encoders = process_memo("token_files")
+        if shared.value not in encoders:
+            encoders[shared.value] = TokenEncoder(shared.value)
+        encoder = encoders[shared.value]
         for batch in cut(batches, "text", 2 << 20):
             encoded = encoder.encode(batch.column("text").to_pylist(), end_id)
             n = np.array([len(e) // 4 for e in encoded], dtype=np.int64)
