@@ -26,7 +26,7 @@ BROADCAST_ROWS = 20_000
 #: A key with more than this share of all rows is hot: there are at most 1 / HOT_SHARE such keys.
 HOT_SHARE = 1 / 200
 #: Text handled at once in a Python worker.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -132,6 +132,7 @@ def cut(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = CHUNK_B
             stop = max(start + 1, int(np.searchsorted(ends, before + max_bytes, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+        pa.default_memory_pool().release_unused()  # worker processes outlive their tasks
 
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:

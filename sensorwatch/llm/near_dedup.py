@@ -55,7 +55,7 @@ COORDINATES, BANDS, ROWS = 256, 32, 4
 LEAST_ESTIMATE = 0.62
 #: Nodes of a bucket that are compared at once with as many others.
 BLOCK = 512
-MEMO_WORDS = 300_000
+MEMO_WORDS = 150_000
 
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -145,7 +145,7 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
-        for batch in cut(batches, "text", 2 << 20):
+        for batch in cut(batches, "text"):
             if len(hashes) > MEMO_WORDS:
                 hashes.clear()
             sets = [shingle_set(t, hashes) for t in batch.column("text").to_pylist()]
@@ -178,7 +178,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, doc_id: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
-        for batch in cut(batches, "text", 2 << 20):
+        for batch in cut(batches, "text"):
             if len(hashes) > MEMO_WORDS:
                 hashes.clear()
             sets = [shingle_set(t, hashes).view(np.int64) for t in batch.column("text").to_pylist()]

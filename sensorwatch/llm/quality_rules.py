@@ -78,8 +78,8 @@ def _byte_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
     }
     out = {}
     for name, table in kinds.items():
-        total = np.r_[0, np.cumsum(table[data], dtype=np.int64)]
-        out[name] = total[ends[1:]] - total[ends[:-1]]
+        total = np.r_[0, np.cumsum(table[data], dtype=np.int32)]  # of one chunk of texts
+        out[name] = (total[ends[1:]] - total[ends[:-1]]).astype(np.int64)
     return out
 
 

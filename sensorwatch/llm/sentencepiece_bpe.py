@@ -35,7 +35,7 @@ from .common import cut, map_batches, process_memo, quoted, read_table, remember
 
 SPACE = "▁"
 #: Words remembered per Python worker (about 0.2 KB each); later ones are encoded again where they occur.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 250_000
 _NONE = np.iinfo(np.int32).max
 
 
@@ -305,7 +305,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", into: str = "id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared)
-        for batch in cut(batches, hidden):
+        for batch in cut(batches, hidden, 2 << 20):
             parts = encoder.encode(batch.column(hidden).to_pylist())
             ends = np.cumsum([0] + [len(p) // 4 for p in parts]).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(parts), dtype=np.int32))
@@ -351,7 +351,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared)
         names = [str(i) for i in range(encoder.m["size"])]
-        for batch in cut(batches, "text"):
+        for batch in cut(batches, "text", 2 << 20):
             n, ids_sha, text_sha = [], [], []
             for part in encoder.encode(batch.column("text").to_pylist()):
                 ids = np.frombuffer(part, dtype=np.int32).tolist()
