@@ -50,7 +50,7 @@ def _rules_cte() -> str:
             return "NULL"
         if col == "message":
             return "'" + v.replace("'", "''") + "'"
-        return str(int(v))
+        return str(int(v)) if col in ("id", "code") else f"CAST({v} AS DOUBLE)"
 
     with open(default_rules_path(), newline="") as fh:
         rows = list(csv.DictReader(fh))
@@ -181,7 +181,7 @@ def stream_late_data_sql() -> str:
     delay = duration_micros(DEFAULT.watermark)
     avgs = ",\n         ".join(f"avg(CASE WHEN sensor = '{m}' THEN value END) AS avg_{m}" for m in DEFAULT.measures)
     arrival = (
-        f"floor(CAST(epoch_us(ts) + CAST(floor(value) AS BIGINT) * {LATE_DELAY_UNIT_SECONDS * 1_000_000} AS DOUBLE)"
+        f"floor(CAST(epoch_us(ts) + CAST(floor(coalesce(value, 0)) AS BIGINT) * {LATE_DELAY_UNIT_SECONDS * 1_000_000} AS DOUBLE)"
         f" / CAST({LATE_BATCH_SECONDS * 1_000_000} AS DOUBLE))"
     )
     readings = _readings_cte().replace("FROM events\n", f", {arrival} AS period\n  FROM events\n").replace(

@@ -17,6 +17,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="sensorwatch-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

@@ -37,11 +37,11 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_events_stream(
-    spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = 1, glob: str = "events*.parquet"
+    spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None, glob: str = "events.parque[t]"
 ) -> DataFrame:
     """``events`` as a file stream: new parquet files under ``<sf_dir>/<glob>`` are new input.
 
-    The glob matches single files (``events.parquet``) as well as directories of
+    The glob (a pattern, so that a single file is taken too) matches single files (``events.parquet``) as well as directories of
     part files written by Spark (``events.parquet/part-*.parquet``); it is
     listed again at every trigger. ``max_files_per_trigger=None`` takes every
     new file into the next micro-batch.

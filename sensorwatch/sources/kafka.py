@@ -9,7 +9,7 @@ time); nothing here starts without it.
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,7 +22,7 @@ class KafkaSettings:
     security_protocol: str | None = None  # e.g. "SASL_PLAINTEXT"
     sasl_mechanism: str | None = None  # e.g. "PLAIN"
     username: str | None = None
-    password: str | None = None
+    password: str | None = field(default=None, repr=False)
 
     @classmethod
     def from_env(cls, prefix: str = "SENSORWATCH_KAFKA_") -> "KafkaSettings":
@@ -47,8 +47,7 @@ class KafkaSettings:
         if self.sasl_mechanism:
             opts["kafka.sasl.mechanism"] = self.sasl_mechanism
         if self.username is not None:
-            user = self.username.replace('"', '\\"')
-            pwd = (self.password or "").replace('"', '\\"')
+            user, pwd = ((x or "").replace("\\", "\\\\").replace('"', '\\"') for x in (self.username, self.password))
             opts["kafka.sasl.jaas.config"] = f'{_PLAIN_LOGIN} required username="{user}" password="{pwd}";'
         return opts
 

@@ -8,19 +8,21 @@ the original job runs with (too dry, too wet, too cold, too hot; codes
 from __future__ import annotations
 
 import csv
-import io
 from importlib import resources
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import run_dir
+
 RULE_SCHEMA = T.StructType(
     [
         T.StructField("id", T.IntegerType(), True),
-        T.StructField("humidity_min", T.IntegerType(), True),
-        T.StructField("humidity_max", T.IntegerType(), True),
-        T.StructField("temperature_min", T.IntegerType(), True),
-        T.StructField("temperature_max", T.IntegerType(), True),
+        T.StructField("humidity_min", T.DoubleType(), True),
+        T.StructField("humidity_max", T.DoubleType(), True),
+        T.StructField("temperature_min", T.DoubleType(), True),
+        T.StructField("temperature_max", T.DoubleType(), True),
         T.StructField("code", T.IntegerType(), True),
         T.StructField("message", T.StringType(), True),
     ]
@@ -34,25 +36,36 @@ def default_rules_path() -> str:
 
 
 def read_rules(spark: SparkSession, path: str | None = None, infer_schema: bool = False) -> DataFrame:
-    """Read a rules CSV with a header line.
+    """Read a rules CSV with a header line; columns are found by name, in any order.
 
     ``path`` should be on storage every executor can read (a running stream
     re-reads it each micro-batch, so edits take effect); ``None`` reads the
-    packaged four rules. By default the schema is fixed (:data:`RULE_SCHEMA`): a stray fraction or
-    word in one cell then gives NULL in that cell (a rule with a NULL bound
-    never fires) instead of silently changing the type of a whole column, as
-    inference would. ``infer_schema=True`` reads the file the way a plain
+    packaged four rules. Bounds are numbers, fractions included; ids and codes
+    are integers; an empty cell is NULL (a rule with a NULL bound never fires).
+    A missing column fails here, a cell that is no number of its kind fails the
+    query that reads it. ``infer_schema=True`` reads the file the way a plain
     ``spark.read.csv(header, inferSchema)`` does, at the cost of one extra
     pass over the file when the plan is built.
     """
-    if path is None:
-        return _packaged_rules(spark, infer_schema)
+    path = path or _packaged_rules_path(spark)
     reader = spark.read.option("header", "true")
     if infer_schema:
-        reader = reader.option("inferSchema", "true")
-    else:
-        reader = reader.schema(RULE_SCHEMA).option("mode", "PERMISSIVE")
-    return reader.csv(path)
+        return reader.option("inferSchema", "true").csv(path)
+    cells = reader.csv(path)
+    missing = [c for c in RULE_COLUMNS if c not in cells.columns]
+    if missing:
+        raise ValueError(f"rules file without column {', '.join(missing)}")
+    return cells.select(*[_cell(f).alias(f.name) for f in RULE_SCHEMA.fields])
+
+
+def _cell(field: T.StructField) -> Column:
+    text = F.col(field.name)
+    if isinstance(field.dataType, T.StringType):
+        return text
+    wrong = F.raise_error(F.concat(F.lit(f"rules file: {field.name} is not a number of its kind: "), text))
+    empty = text.isNull() | (F.trim(text) == "")
+    value = text.try_cast(field.dataType)
+    return F.when(~empty, F.coalesce(value, wrong.cast(field.dataType)))
 
 
 def packaged_rule_count() -> int:
@@ -61,30 +74,20 @@ def packaged_rule_count() -> int:
         return sum(1 for _ in csv.DictReader(fh))
 
 
-def _packaged_rules(spark: SparkSession, infer_schema: bool) -> DataFrame:
-    # The packaged file lives next to the driver's copy of the library, which
-    # executors on other hosts may not have. Its four lines become a local
-    # relation (read and size-checked without a Spark job); with schema
-    # inference they go through Spark's CSV reader instead.
-    with open(default_rules_path(), encoding="utf-8", newline="") as fh:
-        text = fh.read()
-    if infer_schema:
-        lines = [ln for ln in text.splitlines() if ln.strip()]
-        reader = spark.read.option("header", "true").option("inferSchema", "true")
-        return reader.csv(spark.sparkContext.parallelize(lines, 1))
-
-    def cell(value: str, field: T.StructField):
-        if value == "":
-            return None
-        if isinstance(field.dataType, T.IntegerType):
-            try:
-                return int(value)
-            except ValueError:  # as the PERMISSIVE reader: a bad cell is NULL
-                return None
-        return value
-
-    rows = [
-        tuple(cell(r.get(f.name, ""), f) for f in RULE_SCHEMA.fields)
-        for r in csv.DictReader(io.StringIO(text))
-    ]
-    return spark.createDataFrame(rows, RULE_SCHEMA)
+def _packaged_rules_path(spark: SparkSession) -> str:
+    """The packaged file on storage that executors read: copied once per application to the shared folder.
+
+    The file itself lies next to the driver's copy of the library, which
+    executors on other hosts may not have.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _COPIES:
+        with open(default_rules_path(), encoding="utf-8", newline="") as fh:
+            lines = [ln for ln in fh.read().splitlines() if ln.strip()]
+        path = run_dir(spark, "rules")
+        spark.createDataFrame([(ln,) for ln in lines], "value string").coalesce(1).write.text(path)
+        _COPIES[app] = path
+    return _COPIES[app]
+
+
+_COPIES: dict[str, str] = {}

@@ -46,7 +46,7 @@ from ..sources.rules import read_rules
 from . import jobs, sinks
 
 
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+ROCKSDB_PROVIDER = sinks.ROCKSDB_PROVIDER
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -93,8 +93,8 @@ def _readings(spark: SparkSession, args, settings: AlertSettings) -> DataFrame:
     if not args.path:
         raise SystemExit(f"--path is required for --source {args.source}")
     if args.source == "json":
-        return jobs.json_file_readings(spark, args.path, args.max_files_per_trigger or 1)
-    return jobs.event_file_readings(spark, args.path, args.max_files_per_trigger or 1)
+        return jobs.json_file_readings(spark, args.path, args.max_files_per_trigger)
+    return jobs.event_file_readings(spark, args.path, args.max_files_per_trigger)
 
 
 def build(spark: SparkSession, args) -> tuple[DataFrame, str, str]:
@@ -148,8 +148,17 @@ def produce(spark: SparkSession, args):
     return messages
 
 
+def _refuse_unsupported(args) -> None:
+    """Jobs, sinks and modes that do not go together."""
+    if args.sink == "kafka" and args.job in ("readings", "averages", "alerts"):
+        raise SystemExit(f"--sink kafka takes messages (job publish or produce), not {args.job}")
+    if args.mode == "update" and (args.sink in ("table", "kafka") or (args.job == "publish" and not args.sink)):
+        raise SystemExit("--mode update needs the sink console or changelog; tables and topics are append only")
+
+
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
     args = _parser().parse_args(argv)
+    _refuse_unsupported(args)
     spark = spark or SparkSession.builder.appName(f"sensorwatch-{args.job}").getOrCreate()
     if args.state_store == "rocksdb":
         # read when a stateful query starts; a restarted query keeps the provider of its checkpoint

@@ -24,16 +24,26 @@ def kafka_readings(spark: SparkSession, kafka: KafkaSettings, settings: AlertSet
     return decode_readings(read_kafka_stream(spark, kafka, settings.topics.readings, **source_opts))
 
 
-def event_file_readings(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Readings from ``events*.parquet`` files in ``sf_dir`` as a stream, passed through
-    the same JSON envelope a Kafka topic carries (encode, then decode)."""
+def event_file_readings(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Readings from ``events.parquet`` (a file or a folder of files) in ``sf_dir`` as a stream, passed
+    through the same JSON envelope a Kafka topic carries (encode, then decode).
+
+    Without a file limit a backlog is one micro-batch, so no unread file is behind the watermark. A
+    limit is only right if the files come in event-time order.
+    """
     events = read_events_stream(spark, sf_dir, max_files_per_trigger)
     return decode_readings(encode_readings(readings_from_events(events, keep_fraction=True)))
 
 
-def json_file_readings(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Readings from text files of JSON messages (one message per line), oldest file first."""
-    raw = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(path)
+def json_file_readings(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Readings from text files of JSON messages (one message per line), oldest file first.
+
+    As for :func:`event_file_readings`, a limit is only right for files in event-time order.
+    """
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    raw = reader.text(path)
     return decode_readings(raw)
 
 

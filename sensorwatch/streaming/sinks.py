@@ -12,6 +12,8 @@
 
 from __future__ import annotations
 
+import threading
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,23 +24,34 @@ from pyspark.sql.streaming import StreamingQuery
 from ..sources.kafka import KafkaSettings
 
 
-def _start(df: DataFrame, writer, state_partitions: int | None):
-    """Start a query; ``state_partitions`` sets its shuffle/state partition count.
+#: State store for large state: kept in RocksDB files beside the executor's heap.
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STARTING = threading.Lock()
 
-    A stateful query fixes that count at its first start (it is kept in the
+
+def _start(df: DataFrame, writer, state_partitions: int | None, state_store: str | None = None):
+    """Start a query; ``state_partitions`` sets its shuffle/state partition count, ``state_store`` its provider.
+
+    A stateful query fixes both at its first start (they are kept in the
     checkpoint). The query runs on its own copy of the session's settings,
-    taken at start, so the session setting is changed only around ``start``.
+    taken at start, so the session's are changed only around ``start``, by one
+    query at a time.
     """
-    if not state_partitions:
-        return writer.start()
+    own = {}
+    if state_partitions:
+        own["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if state_store:
+        own["spark.sql.streaming.stateStore.providerClass"] = state_store
     conf = df.sparkSession.conf
-    key = "spark.sql.shuffle.partitions"
-    before = conf.get(key)
-    conf.set(key, str(state_partitions))
-    try:
-        return writer.start()
-    finally:
-        conf.set(key, before)
+    with _STARTING:
+        before = {k: conf.get(k, None) for k in own}
+        for k, v in own.items():
+            conf.set(k, v)
+        try:
+            return writer.start()
+        finally:
+            for k, v in before.items():
+                conf.unset(k) if v is None else conf.set(k, v)
 
 
 def _trigger(writer, available_now: bool, processing_time: str | None):
@@ -57,12 +70,13 @@ def start_table(
     processing_time: str | None = None,
     query_name: str | None = None,
     state_partitions: int | None = None,
+    state_store: str | None = None,
 ) -> StreamingQuery:
     writer = df.writeStream.format("parquet").outputMode("append").option("path", path)
     writer = writer.option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
-    return _start(df, _trigger(writer, available_now, processing_time), state_partitions)
+    return _start(df, _trigger(writer, available_now, processing_time), state_partitions, state_store)
 
 
 CHANGELOG_COLUMN = "batch_id"
@@ -102,8 +116,7 @@ def latest_rows(changelog: DataFrame, keys: Sequence[str]) -> DataFrame:
     batches is reduced before the shuffle.
     """
     values = [c for c in changelog.columns if c not in keys and c != CHANGELOG_COLUMN]
-    latest = changelog.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col(CHANGELOG_COLUMN)).alias("_v"))
-    return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
+    return changelog.groupBy(*keys).agg(*[F.max_by(c, CHANGELOG_COLUMN).alias(c) for c in values])
 
 
 def compact_changelog(
@@ -112,24 +125,47 @@ def compact_changelog(
 ) -> str:
     """Fold the changelog into a snapshot of the newest row per key; return its folder.
 
-    The snapshot is written to a new folder ``<snapshot_root>/upto=<n>`` (``n``
-    = highest batch folded in), never over an older one, so readers of the
-    previous snapshot are not disturbed. A folder is handed out only after its
-    write succeeded; a retry after a failed attempt rewrites the same folder. Passing the previous ``snapshot`` folds only the
-    batches after it. Run it from time to time (a batch job next to the
+    The snapshot is written to a new folder ``<snapshot_root>/upto=<n>-<id>``
+    (``n`` = highest batch folded in), never over an older one. Only batches
+    whose write has ended (``_SUCCESS``) are folded, up to the first one that has
+    not, so a batch that is being written stays for the next time. Passing the
+    previous ``snapshot`` folds only the batches after it; without any it is
+    returned as it is. Run it from time to time (a batch job next to the
     stream); the stream keeps appending batches meanwhile.
     """
-    rows = current_rows(spark, path, schema, keys, snapshot)
-    upto = rows.agg(F.max(CHANGELOG_COLUMN)).first()[0]
+    upto = committed_upto(spark, path)
     if upto is None:
-        raise ValueError("the changelog has no batches yet")
-    out = f"{snapshot_root}/upto={upto}"
-    rows.write.mode("overwrite").parquet(out)
+        raise ValueError("the changelog has no finished batches yet")
+    if snapshot is not None and _folded(snapshot) >= upto:
+        return snapshot
+    rows = current_rows(spark, path, schema, keys, snapshot, upto)
+    out = f"{snapshot_root}/upto={upto}-{uuid.uuid4().hex[:8]}"
+    rows.write.parquet(out)
     return out
 
 
+def committed_upto(spark: SparkSession, path: str) -> int | None:
+    """The highest batch below the first one whose folder has no ``_SUCCESS`` marker (a few names per batch are listed)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    upto = None
+    names = [s.getPath() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    prefix = f"{CHANGELOG_COLUMN}="
+    batches = {int(p.getName()[len(prefix) :]): p for p in names if p.getName().startswith(prefix)}
+    for n in sorted(batches):
+        if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(batches[n], "_SUCCESS")):
+            break
+        upto = n
+    return upto
+
+
+def _folded(snapshot: str) -> int:
+    return int(snapshot.rstrip("/").rsplit("upto=", 1)[1].split("-")[0])
+
+
 def current_rows(
-    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], snapshot: str | None = None
+    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], snapshot: str | None = None,
+    upto: int | None = None,
 ) -> DataFrame:
     """Newest row per key, with its ``batch_id``: the snapshot plus the changelog batches after it.
 
@@ -137,13 +173,13 @@ def current_rows(
     follows the batches written since the snapshot, not the whole history.
     """
     log = read_changelog(spark, path, schema)
+    if upto is not None:
+        log = log.where(F.col(CHANGELOG_COLUMN) <= upto)
     if snapshot is not None:
-        upto = int(snapshot.rstrip("/").rsplit("upto=", 1)[1])
         full = T.StructType(list(schema.fields) + [T.StructField(CHANGELOG_COLUMN, T.IntegerType(), True)])
-        log = spark.read.schema(full).parquet(snapshot).unionByName(log.where(F.col(CHANGELOG_COLUMN) > upto))
+        log = spark.read.schema(full).parquet(snapshot).unionByName(log.where(F.col(CHANGELOG_COLUMN) > _folded(snapshot)))
     values = [c for c in log.columns if c not in keys]
-    latest = log.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col(CHANGELOG_COLUMN)).alias("_v"))
-    return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
+    return log.groupBy(*keys).agg(*[F.max_by(c, CHANGELOG_COLUMN).alias(c) for c in values])
 
 
 def start_kafka(

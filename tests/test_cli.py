@@ -8,7 +8,7 @@ from .test_streaming_golden import FILES, _write_inputs
 def test_publish_to_table_once(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     _write_inputs(src, list(FILES.items()))
-    cli.main(["publish", "--source", "json", "--path", src, "--sink", "table", "--out", out, "--once",
+    cli.main(["publish", "--source", "json", "--max-files-per-trigger", "1", "--path", src, "--sink", "table", "--out", out, "--once",
               "--topic-prefix", "me", "--message-time-zone", "UTC"], spark=spark)
     rows = spark.read.parquet(out).collect()
     got = sorted((r.topic, json.loads(r.value)["window"]["start"][11:], json.loads(r.value)["code"]) for r in rows)
@@ -26,7 +26,7 @@ def test_publish_to_table_once(spark, tmp_path):
 def test_averages_changelog_once(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     _write_inputs(src, list(FILES.items()))
-    q = cli.main(["averages", "--source", "json", "--path", src, "--sink", "changelog", "--out", out, "--once"], spark=spark)
+    q = cli.main(["averages", "--source", "json", "--max-files-per-trigger", "1", "--path", src, "--sink", "changelog", "--out", out, "--once"], spark=spark)
     assert q.exception() is None
     assert spark.read.parquet(out).count() == 10  # update-mode rows of the golden run
 
@@ -36,7 +36,7 @@ def test_by_sensor_with_rocksdb_state(spark, tmp_path):
     _write_inputs(src, list(FILES.items()))
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
     try:
-        cli.main(["alerts", "--source", "json", "--path", src, "--sink", "changelog", "--out", out, "--once",
+        cli.main(["alerts", "--source", "json", "--max-files-per-trigger", "1", "--path", src, "--sink", "changelog", "--out", out, "--once",
                   "--by-sensor", "--state-store", "rocksdb"], spark=spark)
     finally:
         if before:
@@ -53,7 +53,7 @@ def test_rules_and_readings_jobs(spark, tmp_path, capsys):
     assert rules.count() == 4
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     _write_inputs(src, list(FILES.items()))
-    cli.main(["readings", "--source", "json", "--path", src, "--sink", "table", "--out", out, "--once"], spark=spark)
+    cli.main(["readings", "--source", "json", "--max-files-per-trigger", "1", "--path", src, "--sink", "table", "--out", out, "--once"], spark=spark)
     rows = spark.read.parquet(out).collect()
     assert len(rows) == sum(len(v) for v in FILES.values())
     assert {r.sensor for r in rows} == {"temperature", "humidity"}
@@ -70,6 +70,6 @@ def test_produce_then_consume_round_trip(spark, tmp_path):
     # the produced values are what the stream jobs decode
     msgs.select("value").write.text(json_dir)
     avg_out = str(tmp_path / "avg")
-    cli.main(["averages", "--source", "json", "--path", json_dir, "--sink", "changelog", "--out", avg_out, "--once",
+    cli.main(["averages", "--source", "json", "--max-files-per-trigger", "1", "--path", json_dir, "--sink", "changelog", "--out", avg_out, "--once",
               "--max-files-per-trigger", "100"], spark=spark)
     assert spark.read.parquet(avg_out).count() == 1975  # every window of sf0.001 (FIXTURES section 2)

@@ -31,3 +31,9 @@ def test_from_env(monkeypatch):
     monkeypatch.delenv("X_BOOTSTRAP_SERVERS")
     with pytest.raises(KeyError):
         KafkaSettings.from_env("X_")
+
+
+def test_login_is_escaped_and_hidden():
+    k = KafkaSettings("h:1", username='u"x', password="ab\\")
+    assert k.options()["kafka.sasl.jaas.config"].endswith('username="u\\"x" password="ab\\\\";')
+    assert "ab" not in repr(k)

@@ -21,7 +21,7 @@ avg = st.one_of(st.none(), st.floats(-60, 160, allow_nan=False))
 
 def _fired(spark, avgs, rules, strategy):
     adf = spark.createDataFrame([((None, None), t, h, i) for i, (t, h) in enumerate(avgs)], AVG_SCHEMA)
-    rdf = spark.createDataFrame([(i, *r, 100 + i, f"r{i}") for i, r in enumerate(rules)], RULE_SCHEMA)
+    rdf = spark.createDataFrame([(i, *[None if b is None else float(b) for b in r], 100 + i, f"r{i}") for i, r in enumerate(rules)], RULE_SCHEMA)
     return {(r.id, r.n) for r in match_rules(adf, rdf, AlertSettings(rule_bins=4), strategy=strategy).collect()}
 
 

@@ -17,6 +17,7 @@ def _averages(spark, pairs):
 
 
 def _rules(spark, rows):
+    rows = [(r[0], *[None if b is None else float(b) for b in r[1:5]], *r[5:]) for r in rows]
     return spark.createDataFrame(rows, RULE_SCHEMA)
 
 
@@ -34,11 +35,29 @@ def test_read_rules_explicit_and_inferred(spark):
     ]
 
 
-def test_bad_cell_gives_null_bound_not_type_change(spark, tmp_path):
+def test_fractional_bound_fires(spark, tmp_path):
     p = tmp_path / "rules.csv"
     p.write_text("id,humidity_min,humidity_max,temperature_min,temperature_max,code,message\n1,0,40.5,-999,-999,101,dry\n")
     r = read_rules(spark, str(p)).first()
-    assert r.humidity_max is None and r.humidity_min == 0
+    assert r.humidity_max == 40.5 and r.humidity_min == 0
+    hits = match_rules(_averages(spark, [(20.0, 40.25), (20.0, 40.75)]), read_rules(spark, str(p))).collect()
+    assert [h.avg_humidity for h in hits] == [40.25]
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    p = tmp_path / "rules.csv"
+    p.write_text("message,code,temperature_max,temperature_min,humidity_max,humidity_min,id,note\ncold,103,30,-300,-999,,3,x\n")
+    assert tuple(read_rules(spark, str(p)).first()) == (3, None, -999.0, -300.0, 30.0, 103, "cold")
+
+
+def test_missing_column_and_bad_cell_fail(spark, tmp_path):
+    p = tmp_path / "rules.csv"
+    p.write_text("id,humidity_min,humidity_max,temperature_min,code,message\n1,0,40,-999,101,dry\n")
+    with pytest.raises(ValueError, match="temperature_max"):
+        read_rules(spark, str(p))
+    p.write_text("id,humidity_min,humidity_max,temperature_min,temperature_max,code,message\n1,low,40,-999,-999,101,dry\n")
+    with pytest.raises(Exception, match="humidity_min is not a number"):
+        read_rules(spark, str(p)).collect()
 
 
 @pytest.mark.parametrize("strategy", ["broadcast", "binned"])

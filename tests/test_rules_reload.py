@@ -31,7 +31,7 @@ def test_replaced_rules_file_reaches_next_batch(spark, tmp_path, settings):
     inp = str(tmp_path / "in")
     os.makedirs(inp)
     now = time.time() - 100
-    readings = jobs.json_file_readings(spark, inp)
+    readings = jobs.json_file_readings(spark, inp, 1)
     alerts = jobs.alerts_stream(readings, read_rules(spark, rules_path), settings)
     base = run_dir(spark, "rules_reload")
     q = sinks.start_changelog(alerts, f"{base}/log", f"{base}/ckpt", "update", available_now=False, processing_time="1 second")

@@ -15,7 +15,7 @@ from .test_streaming_golden import FILES, _write_inputs
 def test_console_sink_runs(spark, tmp_path):
     src = str(tmp_path / "in")
     _write_inputs(src, list(FILES.items())[:1])
-    q = sinks.start_console(jobs.averages_stream(jobs.json_file_readings(spark, src), DEFAULT), run_dir(spark, "console"))
+    q = sinks.start_console(jobs.averages_stream(jobs.json_file_readings(spark, src, 1), DEFAULT), run_dir(spark, "console"))
     q.awaitTermination()
     assert q.exception() is None and q.lastProgress["numInputRows"] == 0  # last batch: the eviction batch
 
@@ -23,7 +23,7 @@ def test_console_sink_runs(spark, tmp_path):
 def test_kafka_sink_needs_the_connector(spark, tmp_path):
     src = str(tmp_path / "in")
     _write_inputs(src, list(FILES.items())[:1])
-    alerts = jobs.alerts_stream(jobs.json_file_readings(spark, src), read_rules(spark), DEFAULT)
+    alerts = jobs.alerts_stream(jobs.json_file_readings(spark, src, 1), read_rules(spark), DEFAULT)
     messages = alert_messages(alerts)
     assert messages.columns == ["topic", "value"]
     with pytest.raises(Exception, match="(?i)kafka"):

@@ -47,7 +47,7 @@ def _run(spark, df, mode, name):
 def _readings(spark, tmp_path, groups):
     src = str(tmp_path / "in")
     _write_inputs(src, groups)
-    return jobs.json_file_readings(spark, src)
+    return jobs.json_file_readings(spark, src, 1)
 
 
 @pytest.fixture()
@@ -156,7 +156,7 @@ def test_one_batch_nothing_is_late(spark, tmp_path):
 def test_compacted_changelog_equals_full_history(spark, tmp_path):
     src = str(tmp_path / "in")
     _write_inputs(src, list(FILES.items())[:2])
-    readings = jobs.json_file_readings(spark, src)
+    readings = jobs.json_file_readings(spark, src, 1)
     averages = jobs.averages_stream(readings, DEFAULT)
     base = run_dir(spark, "golden_compact")
     sinks.start_changelog(averages, f"{base}/log", f"{base}/ckpt").awaitTermination()
@@ -167,7 +167,7 @@ def test_compacted_changelog_equals_full_history(spark, tmp_path):
         for off, sensor, value in FILES["c"]:
             fh.write(json.dumps({"timestamp": BASE + off, "id": 1, "sensor": sensor, "value": value}) + "\n")
     os.utime(os.path.join(src, "c.json"), (now, now))
-    readings = jobs.json_file_readings(spark, src)
+    readings = jobs.json_file_readings(spark, src, 1)
     averages = jobs.averages_stream(readings, DEFAULT)
     sinks.start_changelog(averages, f"{base}/log", f"{base}/ckpt").awaitTermination()
     log = sinks.read_changelog(spark, f"{base}/log", averages.schema)
