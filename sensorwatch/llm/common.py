@@ -135,7 +135,20 @@ def cut(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = CHUNK_B
         pa.default_memory_pool().release_unused()  # worker processes outlive their tasks
 
 
+#: Limits of an Arrow batch between Spark and a Python worker; texts can be long.
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with small batches: the session's limits are lowered to ours if they are higher.
+
+    They are read when the query runs, so they stay as they are set here.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) == "67108864b":  # Spark's default
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(fn, schema)
 
 

@@ -137,11 +137,14 @@ def with_metrics(docs: DataFrame, text: str = "text", into: str = "metrics", kee
     kept = docs.columns if keep is None else keep
     hidden = free_name([*kept, into], "_text")
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(into, METRICS_TYPE, False)])
-    source = docs.select(*map(quoted, kept), text_column(text).cast("binary").alias(hidden))
+    # a text that is kept goes to Python once
+    once = text in kept and isinstance(docs.schema[text].dataType, T.StringType)
+    source = docs.select(*map(quoted, kept), *([] if once else [text_column(text).cast("binary").alias(hidden)]))
+    hidden = text if once else hidden
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in cut(batches, hidden):
-            counts = text_metrics(batch.column(hidden).to_pylist())
+            counts = text_metrics(batch.column(hidden).cast(pa.binary()).fill_null(b"").to_pylist())
             struct = pa.StructArray.from_arrays([pa.array(c) for c in counts], names=_COUNTS)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], struct], names=[*kept, into])
 
