@@ -57,12 +57,8 @@ class AlertSettings:
     measures: tuple[str, ...] = (SENSOR_TEMPERATURE, SENSOR_HUMIDITY)
     temperature_codes: tuple[int, ...] = TEMPERATURE_CODES
     topics: Topics = field(default_factory=Topics)
-    # Rules tables up to this many rows are broadcast and every window is
-    # tested against each of them (nested loop: windows x rules comparisons);
-    # larger ones go through the binned equi-join (operators.rule_join).
-    max_broadcast_rules: int = 1_024
-    # Bins per measure axis in the binned rule join.
-    rule_bins: int = 64
+    # Quantiles of the rules' bounds at which the rule join cuts a measure axis.
+    rule_bins: int = 32
     # Time zone of the text timestamps in alert messages; None = session zone.
     message_time_zone: str | None = None
 

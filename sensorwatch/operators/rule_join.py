@@ -1,20 +1,23 @@
 """Match window averages against alert rules (a range join).
 
 A rule fires for a window when every used bound holds (section 1.4.6-7 of the
-survey). Two physical strategies, chosen by the size of the rules table:
-
-* **broadcast** (rules table at most ``max_broadcast_rules`` rows, counted
-  with a bounded ``limit(n + 1).count()``): the rules are broadcast and each
-  window is tested against them in a ``BroadcastNestedLoopJoin`` with the rule
-  predicate as join condition. The windows are never shuffled or broadcast.
-* **binned equi-join** (larger rules tables): each measure axis is cut into
-  ``rule_bins`` bins over the span of the rules' used bounds (values outside
-  fall into the edge bins; NULL averages into bin -1). Every rule is listed
-  once per bin of the one axis on which it covers the fewest bins; every
-  window once per axis, in the bin of its average. The two meet in a shuffled
-  equi-join on ``(axis, bin)``, and the full predicate is applied as a residual
-  condition, so the result is exact. No pair of rows is formed unless the
-  window's bin lies inside the rule's range on the rule's chosen axis.
+survey). One form for rules tables of any size, in batch and in streams: an
+equi-join on cells of the measure axes, with the exact predicate as residual.
+
+* Each axis is cut at quantiles of the rules' used bounds (``rule_bins`` of
+  them, so a rule with far-off bounds does not stretch the others' cells). A
+  cut value is a cell of its own, the open range between two cuts another: a
+  bound that is a cut costs no false candidates.
+* A rule is listed on one axis only, among those it bounds the one of which it
+  covers the smallest share, once for each cell it covers. A rule without any
+  used bound is listed on an axis of its own that holds every window.
+* A window is listed once for each axis that some rule is listed on, and only
+  where its average is not NULL (a used bound fails on NULL).
+
+No hint is given: Spark broadcasts the listed rules while its statistics put
+them below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides
+beyond. The statistics do not count the listing, which multiplies a rule by at
+most ``2 * rule_bins + 3`` cells.
 """
 
 from __future__ import annotations
@@ -28,129 +31,104 @@ from ..config import DEFAULT, AlertSettings
 from ..functions.predicates import rule_predicate
 from ..sources.rules import RULE_COLUMNS
 
+_CELL = ["_axis", "_cell"]
 
-def _rule_columns(rules: DataFrame) -> list[str]:
-    return [c for c in rules.columns if not c.startswith("_")]
 
+def match_rules(averages: DataFrame, rules: DataFrame, settings: AlertSettings = DEFAULT) -> DataFrame:
+    """Window averages x rules -> one row per (rule, window) where the rule fires.
 
-def _ordered(joined: DataFrame, rule_cols: list[str], avg_cols: list[str]) -> DataFrame:
-    # rule columns first, then the window columns (the rules are the left side
-    # of the original cross join)
-    return joined.select(*[F.col(c) for c in rule_cols], *[F.col(c) for c in avg_cols])
+    Columns: the rule columns (``id, humidity_min, …, code, message`` and any
+    others), then the columns of ``averages`` (``window``, optional
+    ``sensor_id``, ``avg_*``). ``averages`` may be a stream (stream-static
+    join): the cuts are those of the rules at its start, and rules that change
+    later still match exactly, as cells keep the order of the values.
+    """
+    candidates = rule_candidates(averages, rules, settings)
+    fired = candidates.where(rule_predicate(settings.measures, settings.unused_bound))
+    return fired.select(*rules.columns, *averages.columns)
 
 
-def broadcast_rules_fit(rules: DataFrame, settings: AlertSettings = DEFAULT) -> bool:
-    """True when the rules table has at most ``max_broadcast_rules`` rows (reads at most that many + 1)."""
-    limit = settings.max_broadcast_rules
-    if limit <= 0:
-        return False
-    return rules.limit(limit + 1).count() <= limit
+def rule_candidates(averages: DataFrame, rules: DataFrame, settings: AlertSettings = DEFAULT) -> DataFrame:
+    """The (rule, window) pairs that share a cell, before the predicate; each pair at most once."""
+    for name in _CELL:
+        if name in averages.columns or name in rules.columns:
+            raise ValueError(f"column {name} is used by the rule join")
+    measures = settings.measures
+    # a rule with a blank bound never fires
+    live = rules.where(reduce(lambda a, b: a & b, [F.col(f"{m}_{e}").isNotNull() for m in measures for e in ("min", "max")]))
+    cuts = _cuts(live, settings)
+    # the rules of a running stream may change, so none of its axes is left out
+    axes = range(len(measures) + 1) if averages.isStreaming or not cuts else sorted(cuts)
+    windows = _list_windows(averages, cuts, axes, measures)
+    return windows.join(_list_rules(live, cuts, settings), on=_CELL, how="inner")
 
 
-def match_rules(
-    averages: DataFrame,
-    rules: DataFrame,
-    settings: AlertSettings = DEFAULT,
-    strategy: str | None = None,
-    rules_rows: int | None = None,
-) -> DataFrame:
-    """Window averages x rules -> one row per (rule, window) where the rule fires.
+def _bounds(m: str, unused: int) -> list[Column]:
+    """The used bounds of a rule on an axis, NULL where unused."""
+    return [F.when(F.col(f"{m}_{e}") != unused, F.col(f"{m}_{e}").cast("double")) for e in ("min", "max")]
 
-    Columns: the rule columns (``id, humidity_min, …, code, message``), then the
-    columns of ``averages`` (``window``, optional ``sensor_id``, ``avg_*``).
-    ``strategy`` forces ``"broadcast"`` or ``"binned"``; by default the size
-    check picks one, skipped when the caller knows the exact ``rules_rows``.
-    ``averages`` may be a stream (stream-static join).
+
+def _cuts(live: DataFrame, settings: AlertSettings) -> dict[int, list[float]]:
+    """Ascending cuts per axis that a rule bounds; the axis after the last measure stands for rules without bounds.
+
+    One small aggregate job on the rules; at most ``rule_bins + 1`` numbers an axis come to the driver.
     """
-    rule_cols = _rule_columns(rules)
-    avg_cols = list(averages.columns)
-    if strategy is None:
-        if rules_rows is not None:
-            fits = 0 < settings.max_broadcast_rules and rules_rows <= settings.max_broadcast_rules
-        else:
-            fits = broadcast_rules_fit(rules, settings)
-        strategy = "broadcast" if fits else "binned"
-    cond = rule_predicate(settings.measures, settings.unused_bound)
-    if strategy == "broadcast":
-        joined = averages.join(F.broadcast(rules), on=cond, how="inner")
-        return _ordered(joined, rule_cols, avg_cols)
-    if strategy == "binned":
-        return _binned_join(averages, rules, settings, rule_cols, avg_cols, cond)
-    raise ValueError(f"unknown strategy {strategy!r}")
-
-
-def _bin(v: Column, lo: float | None, width: float, nbins: int) -> Column:
-    if lo is None:
-        b = F.lit(0)
-    else:
-        b = F.least(F.greatest(F.floor((v - F.lit(lo)) / F.lit(width)), F.lit(0)), F.lit(nbins - 1))
-    return F.when(v.isNull(), F.lit(-1)).otherwise(b.cast("int"))
-
-
-def _binned_join(
-    averages: DataFrame,
-    rules: DataFrame,
-    settings: AlertSettings,
-    rule_cols: list[str],
-    avg_cols: list[str],
-    cond: Column,
-) -> DataFrame:
-    unused, nbins, measures = settings.unused_bound, settings.rule_bins, settings.measures
-    bounds = [F.col(f"{m}_{e}") for m in measures for e in ("min", "max")]
-    # a rule with a blank bound never fires
-    live = rules.where(~reduce(lambda a, b: a | b, [b.isNull() for b in bounds]))
-
-    # grid: span of the used bounds per axis (one aggregate row)
-    stats_cols = []
-    for m in measures:
-        used = [F.when(F.col(f"{m}_{e}") != unused, F.col(f"{m}_{e}")) for e in ("min", "max")]
-        stats_cols += [F.least(*[F.min(u) for u in used]).alias(f"lo_{m}"), F.greatest(*[F.max(u) for u in used]).alias(f"hi_{m}")]
-    stats = live.agg(*stats_cols).first()
-    grid = {}
-    for m in measures:
-        lo, hi = stats[f"lo_{m}"], stats[f"hi_{m}"]
-        if lo is None:  # no rule uses a bound on this axis: one bin
-            grid[m] = (None, 1.0, 1)
-        else:
-            lo, hi = float(lo), float(hi)
-            grid[m] = (lo, (hi - lo) / nbins if hi > lo else 1.0, nbins)
+    n = settings.rule_bins
+    used = [b for m in settings.measures for b in _bounds(m, settings.unused_bound)]
+    points = [F.struct(F.lit(i // 2).alias("axis"), b.alias("at")) for i, b in enumerate(used)]
+    unbounded = F.when(reduce(lambda a, b: a & b, [b.isNull() for b in used]), F.lit(0.0))
+    points.append(F.struct(F.lit(len(settings.measures)).alias("axis"), unbounded.alias("at")))
+    rows = (
+        live.select(F.explode(F.array(*points)).alias("p"))
+        .where("p.at IS NOT NULL")
+        .groupBy("p.axis")
+        .agg(F.percentile_approx("p.at", [k / n for k in range(n + 1)], 10_000).alias("at"))
+        .collect()
+    )
+    return {r["axis"]: sorted(set(r["at"])) for r in rows}
+
+
+def _cell_sql(value: str, cuts: list[float]) -> str:
+    """The cell of a value: ``2 i`` between the cuts ``i - 1`` and ``i``, ``2 i + 1`` on cut ``i``."""
+    if not cuts:
+        return "0"
+    array = "array(" + ", ".join(f"CAST('{c!r}' AS DOUBLE)" for c in cuts) + ")"
+    # a lambda over one constant array keeps the generated code small
+    return f"(2 * size(filter({array}, c -> c < {value})) + IF(array_contains({array}, CAST({value} AS DOUBLE)), 1, 0))"
 
-    # per rule and axis: the bin range it covers; keep the narrowest axis
-    spans = []
+
+def _list_rules(live: DataFrame, cuts: dict[int, list[float]], settings: AlertSettings) -> DataFrame:
+    measures, unused = settings.measures, settings.unused_bound
+    covers = []
     for i, m in enumerate(measures):
-        mn, mx = F.col(f"{m}_min"), F.col(f"{m}_max")
-        n = grid[m][2]
-        first = F.when(mn == unused, F.when(mx == unused, F.lit(-1)).otherwise(F.lit(0))).otherwise(_bin(mn, *grid[m]))
-        last = F.when(mx == unused, F.lit(n - 1)).otherwise(_bin(mx, *grid[m]))
-        spans.append(
-            F.struct((last - first + 1).alias("cost"), F.lit(i).alias("axis"), first.alias("first"), last.alias("last"))
-        )
-    best = F.array_min(F.array(*spans)) if len(spans) > 1 else spans[0]
-    rule_bins = (
-        live.withColumn("_best", best)
-        .where(F.col("_best.first") <= F.col("_best.last"))
-        .select(
-            *[F.col(c) for c in rule_cols],
-            F.col("_best.axis").alias("_axis"),
-            F.explode(F.sequence(F.col("_best.first"), F.col("_best.last"))).alias("_bin"),
-        )
+        own = cuts.get(i, [])
+        last_cell = 2 * len(own)
+        first = f"CASE WHEN `{m}_min` = {unused} THEN 0 ELSE {_cell_sql(f'`{m}_min`', own)} END"
+        last = f"CASE WHEN `{m}_max` = {unused} THEN {last_cell} ELSE {_cell_sql(f'`{m}_max`', own)} END"
+        cover = f"named_struct('share', (({last}) - ({first}) + 1) / {last_cell + 1}D, 'axis', {i}, 'first', {first}, 'last', {last})"
+        covers.append(f"IF(`{m}_min` = {unused} AND `{m}_max` = {unused}, NULL, {cover})")
+    every = f"named_struct('share', 1D, 'axis', {len(measures)}, 'first', 0, 'last', 0)"
+    # array_min leaves out the axes that the rule does not bound
+    best = F.expr(f"coalesce(array_min(array({', '.join(covers)})), {every})")
+    return (
+        live.select(*live.columns, best.alias("_axis"))
+        .where("_axis.first <= _axis.last")
+        .select(*live.columns, F.col("_axis.axis").alias("_axis"), F.explode(F.expr("sequence(_axis.first, _axis.last)")).alias("_cell"))
     )
 
-    # per window: its bin on every axis
-    window_bins = averages.select(
-        "*",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("axis"), _bin(F.col(f"avg_{m}"), *grid[m]).alias("bin"))
-                    for i, m in enumerate(measures)
-                ]
-            )
-        ).alias("_wb"),
-    ).select(*[F.col(c) for c in avg_cols], F.col("_wb.axis").alias("_axis"), F.col("_wb.bin").alias("_bin"))
 
-    joined = window_bins.join(rule_bins, on=["_axis", "_bin"], how="inner").where(cond)
-    return _ordered(joined, rule_cols, avg_cols)
+def _list_windows(averages: DataFrame, cuts: dict[int, list[float]], axes, measures) -> DataFrame:
+    cells = []
+    for i in axes:
+        if i == len(measures):
+            cells.append(f"named_struct('axis', {i}, 'cell', 0)")
+        else:
+            avg = f"`avg_{measures[i]}`"
+            cells.append(f"named_struct('axis', {i}, 'cell', IF({avg} IS NULL, NULL, {_cell_sql(avg, cuts.get(i, []))}))")
+    listed = averages.select(*averages.columns, F.explode(F.expr(f"array({', '.join(cells)})")).alias("_cell"))
+    return listed.where("_cell.cell IS NOT NULL").select(
+        *averages.columns, F.col("_cell.axis").alias("_axis"), F.col("_cell.cell").alias("_cell")
+    )
 
 
-__all__ = ["RULE_COLUMNS", "broadcast_rules_fit", "match_rules"]
+__all__ = ["RULE_COLUMNS", "match_rules", "rule_candidates"]

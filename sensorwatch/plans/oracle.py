@@ -1,74 +1,63 @@
 """DuckDB SQL equal in result to each query of ``plans.queries``.
 
-Run against the test tables registered as views (``events`` …). The rules
-are inlined as a ``VALUES`` list read from the same CSV file the Spark
-queries read. Sliding windows are built the usual SQL way: floor the time to
+Run against the test tables registered as views (``events`` …). Durations,
+codes, ranges, topics and rules are stated here once more, by hand, so that a
+wrong constant of the package shows. Sliding windows are built the usual SQL way: floor the time to
 the slide and list the ``window / slide`` window starts that contain it.
 """
 
 from __future__ import annotations
 
-import csv
 import math
 
-from ..config import DEFAULT, HOURLY, HUMIDITY_RANGE, TEMPERATURE_RANGE, AlertSettings
-from ..functions.timecols import duration_micros
-from ..sources.events import HUMIDITY_EVENT_TYPES, OTHER_SENSOR, TEMPERATURE_EVENT_TYPES
-from ..sources.rules import RULE_COLUMNS, default_rules_path
-from .queries import LATE_BATCH_SECONDS, LATE_DELAY_UNIT_SECONDS, PINNED_SENT_AT
-
-
-def _sql_list(items) -> str:
-    return ", ".join(f"'{i}'" for i in items)
+# (window, slide) in microseconds
+MINUTE = (60_000_000, 30_000_000)
+HOUR = (3_600_000_000, 1_800_000_000)
+TEN_DAYS = (864_000_000_000, 432_000_000_000)
+WATERMARK = 10_000_000
+MEASURES = ("temperature", "humidity")
+RULE_COLUMNS = ("id", "humidity_min", "humidity_max", "temperature_min", "temperature_max", "code", "message")
 
 
 def _readings_cte(truncate: bool = True) -> str:
     t = "date_trunc('second', ts)" if truncate else "ts"
-    (tlo, thi), (hlo, hhi) = TEMPERATURE_RANGE, HUMIDITY_RANGE
     return f"""
 readings0 AS (
   SELECT {t} AS t,
          CAST(user_id AS INTEGER) AS id,
-         CASE WHEN event_type IN ({_sql_list(TEMPERATURE_EVENT_TYPES)}) THEN 'temperature'
-              WHEN event_type IN ({_sql_list(HUMIDITY_EVENT_TYPES)}) THEN 'humidity'
-              ELSE '{OTHER_SENSOR}' END AS sensor,
+         CASE WHEN event_type IN ('click', 'view') THEN 'temperature'
+              WHEN event_type IN ('purchase', 'signup') THEN 'humidity'
+              ELSE 'other' END AS sensor,
          CAST(floor(value) AS BIGINT) AS v
   FROM events
 ),
 readings AS (
   SELECT t, id, sensor,
-         CAST(CASE sensor WHEN 'temperature' THEN {tlo} + v % {thi - tlo + 1}
-                          WHEN 'humidity' THEN {hlo} + v % {hhi - hlo + 1}
+         CAST(CASE sensor WHEN 'temperature' THEN 25 + v % 21
+                          WHEN 'humidity' THEN 15 + v % 71
                           ELSE v END AS INTEGER) AS value
   FROM readings0
 )"""
 
 
 def _rules_cte() -> str:
-    def lit(v: str, col: str) -> str:
-        if v == "":
-            return "NULL"
-        if col == "message":
-            return "'" + v.replace("'", "''") + "'"
-        return str(int(v)) if col in ("id", "code") else f"CAST({v} AS DOUBLE)"
-
-    with open(default_rules_path(), newline="") as fh:
-        rows = list(csv.DictReader(fh))
-    values = ",\n    ".join("(" + ", ".join(lit(r[c], c) for c in RULE_COLUMNS) + ")" for r in rows)
     return f"""
 rules({", ".join(RULE_COLUMNS)}) AS (
   VALUES
-    {values}
+    (1, 0e0, 40e0, -999e0, -999e0, 101, 'It''s too dry'),
+    (2, 60e0, 100e0, -999e0, -999e0, 102, 'It''s too wet'),
+    (3, -999e0, -999e0, -300e0, 30e0, 103, 'It''s too cold'),
+    (4, -999e0, -999e0, 40e0, 300e0, 104, 'It''s too hot')
 )"""
 
 
-def _windows_cte(settings: AlertSettings, by_sensor: bool) -> str:
-    length, slide = duration_micros(settings.window), duration_micros(settings.slide)
+def _windows_cte(size: tuple[int, int], by_sensor: bool) -> str:
+    length, slide = size
     n = math.ceil(length / slide)
     key = ", id AS sensor_id" if by_sensor else ""
     group = ", id" if by_sensor else ""
     avgs = ",\n         ".join(
-        f"avg(CASE WHEN sensor = '{m}' THEN value END) AS avg_{m}" for m in settings.measures
+        f"avg(CASE WHEN sensor = '{m}' THEN value END) AS avg_{m}" for m in MEASURES
     )
     return f"""
 expanded AS (
@@ -85,39 +74,36 @@ averages AS (
 )"""
 
 
-def _predicate(settings: AlertSettings) -> str:
-    u = settings.unused_bound
+def _predicate() -> str:
     parts = []
-    for m in settings.measures:
-        parts.append(f"({m}_min = {u} OR avg_{m} >= {m}_min)")
-        parts.append(f"({m}_max = {u} OR avg_{m} <= {m}_max)")
+    for m in MEASURES:
+        parts.append(f"({m}_min = -999 OR avg_{m} >= {m}_min)")
+        parts.append(f"({m}_max = -999 OR avg_{m} <= {m}_max)")
     return " AND ".join(parts)
 
 
-def _alerts_cte(settings: AlertSettings, by_sensor: bool) -> str:
+def _alerts_cte(by_sensor: bool) -> str:
     key = "a.sensor_id, " if by_sensor else ""
     rule_cols = ", ".join(f"r.{c}" for c in RULE_COLUMNS)
-    avgs = ", ".join(f"a.avg_{m}" for m in settings.measures)
+    avgs = ", ".join(f"a.avg_{m}" for m in MEASURES)
     return f"""
 alerts AS (
   SELECT {rule_cols}, a.window_start, a.window_end, {key}{avgs}
-  FROM rules r JOIN averages a ON {_predicate(settings)}
+  FROM rules r JOIN averages a ON {_predicate()}
 )"""
 
 
-def window_avg_sql(settings: AlertSettings = DEFAULT, by_sensor: bool = False) -> str:
-    return f"WITH {_readings_cte()},{_windows_cte(settings, by_sensor)}\nSELECT * FROM averages"
+def window_avg_sql(size: tuple[int, int] = MINUTE, by_sensor: bool = False) -> str:
+    return f"WITH {_readings_cte()},{_windows_cte(size, by_sensor)}\nSELECT * FROM averages"
 
 
-def alerts_sql(settings: AlertSettings = DEFAULT, by_sensor: bool = False, where: str = "") -> str:
-    ctes = f"{_readings_cte()},{_windows_cte(settings, by_sensor)},{_rules_cte()},{_alerts_cte(settings, by_sensor)}"
+def alerts_sql(size: tuple[int, int] = MINUTE, by_sensor: bool = False, where: str = "") -> str:
+    ctes = f"{_readings_cte()},{_windows_cte(size, by_sensor)},{_rules_cte()},{_alerts_cte(by_sensor)}"
     return f"WITH {ctes}\nSELECT * FROM alerts {where}"
 
 
-def _topic_case(settings: AlertSettings = DEFAULT) -> str:
-    codes = ", ".join(str(c) for c in settings.temperature_codes)
-    t = settings.topics
-    return f"CASE WHEN code IN ({codes}) THEN '{t.temperature_alerts}' ELSE '{t.humidity_alerts}' END"
+def _topic_case() -> str:
+    return "CASE WHEN code IN (103, 104) THEN 'temperature_alerts' ELSE 'humidity_alerts' END"
 
 
 def alert_routing_sql() -> str:
@@ -137,7 +123,7 @@ def alert_messages_sql() -> str:
         """'{"window":{"start":"' || """ + iso("window_start") + """ || '","end":"' || """ + iso("window_end")
         + """ || '"},"t_avg":' || """ + num("avg_temperature") + """ || ',"h_avg":' || """ + num("avg_humidity")
         + """ || ',"code":' || """ + num("code") + """ || ',"message":"' || message || '","timestamp":"""
-        + f'"{PINNED_SENT_AT}"' + """}'"""
+        + '"2025-03-04T05:06:07.089012"' + """}'"""
     )
     return alerts_sql().replace("SELECT * FROM alerts", f"SELECT {_topic_case()} AS topic, {value} AS value FROM alerts")
 
@@ -159,15 +145,14 @@ def encode_readings_sql() -> str:
         """'{"timestamp":' || """ + seconds + """ || ',"id":' || """ + num("id")
         + """ || ',"sensor":"' || sensor || '","value":' || """ + num("value") + """ || '}'"""
     )
-    return f"WITH {_readings_cte(truncate=False)}\nSELECT '{DEFAULT.topics.readings}' AS topic, {value} AS value FROM readings"
+    return f"WITH {_readings_cte(truncate=False)}\nSELECT 'building_sensors' AS topic, {value} AS value, 38 AS key_length, true AS key_quoted FROM readings"
 
 
 def stream_alerts_append_sql(by_sensor: bool = False) -> str:
     # append mode emits a window once the watermark (max event time - delay) reaches its end
-    delay = duration_micros(DEFAULT.watermark)
     where = (
         "WHERE epoch_us(window_end) <= "
-        f"(SELECT max(epoch_us(t)) FROM readings) - {delay}"
+        f"(SELECT max(epoch_us(t)) FROM readings) - {WATERMARK}"
     )
     return alerts_sql(by_sensor=by_sensor, where=where)
 
@@ -176,13 +161,12 @@ def stream_late_data_sql() -> str:
     # per delivery period: the watermark in force is the newest event time of
     # all earlier periods minus the delay; a (reading, window) pair is late when
     # the window ends at or before it
-    length, slide = duration_micros(DEFAULT.window), duration_micros(DEFAULT.slide)
+    length, slide = MINUTE
     n = math.ceil(length / slide)
-    delay = duration_micros(DEFAULT.watermark)
-    avgs = ",\n         ".join(f"avg(CASE WHEN sensor = '{m}' THEN value END) AS avg_{m}" for m in DEFAULT.measures)
+    avgs = ",\n         ".join(f"avg(CASE WHEN sensor = '{m}' THEN value END) AS avg_{m}" for m in MEASURES)
     arrival = (
-        f"floor(CAST(epoch_us(ts) + CAST(floor(coalesce(value, 0)) AS BIGINT) * {LATE_DELAY_UNIT_SECONDS * 1_000_000} AS DOUBLE)"
-        f" / CAST({LATE_BATCH_SECONDS * 1_000_000} AS DOUBLE))"
+        f"floor(CAST(epoch_us(ts) + CAST(floor(coalesce(value, 0)) AS BIGINT) * 60000000 AS DOUBLE)"
+        f" / CAST(432000000000 AS DOUBLE))"
     )
     readings = _readings_cte().replace("FROM events\n", f", {arrival} AS period\n  FROM events\n").replace(
         "SELECT t, id, sensor,", "SELECT t, id, sensor, period,"
@@ -190,7 +174,7 @@ def stream_late_data_sql() -> str:
     return f"""WITH {readings},
 periods AS (SELECT period, max(epoch_us(t)) AS newest FROM readings GROUP BY period),
 marks AS (
-  SELECT period, max(newest) OVER (ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {delay} AS wm
+  SELECT period, max(newest) OVER (ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {WATERMARK} AS wm
   FROM periods
 ),
 expanded AS (
@@ -205,21 +189,62 @@ WHERE ws + {length} > tu AND (wm IS NULL OR ws + {length} > wm)
 GROUP BY ws"""
 
 
+def stream_alerts_emitted_sql() -> str:
+    # one run per 5 days of event time, in order: a run emits the windows of the sensors it has
+    # readings for, with the sums over this and all earlier runs
+    length, slide = TEN_DAYS
+    sums = ", ".join(f"sum(CASE WHEN sensor = '{m}' THEN value END) AS s_{m}, count(CASE WHEN sensor = '{m}' THEN value END) AS n_{m}" for m in MEASURES)
+    avgs = ", ".join(f"CASE WHEN sum(n_{m}) OVER w > 0 THEN CAST(sum(s_{m}) OVER w AS DOUBLE) / sum(n_{m}) OVER w END AS avg_{m}" for m in MEASURES)
+    return f"""WITH {_readings_cte()},
+runs AS (SELECT t, epoch_us(t) // 432000000000 AS period, id, sensor, value FROM readings WHERE t IS NOT NULL),
+numbered AS (SELECT *, CAST(dense_rank() OVER (ORDER BY period) - 1 AS INTEGER) AS emission FROM runs),
+cells AS (
+  SELECT (epoch_us(t) // {slide}) * {slide} - g.k * {slide} AS ws, id, emission, {sums}
+  FROM numbered CROSS JOIN range(2) AS g(k)
+  GROUP BY ALL
+),
+emitted AS (
+  SELECT make_timestamp(ws) AS window_start, make_timestamp(ws + {length}) AS window_end, id AS sensor_id, emission, {avgs}
+  FROM cells WINDOW w AS (PARTITION BY ws, id ORDER BY emission ROWS UNBOUNDED PRECEDING)
+),{_rules_cte()}
+SELECT window_start, window_end, sensor_id, r.id, r.code, avg_temperature, avg_humidity, emission
+FROM rules r JOIN emitted ON {_predicate()}"""
+
+
+def supplier_rule_hits_sql() -> str:
+    return f"""WITH {_readings_cte()},{_windows_cte(MINUTE, False)},
+rules AS (
+  SELECT CAST(s_suppkey AS INTEGER) AS id, 100 + s_nationkey AS code,
+         CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 15 + s_suppkey * 13 % 71 END AS h_lo,
+         CASE WHEN s_suppkey % 3 = 0 THEN NULL WHEN s_suppkey % 10 = 7 THEN 1000000 ELSE 18.5 + s_suppkey * 13 % 71 END AS h_hi,
+         CASE WHEN s_suppkey % 3 = 1 OR s_suppkey % 50 = 0 THEN NULL ELSE 25 + s_suppkey * 7 % 21 END AS t_lo,
+         CASE WHEN s_suppkey % 3 = 1 OR s_suppkey % 50 = 0 THEN NULL ELSE 26.5 + s_suppkey * 7 % 21 END AS t_hi
+  FROM supplier
+)
+SELECT id, code, count(*) AS n_windows, min(window_start) AS first_start, max(window_start) AS last_start
+FROM rules JOIN averages
+  ON (h_lo IS NULL OR avg_humidity >= h_lo) AND (h_hi IS NULL OR avg_humidity <= h_hi)
+ AND (t_lo IS NULL OR avg_temperature >= t_lo) AND (t_hi IS NULL OR avg_temperature <= t_hi)
+GROUP BY id, code"""
+
+
 ORACLE: dict[str, str] = {
     "decode_readings": decode_readings_sql(),
     "decode_event_time": decode_event_time_sql(),
     "encode_readings": encode_readings_sql(),
-    "window_avg": window_avg_sql(DEFAULT),
-    "window_avg_hourly": window_avg_sql(HOURLY),
-    "window_avg_by_sensor": window_avg_sql(DEFAULT, by_sensor=True),
-    "alerts": alerts_sql(DEFAULT),
-    "alerts_hourly": alerts_sql(HOURLY),
-    "alerts_by_sensor": alerts_sql(DEFAULT, by_sensor=True),
+    "window_avg": window_avg_sql(MINUTE),
+    "window_avg_hourly": window_avg_sql(HOUR),
+    "window_avg_by_sensor": window_avg_sql(MINUTE, by_sensor=True),
+    "alerts": alerts_sql(MINUTE),
+    "alerts_hourly": alerts_sql(HOUR),
+    "alerts_by_sensor": alerts_sql(MINUTE, by_sensor=True),
     "alert_routing": alert_routing_sql(),
     "alert_messages": alert_messages_sql(),
-    "stream_window_avg_update": window_avg_sql(DEFAULT),
-    "stream_alerts_update": alerts_sql(DEFAULT),
+    "stream_window_avg_update": window_avg_sql(MINUTE),
+    "stream_alerts_update": alerts_sql(MINUTE),
     "stream_alerts_append": stream_alerts_append_sql(),
     "stream_alerts_by_sensor": stream_alerts_append_sql(by_sensor=True),
     "stream_late_data": stream_late_data_sql(),
+    "stream_alerts_emitted": stream_alerts_emitted_sql(),
+    "supplier_rule_hits": supplier_rule_hits_sql(),
 }

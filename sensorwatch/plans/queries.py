@@ -27,24 +27,18 @@ from ..operators.rule_join import match_rules
 from ..operators.windows import flatten_window, window_averages
 from ..session import run_dir
 from ..sources.events import read_events, read_events_stream, readings_from_events
-from ..sources.rules import packaged_rule_count, read_rules
+from ..sources.rules import read_rules
 from ..streaming import jobs, sinks
 
 # Fixed send time of the messages in the `alert_messages` query, so that the
 # oracle can state the whole message.
-PINNED_SENT_AT = "2024-08-18T16:05:50.907777"
+PINNED_SENT_AT = "2025-03-04T05:06:07.089012"
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
-def _rules(spark: SparkSession) -> tuple[DataFrame, int]:
-    """The packaged rules and their row count (so the size check needs no job)."""
-    return read_rules(spark), packaged_rule_count()
-
-
 def _match(averages: DataFrame, spark: SparkSession, settings: AlertSettings = DEFAULT) -> DataFrame:
-    rules, rows = _rules(spark)
-    return match_rules(averages, rules, settings, rules_rows=rows)
+    return match_rules(averages, read_rules(spark), settings)
 
 
 def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,9 +60,14 @@ def decode_event_time_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encode_readings_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events -> readings with fractional time -> JSON value on the readings topic (the random key is left out)."""
+    """events -> readings with fractional time -> JSON value on the readings topic; of the random key, its shape."""
     fine = readings_from_events(read_events(spark, sf_dir), keep_fraction=True)
-    return encode_readings(fine).select(F.lit(DEFAULT.topics.readings).alias("topic"), "value")
+    return encode_readings(fine).select(
+        F.lit(DEFAULT.topics.readings).alias("topic"),
+        "value",
+        F.length("key").alias("key_length"),
+        F.col("key").rlike('^"[0-9a-f-]+"$').alias("key_quoted"),
+    )
 
 
 def _window_avg(settings: AlertSettings, by_sensor: bool = False) -> QueryFn:
@@ -143,8 +142,7 @@ def stream_alerts_update_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_alerts_append_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append mode: each (rule, window) once, after the watermark passes the window's end."""
     base = run_dir(spark, "stream_alerts_append")
-    rules, rows = _rules(spark)
-    alerts = jobs.alerts_stream(jobs.event_file_readings(spark, sf_dir), rules, DEFAULT, rules_rows=rows)
+    alerts = jobs.alerts_stream(jobs.event_file_readings(spark, sf_dir), read_rules(spark), DEFAULT)
     _drain(sinks.start_table(alerts, f"{base}/table", f"{base}/checkpoint", state_partitions=_state_partitions(spark)))
     return flatten_window(spark.read.schema(alerts.schema).parquet(f"{base}/table"))
 
@@ -152,9 +150,8 @@ def stream_alerts_append_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_alerts_by_sensor_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append mode, windows per sensor: each (rule, window, sensor) once the watermark passes the window's end."""
     base = run_dir(spark, "stream_alerts_by_sensor")
-    rules, rows = _rules(spark)
     readings = jobs.event_file_readings(spark, sf_dir)
-    alerts = jobs.alerts_stream(readings, rules, DEFAULT, by_sensor=True, rules_rows=rows)
+    alerts = jobs.alerts_stream(readings, read_rules(spark), DEFAULT, by_sensor=True)
     _drain(sinks.start_table(alerts, f"{base}/table", f"{base}/checkpoint", state_partitions=_state_partitions(spark), state_store=sinks.ROCKSDB_PROVIDER))
     return flatten_window(spark.read.schema(alerts.schema).parquet(f"{base}/table"))
 
@@ -202,6 +199,67 @@ def stream_late_data_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_window(sinks.latest_rows(log, ["window"]))
 
 
+# Fixed values of the event-time scenario: events are delivered in order, 5 days
+# a run; windows of 10 days each 5 days, so two runs touch most windows.
+EMITTED = AlertSettings(window="10 days", slide="5 days")
+EMITTED_RUN_SECONDS = 5 * 86_400
+
+
+def stream_alerts_emitted_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Update-mode alerts, the rules joined inside the stream, every emission kept with its micro-batch.
+
+    Events come in event-time order, one ``availableNow`` run per 5 days on one
+    checkpoint; a window per sensor is emitted again by each run that adds
+    readings to it, with the rules that fire for its averages up to then.
+    ``emission`` numbers the micro-batches that had readings.
+    """
+    base = run_dir(spark, "stream_alerts_emitted")
+    period = F.floor(F.unix_micros(utc_wall_to_instant("ts")) / F.lit(EMITTED_RUN_SECONDS * 1_000_000))
+    timed = read_events(spark, sf_dir).where("ts IS NOT NULL").withColumn("_period", period)
+    timed.repartition("_period", F.pmod(F.xxhash64("event_id"), F.lit(8))).write.partitionBy("_period").parquet(f"{base}/staged")
+    by_period = spark.read.parquet(f"{base}/staged")
+    parts, schema = [], None
+    # one small number per 5 days of data; each run reads its own partition
+    for n, row in enumerate(by_period.select("_period").distinct().orderBy("_period").collect()):
+        by_period.where(F.col("_period") == row[0]).drop("_period").write.mode("append").parquet(f"{base}/input")
+        readings = readings_from_events(read_events_stream(spark, f"{base}/input", None, "*.parquet"))
+        alerts = jobs.alerts_stream(readings, read_rules(spark), EMITTED, by_sensor=True)
+        schema = alerts.schema
+        query = sinks.start_changelog(
+            alerts, f"{base}/changelog", f"{base}/checkpoint", "update",
+            state_partitions=_state_partitions(spark), state_store=sinks.ROCKSDB_PROVIDER,
+        )
+        _drain(query)
+        parts += [(p.batchId, n) for p in query.recentProgress if p.numInputRows]
+    batches = spark.createDataFrame(parts, "batch_id int, emission int")
+    log = sinks.read_changelog(spark, f"{base}/changelog", schema).join(F.broadcast(batches), "batch_id")
+    return flatten_window(log.select("window", "sensor_id", "id", "code", *[f"avg_{m}" for m in EMITTED.measures], "emission"))
+
+
+def supplier_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule per supplier, by a fixed rule: narrow bounds on one axis or both, some far-off, some fractional, some none."""
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    k = "s_suppkey"
+    return suppliers.selectExpr(
+        f"CAST({k} AS INT) AS id",
+        f"CAST(CASE WHEN {k} % 3 = 0 THEN -999 ELSE 15 + {k} * 13 % 71 END AS DOUBLE) AS humidity_min",
+        f"CAST(CASE WHEN {k} % 3 = 0 THEN -999 WHEN {k} % 10 = 7 THEN 1000000 ELSE 18.5 + {k} * 13 % 71 END AS DOUBLE) AS humidity_max",
+        f"CAST(CASE WHEN {k} % 3 = 1 OR {k} % 50 = 0 THEN -999 ELSE 25 + {k} * 7 % 21 END AS DOUBLE) AS temperature_min",
+        f"CAST(CASE WHEN {k} % 3 = 1 OR {k} % 50 = 0 THEN -999 ELSE 26.5 + {k} * 7 % 21 END AS DOUBLE) AS temperature_max",
+        "100 + s_nationkey AS code",
+        "s_name AS message",
+    )
+
+
+def supplier_rule_hits_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many windows fire each of many rules, and the first and last of them."""
+    averages = window_averages(_readings(spark, sf_dir), DEFAULT)
+    alerts = flatten_window(match_rules(averages, supplier_rules(spark, sf_dir)))
+    return alerts.groupBy("id", "code").agg(
+        F.count("*").alias("n_windows"), F.min("window_start").alias("first_start"), F.max("window_start").alias("last_start")
+    )
+
+
 QUERIES: dict[str, QueryFn] = {
     "decode_readings": decode_readings_q,
     "decode_event_time": decode_event_time_q,
@@ -219,4 +277,6 @@ QUERIES: dict[str, QueryFn] = {
     "stream_alerts_append": stream_alerts_append_q,
     "stream_alerts_by_sensor": stream_alerts_by_sensor_q,
     "stream_late_data": stream_late_data_q,
+    "stream_alerts_emitted": stream_alerts_emitted_q,
+    "supplier_rule_hits": supplier_rule_hits_q,
 }

@@ -7,7 +7,6 @@ the original job runs with (too dry, too wet, too cold, too hot; codes
 
 from __future__ import annotations
 
-import csv
 from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,12 +67,6 @@ def _cell(field: T.StructField) -> Column:
     return F.when(~empty, F.coalesce(value, wrong.cast(field.dataType)))
 
 
-def packaged_rule_count() -> int:
-    """Rows of the packaged rules file (known without a Spark job)."""
-    with open(default_rules_path(), encoding="utf-8", newline="") as fh:
-        return sum(1 for _ in csv.DictReader(fh))
-
-
 def _packaged_rules_path(spark: SparkSession) -> str:
     """The packaged file on storage that executors read: copied once per application to the shared folder.
 

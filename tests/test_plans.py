@@ -3,7 +3,6 @@
 import contextlib
 import io
 
-from sensorwatch.config import AlertSettings
 from sensorwatch.operators.rule_join import match_rules
 from sensorwatch.operators.windows import window_averages
 from sensorwatch.plans.queries import QUERIES
@@ -48,22 +47,27 @@ def test_window_avg_expands_panes_not_readings(spark):
 
 def test_alerts_broadcast_rules_side(spark):
     text = _plan(QUERIES["alerts"](spark, SF_SMALL))
-    assert "BroadcastNestedLoopJoin BuildRight, Inner" in text
-    assert "CartesianProduct" not in text
+    assert "BroadcastHashJoin" in text and "BuildRight" in text
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     build = text.split("BroadcastExchange")[1]
     assert "humidity_min" in build and "_pane" not in build  # the rules are broadcast, the windows stream
 
 
-def test_binned_rule_join_is_an_equi_join(spark):
+def test_rule_join_is_an_equi_join(spark):
     readings = readings_from_events(read_events(spark, SF_SMALL))
-    df = match_rules(window_averages(readings), read_rules(spark), AlertSettings(max_broadcast_rules=0))
+    df = match_rules(window_averages(readings), read_rules(spark))
     text = _plan(df)
     assert "BroadcastNestedLoopJoin" not in text and "CartesianProduct" not in text
     assert any(j in text for j in ("SortMergeJoin", "ShuffledHashJoin", "BroadcastHashJoin"))
-    assert "_axis" in text and "_bin" in text
+    assert "_axis" in text and "_cell" in text
 
 
 def test_decode_parses_json_once(spark):
     text = _formatted(QUERIES["decode_readings"](spark, SF_SMALL))
     tree_and_details = text.split("== Physical Plan ==")[1]
     assert tree_and_details.count("from_json(") == 1
+
+
+def test_latest_rows_hash(spark):
+    text = _plan(QUERIES["stream_window_avg_update"](spark, SF_SMALL))
+    assert "HashAggregate" in text and "SortAggregate" not in text

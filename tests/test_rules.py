@@ -3,8 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sensorwatch.config import DEFAULT, AlertSettings
-from sensorwatch.operators.rule_join import broadcast_rules_fit, match_rules
+from sensorwatch.config import AlertSettings
+from sensorwatch.operators.rule_join import match_rules, rule_candidates
 from sensorwatch.sources.rules import RULE_COLUMNS, RULE_SCHEMA, read_rules
 
 AVG_SCHEMA = "window struct<start: timestamp, end: timestamp>, avg_temperature double, avg_humidity double"
@@ -60,13 +60,12 @@ def test_missing_column_and_bad_cell_fail(spark, tmp_path):
         read_rules(spark, str(p)).collect()
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "binned"])
-def test_inclusive_bounds_and_nulls(spark, strategy):
+def test_inclusive_bounds_and_nulls(spark):
     rules = read_rules(spark)
     avgs = _averages(spark, [(44.0, 20.0), (30.0, 40.0), (40.0, 60.0), (None, 50.0), (36.0, None), (None, None)])
     got = sorted(
         (r.avg_temperature, r.avg_humidity, r.code)
-        for r in match_rules(avgs, rules, strategy=strategy).collect()
+        for r in match_rules(avgs, rules).collect()
     )
     key = lambda x: tuple((v is None, v) for v in x)
     assert sorted(got, key=key) == sorted(
@@ -79,8 +78,7 @@ def test_inclusive_bounds_and_nulls(spark, strategy):
     )
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "binned"])
-def test_rule_edge_cases(spark, strategy):
+def test_rule_edge_cases(spark):
     u = -999
     rules = _rules(
         spark,
@@ -91,8 +89,8 @@ def test_rule_edge_cases(spark, strategy):
         ],
     )
     avgs = _averages(spark, [(None, None), (25.0, 20.0)])
-    got = sorted((r.id, r.avg_temperature) for r in match_rules(avgs, rules, strategy=strategy).collect() if r.avg_temperature)
-    nulls = [r.id for r in match_rules(avgs, rules, strategy=strategy).collect() if r.avg_temperature is None]
+    got = sorted((r.id, r.avg_temperature) for r in match_rules(avgs, rules).collect() if r.avg_temperature)
+    nulls = [r.id for r in match_rules(avgs, rules).collect() if r.avg_temperature is None]
     assert nulls == [1]  # all bounds unused fires even on NULL averages
     assert got == [(1, 25.0), (3, 25.0)]  # the blank bound never fires
 
@@ -114,7 +112,7 @@ def _brute(avgs, rules, u=-999):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_binned_equals_broadcast_equals_brute_force(spark, seed):
+def test_equals_brute_force(spark, seed):
     rnd = random.Random(seed)
     u = -999
 
@@ -135,21 +133,77 @@ def test_binned_equals_broadcast_equals_brute_force(spark, seed):
     adf = spark.createDataFrame(rows, AVG_SCHEMA + ", n int")
     rdf = _rules(spark, rules)
     want = _brute(avgs, rules)
-    settings = AlertSettings(rule_bins=8)
-    for strategy in ("broadcast", "binned"):
-        got = sorted((r.id, r.n) for r in match_rules(adf, rdf, settings, strategy=strategy).collect())
-        assert got == want, strategy
+    for bins in (1, 8, 32):
+        got = sorted((r.id, r.n) for r in match_rules(adf, rdf, AlertSettings(rule_bins=bins)).collect())
+        assert got == want, bins
 
 
-def test_size_check_picks_strategy(spark):
-    rules = read_rules(spark)
-    assert broadcast_rules_fit(rules, DEFAULT)
-    small = AlertSettings(max_broadcast_rules=3)
-    assert not broadcast_rules_fit(rules, small)
+def _grid(spark, side=60):
+    # averages over the whole of both ranges, some of one sensor only
+    return spark.range(side * side).selectExpr(
+        "named_struct('start', timestamp_seconds(id * 60), 'end', timestamp_seconds(id * 60 + 60)) AS window",
+        f"IF(id % 17 = 0, NULL, 25 + id % {side} / 3D) AS avg_temperature",
+        f"IF(id % 13 = 0, NULL, 15 + id DIV {side} * 7 / 6D) AS avg_humidity",
+    )
+
+
+def _pairs(spark, rows):
+    avgs, rules = _grid(spark), _rules(spark, rows)
+    alerts = match_rules(avgs, rules).count()
+    return rule_candidates(avgs, rules).count(), alerts, avgs.count() * len(rows)
+
+
+U = -999
+NARROW = [(i, 15 + i * 7 % 65, 16.5 + i * 7 % 65, 25 + i * 3 % 19, 26 + i * 3 % 19, 100, "both") for i in range(500)]
+
+
+def test_pairs_of_rules_on_one_axis(spark):
+    rows = [(i, U, U, 25 + i * 7 % 190 / 10, 26.5 + i * 7 % 190 / 10, 100, "warm") for i in range(500)]
+    pairs, alerts, every = _pairs(spark, rows)
+    assert 0 < alerts <= pairs <= 2 * alerts and pairs < every / 4
+
+
+def test_pairs_with_a_far_off_rule(spark):
+    narrow, alerts, every = _pairs(spark, NARROW)
+    wide, _, _ = _pairs(spark, NARROW + [(999, -1_000_000, 1_000_000, -1_000_000, 1_000_000, 101, "wide")])
+    assert 0 < alerts and narrow < every / 8
+    assert wide <= 1.1 * narrow + 3_600  # the far-off rule meets each window once, the others' cells stay narrow
+
+
+def test_pairs_with_unused_rules(spark):
+    free = [(1000 + i, U, U, U, U, 102, "always") for i in range(20)]
+    narrow, _, _ = _pairs(spark, NARROW)
+    both, alerts, _ = _pairs(spark, NARROW + free)
+    assert both == narrow + 20 * 3_600 and alerts > 20 * 3_600
+
+
+def test_one_plan_for_every_size(spark):
+    def joins(n):
+        plan = match_rules(_grid(spark), _rules(spark, NARROW[:1] * n))._jdf.queryExecution().executedPlan().toString()
+        return [w for w in ("BroadcastNestedLoopJoin", "CartesianProduct", "BroadcastHashJoin") if w in plan]
+
+    assert joins(1_024) == joins(1_025) == joins(4) == ["BroadcastHashJoin"]
+
+
+def test_shuffled_form_is_exact(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        avgs, rules = _grid(spark), _rules(spark, NARROW)
+        got = match_rules(avgs, rules)
+        assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
+        shuffled = got.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert shuffled == match_rules(avgs, rules).count()
+
+
+def test_no_rules_and_other_columns(spark):
     avgs = _averages(spark, [(44.0, 20.0)])
-    plan = match_rules(avgs, rules, small)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
-    assert sorted(r.code for r in match_rules(avgs, rules, small).collect()) == [101, 104]
+    assert match_rules(avgs, _rules(spark, [])).count() == 0
+    out = match_rules(avgs, read_rules(spark).withColumn("_owner", F.lit("x"))).collect()
+    assert [r["_owner"] for r in out] == ["x", "x"]
+    with pytest.raises(ValueError, match="_cell"):
+        match_rules(avgs, read_rules(spark).withColumn("_cell", F.lit(1)))
 
 
 def test_output_columns(spark):

@@ -4,9 +4,7 @@ import json
 import os
 import time
 
-import pytest
-
-from sensorwatch.config import DEFAULT, AlertSettings
+from sensorwatch.config import DEFAULT
 from sensorwatch.session import run_dir
 from sensorwatch.sources.rules import default_rules_path, read_rules
 from sensorwatch.streaming import jobs, sinks
@@ -22,9 +20,8 @@ def _write(path, name, rows, when):
     os.utime(f, (when, when))
 
 
-@pytest.mark.parametrize("settings", [DEFAULT, AlertSettings(max_broadcast_rules=0)], ids=["broadcast", "binned"])
-def test_replaced_rules_file_reaches_next_batch(spark, tmp_path, settings):
-    # binned: the grid is computed from the rules at start; the edited bound (1000) lies outside it
+def test_replaced_rules_file_reaches_next_batch(spark, tmp_path):
+    # the cuts are those of the rules at start; the edited bound (1000) lies outside them
     rules_path = str(tmp_path / "rules.csv")
     with open(default_rules_path()) as src, open(rules_path, "w") as dst:
         dst.write(src.read())
@@ -32,7 +29,7 @@ def test_replaced_rules_file_reaches_next_batch(spark, tmp_path, settings):
     os.makedirs(inp)
     now = time.time() - 100
     readings = jobs.json_file_readings(spark, inp, 1)
-    alerts = jobs.alerts_stream(readings, read_rules(spark, rules_path), settings)
+    alerts = jobs.alerts_stream(readings, read_rules(spark, rules_path), DEFAULT)
     base = run_dir(spark, "rules_reload")
     q = sinks.start_changelog(alerts, f"{base}/log", f"{base}/ckpt", "update", available_now=False, processing_time="1 second")
     try:

@@ -18,17 +18,14 @@ NOTES = {
     "then `Generate` (explode) on pane rows and a second partial+final aggregation per window; "
     "the only `Filter` runs on aggregated rows.",
     "window_avg_by_sensor": "Same two stages keyed by (pane, sensor id); `user_id` joins the scan.",
-    "alerts": "Window averages stream past the 4 broadcast rules in a `BroadcastNestedLoopJoin` with the "
-    "rule predicate as condition (rules on the build side).",
-    "alerts_binned": "`match_rules` with `max_broadcast_rules=0`: windows listed once per axis, rules once per "
-    "covered bin, equi-join on (axis, bin) plus the exact predicate. Spark picks the physical join from its size "
-    "statistics: at this size both sides are small and one is broadcast; at scale the windows side is past the "
-    "threshold, so only the binned rules can be broadcast, else both sides are shuffled on (axis, bin).",
+    "alerts": "Windows listed once per axis that a rule bounds, rules once per covered cell of one axis; equi-join on "
+    "(axis, cell) plus the exact predicate, Spark's choice to broadcast the few rules.",
+    "supplier_rule_hits": "The same join with a rule per supplier, then a count per rule.",
     "decode_readings": "One `from_json` per message; fields read from its struct.",
     "stream_alerts (executed micro-batch)": "Streaming alerts in append mode, as executed for the query's last micro-batch (the eviction batch without new "
     "input, hence the empty scan; batches with data have the same operators over the file source): "
     "partial aggregation before the state shuffle, `StateStoreRestore`/`StateStoreSave` keyed by window (eviction by "
-    "watermark), and the stream-static `BroadcastNestedLoopJoin` with the rules broadcast.",
+    "watermark), and the stream-static equi-join on cells with the rules broadcast.",
 }
 
 
@@ -43,19 +40,13 @@ def tree(df) -> str:
 
 
 if __name__ == "__main__":
-    from sensorwatch.config import AlertSettings
-    from sensorwatch.operators.rule_join import match_rules
-    from sensorwatch.operators.windows import flatten_window, window_averages
     from sensorwatch.plans.queries import QUERIES
     from sensorwatch.session import local_session
-    from sensorwatch.sources.events import read_events, readings_from_events
     from sensorwatch.sources.rules import read_rules
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session()
-    frames = {name: QUERIES[name](spark, sf) for name in ("window_avg", "window_avg_by_sensor", "alerts", "decode_readings")}
-    avgs = window_averages(readings_from_events(read_events(spark, sf)))
-    frames["alerts_binned"] = flatten_window(match_rules(avgs, read_rules(spark), AlertSettings(max_broadcast_rules=0)))
+    frames = {name: QUERIES[name](spark, sf) for name in ("window_avg", "window_avg_by_sensor", "alerts", "supplier_rule_hits", "decode_readings")}
     from sensorwatch.session import run_dir
     from sensorwatch.streaming import jobs, sinks
 
