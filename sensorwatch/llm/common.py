@@ -7,6 +7,7 @@ first, and keys that hold a large share of all rows.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
@@ -97,6 +98,22 @@ def process_memo(name: str) -> dict:
     return module.__dict__.setdefault(name, {})
 
 
+def forget_memos(but: str | None) -> None:
+    """Drop what operators other than ``but`` left in this worker process."""
+    module = sys.modules.get("_sensorwatch_process_memo")
+    for name in [n for n, v in vars(module).items() if isinstance(v, dict) and n != but] if module else []:
+        if not name.startswith("__"):
+            delattr(module, name)
+
+
+def give_back_memory() -> None:
+    """Return free memory to the system: worker processes outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim is not None:
+        trim(0)
+
+
 class _Both(dict):
     """Entries of this batch, and behind them the remembered ones."""
 
@@ -139,17 +156,32 @@ def cut(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = CHUNK_B
 BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
 
 
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+def map_batches(
+    df: DataFrame,
+    fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema,
+    memo: str | None = None,
+) -> DataFrame:
     """``mapInArrow`` with small batches: the session's limits are lowered to ours if they are higher.
 
-    They are read when the query runs, so they stay as they are set here.
+    They are read when the query runs, so they stay as they are set here. A
+    task first drops the :func:`process_memo` of operators other than ``memo``
+    and at its end returns the memory it no longer uses.
     """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_memos(memo)
+        try:
+            yield from fn(batches)
+        finally:
+            give_back_memory()
+
     conf = df.sparkSession.conf
     if not 0 < int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) == "67108864b":  # Spark's default
         conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(run, schema)
 
 
 def text_column(name: str = "text") -> Column:

@@ -312,7 +312,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", into: str = "id
             ids = pa.ListArray.from_arrays(pa.array(ends), values)
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + [ids], names=[*kept, into])
 
-    return map_batches(source, run, schema)
+    return map_batches(source, run, schema, memo="sentencepiece")
 
 
 def decode(encoded: DataFrame, model_path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -329,7 +329,7 @@ def decode(encoded: DataFrame, model_path: str, ids: str = "ids", into: str = "d
                 texts = pa.array([decode_ids(x or [], raw) for x in part.column(ids).to_pylist()], pa.string())
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], texts], names=[*kept, into])
 
-    return map_batches(encoded.select(*map(quoted, kept)), run, schema)
+    return map_batches(encoded.select(*map(quoted, kept)), run, schema, memo="sentencepiece")
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -361,4 +361,4 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
             columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(text_sha)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return map_batches(source, run, schema)
+    return map_batches(source, run, schema, memo="sentencepiece")

@@ -73,7 +73,7 @@ def with_spans(docs: DataFrame, make_finder, text: str = "text", into: str = "fo
                 rows.append(one)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(rows, arrow)], names=[*kept, into])
 
-    return map_batches(docs.select(*map(quoted, kept), text_column(text).alias(hidden)), run, schema)
+    return map_batches(docs.select(*map(quoted, kept), text_column(text).alias(hidden)), run, schema, memo="pii")
 
 
 def digests(found: DataFrame, base_kinds: Sequence[str], kinds: Sequence[str], into: str = "found") -> DataFrame:
@@ -96,4 +96,4 @@ def digests(found: DataFrame, base_kinds: Sequence[str], kinds: Sequence[str], i
             columns += [pa.array(shas, pa.string()), pa.array(spans, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return map_batches(found.select("doc_id", into), run, T.StructType(fields))
+    return map_batches(found.select("doc_id", into), run, T.StructType(fields), memo="pii")

@@ -204,7 +204,7 @@ def write_tokens(
             before += int(ends[-1])
             yield pa.RecordBatch.from_arrays(columns, names=SCHEMA.names)
 
-    writer = map_batches(source, run, SCHEMA).write.format("orc")
+    writer = map_batches(source, run, SCHEMA, memo="token_files").write.format("orc")
     writer.options(**ORC_OPTIONS).save(path)
 
 
@@ -249,4 +249,4 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             columns = [batch.column("doc_id"), batch.column("start"), n, crc]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return map_batches(tokens, run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return map_batches(tokens, run, "doc_id long, start long, n_tokens long, ids_crc32 long", memo="token_files")
