@@ -11,16 +11,25 @@ Over the corpus, in Spark:
    its documents become number sequences, its dictionary carries training counts;
 2. dictionaries meet by word (one row per block and word, so no word is a large
    group) and give exact corpus counts for every word;
-3. each block gets the counts back; documents become sequences of word buckets.
-   The ``OWN`` most frequent words have buckets of their own, all others share
-   ``TAIL`` hashed ones: the class table has a fixed size at any corpus size,
-   while counts stay exact per word;
-4. a sweep of the exchange is one pass over the training sequences that sums,
-   per bucket, the classes of its left and right neighbours. The model itself
-   (buckets x classes numbers) is on the driver, where the buckets are moved
-   one after the other with exact likelihood changes;
+3. a start: each block gets the counts back, documents become sequences of word
+   buckets (the ``OWN`` most frequent words have their own, all others share
+   ``TAIL`` hashed ones), and the buckets are moved one after the other on the
+   driver with exact likelihood changes, from counts summed in one pass a sweep;
+4. from there every training word has its own class. Words live at homes (as
+   many as the blocks need), which know the blocks and local numbers of their
+   words. A sweep sends the classes to the blocks, sums per word the classes of
+   its left and right neighbours there, and adds these up at the homes. Sweeps
+   are of two kinds in turn: the words outside the most frequent ones move at their homes, by
+   exact likelihood changes against the class table (``CLASSES`` x ``CLASSES``
+   numbers), in small groups after each of which a home's copy of the table
+   follows, as if all homes had moved alike; the ``OWN`` most frequent ones move
+   on the driver as before. A sweep that does not raise the likelihood is
+   undone; the sweeps end when it no longer rises;
 5. a last pass scores all documents.
 
+Words of no training document have no neighbours to count and stay in the class
+of their bucket.
+
 Contract: null text counts as empty (just the end token); a null id counts as
 the empty text for the held-out rule; repeated rows are documents of their own;
 an empty table gives an empty result; without training documents all words are
@@ -33,7 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,8 +50,12 @@ from pyspark.sql import Window
 
 from .common import cut, map_batches, materialize, quoted, read_table, text_column
 
-#: Size of the model: own buckets, shared buckets, classes (class 0 is the end token's alone), sweeps.
-OWN, TAIL, CLASSES, SWEEPS = 2047, 2048, 32, 3
+#: Own and shared buckets of the start, classes (class 0 is the end token's alone).
+OWN, TAIL, CLASSES = 2047, 2048, 32
+#: The likelihood rises if it gains more than this a training token (nats); share of the words that move at the least.
+RISE, LEAST_SHARE = 1e-3, 1 / 16
+#: Homes of words per block; words are weighed at once up to this many entries and this share of a home's tokens.
+HOMES, MOVE_ENTRIES, MOVE_SHARE = 4, 20_000, 1 / 64
 #: A block ends at this many words or distinct words.
 BLOCK_WORDS, BLOCK_DISTINCT = 1_500_000, 250_000
 ADD = 0.1
@@ -148,7 +161,11 @@ def with_buckets(counted: DataFrame, own: list[bytes]) -> DataFrame:
     return joined.withColumn("bucket", F.coalesce("_place", hashed).cast("int")).drop("_own", "_place")
 
 
-def sequences(blocked: DataFrame, bucketed: DataFrame) -> DataFrame:
+def block_texts(blocked: DataFrame) -> DataFrame:
+    return blocked.where("words IS NULL").select("block", "doc_id", "held_out", "sequence")
+
+
+def sequences(blocked: DataFrame, bucketed: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     """Documents as bucket sequences with their word statistics; each block meets its own words."""
 
     def run(docs: pa.Table, words: pa.Table) -> pa.Table:
@@ -168,7 +185,7 @@ def sequences(blocked: DataFrame, bucketed: DataFrame) -> DataFrame:
         columns += [pa.array(logs, pa.float64()), pa.array(parts, pa.binary())]
         return pa.Table.from_arrays(columns, names=_SEQUENCES.names)
 
-    texts = blocked.where("words IS NULL").select("block", "doc_id", "held_out", "sequence")
+    texts = block_texts(blocked) if texts is None else texts
     dictionary = bucketed.select("block", "number", "count", "bucket")
     return texts.groupBy("block").cogroup(dictionary.groupBy("block")).applyInArrow(run, _SEQUENCES)
 
@@ -218,11 +235,14 @@ def likelihood(bigrams: np.ndarray) -> float:
     return float(_phi(bigrams).sum() - _phi(bigrams.sum(axis=0)).sum() - _phi(bigrams.sum(axis=1)).sum())
 
 
-def exchange(counts: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """One sweep: every bucket (but the end's) moves to the class that raises the likelihood most."""
+def exchange(counts: np.ndarray, classes: np.ndarray, bigrams: np.ndarray | None = None) -> np.ndarray:
+    """One sweep: every bucket (but the end's) moves to the class that raises the likelihood most.
+
+    ``bigrams`` are given if ``counts`` has only some of the words.
+    """
     k = CLASSES
     classes = classes.copy()
-    bigrams = class_bigrams(counts, classes)
+    bigrams = class_bigrams(counts, classes) if bigrams is None else bigrams.copy()
     mass = counts[:, :k].sum(axis=1)
     for w in np.argsort(-mass, kind="stable"):
         if w == 0 or mass[w] == 0:
@@ -265,16 +285,326 @@ def cluster(trained: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     classes = first_classes()
     counts = neighbours(trained, classes)
     best, found = classes, class_bigrams(counts, classes)
-    for _ in range(SWEEPS):
+    while True:
         classes = exchange(counts, classes)
         counts = neighbours(trained, classes)
         bigrams = class_bigrams(counts, classes)
-        if likelihood(bigrams) <= likelihood(found):
+        if likelihood(bigrams) <= likelihood(found) + RISE * found.sum():
             break
         best, found = classes, bigrams
     return best, found
 
 
+# --- every word ----------------------------------------------------------
+
+_HOMES = "home int, counts binary, buckets binary, routes array<struct<block: bigint, numbers: binary, places: binary>>"
+_CLASSED = "block bigint, home int, numbers binary, places binary, classes binary, counts binary"
+#: Words with neighbours: per word its place at home, class, count beside itself, number of entries; entries are
+#: (class to the left, or CLASSES + class to the right; count).
+_PACKED = {"places": np.uint32, "classes": np.uint8, "own": np.int64, "sizes": np.uint8, "codes": np.uint8, "values": np.int64}
+_COUNTED = "home int, " + ", ".join(f"{c} binary" for c in _PACKED)
+_STATE = _COUNTED + ", bigrams array<bigint>, types array<bigint>"
+
+
+def _pack(**arrays: np.ndarray) -> list[bytes]:
+    return [np.asarray(arrays[c]).astype(t).tobytes() for c, t in _PACKED.items()]
+
+
+def _unpack(row: dict) -> dict[str, np.ndarray]:
+    return {c: np.frombuffer(row[c], dtype=t) for c, t in _PACKED.items()}
+
+
+def _binaries(rows: list, k: int) -> pa.Array:
+    return pa.array([r[k] for r in rows], pa.binary())
+
+
+def word_homes(bucketed: DataFrame, n: int) -> DataFrame:
+    """``n`` homes of words: counts and buckets by place, and for each block its local numbers and their places."""
+
+    def run(words: pa.Table) -> pa.Table:
+        column = lambda c: words.column(c).to_numpy()
+        place = words.column("word").combine_chunks().dictionary_encode()
+        place = (pa.chunked_array([place]) if isinstance(place, pa.Array) else place).combine_chunks()
+        place = (place.chunk(0) if isinstance(place, pa.ChunkedArray) else place).indices.to_numpy()
+        counts, buckets = np.zeros(place.max() + 1, dtype=np.int64), np.zeros(place.max() + 1, dtype=np.uint16)
+        counts[place], buckets[place] = column("count"), column("bucket")
+        order = np.lexsort((column("number"), column("block")))
+        block, number, place = column("block")[order], column("number")[order], place[order]
+        starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+        routes = [
+            {"block": int(block[a]), "numbers": number[a:b].astype(np.uint32).tobytes(), "places": place[a:b].astype(np.uint32).tobytes()}
+            for a, b in zip(starts, [*starts[1:], len(block)], strict=True)
+        ]
+        route = pa.struct([("block", pa.int64()), ("numbers", pa.binary()), ("places", pa.binary())])
+        columns = [pa.array([words.column("home")[0].as_py()], pa.int32())]
+        columns += [pa.array([counts.tobytes()], pa.binary()), pa.array([buckets.tobytes()], pa.binary())]
+        return pa.Table.from_arrays([*columns, pa.array([routes], pa.list_(route))], names=["home", "counts", "buckets", "routes"])
+
+    home = F.pmod(F.xxhash64("word"), F.lit(n)).cast("int").alias("home")
+    rows = bucketed.select(home, "block", "number", "word", "count", "bucket")
+    return rows.groupBy("home").applyInArrow(run, _HOMES)
+
+
+def move_gains(bigrams: np.ndarray, classes: np.ndarray, own: np.ndarray, sizes: np.ndarray, codes: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Likelihood of each word in each class (words, classes), up to a constant a word, if just that word moves."""
+    k, n = CLASSES, len(classes)
+    word, at = np.repeat(np.arange(n), sizes), np.arange(n)
+    both = np.zeros((n, 2 * k))
+    both[word, codes] = values
+    both[at, classes] -= own
+    both[at, k + classes] -= own
+    left, right = both[:, :k], both[:, k:]
+    mass = left.sum(axis=1) + own
+    diagonal = np.tile(np.diag(bigrams), (n, 1))
+    diagonal[at, classes] -= left[at, classes] + right[at, classes] + own
+    np.maximum(diagonal, 0, out=diagonal)  # a home's copy of the table is an estimate
+    gain = _phi(diagonal + left + right + own[:, None]) - _phi(diagonal)
+    for side, other, table in ((left, right, bigrams), (right, left, bigrams.T)):
+        w, a = np.nonzero(side)
+        if not len(w):
+            continue
+        x, g, i = side[w, a], classes[w], np.arange(len(w))
+        cells = table[a].copy()  # without the word itself
+        cells[i, g] -= x
+        same = a == g
+        cells[same] -= other[w[same]]
+        cells[i[same], g[same]] -= own[w[same]]
+        np.maximum(cells, 0, out=cells)
+        change = _phi(cells + x[:, None]) - _phi(cells)
+        change[i, a] = 0.0  # the diagonal is counted above
+        starts = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
+        gain[w[starts]] += np.add.reduceat(change, starts, axis=0)
+    for total in (bigrams.sum(axis=0), bigrams.sum(axis=1)):
+        rest = np.tile(total, (n, 1))
+        rest[at, classes] -= mass
+        np.maximum(rest, 0, out=rest)
+        gain -= _phi(rest + mass[:, None]) - _phi(rest)
+    gain[:, 0] = -np.inf
+    return gain
+
+
+def _move(bigrams: np.ndarray, counts: np.ndarray, own: np.ndarray, old: np.ndarray, new: np.ndarray, times: float) -> np.ndarray:
+    """The class bigrams after ``times`` such moves of words with these neighbours (the word itself not among them)."""
+    k, out = CLASSES, bigrams.copy()
+    for classes, sign in ((old, -times), (new, times)):
+        np.add.at(out.T, classes, sign * counts[:, :k])
+        np.add.at(out, classes, sign * counts[:, k:])
+        np.add.at(out, (classes, classes), sign * own)
+    return np.maximum(out, 0)
+
+
+def best_classes(bigrams: np.ndarray, home: int, counted: dict[str, np.ndarray], free: np.ndarray, share: float, sweep: int, homes: int) -> np.ndarray:
+    """The class of each word after a sweep in which a ``share`` of the ``free`` words (another one each sweep) may move."""
+    k, classes = CLASSES, counted["classes"].astype(np.int64)
+    sizes, own = counted["sizes"].astype(np.int64), counted["own"].astype(float)
+    mix = counted["places"].astype(np.uint64) * np.uint64(_ODD[0]) + np.uint64((home * _ODD[1] + sweep * _ODD[2]) % 2**64)
+    mix = (mix ^ (mix >> np.uint64(29))) * np.uint64(_ODD[1])
+    chosen = np.flatnonzero(free & ((mix >> np.uint64(40)).astype(float) < share * 2**24))
+    if not len(chosen):
+        return classes
+    starts = np.cumsum(sizes) - sizes
+    mass = np.add.reduceat(np.where(counted["codes"] < k, counted["values"], 0), starts)
+    chosen = chosen[np.lexsort((mix[chosen], -mass[chosen]))]  # frequent words first
+    entries, tokens = np.cumsum(sizes[chosen]), np.cumsum(mass[chosen])
+    a, most = 0, tokens[-1] * MOVE_SHARE
+    while a < len(chosen):
+        e, t = (int(entries[a - 1]), int(tokens[a - 1])) if a else (0, 0)
+        b = min(np.searchsorted(entries, e + MOVE_ENTRIES, side="right"), np.searchsorted(tokens, t + most, side="right"))
+        words = chosen[a : max(a + 1, int(b))]
+        a += len(words)
+        n, i = sizes[words], np.arange(len(words))
+        at = np.repeat(starts[words] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        codes, values, g = counted["codes"][at], counted["values"][at], classes[words]
+        gain = move_gains(bigrams, g, own[words], n, codes, values)
+        best = gain.argmax(axis=1)
+        moves = gain[i, best] > gain[i, g] + 1e-9
+        if moves.any():
+            counts = np.zeros((len(words), 2 * k))
+            counts[np.repeat(i, n), codes] = values
+            counts[i, g] -= own[words]
+            counts[i, k + g] -= own[words]
+            classes[words] = np.where(moves, best, g)
+            bigrams = _move(bigrams, counts[moves], own[words][moves], g[moves], best[moves], homes)
+    return classes
+
+
+_ODD = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
+
+
+def classed_words(
+    homes: DataFrame, state: DataFrame | None, start: np.ndarray, bigrams: np.ndarray | None = None, share: float = 0.0, sweep: int = 0, n: int = 1
+) -> DataFrame:
+    """Per block and home the numbers, classes and counts of the words: of ``state`` after moves, own and unknown ones by bucket."""
+    names = [x.split()[0] for x in _CLASSED.split(", ")]
+    if state is None:
+        joined = homes.select("*", *[F.lit(None).cast("binary").alias(c) for c in _PACKED])
+    else:
+        joined = homes.join(state.select("home", *_PACKED), "home", "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                (row,) = batch.slice(i, 1).to_pylist()
+                counts = np.frombuffer(row["counts"], dtype=np.int64)
+                buckets = np.frombuffer(row["buckets"], dtype=np.uint16)
+                classes = start[buckets].astype(np.uint8)
+                if row["places"] is not None:
+                    counted = _unpack(row)
+                    places, free = counted["places"], buckets[counted["places"]] > OWN
+                    moved = best_classes(bigrams, row["home"], counted, free, share, sweep, n) if share else counted["classes"]
+                    classes[places[free]] = moved[free]
+                rows = []
+                for r in row["routes"]:
+                    places = np.frombuffer(r["places"], dtype=np.uint32)
+                    rows.append((r["block"], row["home"], r["numbers"], r["places"], classes[places].tobytes(), counts[places].tobytes()))
+                columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32())]
+                yield pa.RecordBatch.from_arrays([*columns, *[_binaries(rows, k) for k in range(2, 6)]], names=names)
+
+    return map_batches(joined, run, _CLASSED)
+
+
+def _by_number(words: pa.Table, column: str, dtype) -> np.ndarray:
+    """A block's values by local number."""
+    numbers = [np.frombuffer(x, dtype=np.uint32) for x in words.column("numbers").to_pylist()]
+    out = np.zeros(1 + max((int(x.max()) for x in numbers), default=-1), dtype=dtype)
+    for at, data in zip(numbers, words.column(column).to_pylist(), strict=True):
+        out[at] = np.frombuffer(data, dtype=dtype)
+    return out
+
+
+def word_neighbours(texts: DataFrame, classed: DataFrame) -> DataFrame:
+    """Per home its training words with the counts of their neighbours' classes, and the class bigrams these add up to."""
+    k, names = CLASSES, ["home", *_PACKED]
+
+    def block(docs: pa.Table, words: pa.Table) -> pa.Table:
+        of = np.r_[_by_number(words, "classes", np.uint8), np.uint8(0)].astype(np.int64)
+        end = np.array([len(of) - 1], dtype=np.uint32)  # the end token, also before a document's first word
+        parts = [end]
+        for data, held in zip(docs.column("sequence").to_pylist(), docs.column("held_out").to_pylist(), strict=True):
+            if not held:
+                parts += [np.frombuffer(data, dtype=np.uint32), end]
+        ids = np.concatenate(parts).astype(np.int64)
+        before, after = ids[:-1], ids[1:]
+        left = np.bincount(after * k + of[before], minlength=len(of) * k).astype(np.uint32).reshape(-1, k)
+        right = np.bincount(before * k + of[after], minlength=len(of) * k).astype(np.uint32).reshape(-1, k)
+        own = np.bincount(after[before == after], minlength=len(of))
+        rows = []
+        for row in words.select(["home", "numbers", "places", "classes"]).to_pylist():
+            number, places = np.frombuffer(row["numbers"], dtype=np.uint32), np.frombuffer(row["places"], dtype=np.uint32)
+            counts = np.concatenate([left[number], right[number]], axis=1)
+            some = counts.any(axis=1)
+            counts = counts[some]
+            if len(counts):
+                w, codes = np.nonzero(counts)
+                sizes = np.bincount(w, minlength=len(counts))
+                packed = _pack(places=places[some], classes=np.frombuffer(row["classes"], dtype=np.uint8)[some],
+                               own=own[number][some], sizes=sizes, codes=codes, values=counts[w, codes])
+                rows.append((row["home"], *packed))
+        columns = [pa.array([r[0] for r in rows], pa.int32()), *[_binaries(rows, 1 + i) for i in range(len(_PACKED))]]
+        return pa.Table.from_arrays(columns, names=names)
+
+    def home(parts: pa.Table) -> pa.Table:
+        each = [_unpack(r) for r in parts.to_pylist()]
+        n = 1 + max(int(x["places"].max()) for x in each)
+        counts, own, classes = np.zeros(n * 2 * k, dtype=np.int64), np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+        for x in each:  # a block names a word and a neighbour's class once
+            counts[np.repeat(x["places"].astype(np.int64), x["sizes"]) * (2 * k) + x["codes"]] += x["values"]
+            own[x["places"]] += x["own"]
+            classes[x["places"]] = x["classes"]
+        counts = counts.reshape(n, 2 * k)
+        places = np.flatnonzero(counts.any(axis=1))
+        counts, own, classes = counts[places], own[places], classes[places]
+        w, codes = np.nonzero(counts)
+        packed = _pack(places=places, classes=classes, own=own, sizes=np.bincount(w, minlength=len(places)), codes=codes, values=counts[w, codes])
+        bigrams = np.zeros((k, k), dtype=np.int64)
+        np.add.at(bigrams.T, classes, counts[:, :k])
+        np.add.at(bigrams[:, 0], classes, counts[:, k])  # to the end token
+        types = np.bincount(classes, minlength=k)
+        columns = [pa.array([parts.column("home")[0].as_py()], pa.int32()), *[pa.array([x], pa.binary()) for x in packed]]
+        columns += [pa.array([bigrams.ravel().tolist()], pa.list_(pa.int64())), pa.array([types.tolist()], pa.list_(pa.int64()))]
+        return pa.Table.from_arrays(columns, names=[*names, "bigrams", "types"])
+
+    counted = texts.groupBy("block").cogroup(classed.groupBy("block")).applyInArrow(block, _COUNTED)
+    return counted.groupBy("home").applyInArrow(home, _STATE)
+
+
+def _summed(state: DataFrame, column: str, size: int) -> np.ndarray:
+    out = np.zeros(size)
+    for row in state.select(F.posexplode(column).alias("i", "n")).groupBy("i").agg(F.sum("n").alias("n")).collect():
+        out[row["i"]] = row["n"]
+    return out
+
+
+def own_words(homes: DataFrame) -> list[tuple[int, int, int]]:
+    """(home, place, bucket) of the at most ``OWN`` words with buckets of their own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for home, data in zip(*(batch.column(c).to_pylist() for c in ("home", "buckets")), strict=True):
+                buckets = np.frombuffer(data, dtype=np.uint16)
+                at = np.flatnonzero(buckets <= OWN)
+                columns = [pa.array([home] * len(at), pa.int32()), pa.array(at.astype(np.int32)), pa.array(buckets[at].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, names=["home", "place", "bucket"])
+
+    return [tuple(r) for r in map_batches(homes.select("home", "buckets"), run, "home int, place int, bucket int").collect()]
+
+
+def own_counts(state: DataFrame, own: list[tuple[int, int, int]]) -> np.ndarray:
+    """The neighbours of the own words as in :func:`neighbours`; zeros for all other buckets."""
+    k = CLASSES
+    at = {}
+    for home, place, bucket in own:
+        at.setdefault(home, {})[place] = bucket
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                counted, mine = _unpack(row), at.get(row["home"], {})
+                ends = np.cumsum(counted["sizes"].astype(np.int64))
+                rows, buckets = [], []
+                for w in np.flatnonzero(np.isin(counted["places"], np.array(list(mine), dtype=np.uint32))).tolist():
+                    e, counts = slice(int(ends[w]) - int(counted["sizes"][w]), int(ends[w])), np.zeros(2 * k + 1, dtype=np.int64)
+                    counts[counted["codes"][e]] = counted["values"][e]
+                    counts[-1] = counted["own"][w]
+                    rows.append(counts.tolist())
+                    buckets.append(mine[int(counted["places"][w])])
+                yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(rows, pa.list_(pa.int64()))], names=["bucket", "counts"])
+
+    out = np.zeros((1 + OWN + TAIL, 2 * k + 1))
+    for row in map_batches(state.select("home", *_PACKED), run, "bucket int, counts array<bigint>").collect():
+        out[row["bucket"]] = row["counts"]
+    return out
+
+
+def cluster_words(texts: DataFrame, homes: DataFrame, start: np.ndarray, n_docs: int) -> tuple[DataFrame, np.ndarray, np.ndarray, list[float]]:
+    """The state of all training words, the classes by bucket (right for own words), the class bigrams, and the likelihoods on the way."""
+    n, own = homes.count(), own_words(homes)
+
+    def counted(words: DataFrame) -> tuple[DataFrame, np.ndarray]:
+        state = materialize(word_neighbours(texts, words), "lm-sweep")
+        bigrams = _summed(state, "bigrams", CLASSES * CLASSES).reshape(CLASSES, CLASSES)
+        bigrams[0, 0] = n_docs - bigrams[0].sum()  # empty documents
+        return state, bigrams
+
+    state, bigrams = counted(classed_words(homes, None, start))
+    kept, share, sweep, still, frequent = [likelihood(bigrams)], 1.0, 0, 0, False
+    while still < 2:  # neither kind of sweep raises it any more
+        sweep += 1
+        moved = exchange(own_counts(state, own), start, bigrams) if frequent else start
+        words = classed_words(homes, state, moved) if frequent else classed_words(homes, state, start, bigrams, share, sweep, n)
+        tried, found = counted(words)
+        rise = likelihood(found) - kept[-1]
+        if rise > 0:
+            state, bigrams, start = tried, found, moved
+            kept.append(likelihood(found))
+        if rise <= 0 and not frequent and share > LEAST_SHARE:
+            share /= 4
+            continue
+        still = 0 if rise > RISE * bigrams.sum() else still + 1
+        frequent = not frequent
+    return state, start, bigrams, kept
+
+
 def tables(bigrams: np.ndarray, class_words: np.ndarray, class_types: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """log10 of the transitions (left class, class), and of the emission denominators per class."""
     total = bigrams.sum()
@@ -298,33 +628,43 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     bucket_words, bucket_types = np.zeros(1 + OWN + TAIL), np.zeros(1 + OWN + TAIL)
     for row in per.collect():  # one row per bucket
         bucket_words[row["bucket"]], bucket_types[row["bucket"]] = row["words"], row["types"]
-    found = materialize(sequences(blocked, bucketed), "lm-sequences")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # each sweep meets the texts where they are: only classes and counts are shuffled
+    texts = block_texts(blocked).repartition(parts, "block").persist(StorageLevel.DISK_ONLY)
+    found = materialize(sequences(blocked, bucketed, texts).select("held_out", "buckets"), "lm-sequences")
     trained = found.where("NOT held_out")
     n_docs = trained.count()
     n = int(bucket_words.sum()) + n_docs
     v = int(bucket_types.sum()) + (n_docs > 0)
-    classes, bigrams = cluster(trained)
-    class_words = np.bincount(classes, weights=bucket_words, minlength=CLASSES)
-    class_types = np.bincount(classes, weights=bucket_types, minlength=CLASSES)
+    start, _ = cluster(trained)
+    n_blocks = blocked.where("words IS NOT NULL").count()
+    homes = materialize(word_homes(bucketed, max(1, HOMES * n_blocks)), "lm-homes")
+    state, start, bigrams, _ = cluster_words(texts, homes, start, n_docs)
+    class_words, class_types = bigrams.sum(axis=0), _summed(state, "types", CLASSES)
     moves, below = tables(bigrams, class_words, class_types)
-    shared = docs.sparkSession.sparkContext.broadcast((classes, moves, below))
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "log_counts", "score"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, move, under = shared.value
-        for batch in cut(batches, "buckets"):
-            parts = batch.column("buckets").to_pylist()
-            after = of[np.frombuffer(b"".join(parts), dtype=np.uint16)]
-            before = np.r_[0, after[:-1]]
-            starts = np.cumsum([0, *[len(p) // 2 for p in parts]])[:-1]
-            sums = np.add.reduceat(move[before, after] - under[after], starts)
-            values = sums + batch.column("log_counts").to_numpy()
-            keep = [batch.column(c) for c in ("doc_id", "held_out", "n_tokens", "n_known", "log_counts")]
-            names = ["doc_id", "held_out", "n_tokens", "n_known", "log_counts", "score"]
-            yield pa.RecordBatch.from_arrays([*keep, pa.array(values)], names=names)
-
-    scored = map_batches(
-        found, run, "doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, score double"
+    def run(docs: pa.Table, words: pa.Table) -> pa.Table:
+        of = np.r_[_by_number(words, "classes", np.uint8), np.uint8(0)]
+        count = _by_number(words, "counts", np.int64)
+        log_count, end = np.log10(count + ADD), np.array([len(of) - 1], dtype=np.uint32)
+        lengths, known, logs, sums = [], [], [], []
+        for data in docs.column("sequence").to_pylist():
+            ids = np.frombuffer(data, dtype=np.uint32)
+            after = of[np.r_[ids, end]]
+            lengths.append(len(after))
+            known.append(int((count[ids] > 0).sum()))
+            logs.append(float(log_count[ids].sum()))
+            sums.append(logs[-1] + float((moves[np.r_[0, after[:-1]], after] - below[after]).sum()))
+        columns = [docs.column("doc_id"), docs.column("held_out"), pa.array(lengths, pa.int64()), pa.array(known, pa.int64())]
+        return pa.Table.from_arrays([*columns, pa.array(logs, pa.float64()), pa.array(sums, pa.float64())], names=names)
+
+    words = classed_words(homes, state, start)
+    scored = texts.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(
+        run, "doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, score double"
     )
+    scored = materialize(scored, "lm-scores")
+    texts.unpersist()
     end = float(np.log10(n_docs + ADD))
     per_token = float(np.log10(n + ADD * (v + 1)))
     # the end token is known as soon as there is a training document

@@ -131,6 +131,43 @@ def test_exchange_raises_the_likelihood(spark):
     assert after >= before - 1e-6 and moved[0] == 0 and (moved[1:] > 0).all()
 
 
+def test_every_word_has_its_own_class(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(brown_lm, "OWN", 4)
+    monkeypatch.setattr(brown_lm, "TAIL", 1)  # all other words start in one bucket
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"{'nv'[k % 2]}{rng.randrange(100)}" for k in range(200))) for i in range(60)]
+    out = brown_lm.score(spark.createDataFrame(rows, "doc_id long, text string")).where("held_out").collect()
+    gain = sum(r.score - r.base_score for r in out) / sum(r.n_tokens for r in out)
+    assert gain > 0.5 * math.log10(2)  # nouns and verbs take turns: each word is one of a hundred, not of two hundred
+
+
+def test_moves_change_the_likelihood_as_weighed():
+    import numpy as np
+
+    rng, k = np.random.default_rng(0), brown_lm.CLASSES
+    ids = np.r_[0, rng.integers(0, 40, 2000) ** 2 // 40, 0]
+    classes = np.r_[0, 1 + rng.integers(0, k - 1, 39)]
+
+    def bigrams(of):
+        out = np.zeros((k, k))
+        np.add.at(out, (of[ids[:-1]], of[ids[1:]]), 1)
+        return out
+
+    before, after = ids[:-1], ids[1:]
+    for w in set(ids[ids > 0].tolist()):
+        counts = np.r_[np.bincount(classes[before[after == w]], minlength=k), np.bincount(classes[after[before == w]], minlength=k)]
+        codes = np.flatnonzero(counts)
+        own = np.array([float(((before == w) & (after == w)).sum())])
+        (gain,) = brown_lm.move_gains(bigrams(classes), classes[[w]], own, np.array([len(codes)]), codes, counts[codes])
+        for c in range(1, k):
+            moved = classes.copy()
+            moved[w] = c
+            want = brown_lm.likelihood(bigrams(moved)) - brown_lm.likelihood(bigrams(classes))
+            assert gain[c] - gain[classes[w]] == pytest.approx(want, abs=1e-6)
+
+
 def test_quality_sketch_and_verdicts(spark, docs, empty):
     clean = [(i, f"line {i} has some plain words in it and goes on for a while, word{i} at the end", "en", f"s{i % 2}") for i in range(400)]
     junk = [(1000 + i, " ".join(f"w{i}{k}###" for k in range(30)), "en", "s0") for i in range(20)]
