@@ -23,6 +23,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -110,16 +111,19 @@ _HOLE = re.compile(r"\$\{([A-Za-z_][\w.]*)\}|\$([A-Za-z_]\w*)")
 _NAME_CHARS = 130
 
 Piece = tuple[str, int, int]  # a literal's text and place
+#: Literals and, by reference, what the names in an expression stand for; not changed once a name has it.
+Value = list
 
 
-def _operand(text: str, at: int, known: dict[str, list[Piece]]) -> tuple[list[Piece] | None, int]:
-    """The literals that an operand stands for, and its end."""
+def _operand(text: str, at: int, known: dict[str, Value]) -> tuple[Value | None, int]:
+    """What an operand stands for, and its end."""
     m = _STRING.match(text, at)
     if m:
         k = m.lastindex
         pieces = [(m[k], m.start(k), m.end(k))] if m[k] else []
         for hole in _HOLE.finditer(m[k]):
-            pieces += known.get(hole[1] or hole[2], [])
+            if (name := hole[1] or hole[2]) in known:
+                pieces.append(known[name])
         return pieces, m.end()
     m = _BARE.match(text, at)
     if not m:
@@ -128,13 +132,13 @@ def _operand(text: str, at: int, known: dict[str, list[Piece]]) -> tuple[list[Pi
     hole = _HOLE.fullmatch(word)
     name = (hole[1] or hole[2]) if hole else word
     if name in known and (hole or _IDENTIFIER.match(word)):
-        return list(known[name]), m.end()
+        return [known[name]], m.end()
     return [(word, at, at + len(word))], m.end()
 
 
-def pairs(text: str) -> list[tuple[str, list[Piece]]]:
-    """Name-literal pairs of a text in order: each target with the literals that reach it."""
-    known: dict[str, list[Piece]] = {}
+def pairs(text: str) -> list[tuple[str, Value]]:
+    """Name-value pairs of a text in order: each target with what reaches it (see :func:`literals`)."""
+    known: dict[str, Value] = {}
     out, at = [], 0
     while m := _OPERATOR.search(text, at):
         at = m.end()
@@ -148,24 +152,40 @@ def pairs(text: str) -> list[tuple[str, list[Piece]]]:
             more, after = _operand(text, j.end(), known)
             if more is None:
                 break
-            pieces, end = pieces + more, after
+            pieces += more
+            end = after
         if pieces is None:
             continue
         at = max(at, end)
         target = name[1] or name[2]
-        known[target] = (known.get(target, []) + pieces) if m[0] == "+=" else pieces
-        known[target] = known[target][-16:]  # what one name stands for stays small
+        known[target] = [known[target], *pieces] if m[0] == "+=" and target in known else pieces
         out.append((target, pieces))
     return out
 
 
+def literals(value: Value, seen: set[int]) -> Iterator[Piece]:
+    """All literals of a value but those of the values in ``seen``, which is added to."""
+    rest = [value]
+    while rest:
+        one = rest.pop()
+        if id(one) not in seen:
+            seen.add(id(one))
+            for x in one:
+                if isinstance(x, list):
+                    rest.append(x)
+                else:
+                    yield x
+
+
 def scored_literals(text: str) -> list[tuple[str, int, int, float]]:
     """Literals of sensitive names as (kind, start, end, score)."""
     best: dict[tuple[int, int], float] = {}
-    for target, pieces in pairs(text):
+    found = pairs(text)  # keeps the values, which are told apart by identity
+    seen: dict[float, set[int]] = {}  # by weight, of which there are few: the time stays linear
+    for target, value in found:
         weight = sensitivity(target)
         if weight:
-            for literal, a, b in pieces:
+            for literal, a, b in literals(value, seen.setdefault(weight, set())):
                 best[a, b] = max(best.get((a, b), 0.0), weight * strength(literal))
     return [("literal", a, b, s) for (a, b), s in sorted(best.items()) if s >= MIN_SCORE]
 

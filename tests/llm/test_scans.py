@@ -109,6 +109,20 @@ def test_constants_reach_sensitive_names():
     assert found('k = "Q7w8E9r0T1y2"\nurl = "pre"\nauth_token = "${k}"') == ["Q7w8E9r0T1y2"]
 
 
+def test_constants_of_many_parts():
+    import time
+
+    rng = random.Random(3)
+    parts = ["".join(rng.choices("ABCDEFabcdef0123456789+/", k=40)) + "a1B" for _ in range(60)]
+    found = lambda t: [t[a:b] for _, a, b, _ in secret_scan.find_secrets(t)[1]]
+    assert found("".join(f'pem += "{x}"\n' for x in parts) + "private_key = pem") == parts
+    assert found('pem = "' + '" + "'.join(parts) + '"\nblob = pem + pem\nprivate_key = blob') == parts
+    start = time.time()
+    assert found('a = "x9Kd83jsLm20"\n' + "a = a + a\n" * 20_000 + "db_pwd = a") == ["x9Kd83jsLm20"]
+    found("".join(f'a += "{x}"\nb = a\ndb_pwd = b\n' for x in parts * 100))
+    assert time.time() - start < 20
+
+
 def test_tables(docs, empty):
     for scan, base, kinds in ((pii_crf.scan, pii_crf.BASE_KINDS, pii_crf.KINDS), (secret_scan.scan, secret_scan.KINDS[:3], secret_scan.KINDS)):
         found = scan(docs)
