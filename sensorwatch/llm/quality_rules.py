@@ -4,9 +4,12 @@ Method: every document gets a few text metrics. For each metric a mergeable
 quantile sketch is kept per (language, source): counts of logarithmic buckets,
 so that sketches merge by adding counts and a quantile is within 1 % of the
 true value. The upper fence of a group is its third quartile plus three
-interquartile ranges (at least a small slack); groups with few documents use
-the merged sketch of their language, or of all documents. Documents are joined
-with their group's fences and rejected if a metric is beyond one.
+interquartile ranges (at least a small slack). A group's quartiles are averaged
+with its language's, these counting as ``PRIOR`` documents, so that a fence
+varies smoothly with the number of documents; the quartiles of all documents
+stand beside a language's in the same way, but only ever loosen a fence: no
+document is rejected for being unlike other languages. Documents are joined with
+their group's fences and rejected if a metric is beyond one.
 
 The sketches are rows (group, metric, bucket, count) made by map-side partial
 sums: a group with a third of all documents sends at most one row per task and
@@ -48,8 +51,8 @@ SLACK = {
     "repeat_ratio": 0.20,
 }
 FENCE_RANGES = 3.0
-#: Groups with fewer documents than this use the sketch of a wider group.
-MIN_GROUP = 100
+#: Documents that the quartiles of the wider group count as.
+PRIOR = 100.0
 #: Ratio between the bounds of a sketch bucket: quantiles are within 1 %.
 GAMMA = 1.02
 
@@ -213,23 +216,26 @@ def thresholds(sketches: DataFrame) -> DataFrame:
     """One row per (lang, source): the upper fence of each metric."""
     quartiles = {"q1": 0.25, "q3": 0.75}
 
-    def fences(name: str, *keys: str) -> DataFrame:
-        part = quantiles(merge(sketches, *keys), list(keys), quartiles)
-        slack = F.create_map(*[F.lit(x) for pair in SLACK.items() for x in pair])[F.col("metric")]
-        fence = F.col("q3") + F.greatest(F.lit(FENCE_RANGES) * (F.col("q3") - F.col("q1")), slack)
-        return part.select(*keys, "metric", F.col("size").alias(f"size_{name}"), fence.alias(f"fence_{name}"))
+    def part(name: str, *keys: str) -> DataFrame:
+        found = quantiles(merge(sketches, *keys), list(keys), quartiles)
+        return found.select(*keys, "metric", *[F.col(c).alias(f"{c}_{name}") for c in ("size", *quartiles)])
 
-    own, by_lang, overall = fences("own", "lang", "source"), fences("lang", "lang"), fences("all")
+    def blend(name: str, wider: dict[str, Column]) -> dict[str, Column]:
+        size = F.col(f"size_{name}").cast("double")
+        return {q: (size * F.col(f"{q}_{name}") + PRIOR * wider[q]) / (size + PRIOR) for q in quartiles}
+
+    def above(at: dict[str, Column]) -> Column:
+        slack = F.create_map(*[F.lit(x) for pair in SLACK.items() for x in pair])[F.col("o.metric")]
+        return at["q3"] + F.greatest(F.lit(FENCE_RANGES) * (at["q3"] - at["q1"]), slack)
+
+    own, by_lang, overall = part("own", "lang", "source"), part("lang", "lang"), part("all")
     joined = (
         own.alias("o")
         .join(by_lang.alias("l"), F.expr("o.lang <=> l.lang AND o.metric = l.metric"))
         .join(overall.alias("a"), F.expr("o.metric = a.metric"))
     )
-    fence = (
-        F.when(F.col("size_own") >= MIN_GROUP, F.col("fence_own"))
-        .when(F.col("size_lang") >= MIN_GROUP, F.col("fence_lang"))
-        .otherwise(F.col("fence_all"))
-    )
+    of_lang, of_all = ({q: F.col(f"{q}_{name}") for q in quartiles} for name in ("lang", "all"))
+    fence = F.greatest(above(blend("own", of_lang)), above(blend("own", blend("lang", of_all))))
     rows = joined.select("o.lang", "o.source", "o.metric", fence.alias("fence"))
     found = [F.max(F.when(F.col("metric") == m, F.col("fence"))).alias(f"max_{m}") for m in SLACK]
     return rows.groupBy("lang", "source").agg(*found)

@@ -178,6 +178,25 @@ def test_quality_sketch_and_verdicts(spark, docs, empty):
     assert quality_rules.filter_documents(empty).count() == 0
 
 
+def test_few_documents_are_judged_by_their_own_language(spark):
+    english = [(i, f"line {i} has some plain words in it and goes on for a while, word{i} at the end", "en", "s0") for i in range(600)]
+    rare = [(1000 + i, " ".join(f"{'ab' * 15}{i}{k}" for k in range(12)), "th", f"s{i % 2}") for i in range(50)]
+    df = spark.createDataFrame(english + rare, "doc_id long, text string, lang string, source string")
+    assert quality_rules.filter_documents(df).count() == 650
+
+
+def test_fences_vary_smoothly_with_the_number_of_documents(spark):
+    fences = []
+    for n in (99, 100):  # a group beside others of its language with longer words
+        rows = [("en", "s", i, (100, 500 + i % 7, 0, 0, 0, 1, 0, 0)) for i in range(n)]
+        rows += [("en", "t", i, (100, 900 + i % 700, 0, 0, 0, 1, 0, 0)) for i in range(1000)]
+        metrics = ",".join(f"{c}:long" for c in quality_rules._COUNTS)
+        df = spark.createDataFrame(rows, f"lang string, source string, n long, metrics struct<{metrics}>")
+        found = quality_rules.thresholds(quality_rules.sketch(df)).where("source = 's'")
+        fences.append(found.first()["max_word_length"])
+    assert fences[0] == pytest.approx(fences[1], rel=0.01)
+
+
 def test_sketch_quantiles_merge(spark):
     values = [(float(i % 97) / 10 + 0.001) for i in range(2000)]
     metrics = spark.createDataFrame(
