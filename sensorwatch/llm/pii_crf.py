@@ -8,8 +8,9 @@ labels is trained on a small labelled table by full-batch gradient steps
 similar length. Base patterns with exact checks (given) are kept; spans that
 the CRF adds overlap none of them.
 
-A document's lines are decoded whole, lines of similar length together. Two
-spans never touch: a beginning follows an outside word.
+A document's lines are decoded whole, lines of similar length together. Spans
+may touch: a beginning follows any word, only an inside word needs its own kind
+before it.
 
 Training data: ``LABELLED``, at most ``MAX_ROWS`` rows of any table given
 instead, on the driver; the model (a few thousand weights) goes to the tasks.
@@ -37,7 +38,7 @@ LABELS = ["O", *[f"{p}-{k}" for k in KINDS for p in "BI"]]
 #: Rows of a labelled table that are read at most.
 MAX_ROWS = 5_000
 STEPS, RATE, PENALTY = 250, 1.0, 0.002
-#: A span's labels must lead "outside" by this much per word, transitions aside.
+#: A span's labels must lead "outside" by this much per word, transitions into, in and out of the span included.
 MIN_LEAD = 1.0
 #: Words remembered per Python worker.
 MEMO_WORDS = 300_000
@@ -151,9 +152,9 @@ class Crf:
     def __init__(self, index: dict[str, int], weights: np.ndarray, moves: np.ndarray, cues: frozenset[str]):
         self.index, self.weights, self.moves, self.cues = index, weights, moves, cues
         inner = moves.copy()
-        for j, label in enumerate(LABELS):  # inside follows only its own kind, a beginning only outside
+        for j, label in enumerate(LABELS):  # inside follows only its own kind
             for i, before in enumerate(LABELS):
-                if label[0] == "I" and before[2:] != label[2:] or label[0] == "B" and i:
+                if label[0] == "I" and before[2:] != label[2:]:
                     inner[i, j] = -1e4
         self.first = np.array([-1e4 if x[0] == "I" else 0.0 for x in LABELS])
         self.inner = inner
@@ -209,19 +210,29 @@ class Crf:
             for i, path in zip(group.tolist(), self._viterbi(scores, starts[group], lengths[group]), strict=True):
                 if path:
                     at_i = starts[i] + np.arange(len(path))
-                    out[i] = path, (scores[at_i, path] - scores[at_i, 0]).tolist()
+                    out[i] = path, self._leads(np.array(path), scores[at_i, path] - scores[at_i, 0]).tolist()
         return out
 
+    def _leads(self, path: np.ndarray, leads: np.ndarray) -> np.ndarray:
+        """The leads of a path's words with the transitions of their spans, against those of a span that is all outside."""
+        before, label = path[:-1], path[1:]
+        inside, move = (label > 0) & (label % 2 == 0), self.inner[before, label]
+        leads[1:] += np.where(label > 0, move - self.inner[np.where(inside, 0, before), 0], 0.0)
+        leads[:-1] += np.where((before > 0) & ~inside, move - self.inner[0, label], 0.0)
+        return leads
+
     def _viterbi(self, scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> list[list[int]]:
         """Best paths of lines of similar length, step by step for all of them (arrays are labels x lines)."""
         n, steps, move = len(starts), int(lengths.max()), self.inner.astype(np.float32)
         begin, inside = slice(1, None, 2), slice(2, None, 2)
         best = (scores[starts] + self.first).T.astype(np.float32)
         last = best.copy()
-        to_out, to_begin = move[:, 0][:, None], move[0, begin][:, None]
+        to_out, to_begin = move[:, 0][:, None], move[:, begin][:, :, None]
         begin_in, in_in = np.diag(move[begin, inside])[:, None], np.diag(move[inside, inside])[:, None]
         from_out = np.zeros((steps, n), dtype=np.int8)  # the label before an outside word
         from_in = np.zeros((steps, len(KINDS), n), dtype=bool)  # whether an inside word follows an inside word
+        scored = np.empty((steps, *best.shape), dtype=np.float32)  # for the label before a beginning, on the paths alone
+        scored[0] = best
         for t in range(1, steps):
             leave = best + to_out
             from_out[t] = leave.argmax(axis=0)
@@ -229,9 +240,10 @@ class Crf:
             from_in[t] = after_in > after_begin
             new = np.empty_like(best)
             new[0] = leave.max(axis=0)
-            new[begin] = best[0] + to_begin
+            new[begin] = (best[:, None] + to_begin).max(axis=0)
             new[inside] = np.maximum(after_begin, after_in)
             best = new + scores[np.minimum(starts + t, len(scores) - 1)].T
+            scored[t] = best
             live = t < lengths
             last[:, live] = best[:, live]
         label = last.argmax(axis=0)
@@ -242,7 +254,10 @@ class Crf:
             paths[:, t] = np.where(live, label, 0)
             kind = np.maximum(label - 1, 0) // 2
             inner = np.where(from_in[t, kind, lines], 2 * kind + 2, 2 * kind + 1)
-            before = np.where(label == 0, from_out[t], np.where(label % 2 == 1, 0, inner))
+            before = np.where(label == 0, from_out[t], inner)
+            at = np.flatnonzero(live & (label % 2 == 1))
+            if t and len(at):
+                before[at] = (scored[t - 1][:, at] + move[:, label[at]]).argmax(axis=0)
             label = np.where(live, before, label)
         some = paths.any(axis=1)
         return [paths[i, : lengths[i]].tolist() if some[i] else [] for i in range(n)]

@@ -60,6 +60,27 @@ _MARKED = [
     "IBAN [id|DE89370400440532013000] for payment",
     "iban: [id|GB29 NWBK 6016 1331 9268 19]",
     "my passport is [id|X4RTBPFW4] thanks",
+    "Name: [name|Paul Weber], [phone|555-0182-334]",
+    "Customer name: [name|Lena Novak], [phone|(212) 555-0144]",
+    "Mrs. [name|Maria Jones] [email|maria (at) example (dot) com]",
+    "Mr. [name|Carl Fischer] [email|carl.f@mail.example.com] [phone|212-555-0163]",
+    "Dr. [name|Sofia Baker], [email|s.baker@example.org], [phone|0171 5550 4321]",
+    "Patient name: [name|Tom Garcia], [id|123-45-6780]",
+    "My name is [name|Rosa Olsen], [id|321-54-9871], [phone|555-0110-872]",
+    "ssn: [id|219-09-9990], [phone|212.555.0177]",
+    "phone: [phone|212-555-0190] [email|eva-1991@web.example.de]",
+    "email: [email|peter (at) example (dot) org] [phone|030 555 0142 99]",
+    "login from ip [ip|198.51.100.24] [email|j.smith@example.com]",
+    "Mrs. [name|Lena Berg] [email|lena (at) example (dot) net]",
+    "Mr. [name|Peter Smith] [email|peter (at) example (dot) org] wrote",
+    "Dr. [name|Olsen] [email|olsen (at) example (dot) org]",
+    "Mr. [name|Weber] lives at home, call [phone|555-0143-229]",
+    "Mrs. [name|Sofia Martin] [phone|555-0171-402] called again",
+    "Mrs. [name|Anna Baker] [email|anna (at) example (dot) org] [phone|555-0199-310]",
+    "Mrs. [name|Rosa Miller] and Mr. [name|Paul Novak] are here",
+    "Mr. [name|John Garcia] [id|123-45-6781]",
+    "Dear Mrs. [name|Maria Olsen] [email|m.olsen@example.com]",
+    "Dr. [name|Tom Fischer] [email|tom (at) example dot net] will see you",
     "Released under the MIT License.",
     "Licensed under the Apache License, Version 2.0.",
     "Distributed under the GNU General Public License, version 3.",

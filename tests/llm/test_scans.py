@@ -78,6 +78,22 @@ def test_field_on_held_out_rows():
     assert flagged <= 3
 
 
+def test_adjacent_items_are_told_apart():
+    rows = [
+        ("Name: John Miller, 555-0143-221", [("name", "John Miller"), ("phone", "555-0143-221")]),
+        ("Mrs. Eva Klein eva (at) example (dot) org", [("name", "Eva Klein"), ("email", "eva (at) example (dot) org")]),
+        ("Patient name: Anna Black, 987-65-4320", [("name", "Anna Black"), ("id", "987-65-4320")]),
+        ("ssn: 111-22-3333, 212-555-0121", [("id", "111-22-3333"), ("phone", "212-555-0121")]),
+    ]
+    for text, want in rows:
+        ((base, added),) = pii_crf.find_all([text], FIELD)
+        got = sorted([(a, k, text[a:b]) for k, a, b, _ in added] + [(a, k, text[a:b]) for k, a, b in base])
+        assert [g[1:] for g in got] == want
+    at = {x: i for i, x in enumerate(pii_crf.LABELS)}
+    assert FIELD.inner[at["I-name"], at["B-phone"]] > -100 and FIELD.inner[at["B-id"], at["B-id"]] > -100
+    assert FIELD.inner[at["B-name"], at["I-phone"]] < -1000
+
+
 def test_training_rows_are_learned():
     wrong = 0
     for row in pii_labelled.LABELLED:
