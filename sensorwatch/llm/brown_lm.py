@@ -306,12 +306,26 @@ _COUNTED = "home int, " + ", ".join(f"{c} binary" for c in _PACKED)
 _STATE = _COUNTED + ", bigrams array<bigint>, types array<bigint>"
 
 
+def _squeeze(values: np.ndarray, dtype, rising: bool = False) -> bytes:
+    """Packed numbers; of ``rising`` ones the differences."""
+    values = np.asarray(values).astype(dtype)
+    data = (np.diff(values, prepend=values.dtype.type(0)) if rising else values).tobytes()
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _loosen(data: bytes, dtype, rising: bool = False) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    out = np.frombuffer(pa.decompress(data[8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b"", dtype=dtype)
+    return np.cumsum(out, dtype=dtype) if rising else out
+
+
 def _pack(**arrays: np.ndarray) -> list[bytes]:
-    return [np.asarray(arrays[c]).astype(t).tobytes() for c, t in _PACKED.items()]
+    """The places must rise."""
+    return [_squeeze(arrays[c], t, c == "places") for c, t in _PACKED.items()]
 
 
 def _unpack(row: dict) -> dict[str, np.ndarray]:
-    return {c: np.frombuffer(row[c], dtype=t) for c, t in _PACKED.items()}
+    return {c: _loosen(row[c], t, c == "places") for c, t in _PACKED.items()}
 
 
 def _binaries(rows: list, k: int) -> pa.Array:
@@ -332,7 +346,7 @@ def word_homes(bucketed: DataFrame, n: int) -> DataFrame:
         block, number, place = column("block")[order], column("number")[order], place[order]
         starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
         routes = [
-            {"block": int(block[a]), "numbers": number[a:b].astype(np.uint32).tobytes(), "places": place[a:b].astype(np.uint32).tobytes()}
+            {"block": int(block[a]), "numbers": _squeeze(number[a:b], np.uint32, True), "places": _squeeze(place[a:b], np.uint32)}
             for a, b in zip(starts, [*starts[1:], len(block)], strict=True)
         ]
         route = pa.struct([("block", pa.int64()), ("numbers", pa.binary()), ("places", pa.binary())])
@@ -432,9 +446,10 @@ _ODD = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 
 
 def classed_words(
-    homes: DataFrame, state: DataFrame | None, start: np.ndarray, bigrams: np.ndarray | None = None, share: float = 0.0, sweep: int = 0, n: int = 1
+    homes: DataFrame, state: DataFrame | None, start: np.ndarray, bigrams: np.ndarray | None = None, share: float = 0.0, sweep: int = 0, n: int = 1,
+    with_counts: bool = False,
 ) -> DataFrame:
-    """Per block and home the numbers, classes and counts of the words: of ``state`` after moves, own and unknown ones by bucket."""
+    """Per block and home the numbers, classes and, if asked for, counts of the words: of ``state`` after moves, own and unknown ones by bucket."""
     names = [x.split()[0] for x in _CLASSED.split(", ")]
     if state is None:
         joined = homes.select("*", *[F.lit(None).cast("binary").alias(c) for c in _PACKED])
@@ -455,8 +470,9 @@ def classed_words(
                     classes[places[free]] = moved[free]
                 rows = []
                 for r in row["routes"]:
-                    places = np.frombuffer(r["places"], dtype=np.uint32)
-                    rows.append((r["block"], row["home"], r["numbers"], r["places"], classes[places].tobytes(), counts[places].tobytes()))
+                    places = _loosen(r["places"], np.uint32)
+                    count = _squeeze(counts[places], np.int64) if with_counts else None
+                    rows.append((r["block"], row["home"], r["numbers"], r["places"], _squeeze(classes[places], np.uint8), count))
                 columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32())]
                 yield pa.RecordBatch.from_arrays([*columns, *[_binaries(rows, k) for k in range(2, 6)]], names=names)
 
@@ -465,10 +481,10 @@ def classed_words(
 
 def _by_number(words: pa.Table, column: str, dtype) -> np.ndarray:
     """A block's values by local number."""
-    numbers = [np.frombuffer(x, dtype=np.uint32) for x in words.column("numbers").to_pylist()]
+    numbers = [_loosen(x, np.uint32, True) for x in words.column("numbers").to_pylist()]
     out = np.zeros(1 + max((int(x.max()) for x in numbers), default=-1), dtype=dtype)
     for at, data in zip(numbers, words.column(column).to_pylist(), strict=True):
-        out[at] = np.frombuffer(data, dtype=dtype)
+        out[at] = _loosen(data, dtype)
     return out
 
 
@@ -490,14 +506,16 @@ def word_neighbours(texts: DataFrame, classed: DataFrame) -> DataFrame:
         own = np.bincount(after[before == after], minlength=len(of))
         rows = []
         for row in words.select(["home", "numbers", "places", "classes"]).to_pylist():
-            number, places = np.frombuffer(row["numbers"], dtype=np.uint32), np.frombuffer(row["places"], dtype=np.uint32)
+            places = _loosen(row["places"], np.uint32)
+            order = np.argsort(places)
+            places, number = places[order], _loosen(row["numbers"], np.uint32, True)[order]
             counts = np.concatenate([left[number], right[number]], axis=1)
             some = counts.any(axis=1)
             counts = counts[some]
             if len(counts):
                 w, codes = np.nonzero(counts)
                 sizes = np.bincount(w, minlength=len(counts))
-                packed = _pack(places=places[some], classes=np.frombuffer(row["classes"], dtype=np.uint8)[some],
+                packed = _pack(places=places[some], classes=_loosen(row["classes"], np.uint8)[order][some],
                                own=own[number][some], sizes=sizes, codes=codes, values=counts[w, codes])
                 rows.append((row["home"], *packed))
         columns = [pa.array([r[0] for r in rows], pa.int32()), *[_binaries(rows, 1 + i) for i in range(len(_PACKED))]]
@@ -659,7 +677,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
         columns = [docs.column("doc_id"), docs.column("held_out"), pa.array(lengths, pa.int64()), pa.array(known, pa.int64())]
         return pa.Table.from_arrays([*columns, pa.array(logs, pa.float64()), pa.array(sums, pa.float64())], names=names)
 
-    words = classed_words(homes, state, start)
+    words = classed_words(homes, state, start, with_counts=True)
     scored = texts.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, score double"
     )
