@@ -9,6 +9,7 @@ from .mixing import op3_entropy_mix
 from .near_dedup import op8_near_dedup
 from .pii_crf import op1_pii_crf
 from .quality_rules import op9_quality_rules
+from .resampling import OP12_SQL, op12_importance_resampling
 from .secret_scan import op2_secret_scan
 from .sentencepiece_bpe import op5_sentencepiece
 from .token_files import op10_token_files
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_files": op10_token_files,
+    "op12_importance_resampling": op12_importance_resampling,
 }
 
-ORACLE = {"op4_block_dedup": OP4_SQL, "op7_chat_format": OP7_SQL}
+ORACLE = {"op4_block_dedup": OP4_SQL, "op7_chat_format": OP7_SQL, "op12_importance_resampling": OP12_SQL}
