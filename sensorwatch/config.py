@@ -57,8 +57,9 @@ class AlertSettings:
     measures: tuple[str, ...] = (SENSOR_TEMPERATURE, SENSOR_HUMIDITY)
     temperature_codes: tuple[int, ...] = TEMPERATURE_CODES
     topics: Topics = field(default_factory=Topics)
-    # Quantiles of the rules' bounds at which the rule join cuts a measure axis.
-    rule_bins: int = 32
+    # Cuts of a measure axis by the rule join (quantiles of the rules' bounds), and children of a tree node.
+    rule_bins: int = 63
+    rule_fanout: int = 12
     # Time zone of the text timestamps in alert messages; None = session zone.
     message_time_zone: str | None = None
 

@@ -228,6 +228,20 @@ FROM rules JOIN averages
 GROUP BY id, code"""
 
 
+def part_rule_hits_sql() -> str:
+    return f"""WITH {_readings_cte()},{_windows_cte(HOUR, False)},
+rules AS (
+  SELECT CAST(p_partkey AS INTEGER) AS id, 100 + p_size AS code, p_name AS message,
+         15 + (p_partkey * 37 % 7000) / 100e0 AS h_lo, 15 + (p_partkey * 37 % 7000) / 100e0 + 2 + p_size / 10e0 AS h_hi,
+         25 + (p_partkey * 53 % 2000) / 100e0 AS t_lo, 25 + (p_partkey * 53 % 2000) / 100e0 + 1 + p_size / 20e0 AS t_hi
+  FROM part
+)
+SELECT id, code, message, count(*) AS n_windows, min(window_start) AS first_start,
+       max(avg_humidity) AS max_humidity, max(avg_temperature) AS max_temperature
+FROM rules JOIN averages ON avg_humidity BETWEEN h_lo AND h_hi AND avg_temperature BETWEEN t_lo AND t_hi
+GROUP BY id, code, message"""
+
+
 ORACLE: dict[str, str] = {
     "decode_readings": decode_readings_sql(),
     "decode_event_time": decode_event_time_sql(),
@@ -247,4 +261,5 @@ ORACLE: dict[str, str] = {
     "stream_late_data": stream_late_data_sql(),
     "stream_alerts_emitted": stream_alerts_emitted_sql(),
     "supplier_rule_hits": supplier_rule_hits_sql(),
+    "part_rule_hits": part_rule_hits_sql(),
 }

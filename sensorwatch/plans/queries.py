@@ -23,7 +23,7 @@ from ..functions.timecols import (
     utc_wall_to_instant,
     utc_wall_to_instant_sql,
 )
-from ..operators.rule_join import match_rules
+from ..operators.rule_join import Axes, match_rules, rule_axes
 from ..operators.windows import flatten_window, window_averages
 from ..session import run_dir
 from ..sources.events import read_events, read_events_stream, readings_from_events
@@ -37,8 +37,16 @@ PINNED_SENT_AT = "2025-03-04T05:06:07.089012"
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+#: Cuts of the packaged rules, which do not change while an application runs.
+_PACKAGED_AXES: dict[tuple, Axes] = {}
+
+
 def _match(averages: DataFrame, spark: SparkSession, settings: AlertSettings = DEFAULT) -> DataFrame:
-    return match_rules(averages, read_rules(spark), settings)
+    rules = read_rules(spark)
+    version = (spark.sparkContext.applicationId, settings)
+    if version not in _PACKAGED_AXES:
+        _PACKAGED_AXES[version] = rule_axes(rules, settings)
+    return match_rules(averages, rules, settings, _PACKAGED_AXES[version])
 
 
 def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,6 +268,33 @@ def supplier_rule_hits_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def part_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule per part, by a fixed rule: narrow, mostly different bounds on both axes."""
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    humidity, temperature = "15 + (p_partkey * 37 % 7000) / 100D", "25 + (p_partkey * 53 % 2000) / 100D"
+    return parts.selectExpr(
+        "CAST(p_partkey AS INT) AS id",
+        f"{humidity} AS humidity_min",
+        f"{humidity} + 2 + p_size / 10D AS humidity_max",
+        f"{temperature} AS temperature_min",
+        f"{temperature} + 1 + p_size / 20D AS temperature_max",
+        "100 + p_size AS code",
+        "p_name AS message",
+    )
+
+
+def part_rule_hits_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As :func:`supplier_rule_hits_q`, for a rule per part, each bounded on both axes, over hourly windows."""
+    averages = window_averages(_readings(spark, sf_dir), HOURLY)
+    alerts = flatten_window(match_rules(averages, part_rules(spark, sf_dir)))
+    return alerts.groupBy("id", "code", "message").agg(
+        F.count("*").alias("n_windows"),
+        F.min("window_start").alias("first_start"),
+        F.max("avg_humidity").alias("max_humidity"),
+        F.max("avg_temperature").alias("max_temperature"),
+    )
+
+
 QUERIES: dict[str, QueryFn] = {
     "decode_readings": decode_readings_q,
     "decode_event_time": decode_event_time_q,
@@ -279,4 +314,5 @@ QUERIES: dict[str, QueryFn] = {
     "stream_late_data": stream_late_data_q,
     "stream_alerts_emitted": stream_alerts_emitted_q,
     "supplier_rule_hits": supplier_rule_hits_q,
+    "part_rule_hits": part_rule_hits_q,
 }

@@ -46,10 +46,13 @@ def read_rules(spark: SparkSession, path: str | None = None, infer_schema: bool
     ``spark.read.csv(header, inferSchema)`` does, at the cost of one extra
     pass over the file when the plan is built.
     """
+    own = path is None
     path = path or _packaged_rules_path(spark)
     reader = spark.read.option("header", "true")
     if infer_schema:
         return reader.option("inferSchema", "true").csv(path)
+    if own:  # its header is known, so no job reads it
+        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in RULE_COLUMNS]))
     cells = reader.csv(path)
     missing = [c for c in RULE_COLUMNS if c not in cells.columns]
     if missing:

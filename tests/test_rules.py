@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorwatch.config import AlertSettings
-from sensorwatch.operators.rule_join import match_rules, rule_candidates
+from sensorwatch.operators.rule_join import _list_rules, _salted, hot_nodes, list_windows, match_rules, rule_axes, rule_candidates
 from sensorwatch.sources.rules import RULE_COLUMNS, RULE_SCHEMA, read_rules
 
 AVG_SCHEMA = "window struct<start: timestamp, end: timestamp>, avg_temperature double, avg_humidity double"
@@ -177,6 +177,55 @@ def test_pairs_with_unused_rules(spark):
     assert both == narrow + 20 * 3_600 and alerts > 20 * 3_600
 
 
+def test_pairs_of_rules_on_both_axes(spark):
+    pairs, alerts, every = _pairs(spark, NARROW)
+    assert 0 < alerts <= pairs <= 2 * alerts and pairs < every / 50
+    # more bounds than cuts: a cell at a range's end is shared
+    many = [(i, 15 + i * 37 % 6400 / 100, 17 + i * 37 % 6400 / 100, 25 + i * 53 % 1800 / 100, 26.5 + i * 53 % 1800 / 100, 100, "x") for i in range(2_000)]
+    pairs, alerts, every = _pairs(spark, many)
+    assert 0 < alerts <= pairs <= 2 * alerts and pairs < every / 50
+
+
+@pytest.mark.parametrize("fanout,bins", [(2, 16), (3, 128), (16, 400)])
+def test_trees_of_any_depth(spark, fanout, bins):
+    settings = AlertSettings(rule_bins=bins, rule_fanout=fanout)
+    rnd = random.Random(fanout)
+    rules = [(i, rnd.choice([U, rnd.uniform(10, 90)]), rnd.choice([U, rnd.uniform(10, 90)]), rnd.uniform(20, 45), rnd.choice([U, 50, 33.0]), 1, "r") for i in range(150)]
+    rules += [(200, -1e9, 1e9, -1e9, 1e9, 2, "wide"), (201, 40.0, 40.0, 30.0, 30.0, 3, "point"), (202, 50, 10, U, U, 4, "none")]
+    avgs = [(rnd.choice([None, 30.0, rnd.uniform(20, 50)]), rnd.choice([None, 40.0, rnd.uniform(0, 100)])) for _ in range(300)]
+    adf = spark.createDataFrame([((None, None), t, h, i) for i, (t, h) in enumerate(avgs)], AVG_SCHEMA + ", n int")
+    got = match_rules(adf, _rules(spark, rules), settings)
+    assert sorted((r.id, r.n) for r in got.select("id", "n").collect()) == _brute(avgs, rules)
+
+
+def test_a_rule_is_listed_at_few_nodes(spark):
+    rules = _rules(spark, NARROW + [(999, -500, 500, -500, 500, 1, "wide")])
+    axes = rule_axes(rules)
+    assert [axes.levels(i) for i in range(2)] == [2, 2]
+    listed = {r.id: r["count"] for r in _list_rules(rules, axes, AlertSettings()).groupBy("id").count().collect()}
+    most = 2 * (axes.fanout - 1) * 2
+    assert max(listed.values()) <= most**2 and sum(listed.values()) < 120 * len(listed) and len(listed) == 501
+    assert len(axes.combinations()) == 4  # levels of one axis times those of the other
+
+
+def test_hot_nodes_are_dealt_over_salts(spark):
+    avgs = _grid(spark).withColumn("avg_humidity", F.expr("IF(unix_seconds(window.start) % 180 = 0, 50.0, avg_humidity)"))
+    rules = _rules(spark, [(i, 49.5 - i % 40, 50.5 + i % 40, U, U, 100, "h") for i in range(400)])
+    axes = rule_axes(rules)
+    hot = hot_nodes(avgs, axes)
+    assert hot
+    plain, dealt = match_rules(avgs, rules, axes=axes), match_rules(avgs, rules, axes=axes, hot=hot)
+    assert plain.count() == dealt.count() > 0 and plain.exceptAll(dealt).count() == 0
+
+    def largest(found):
+        listed = _salted(list_windows(avgs, axes), found, False)
+        keys = [c for c in listed.columns if c.startswith("_rj_")]
+        sizes = sorted(r["count"] for r in listed.groupBy(F.pmod(F.hash(*keys), F.lit(32))).count().collect())
+        return sizes[-1] / sizes[len(sizes) // 2]
+
+    assert largest(hot) < 5 < largest([])
+
+
 def test_one_plan_for_every_size(spark):
     def joins(n):
         plan = match_rules(_grid(spark), _rules(spark, NARROW[:1] * n))._jdf.queryExecution().executedPlan().toString()
@@ -202,8 +251,8 @@ def test_no_rules_and_other_columns(spark):
     assert match_rules(avgs, _rules(spark, [])).count() == 0
     out = match_rules(avgs, read_rules(spark).withColumn("_owner", F.lit("x"))).collect()
     assert [r["_owner"] for r in out] == ["x", "x"]
-    with pytest.raises(ValueError, match="_cell"):
-        match_rules(avgs, read_rules(spark).withColumn("_cell", F.lit(1)))
+    with pytest.raises(ValueError, match="_rj_x"):
+        match_rules(avgs, read_rules(spark).withColumn("_rj_x", F.lit(1)))
 
 
 def test_output_columns(spark):
