@@ -9,17 +9,19 @@ per-reading ``Expand`` of a plain ``groupBy(window(...))`` is thus replaced by
 an expansion of pane rows, and a hot pane (one instant holding a large share
 of all readings) is reduced map-side before it is shuffled.
 
-Streaming plan: ``groupBy(window(...))`` with ``avg(when(...))``, the form
-Spark's state store and watermark eviction expect.
+Streaming plan: ``groupBy(window(...))`` with sums and counts per measure (the
+state of a window, see ``streaming.monitor.state_rows``), then the division.
 
-Both give the same rows: sums of integer readings are exact in a double up to
-2^53, so ``sum / count`` equals Spark's ``avg``.
+Both give the same rows: integer readings are summed exactly (BIGINT, longs as
+DECIMAL) and become a double only at the division, so the order in which
+partial sums meet plays no part. Readings with fractions are summed as doubles.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import DEFAULT, AlertSettings
 from ..functions.timecols import duration_micros, instant_to_utc_wall_sql, pane_micros
@@ -29,6 +31,15 @@ def _keys(by_sensor: bool) -> list[Column]:
     return [F.col("id").alias("sensor_id")] if by_sensor else []
 
 
+def sum_type(value: T.DataType) -> str:
+    """The type in which readings are summed: exact for whole numbers (of 2^32 readings of any INT, 10^10 of any BIGINT)."""
+    if isinstance(value, (T.ByteType, T.ShortType, T.IntegerType)):
+        return "BIGINT"
+    if isinstance(value, T.LongType):
+        return "DECIMAL(20, 0)"
+    return value.simpleString() if isinstance(value, T.DecimalType) else "DOUBLE"
+
+
 def window_averages(
     readings: DataFrame,
     settings: AlertSettings = DEFAULT,
@@ -43,24 +54,23 @@ def window_averages(
     NULL time are in no window. ``by_sensor`` adds the reading's ``id`` as
     ``sensor_id`` to the grouping.
     """
-    measures = settings.measures
+    measures, keys = settings.measures, ["sensor_id"] if by_sensor else []
+    kind = sum_type(readings.schema["value"].dataType)
+    partial = []
+    for m in measures:
+        hit = f"sensor = {_quote(m)}"
+        partial.append(F.expr(f"sum(CASE WHEN {hit} THEN CAST(value AS {kind}) END) AS `_s_{m}`"))
+        partial.append(F.expr(f"count(CASE WHEN {hit} THEN value END) AS `_n_{m}`"))
     if readings.isStreaming:
         grouped = readings.groupBy(F.window(time_col, settings.window, settings.slide).alias("window"), *_keys(by_sensor))
-        return grouped.agg(
-            *[F.expr(f"avg(CASE WHEN sensor = {_quote(m)} THEN value END) AS `avg_{m}`") for m in measures]
-        )
+        averages = [f"try_divide(CAST(`_s_{m}` AS DOUBLE), `_n_{m}`) AS `avg_{m}`" for m in measures]
+        return grouped.agg(*partial).selectExpr("window", *keys, *averages)
 
     length, slide = duration_micros(settings.window), duration_micros(settings.slide)
     pane = pane_micros(settings.window, settings.slide)
-    keys = ["sensor_id"] if by_sensor else []
 
     # stage 1, per reading: sums and counts per pane (BIGINT start, microseconds)
     us = f"unix_micros(`{time_col}`)"
-    partial = []
-    for m in measures:
-        hit = f"sensor = {_quote(m)}"
-        partial.append(F.expr(f"sum(CASE WHEN {hit} THEN CAST(value AS DOUBLE) END) AS `_s_{m}`"))
-        partial.append(F.expr(f"count(CASE WHEN {hit} THEN value END) AS `_n_{m}`"))
     panes = readings.groupBy(F.expr(f"{us} - pmod({us}, {pane}) AS _pane"), *_keys(by_sensor)).agg(*partial)
 
     # stage 2, per pane: the windows that hold it. Window starts are multiples
@@ -79,7 +89,7 @@ def window_averages(
     )
     expanded = panes.selectExpr("*", f"explode(sequence(0, {n - 1})) AS _k")
     out = expanded.groupBy(F.expr(window), *keys).agg(
-        *[F.expr(f"try_divide(sum(`_s_{m}`), sum(`_n_{m}`)) AS `avg_{m}`") for m in measures],
+        *[F.expr(f"try_divide(CAST(sum(`_s_{m}`) AS DOUBLE), sum(`_n_{m}`)) AS `avg_{m}`") for m in measures],
         F.expr(f"max(CASE WHEN {keep} THEN 1 ELSE 0 END) AS _ok"),
     )
     return out.where("_ok = 1").select("window", *keys, *[f"avg_{m}" for m in measures])

@@ -112,7 +112,7 @@ def alert_routing_sql() -> str:
     )
 
 
-def alert_messages_sql() -> str:
+def alert_messages_sql(where: str = "") -> str:
     def num(c: str) -> str:
         return f"coalesce(CAST({c} AS VARCHAR), 'null')"
 
@@ -125,7 +125,7 @@ def alert_messages_sql() -> str:
         + """ || ',"code":' || """ + num("code") + """ || ',"message":"' || message || '","timestamp":"""
         + '"2025-03-04T05:06:07.089012"' + """}'"""
     )
-    return alerts_sql().replace("SELECT * FROM alerts", f"SELECT {_topic_case()} AS topic, {value} AS value FROM alerts")
+    return alerts_sql(where=where).replace("SELECT * FROM alerts", f"SELECT {_topic_case()} AS topic, {value} AS value FROM alerts")
 
 
 def decode_readings_sql() -> str:
@@ -148,22 +148,20 @@ def encode_readings_sql() -> str:
     return f"WITH {_readings_cte(truncate=False)}\nSELECT 'building_sensors' AS topic, {value} AS value, 38 AS key_length, true AS key_quoted FROM readings"
 
 
+# append mode emits a window once the watermark (max event time - delay) reaches its end
+_CLOSED = f"WHERE epoch_us(window_end) <= (SELECT max(epoch_us(t)) FROM readings) - {WATERMARK}"
+
+
 def stream_alerts_append_sql(by_sensor: bool = False) -> str:
-    # append mode emits a window once the watermark (max event time - delay) reaches its end
-    where = (
-        "WHERE epoch_us(window_end) <= "
-        f"(SELECT max(epoch_us(t)) FROM readings) - {WATERMARK}"
-    )
-    return alerts_sql(by_sensor=by_sensor, where=where)
+    return alerts_sql(by_sensor=by_sensor, where=_CLOSED)
 
 
-def stream_late_data_sql() -> str:
+def _late_ctes() -> str:
     # per delivery period: the watermark in force is the newest event time of
     # all earlier periods minus the delay; a (reading, window) pair is late when
     # the window ends at or before it
     length, slide = MINUTE
     n = math.ceil(length / slide)
-    avgs = ",\n         ".join(f"avg(CASE WHEN sensor = '{m}' THEN value END) AS avg_{m}" for m in MEASURES)
     arrival = (
         f"floor(CAST(epoch_us(ts) + CAST(floor(coalesce(value, 0)) AS BIGINT) * 60000000 AS DOUBLE)"
         f" / CAST(432000000000 AS DOUBLE))"
@@ -181,7 +179,13 @@ expanded AS (
   SELECT (epoch_us(t) // {slide}) * {slide} - g.k * {slide} AS ws, epoch_us(t) AS tu, sensor, value, m.wm
   FROM readings JOIN marks m USING (period) CROSS JOIN range({n}) AS g(k)
   WHERE t IS NOT NULL
-)
+)"""
+
+
+def stream_late_data_sql() -> str:
+    avgs = ",\n       ".join(f"avg(CASE WHEN sensor = '{m}' THEN value END) AS avg_{m}" for m in MEASURES)
+    length = MINUTE[0]
+    return f"""{_late_ctes()}
 SELECT make_timestamp(ws) AS window_start, make_timestamp(ws + {length}) AS window_end,
        {avgs}
 FROM expanded
@@ -189,7 +193,21 @@ WHERE ws + {length} > tu AND (wm IS NULL OR ws + {length} > wm)
 GROUP BY ws"""
 
 
-def stream_alerts_emitted_sql() -> str:
+def stream_late_audit_sql() -> str:
+    # a late window counts once a run; before the first run the watermark is the epoch
+    length = MINUTE[0]
+    return f"""{_late_ctes()},
+late AS (
+  SELECT period, count(DISTINCT ws) AS n FROM expanded
+  WHERE ws + {length} > tu AND ws + {length} <= wm GROUP BY period
+),
+sizes AS (SELECT period, count(*) AS n FROM readings WHERE t IS NOT NULL GROUP BY period)
+SELECT CAST(row_number() OVER (ORDER BY period) - 1 AS INTEGER) AS run, CAST(period AS BIGINT) AS period,
+       make_timestamp(coalesce(wm, 0)) AS watermark, coalesce(late.n, 0) AS windows_dropped, sizes.n AS readings
+FROM marks JOIN sizes USING (period) LEFT JOIN late USING (period)"""
+
+
+def _emitted_ctes() -> str:
     # one run per 5 days of event time, in order: a run emits the windows of the sensors it has
     # readings for, with the sums over this and all earlier runs
     length, slide = TEN_DAYS
@@ -206,11 +224,46 @@ cells AS (
 emitted AS (
   SELECT make_timestamp(ws) AS window_start, make_timestamp(ws + {length}) AS window_end, id AS sensor_id, emission, {avgs}
   FROM cells WINDOW w AS (PARTITION BY ws, id ORDER BY emission ROWS UNBOUNDED PRECEDING)
-),{_rules_cte()}
+),{_rules_cte()}"""
+
+
+def stream_alerts_emitted_sql() -> str:
+    return f"""{_emitted_ctes()}
 SELECT window_start, window_end, sensor_id, r.id, r.code, avg_temperature, avg_humidity, emission
 FROM rules r JOIN emitted ON {_predicate()}"""
 
 
+def stream_alert_transitions_sql() -> str:
+    # a rule's verdict per emission of a window against the one before it
+    return f"""{_emitted_ctes()},
+verdicts AS (
+  SELECT emitted.*, r.id, r.code, coalesce({_predicate()}, false) AS fires FROM emitted CROSS JOIN rules r
+),
+changes AS (
+  SELECT *, coalesce(lag(fires) OVER (PARTITION BY window_start, sensor_id, id ORDER BY emission), false) AS fired FROM verdicts
+)
+SELECT window_start, window_end, sensor_id, id, code, CASE WHEN fires THEN 'raised' ELSE 'cleared' END AS change,
+       avg_temperature, avg_humidity, emission
+FROM changes WHERE fires <> fired"""
+
+
+def stream_state_rows_sql() -> str:
+    length, slide = TEN_DAYS
+    sums = ", ".join(
+        f"CAST(sum(CASE WHEN sensor = '{m}' THEN value END) AS BIGINT) AS sum_{m}, count(CASE WHEN sensor = '{m}' THEN value END) AS count_{m}"
+        for m in MEASURES
+    )
+    return f"""WITH {_readings_cte()},
+expanded AS (
+  SELECT (epoch_us(t) // {slide}) * {slide} - g.k * {slide} AS ws, id, sensor, value
+  FROM readings CROSS JOIN range(2) AS g(k) WHERE t IS NOT NULL
+)
+SELECT make_timestamp(ws) AS window_start, make_timestamp(ws + {length}) AS window_end, id AS sensor_id, {sums}
+FROM expanded
+WHERE ws + {length} > (SELECT max(epoch_us(t)) FROM readings) - {WATERMARK}
+GROUP BY ws, id"""
+
+
 def supplier_rule_hits_sql() -> str:
     return f"""WITH {_readings_cte()},{_windows_cte(MINUTE, False)},
 rules AS (
@@ -260,6 +313,10 @@ ORACLE: dict[str, str] = {
     "stream_alerts_by_sensor": stream_alerts_append_sql(by_sensor=True),
     "stream_late_data": stream_late_data_sql(),
     "stream_alerts_emitted": stream_alerts_emitted_sql(),
+    "stream_late_audit": stream_late_audit_sql(),
+    "stream_alert_transitions": stream_alert_transitions_sql(),
+    "stream_state_rows": stream_state_rows_sql(),
+    "stream_publish_once": alert_messages_sql(_CLOSED),
     "supplier_rule_hits": supplier_rule_hits_sql(),
     "part_rule_hits": part_rule_hits_sql(),
 }

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +29,7 @@ from ..operators.windows import flatten_window, window_averages
 from ..session import run_dir
 from ..sources.events import read_events, read_events_stream, readings_from_events
 from ..sources.rules import read_rules
-from ..streaming import jobs, sinks
+from ..streaming import alerts, jobs, monitor, sinks
 
 # Fixed send time of the messages in the `alert_messages` query, so that the
 # oracle can state the whole message.
@@ -114,8 +115,10 @@ def _state_partitions(spark: SparkSession) -> int:
 
 
 def _start_update_changelog(spark: SparkSession, averages: DataFrame, base: str):
+    # every fifth batch makes a snapshot; readers take the latest one and the batches after it
     return sinks.start_changelog(
-        averages, f"{base}/changelog", f"{base}/checkpoint", "update", state_partitions=_state_partitions(spark)
+        averages, f"{base}/changelog", f"{base}/checkpoint", "update", state_partitions=_state_partitions(spark),
+        compact_keys=["window"], compact_every=5,
     )
 
 
@@ -134,8 +137,7 @@ def stream_window_avg_update_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = run_dir(spark, "stream_window_avg_update")
     averages = jobs.averages_stream(jobs.event_file_readings(spark, sf_dir), DEFAULT)
     _drain(_start_update_changelog(spark, averages, base))
-    log = sinks.read_changelog(spark, f"{base}/changelog", averages.schema)
-    return flatten_window(sinks.latest_rows(log, ["window"]))
+    return flatten_window(sinks.read_current(spark, f"{base}/changelog", averages.schema, ["window"]))
 
 
 def stream_alerts_update_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,25 +145,25 @@ def stream_alerts_update_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = run_dir(spark, "stream_alerts_update")
     averages = jobs.averages_stream(jobs.event_file_readings(spark, sf_dir), DEFAULT)
     _drain(_start_update_changelog(spark, averages, base))
-    current = sinks.latest_rows(sinks.read_changelog(spark, f"{base}/changelog", averages.schema), ["window"])
+    current = sinks.read_current(spark, f"{base}/changelog", averages.schema, ["window"])
     return flatten_window(_match(current, spark))
 
 
 def stream_alerts_append_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append mode: each (rule, window) once, after the watermark passes the window's end."""
     base = run_dir(spark, "stream_alerts_append")
-    alerts = jobs.alerts_stream(jobs.event_file_readings(spark, sf_dir), read_rules(spark), DEFAULT)
-    _drain(sinks.start_table(alerts, f"{base}/table", f"{base}/checkpoint", state_partitions=_state_partitions(spark)))
-    return flatten_window(spark.read.schema(alerts.schema).parquet(f"{base}/table"))
+    found = jobs.alerts_stream(jobs.event_file_readings(spark, sf_dir), read_rules(spark), DEFAULT)
+    _drain(sinks.start_table(found, f"{base}/table", f"{base}/checkpoint", state_partitions=_state_partitions(spark)))
+    return flatten_window(spark.read.schema(found.schema).parquet(f"{base}/table"))
 
 
 def stream_alerts_by_sensor_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append mode, windows per sensor: each (rule, window, sensor) once the watermark passes the window's end."""
     base = run_dir(spark, "stream_alerts_by_sensor")
     readings = jobs.event_file_readings(spark, sf_dir)
-    alerts = jobs.alerts_stream(readings, read_rules(spark), DEFAULT, by_sensor=True)
-    _drain(sinks.start_table(alerts, f"{base}/table", f"{base}/checkpoint", state_partitions=_state_partitions(spark), state_store=sinks.ROCKSDB_PROVIDER))
-    return flatten_window(spark.read.schema(alerts.schema).parquet(f"{base}/table"))
+    found = jobs.alerts_stream(readings, read_rules(spark), DEFAULT, by_sensor=True)
+    _drain(sinks.start_table(found, f"{base}/table", f"{base}/checkpoint", state_partitions=_state_partitions(spark), state_store=sinks.ROCKSDB_PROVIDER))
+    return flatten_window(spark.read.schema(found.schema).parquet(f"{base}/table"))
 
 
 # Fixed values of the late-data scenario: an event is delivered floor(value)
@@ -177,6 +179,24 @@ def _arrival_period() -> Column:
     return F.floor((sent + delay).cast("double") / F.lit(float(LATE_BATCH_SECONDS * 1_000_000)))
 
 
+def _deliveries(spark: SparkSession, sf_dir: str, base: str, number: Column) -> list[tuple[int, DataFrame]]:
+    """Events in deliveries: staged once, partitioned by ``number``; each delivery reads its own partition (events scanned once in all).
+
+    Only the numbers come to the driver, one small value per delivery.
+    """
+    timed = read_events(spark, sf_dir).where("ts IS NOT NULL").withColumn("_delivery", number)
+    timed.repartition("_delivery", F.pmod(F.xxhash64("event_id"), F.lit(8))).write.partitionBy("_delivery").parquet(f"{base}/staged")
+    staged = spark.read.parquet(f"{base}/staged")
+    numbers = [r[0] for r in staged.select("_delivery").distinct().orderBy("_delivery").collect()]
+    return [(n, staged.where(F.col("_delivery") == n).drop("_delivery")) for n in numbers]
+
+
+def _deliver(spark: SparkSession, events: DataFrame, base: str) -> DataFrame:
+    """Append one delivery to the input folder; the folder's readings as a stream."""
+    events.write.mode("append").parquet(f"{base}/input")
+    return readings_from_events(read_events_stream(spark, f"{base}/input", None, "*.parquet"))
+
+
 def stream_late_data_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late data: events arrive by delivery time, one ``availableNow`` run per delivery period.
 
@@ -187,24 +207,38 @@ def stream_late_data_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     averages per window (update-mode changelog).
     """
     base = run_dir(spark, "stream_late_data")
-    # stage once, partitioned by delivery period; each run then reads only its
-    # own partition (partition pruning), so the events are scanned once in all
-    staged = f"{base}/staged"
-    # an event without a value comes without delay, one without a time is in no window
-    timed = read_events(spark, sf_dir).where("ts IS NOT NULL").withColumn("_arrival", _arrival_period())
-    timed.repartition("_arrival", F.pmod(F.xxhash64("event_id"), F.lit(8))).write.partitionBy("_arrival").parquet(staged)
-    by_period = spark.read.parquet(staged)
-    # the delivery periods: one small number per 5 days of data
-    periods = [r[0] for r in by_period.select("_arrival").distinct().orderBy("_arrival").collect()]
     schema = None
-    for period in periods:
-        by_period.where(F.col("_arrival") == period).drop("_arrival").write.mode("append").parquet(f"{base}/input")
-        readings = readings_from_events(read_events_stream(spark, f"{base}/input", None, "*.parquet"))
-        averages = jobs.averages_stream(readings, DEFAULT)
+    # an event without a value comes without delay, one without a time is in no window
+    for _, events in _deliveries(spark, sf_dir, base, _arrival_period()):
+        averages = jobs.averages_stream(_deliver(spark, events, base), DEFAULT)
         schema = averages.schema
         _drain(_start_update_changelog(spark, averages, base), late=True)
-    log = sinks.read_changelog(spark, f"{base}/changelog", schema)
-    return flatten_window(sinks.latest_rows(log, ["window"]))
+    return flatten_window(sinks.read_current(spark, f"{base}/changelog", schema, ["window"]))
+
+
+def stream_late_audit_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What :func:`stream_late_data_q`'s runs dropped: windows behind the watermark per run, and the watermark in force.
+
+    A listener writes every progress event to a table; a late window counts once
+    a run, however many of its readings come late.
+    """
+    base = run_dir(spark, "stream_late_audit")
+    runs = []
+    with monitor.ProgressLog(spark, f"{base}/progress") as log:
+        for n, (period, events) in enumerate(_deliveries(spark, sf_dir, base, _arrival_period())):
+            averages = jobs.averages_stream(_deliver(spark, events, base), DEFAULT)
+            query = _start_update_changelog(spark, averages, base)
+            _drain(query, late=True)
+            log.wait_for(query)
+            runs.append((str(query.runId), n, int(period)))
+    numbered = spark.createDataFrame(runs, "run_id string, run int, period long")
+    events = log.table().join(F.broadcast(numbered), "run_id")
+    # the run's readings come in its first batch; the one after it only moves the watermark
+    return events.groupBy("run", "period").agg(
+        instant_to_utc_wall(F.min("watermark")).alias("watermark"),
+        F.sum("dropped_rows").alias("windows_dropped"),
+        F.sum("input_rows").alias("readings"),
+    )
 
 
 # Fixed values of the event-time scenario: events are delivered in order, 5 days
@@ -213,6 +247,10 @@ EMITTED = AlertSettings(window="10 days", slide="5 days")
 EMITTED_RUN_SECONDS = 5 * 86_400
 
 
+def _event_period() -> Column:
+    return F.floor(F.unix_micros(utc_wall_to_instant("ts")) / F.lit(EMITTED_RUN_SECONDS * 1_000_000))
+
+
 def stream_alerts_emitted_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Update-mode alerts, the rules joined inside the stream, every emission kept with its micro-batch.
 
@@ -222,19 +260,12 @@ def stream_alerts_emitted_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``emission`` numbers the micro-batches that had readings.
     """
     base = run_dir(spark, "stream_alerts_emitted")
-    period = F.floor(F.unix_micros(utc_wall_to_instant("ts")) / F.lit(EMITTED_RUN_SECONDS * 1_000_000))
-    timed = read_events(spark, sf_dir).where("ts IS NOT NULL").withColumn("_period", period)
-    timed.repartition("_period", F.pmod(F.xxhash64("event_id"), F.lit(8))).write.partitionBy("_period").parquet(f"{base}/staged")
-    by_period = spark.read.parquet(f"{base}/staged")
     parts, schema = [], None
-    # one small number per 5 days of data; each run reads its own partition
-    for n, row in enumerate(by_period.select("_period").distinct().orderBy("_period").collect()):
-        by_period.where(F.col("_period") == row[0]).drop("_period").write.mode("append").parquet(f"{base}/input")
-        readings = readings_from_events(read_events_stream(spark, f"{base}/input", None, "*.parquet"))
-        alerts = jobs.alerts_stream(readings, read_rules(spark), EMITTED, by_sensor=True)
-        schema = alerts.schema
+    for n, (_, events) in enumerate(_deliveries(spark, sf_dir, base, _event_period())):
+        emitted = jobs.alerts_stream(_deliver(spark, events, base), read_rules(spark), EMITTED, by_sensor=True)
+        schema = emitted.schema
         query = sinks.start_changelog(
-            alerts, f"{base}/changelog", f"{base}/checkpoint", "update",
+            emitted, f"{base}/changelog", f"{base}/checkpoint", "update",
             state_partitions=_state_partitions(spark), state_store=sinks.ROCKSDB_PROVIDER,
         )
         _drain(query)
@@ -244,6 +275,63 @@ def stream_alerts_emitted_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_window(log.select("window", "sensor_id", "id", "code", *[f"avg_{m}" for m in EMITTED.measures], "emission"))
 
 
+def stream_alert_transitions_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When alerts are raised and taken back, over the runs of :func:`stream_alerts_emitted_q`: a row per change only."""
+    base = run_dir(spark, "stream_alert_transitions")
+    parts, schema = [], None
+    for n, (_, events) in enumerate(_deliveries(spark, sf_dir, base, _event_period())):
+        changes = alerts.transitions(_deliver(spark, events, base), read_rules(spark), EMITTED, by_sensor=True)
+        schema = changes.schema
+        query = alerts.start_transitions(changes, f"{base}/changelog", f"{base}/checkpoint", _state_partitions(spark))
+        _drain(query)
+        parts += [(p.batchId, n) for p in query.recentProgress if p.numInputRows]
+    batches = spark.createDataFrame(parts, "batch_id int, emission int")
+    log = sinks.read_changelog(spark, f"{base}/changelog", schema).join(F.broadcast(batches), "batch_id")
+    return flatten_window(log.drop("batch_id"))
+
+
+def stream_state_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows per sensor that a drained stream still keeps, with their partial sums, read from its checkpoint."""
+    base = run_dir(spark, "stream_state_rows")
+    averages = jobs.averages_stream(jobs.event_file_readings(spark, sf_dir), EMITTED, by_sensor=True)
+    query = sinks.start_changelog(
+        averages, f"{base}/changelog", f"{base}/checkpoint", "update",
+        state_partitions=_state_partitions(spark), state_store=sinks.ROCKSDB_PROVIDER,
+    )
+    _drain(query)
+    return flatten_window(monitor.state_rows(spark, f"{base}/checkpoint", EMITTED, by_sensor=True))
+
+
+class _Crash(Exception):
+    pass
+
+
+def stream_publish_once_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of append-mode alerts, published through three runs: one that fails between the output and the
+    ledger, its restart, and one whose checkpoint is lost, so that all input comes again."""
+    base = run_dir(spark, "stream_publish_once")
+    settings = AlertSettings(message_time_zone="UTC")
+
+    def crash(batch_id: int) -> None:
+        raise _Crash(f"after the output of batch {batch_id}")
+
+    def run(checkpoint: str, after_write=None):
+        found = jobs.alerts_stream(jobs.event_file_readings(spark, sf_dir), read_rules(spark), settings)
+        return alerts.start_publish_once(
+            found, lambda rows: alert_messages(rows, settings, sent_at=PINNED_SENT_AT), f"{base}/published",
+            f"{base}/{checkpoint}", settings, after_write, state_partitions=_state_partitions(spark),
+        )
+
+    try:
+        run("first", crash).awaitTermination()
+    except StreamingQueryException as error:
+        if "after the output of batch" not in str(error):
+            raise
+    _drain(run("first"))
+    _drain(run("second"))
+    return spark.read.schema("topic string, value string").parquet(f"{base}/published/messages").select("topic", "value")
+
+
 def supplier_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rule per supplier, by a fixed rule: narrow bounds on one axis or both, some far-off, some fractional, some none."""
     suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
@@ -313,6 +401,10 @@ QUERIES: dict[str, QueryFn] = {
     "stream_alerts_by_sensor": stream_alerts_by_sensor_q,
     "stream_late_data": stream_late_data_q,
     "stream_alerts_emitted": stream_alerts_emitted_q,
+    "stream_late_audit": stream_late_audit_q,
+    "stream_alert_transitions": stream_alert_transitions_q,
+    "stream_state_rows": stream_state_rows_q,
+    "stream_publish_once": stream_publish_once_q,
     "supplier_rule_hits": supplier_rule_hits_q,
     "part_rule_hits": part_rule_hits_q,
 }

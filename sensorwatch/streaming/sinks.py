@@ -92,11 +92,23 @@ def start_changelog(
     query_name: str | None = None,
     state_partitions: int | None = None,
     state_store: str | None = None,
+    compact_keys: Sequence[str] = (),
+    compact_every: int = 100,
 ) -> StreamingQuery:
-    """Write each micro-batch's output rows to ``<path>/batch_id=<n>``."""
+    """Write each micro-batch's output rows to ``<path>/batch_id=<n>``.
+
+    With ``compact_keys`` every ``compact_every``-th batch is followed by a
+    snapshot of the newest row per key (:func:`compact_changelog`) in
+    ``<path>-snapshots``, which :func:`read_current` starts from.
+    """
+    schema = df.schema
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/{CHANGELOG_COLUMN}={batch_id}")
+        if compact_keys and batch_id % compact_every == 0:
+            spark = df.sparkSession
+            before = latest_snapshot(spark, f"{path}-snapshots")
+            compact_changelog(spark, path, schema, compact_keys, f"{path}-snapshots", before)
 
     writer = df.writeStream.outputMode(output_mode).foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if query_name:
@@ -160,6 +172,20 @@ def committed_upto(spark: SparkSession, path: str) -> int | None:
     return upto
 
 
+def latest_snapshot(spark: SparkSession, snapshot_root: str) -> str | None:
+    """The finished snapshot that folds most batches, if there is one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(snapshot_root)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    found = [p for p in found if p.getName().startswith("upto=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return max((p.toString() for p in found), key=_folded, default=None)
+
+
+def read_current(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
+    """Newest row per key of a changelog that is compacted as it is written: its latest snapshot and the batches after it."""
+    return current_rows(spark, path, schema, keys, latest_snapshot(spark, f"{path}-snapshots")).drop(CHANGELOG_COLUMN)
+
+
 def _folded(snapshot: str) -> int:
     return int(snapshot.rstrip("/").rsplit("upto=", 1)[1].split("-")[0])
 
