@@ -176,7 +176,7 @@ marks AS (
   FROM periods
 ),
 expanded AS (
-  SELECT (epoch_us(t) // {slide}) * {slide} - g.k * {slide} AS ws, epoch_us(t) AS tu, sensor, value, m.wm
+  SELECT (epoch_us(t) // {slide}) * {slide} - g.k * {slide} AS ws, epoch_us(t) AS tu, sensor, value, m.wm, period
   FROM readings JOIN marks m USING (period) CROSS JOIN range({n}) AS g(k)
   WHERE t IS NOT NULL
 )"""
@@ -295,6 +295,43 @@ FROM rules JOIN averages ON avg_humidity BETWEEN h_lo AND h_hi AND avg_temperatu
 GROUP BY id, code, message"""
 
 
+def supplier_rules_csv_sql() -> str:
+    k = "s_suppkey"
+    low = f"CASE WHEN {k} % 3 = 0 THEN -999 ELSE 15 + {k} * 13 % 71 END"
+    text = f"CASE WHEN {k} % 17 = 3 THEN 'n/a' ELSE CAST(CAST({low} AS DOUBLE) AS VARCHAR) END"
+    return f"""SELECT CAST({k} AS INTEGER) AS id,
+       CASE WHEN {k} % 17 = 3 THEN NULL ELSE CAST({low} AS DOUBLE) END AS humidity_min,
+       CAST(CASE WHEN {k} % 3 = 0 THEN -999 WHEN {k} % 10 = 7 THEN 1000000 ELSE 18.5 + {k} * 13 % 71 END AS DOUBLE) AS humidity_max,
+       CAST(CASE WHEN {k} % 3 = 1 OR {k} % 50 = 0 THEN -999 ELSE 25 + {k} * 7 % 21 END AS DOUBLE) AS temperature_min,
+       CAST(CASE WHEN {k} % 3 = 1 OR {k} % 50 = 0 THEN -999 ELSE 26.5 + {k} * 7 % 21 END AS DOUBLE) AS temperature_max,
+       CASE WHEN {k} % 23 = 5 THEN NULL ELSE 100 + s_nationkey END AS code,
+       s_name AS message,
+       concat_ws(', ', CASE WHEN {k} % 17 = 3 THEN 'humidity_min=n/a' END,
+                       CASE WHEN {k} % 23 = 5 THEN 'code=' || CAST(100 + s_nationkey AS VARCHAR) || '.5' END) AS rescued,
+       {text} AS inferred_humidity_min,
+       'code double, humidity_min string' AS inferred_types
+FROM supplier"""
+
+
+def decode_quarantine_sql() -> str:
+    return f"""WITH {_readings_cte(truncate=False).replace("CAST(user_id AS INTEGER) AS id", "CAST(event_id AS INTEGER) AS id")},
+kinds AS (
+  SELECT *, CASE WHEN id % 13 = 5 THEN 'cut' WHEN id % 11 = 3 THEN 'fraction' WHEN id % 7 = 1 THEN 'quoted'
+                 WHEN id % 17 = 2 THEN 'time' WHEN id % 19 = 4 THEN 'other' WHEN id % 101 = 7 THEN 'list' ELSE 'whole' END AS kind
+  FROM readings WHERE id IS NOT NULL
+),
+causes AS (
+  SELECT id, CASE WHEN kind IN ('whole', 'time') THEN value END AS value,
+         unnest(CASE kind WHEN 'cut' THEN ['no JSON'] WHEN 'list' THEN ['no object'] WHEN 'fraction' THEN ['value number']
+                WHEN 'quoted' THEN ['value text'] WHEN 'time' THEN ['timestamp text']
+                WHEN 'other' THEN ['timestamp absent', 'id absent', 'sensor absent', 'value absent']
+                ELSE ['accepted'] END) AS cause
+  FROM kinds
+)
+SELECT cause, count(*) AS messages, CAST(sum(id) AS BIGINT) AS event_ids, CAST(sum(value) AS BIGINT) AS "values", max(CAST(id AS BIGINT)) AS newest
+FROM causes GROUP BY cause"""
+
+
 ORACLE: dict[str, str] = {
     "decode_readings": decode_readings_sql(),
     "decode_event_time": decode_event_time_sql(),
@@ -318,5 +355,7 @@ ORACLE: dict[str, str] = {
     "stream_state_rows": stream_state_rows_sql(),
     "stream_publish_once": alert_messages_sql(_CLOSED),
     "supplier_rule_hits": supplier_rule_hits_sql(),
+    "supplier_rules_csv": supplier_rules_csv_sql(),
+    "decode_quarantine": decode_quarantine_sql(),
     "part_rule_hits": part_rule_hits_sql(),
 }

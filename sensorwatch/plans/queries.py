@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, HOURLY, AlertSettings
 from ..functions.decode import decode_readings, encode_readings
 from ..functions.messages import alert_messages, route_topic
+from ..functions.quarantine import decode_checked, write_quarantined
 from ..functions.timecols import (
     epoch_text_to_time_sql,
     instant_to_utc_wall,
@@ -28,7 +29,7 @@ from ..operators.rule_join import Axes, match_rules, rule_axes
 from ..operators.windows import flatten_window, window_averages
 from ..session import run_dir
 from ..sources.events import read_events, read_events_stream, readings_from_events
-from ..sources.rules import read_rules
+from ..sources.rules import RULE_COLUMNS, inferred_differences, read_rules, read_rules_rescued
 from ..streaming import alerts, jobs, monitor, sinks
 
 # Fixed send time of the messages in the `alert_messages` query, so that the
@@ -356,6 +357,59 @@ def supplier_rule_hits_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def supplier_rules_csv_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The supplier rules written as CSV files, some cells damaged by a fixed rule, read back by explicit types
+    with rescued cells and by inference."""
+    path = run_dir(spark, "supplier_rules_csv")
+    damaged = supplier_rules(spark, sf_dir).selectExpr(
+        "id",
+        "IF(id % 17 = 3, 'n/a', CAST(humidity_min AS STRING)) AS humidity_min",
+        "humidity_max", "temperature_min", "temperature_max",
+        "IF(id % 23 = 5, concat(CAST(code AS STRING), '.5'), CAST(code AS STRING)) AS code",
+        "message",
+    )
+    damaged.repartition(4, "id").write.option("header", "true").csv(path)
+    types = ", ".join(f"{c} {t}" for c, t in sorted(inferred_differences(spark, path).items()))
+    rows = read_rules_rescued(spark, path)
+    inferred = read_rules(spark, path, infer_schema=True).selectExpr("id", "CAST(humidity_min AS STRING) AS inferred_humidity_min")
+    rescued = "concat_ws(', ', transform(map_entries(rescued), e -> concat(e.key, '=', e.value))) AS rescued"
+    return rows.join(inferred, "id").selectExpr(
+        *RULE_COLUMNS, rescued, "inferred_humidity_min", f"'{types}' AS inferred_types"
+    )
+
+
+def drifting_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of ``events`` as messages; by a fixed rule some change a field's type, break off, or are the event's ``props``."""
+    fine = readings_from_events(read_events(spark, sf_dir).withColumn("user_id", F.col("event_id")), keep_fraction=True)
+    kind = F.expr(
+        "CASE WHEN id % 13 = 5 THEN 'cut' WHEN id % 11 = 3 THEN 'fraction' WHEN id % 7 = 1 THEN 'quoted'"
+        " WHEN id % 17 = 2 THEN 'time' WHEN id % 19 = 4 THEN 'other' WHEN id % 101 = 7 THEN 'list' ELSE 'whole' END"
+    )
+    messages = encode_readings(fine.where("id IS NOT NULL")).select("value", F.get_json_object("value", "$.id").cast("long").alias("id"))
+    messages = messages.withColumn("kind", kind)
+    number = r"regexp_replace(value, '\"value\":(-?[0-9]+|null)',"
+    drift = F.expr(
+        "CASE kind WHEN 'cut' THEN left(value, length(value) - 5)"
+        f" WHEN 'fraction' THEN {number} '\"value\":0.5')"
+        f" WHEN 'quoted' THEN {number} '\"value\":\"$1\"')"
+        r" WHEN 'time' THEN regexp_replace(value, '\"timestamp\":[0-9.]+', '\"timestamp\":\"soon\"')"
+        " WHEN 'other' THEN concat('{\"k\":', id, '}') WHEN 'list' THEN concat('[', id, ']') ELSE value END"
+    )
+    return messages.select(F.col("id").alias("event_id"), drift.alias("value"))
+
+
+def decode_quarantine_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages whose shape drifts, decoded with one parse: accepted readings and dead letters counted by cause."""
+    decoded = decode_checked(drifting_messages(spark, sf_dir))
+    accepted, dead = write_quarantined(decoded, run_dir(spark, "decode_quarantine"))
+    rows = accepted.select(F.lit("accepted").alias("cause"), "event_id", "value").unionByName(
+        dead.select(F.explode("causes").alias("cause"), "event_id", "value")
+    )
+    return rows.groupBy("cause").agg(
+        F.count("*").alias("messages"), F.sum("event_id").alias("event_ids"), F.sum("value").alias("values"), F.max("event_id").alias("newest")
+    )
+
+
 def part_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rule per part, by a fixed rule: narrow, mostly different bounds on both axes."""
     parts = spark.read.parquet(f"{sf_dir}/part.parquet")
@@ -407,4 +461,6 @@ QUERIES: dict[str, QueryFn] = {
     "stream_publish_once": stream_publish_once_q,
     "supplier_rule_hits": supplier_rule_hits_q,
     "part_rule_hits": part_rule_hits_q,
+    "supplier_rules_csv": supplier_rules_csv_q,
+    "decode_quarantine": decode_quarantine_q,
 }

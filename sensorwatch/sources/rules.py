@@ -60,6 +60,53 @@ def read_rules(spark: SparkSession, path: str | None = None, infer_schema: bool
     return cells.select(*[_cell(f).alias(f.name) for f in RULE_SCHEMA.fields])
 
 
+RESCUED, MALFORMED = "rescued", "malformed"
+
+
+def read_rules_rescued(spark: SparkSession, path: str) -> DataFrame:
+    """Rules CSV files of any number: as :func:`read_rules`, but a bad cell or line costs no other row.
+
+    Beside the rule columns: ``rescued MAP<STRING, STRING>``, the text of cells
+    that are no number of their kind (NULL in their own column, so the rule does
+    not fire), and ``malformed STRING``, the whole line where it has too few or
+    too many cells. Both are NULL for a good row. One pass over the files; all
+    must have the header of the first (another one fails the read).
+    """
+    reader = spark.read.option("header", "true")
+    names = reader.csv(path).columns
+    missing = [c for c in RULE_COLUMNS if c not in names]
+    if missing:
+        raise ValueError(f"rules file without column {', '.join(missing)}")
+    if MALFORMED in names:
+        raise ValueError(f"rules file with a column {MALFORMED}")
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in (*names, MALFORMED)])
+    reader = reader.option("columnNameOfCorruptRecord", MALFORMED).option("enforceSchema", "false")
+    cells = reader.schema(texts).csv(path)
+    numbers = [f for f in RULE_SCHEMA.fields if not isinstance(f.dataType, T.StringType)]
+    entries = [F.struct(F.lit(f.name).alias("key"), F.col(f.name).alias("value")) for f in numbers if f.name in names]
+    wrong = [
+        F.when((F.trim(f.name) != "") & F.col(f.name).try_cast(f.dataType).isNull(), e) for f, e in zip(numbers, entries, strict=True)
+    ]
+    bad = F.filter(F.array(*wrong), lambda e: e.isNotNull())
+    values = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in RULE_SCHEMA.fields]
+    rescued = F.when(F.col(MALFORMED).isNull() & (F.size(bad) > 0), F.map_from_entries(bad)).alias(RESCUED)
+    return cells.select(*values, rescued, F.col(MALFORMED))
+
+
+def inferred_differences(spark: SparkSession, path: str) -> dict[str, str]:
+    """Rule columns that inference reads as another type than the explicit one, with that type (a whole pass over the files)."""
+    inferred = {f.name: f.dataType for f in read_rules(spark, path, infer_schema=True).schema.fields}
+    # whole numbers are numbers: an inferred INT bound is no difference
+    numeric = (T.IntegerType, T.DoubleType)
+    return {
+        f.name: inferred[f.name].simpleString()
+        for f in RULE_SCHEMA.fields
+        if f.name in inferred
+        and inferred[f.name] != f.dataType
+        and not (isinstance(f.dataType, T.DoubleType) and isinstance(inferred[f.name], numeric))
+    }
+
+
 def _cell(field: T.StructField) -> Column:
     text = F.col(field.name)
     if isinstance(field.dataType, T.StringType):

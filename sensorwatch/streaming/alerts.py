@@ -11,7 +11,6 @@
 
 from __future__ import annotations
 
-import math
 import sys
 from collections.abc import Callable, Iterator
 
@@ -94,13 +93,14 @@ class _Transitions(StatefulProcessor):
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         old = self.sums.get() if self.sums.exists() else None
         totals = [int(v or 0) for v in old] if old is not None else [0] * (2 * len(self.measures))
+        end = 0
         for row in rows:
+            end = row["window_end"]
             if row["measure"] is not None:
                 totals[2 * row["measure"]] += row["value"]
                 totals[2 * row["measure"] + 1] += 1
         if old is None:
-            end = key[0]["end"] if isinstance(key[0], Row) else key[0][1]
-            self.handle.registerTimer(math.ceil(end.timestamp() * 1000))
+            self.handle.registerTimer(end)
         self.sums.update(tuple(totals))
         averages = [totals[2 * i] / totals[2 * i + 1] if totals[2 * i + 1] else None for i in range(len(self.measures))]
         before = set(self.firing.get()[0] or []) if self.firing.exists() else set()
@@ -140,6 +140,7 @@ def transitions(readings: DataFrame, rules: DataFrame, settings: AlertSettings =
     measure = F.coalesce(*[F.when((F.col("sensor") == m) & F.col("value").isNotNull(), F.lit(i)) for i, m in enumerate(measures)])
     keys = ["window", *(["sensor_id"] if by_sensor else [])]
     rows = timed.select(window, F.col("id").alias("sensor_id"), measure.alias("measure"), "value")
+    rows = rows.withColumn("window_end", F.unix_millis("window.end"))
     schema = T.StructType([rows.schema[k] for k in keys])
     schema = schema.add("id", T.IntegerType()).add("code", T.IntegerType()).add("change", T.StringType())
     for m in measures:
