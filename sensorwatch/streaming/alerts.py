@@ -78,7 +78,7 @@ class _Transitions(StatefulProcessor):
         self.handle = handle
         sums = T.StructType()
         for i in range(len(self.measures)):
-            sums = sums.add(f"s{i}", T.DecimalType(38, 0)).add(f"n{i}", T.LongType())
+            sums = sums.add(f"s{i}", T.LongType()).add(f"n{i}", T.LongType())
         self.sums = handle.getValueState("sums", sums)
         self.firing = handle.getValueState("firing", T.StructType().add("rules", T.ArrayType(T.IntegerType())))
 
@@ -93,14 +93,12 @@ class _Transitions(StatefulProcessor):
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         old = self.sums.get() if self.sums.exists() else None
         totals = [int(v or 0) for v in old] if old is not None else [0] * (2 * len(self.measures))
-        end = 0
         for row in rows:
-            end = row["window_end"]
             if row["measure"] is not None:
                 totals[2 * row["measure"]] += row["value"]
                 totals[2 * row["measure"] + 1] += 1
         if old is None:
-            self.handle.registerTimer(end)
+            self.handle.registerTimer(key[1])
         self.sums.update(tuple(totals))
         averages = [totals[2 * i] / totals[2 * i + 1] if totals[2 * i + 1] else None for i in range(len(self.measures))]
         before = set(self.firing.get()[0] or []) if self.firing.exists() else set()
@@ -109,7 +107,9 @@ class _Transitions(StatefulProcessor):
             self.firing.update((now,))
         for n in sorted(before ^ set(now)):
             rule = self.rules[n]
-            yield Row(*key, rule[0], rule[1], "raised" if n not in before else "cleared", *averages)
+            change = "raised" if n not in before else "cleared"
+            named = {f"avg_{m}": a for m, a in zip(self.measures, averages, strict=True)}
+            yield Row(**dict(zip(self.keys, key, strict=True)), id=rule[0], code=rule[1], change=change, **named)
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.sums.clear()
@@ -121,7 +121,7 @@ class _Transitions(StatefulProcessor):
 
 
 def transitions(readings: DataFrame, rules: DataFrame, settings: AlertSettings = DEFAULT, by_sensor: bool = False) -> DataFrame:
-    """Whole-number readings (a stream) -> ``window, [sensor_id], id, code, change, avg_<m>...``, a row per change.
+    """INT readings (a stream) -> ``window, [sensor_id], id, code, change, avg_<m>...``, a row per change.
 
     ``change`` is ``raised`` when a rule starts to fire for a window and
     ``cleared`` when a later reading makes it stop. The rules are those at the
@@ -138,15 +138,18 @@ def transitions(readings: DataFrame, rules: DataFrame, settings: AlertSettings =
     timed = readings.withWatermark("timestamp", settings.watermark)
     window = F.window("timestamp", settings.window, settings.slide).alias("window")
     measure = F.coalesce(*[F.when((F.col("sensor") == m) & F.col("value").isNotNull(), F.lit(i)) for i, m in enumerate(measures)])
-    keys = ["window", *(["sensor_id"] if by_sensor else [])]
+    # the window itself stays beside the keys: it carries the watermark by which late rows are dropped
     rows = timed.select(window, F.col("id").alias("sensor_id"), measure.alias("measure"), "value")
-    rows = rows.withColumn("window_end", F.unix_millis("window.end"))
+    rows = rows.withColumns({"window_start": F.unix_millis("window.start"), "window_end": F.unix_millis("window.end")})
+    keys = ["window_start", "window_end", *(["sensor_id"] if by_sensor else [])]
     schema = T.StructType([rows.schema[k] for k in keys])
     schema = schema.add("id", T.IntegerType()).add("code", T.IntegerType()).add("change", T.StringType())
     for m in measures:
         schema = schema.add(f"avg_{m}", T.DoubleType())
     processor = _Transitions(values, measures, float(settings.unused_bound), keys)
-    return rows.groupBy(*keys).transformWithState(processor, schema, "Update", "EventTime")
+    out = rows.groupBy(*keys).transformWithState(processor, schema, "Update", "EventTime")
+    bounds = "named_struct('start', timestamp_millis(window_start), 'end', timestamp_millis(window_end)) AS window"
+    return out.selectExpr(bounds, *out.columns[2:])
 
 
 def start_transitions(changes: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None, **trigger) -> StreamingQuery:
