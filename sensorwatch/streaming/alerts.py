@@ -42,23 +42,29 @@ def start_alerts(
 ) -> StreamingQuery:
     """Write each micro-batch's averages to ``path/averages`` and its alerts to ``path/alerts``, a folder per batch.
 
-    The hot nodes of a batch are those of the batch before it (read from its
-    folder after a restart); they change how the join is dealt out, not its rows.
+    The hot nodes of a batch are those of the last batch with rows before it (read
+    from its folder after a restart); they change how the join is dealt out, not its rows.
     """
     spark, schema, last = averages.sparkSession, averages.schema, {}
 
+    def before(batch_id: int) -> DataFrame | None:
+        """The averages of the newest batch with rows before this one, found once after a start."""
+        log = read_changelog(spark, f"{path}/averages", schema).where(F.col(CHANGELOG_COLUMN) < batch_id)
+        newest = log.agg(F.max(CHANGELOG_COLUMN)).first()[0] if batch_id else None
+        return None if newest is None else log.where(F.col(CHANGELOG_COLUMN) == newest).drop(CHANGELOG_COLUMN)
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         own = f"{path}/averages/{CHANGELOG_COLUMN}={batch_id}"
         batch.write.mode("overwrite").parquet(own)
         rows = spark.read.schema(schema).parquet(own)
         axes = rule_axes(rules, settings)  # rules may change between batches
-        if last.get("batch") != batch_id - 1:
-            before = read_changelog(spark, f"{path}/averages", schema).where(F.col(CHANGELOG_COLUMN) == batch_id - 1)
-            last["windows"] = before.drop(CHANGELOG_COLUMN)
-        hot = hot_nodes(last["windows"], axes, settings) if batch_id else []
+        if "windows" not in last:
+            last["windows"] = before(batch_id)
+        hot = hot_nodes(last["windows"], axes, settings) if last["windows"] is not None else []
         alerts = match_rules(rows, rules, settings, axes, hot)
         alerts.write.mode("overwrite").parquet(f"{path}/alerts/{CHANGELOG_COLUMN}={batch_id}")
-        last.update(batch=batch_id, windows=rows, hot=hot)
+        if rows.limit(1).count():  # a batch that only moves the watermark says nothing
+            last["windows"] = rows
 
     writer = averages.writeStream.outputMode(output_mode).foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return _start(averages, _trigger(writer, available_now, processing_time), state_partitions)

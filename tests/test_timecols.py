@@ -76,9 +76,9 @@ def test_utc_wall_round_trip_in_other_zone(spark):
 
 def test_iso_text(spark):
     df = spark.sql(
-        "SELECT TIMESTAMP'2024-08-18 16:08:00' AS a, TIMESTAMP'2024-08-18 16:05:50.907777' AS b, TIMESTAMP'2024-08-18 16:05:50.5' AS c"
+        "SELECT TIMESTAMP'2025-06-11 07:41:30' AS a, TIMESTAMP'2025-06-11 07:42:19.030405' AS b, TIMESTAMP'2025-06-11 07:42:19.5' AS c"
     )
     r = df.select(iso_text(F.col("a")).alias("a"), iso_text(F.col("b")).alias("b"), iso_text(F.col("c"), "Europe/Kyiv").alias("c")).first()
-    assert r.a == "2024-08-18T16:08:00"
-    assert r.b == "2024-08-18T16:05:50.907777"
-    assert r.c == "2024-08-18T19:05:50.500000"
+    assert r.a == "2025-06-11T07:41:30"
+    assert r.b == "2025-06-11T07:42:19.030405"
+    assert r.c == "2025-06-11T10:42:19.500000"
