@@ -22,8 +22,9 @@ import os
 import re
 import uuid
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
-from itertools import islice
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -63,16 +64,16 @@ def is_regular(text: str) -> bool:
     return not any(c in text for c in _OTHER_SPACE)
 
 
-class WordNumbers(dict):
+def word_numbers() -> dict[str, int]:
     """Numbers words in the order they are first asked for."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
-        return number
+    return defaultdict(count().__next__)
 
 
 class TokenEncoder:
-    """Encodes texts with a tokenizers file; control strings inside a text are ordinary text.
+    """Encodes texts with a tokenizers file, as the library does with it as loaded.
+
+    A text that holds the string of an added token goes to the library whole;
+    with ``controls=False`` such strings are ordinary text.
 
     Texts are split at their spaces, with a space put before each line feed: a
     word stands for itself behind a space, or has its line feed in front. Words
@@ -80,12 +81,13 @@ class TokenEncoder:
     words of a batch are encoded.
     """
 
-    def __init__(self, tokenizer_json: str, memo: dict | None = None):
+    def __init__(self, tokenizer_json: str, memo: dict | None = None, controls: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not controls
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if controls or not t.special]
         self.memo = {} if memo is None else memo
         self.line = self._ids("\n")
         self.led = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)  # tokens that begin with a space
@@ -118,35 +120,44 @@ class TokenEncoder:
         """Find the ids of all words that were numbered since the last call."""
         numbers, known = self.memo["numbers"], self.memo["ids"]
         start = len(known)
+        fresh = list(islice(reversed(numbers), len(numbers) - start))[::-1]
         # a full stop or comma behind a letter is a token of its own; the word before it is remembered too
-        marked = [w for w in islice(numbers, start, None) if w[-1] in ".," and w[-2:-1].isalpha()]
-        for w in marked:
-            numbers[w[:-1]]
-        known.extend([b""] * (len(numbers) - start))
-        whole = set(islice(numbers, start, None)).difference(marked)
-        for led in (True, False):
-            words = [w for w in whole if (w[0] != "\n") == led]
-            found = self._groups(words if led else [w[1:] for w in words], led)
-            for w, ids in zip(words, found, strict=True):
-                known[numbers[w]] = ids if led else self.line + ids
+        marked = [i for i, w in enumerate(fresh) if w[-1] in ".," and w[-2:-1].isalpha()]
+        bare = [numbers[fresh[i][:-1]] for i in marked]
+        # words before a mark that are new themselves
+        fresh += list(islice(reversed(numbers), len(numbers) - start - len(fresh)))[::-1]
+        known.extend([b""] * len(fresh))
+        whole = bytearray(b"\1") * len(fresh)
+        for i in marked:
+            whole[i] = 0
+        led = [i for i, w in enumerate(fresh) if whole[i] and w[0] != "\n"]
+        for i, ids in zip(led, self._groups([fresh[i] for i in led], True), strict=True):
+            known[start + i] = ids
+        lines = [i for i, w in enumerate(fresh) if whole[i] and w[0] == "\n"]
+        for i, ids in zip(lines, self._groups([fresh[i][1:] for i in lines], False), strict=True):
+            known[start + i] = self.line + ids
         mark = {".": self._ids("."), ",": self._ids(",")}
-        for w in marked:
-            known[numbers[w]] = known[numbers[w[:-1]]] + mark[w[-1]]
+        for i, word in zip(marked, bare, strict=True):
+            known[start + i] = known[word] + mark[fresh[i][-1]]
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """Ids of each text and the end id, as little-endian uint32 bytes."""
         memo = self.memo
         if not memo or len(memo["numbers"]) > MEMO_WORDS:
-            memo.update(numbers=WordNumbers(), ids=[])
+            memo.update(numbers=word_numbers(), ids=[])
         number, known = memo["numbers"].__getitem__, memo["ids"]
+        held = [any(c in t for c in self.added) for t in texts]
         numbered = [
-            list(map(number, ("\n" + t.replace("\n", " \n")).split(" "))) if is_regular(t) else t for t in texts
+            list(map(number, ("\n" + t.replace("\n", " \n")).split(" "))) if not h and is_regular(t) else t
+            for t, h in zip(texts, held, strict=True)
         ]
         self._encode_new()
         last, get = np.array([end], dtype="<u4").tobytes(), known.__getitem__
         return [
-            self._irregular(x) + last if isinstance(x, str) else b"".join(map(get, x))[len(self.line) :] + last
-            for x in numbered
+            b"".join(map(get, x))[len(self.line) :] + last
+            if not isinstance(x, str)
+            else (self._ids(x) if h else self._irregular(x)) + last
+            for x, h in zip(numbered, held, strict=True)
         ]
 
     def _irregular(self, text: str) -> bytes:
@@ -168,10 +179,14 @@ SCHEMA = T.StructType(
 
 
 def write_tokens(
-    docs: DataFrame, path: str, tokenizer_path: str, end_id: int, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, path: str, tokenizer_path: str, end_id: int, doc_id: str = "doc_id", text: str = "text",
+    controls: bool = True,
 ) -> None:
     """Encode all documents and write them to ORC files at ``path`` in ascending order of the document id.
 
+    Strings of added tokens inside a text become those tokens, as in the library;
+    with ``controls=False`` those of special ones are ordinary text.
+
     ``part`` numbers the files in order, ``part_start`` counts the ids before a
     document within its file.
     """
@@ -184,9 +199,9 @@ def write_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
         encoders = process_memo("token_files")
-        if shared.value not in encoders:
-            encoders[shared.value] = TokenEncoder(shared.value)
-        encoder = encoders[shared.value]
+        if (shared.value, controls) not in encoders:
+            encoders[shared.value, controls] = TokenEncoder(shared.value, controls=controls)
+        encoder = encoders[shared.value, controls]
         for batch in cut(batches, "text"):
             encoded = encoder.encode(batch.column("text").to_pylist(), end_id)
             n = np.array([len(e) // 4 for e in encoded], dtype=np.int64)

@@ -18,8 +18,7 @@ ENCODER = spm.Encoder(spm.load_model(MODEL))
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=MODEL)
 with open(BYTES, encoding="utf-8") as f:
     WORDS = token_files.TokenEncoder(f.read())
-HF = tokenizers.Tokenizer.from_file(BYTES)
-HF.encode_special_tokens = True
+HF = tokenizers.Tokenizer.from_file(BYTES)  # as loaded
 
 
 def _ids(text):
@@ -71,6 +70,30 @@ def test_files_round_trip(spark, docs, empty, tmp_path):
     assert token_files.read_tokens(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_control_strings():
+    plain = token_files.TokenEncoder(open(BYTES, encoding="utf-8").read(), controls=False)
+    text = tokenizers.Tokenizer.from_file(BYTES)
+    text.encode_special_tokens = True
+    for control in WORDS.added:
+        for t in (control, f"a{control}b", f"one two\nthree {control} four. five, six", f"{control}{control} x", f"a {control[:-1]} b"):
+            got = np.frombuffer(WORDS.encode(["a b", t, "c."], 2)[1], dtype="<u4").tolist()
+            assert got == [*HF.encode(t, add_special_tokens=False).ids, 2]
+            got = np.frombuffer(plain.encode([t], 2)[0], dtype="<u4").tolist()
+            assert got == [*text.encode(t, add_special_tokens=False).ids, 2]
+    assert WORDS.added and 50256 in np.frombuffer(WORDS.encode(["a<|endoftext|>b"], 2)[0], dtype="<u4")
+
+
+def test_orc_files_have_what_reads_prune_by(spark, docs, tmp_path):
+    from pyarrow import orc
+
+    path = tmp_path / "ids"
+    token_files.write_tokens(docs, str(path), BYTES, end_id=2)
+    files = [orc.ORCFile(str(f)) for f in path.glob("*.orc")]
+    assert sum(f.nrows for f in files) == len(ROWS)
+    for f in files:
+        assert f.compression == "ZSTD" and f.nstripes >= (f.nrows > 0) and f.row_index_stride == 1000
+
+
 def test_checksum_is_of_little_endian_words():
     data = WORDS.encode(["a b"], 2)[0]
     assert zlib.crc32(data) == zlib.crc32(np.array([*HF.encode("a b").ids, 2], dtype="<u4").tobytes())
