@@ -38,8 +38,8 @@ LABELS = ["O", *[f"{p}-{k}" for k in KINDS for p in "BI"]]
 #: Rows of a labelled table that are read at most.
 MAX_ROWS = 5_000
 STEPS, RATE, PENALTY = 250, 1.0, 0.002
-#: A span's labels must lead "outside" by this much per word, transitions into, in and out of the span included.
-MIN_LEAD = 1.0
+#: Probability, given the whole line, with which just these words must make up a span of its kind.
+MIN_POSTERIOR = 0.7
 #: Words remembered per Python worker.
 MEMO_WORDS = 300_000
 
@@ -90,13 +90,14 @@ def base_spans(text: str) -> list[Span]:
 # --- words and features ------------------------------------------------------
 
 _EDGE = ".,;:!?()[]{}<>\"'*#$%&|"
+_AGAIN = re.compile(r"(.)\1+", re.S)
 _RUNS = re.compile(r"[A-Z]+|[a-z]+|[0-9]+|[^\W\d_]+|.", re.S)
 
 
 def shape(word: str) -> str:
     """Character classes with run lengths up to 4: ``Abc-123`` is ``X1x2-d3``."""
     out = []
-    for run in _RUNS.findall(word[:40]):
+    for run in _RUNS.findall(word):
         c = run[0]
         kind = "d" if "0" <= c <= "9" else "X" if c.isupper() else "x" if c.isalpha() else c
         out.append(f"{kind}{min(len(run), 4)}" if kind in "dXx" else kind)
@@ -111,7 +112,7 @@ def features(word: str, cues: frozenset[str]) -> list[str]:
     """Features of a word on its own; the same strings serve for its neighbours."""
     core = word.strip(_EDGE)
     if not core:
-        return ["mark=" + word[:2]]
+        return ["mark=" + _AGAIN.sub(r"\1\1", word)]
     lower = core.lower()
     digits = sum("0" <= c <= "9" for c in core)
     out = ["word", f"end={word[-1]}" if word[-1] in _EDGE else "end="]
@@ -195,7 +196,7 @@ class Crf:
         return table[ids, 0] + table[before, 1] + table[after, 2], ends
 
     def decode(self, lines: list[list[str]]) -> list[tuple[list[int], list[float]] | None]:
-        """Best labels of each line (no empty ones) and their leads over "outside"; None where all are outside."""
+        """Best labels of each line (no empty ones) and the probability of each word's span; None where all are outside."""
         scores, ends = self.emissions(lines)
         starts = np.r_[0, ends[:-1]]
         out: list = [None] * len(lines)
@@ -209,17 +210,34 @@ class Crf:
             at += len(group)
             for i, path in zip(group.tolist(), self._viterbi(scores, starts[group], lengths[group]), strict=True):
                 if path:
-                    at_i = starts[i] + np.arange(len(path))
-                    out[i] = path, self._leads(np.array(path), scores[at_i, path] - scores[at_i, 0]).tolist()
+                    out[i] = path, self._posteriors(scores[starts[i] : ends[i]].astype(np.float64), path)
         return out
 
-    def _leads(self, path: np.ndarray, leads: np.ndarray) -> np.ndarray:
-        """The leads of a path's words with the transitions of their spans, against those of a span that is all outside."""
-        before, label = path[:-1], path[1:]
-        inside, move = (label > 0) & (label % 2 == 0), self.inner[before, label]
-        leads[1:] += np.where(label > 0, move - self.inner[np.where(inside, 0, before), 0], 0.0)
-        leads[:-1] += np.where((before > 0) & ~inside, move - self.inner[0, label], 0.0)
-        return leads
+    def _posteriors(self, scores: np.ndarray, path: list[int]) -> list[float]:
+        """For each word the probability that its whole span is one, over all labellings of the line (0 outside)."""
+        n, move = len(path), self.inner
+        forward, backward = np.empty_like(scores), np.zeros_like(scores)
+        forward[0] = scores[0] + self.first
+        for t in range(1, n):
+            forward[t] = _log_sum(forward[t - 1][:, None] + move, 0) + scores[t]
+        for t in range(n - 2, -1, -1):
+            backward[t] = _log_sum(move + (scores[t + 1] + backward[t + 1])[None, :], 1)
+        total, out, t = _log_sum(forward[-1], 0), [0.0] * n, 0
+        while t < n:
+            start, label = t, path[t]
+            t += 1
+            if not label:
+                continue
+            value = forward[start, label]
+            while t < n and path[t] == start_inside(path[start]):
+                value += move[label, path[t]] + scores[t, path[t]]
+                label, t = path[t], t + 1
+            if t < n:  # the next word is anything but a further word of the span
+                after = move[label] + scores[t] + backward[t]
+                after[start_inside(path[start])] = -np.inf
+                value += _log_sum(after, 0)
+            out[start:t] = [float(np.exp(min(0.0, value - total)))] * (t - start)
+        return out
 
     def _viterbi(self, scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> list[list[int]]:
         """Best paths of lines of similar length, step by step for all of them (arrays are labels x lines)."""
@@ -263,6 +281,11 @@ class Crf:
         return [paths[i, : lengths[i]].tolist() if some[i] else [] for i in range(n)]
 
 
+def start_inside(label: int) -> int:
+    """The label of further words of a span that begins with ``label``."""
+    return label + 1
+
+
 class _WordClasses(dict):
     """Classes of words, found when first asked for."""
 
@@ -366,21 +389,20 @@ def labelled_rows(table: DataFrame, column: str = "marked") -> list[str]:
 # --- documents ---------------------------------------------------------------
 
 
-def label_spans(line: str, at: int, path: Sequence[int], leads: Sequence[float]) -> list[tuple[str, int, int, float]]:
-    """Spans (kind, start, end, mean lead) of a labelled line that starts at code point ``at``, without marks around."""
+def label_spans(line: str, at: int, path: Sequence[int], sure: Sequence[float]) -> list[tuple[str, int, int, float]]:
+    """Spans (kind, start, end, probability) of a labelled line that starts at code point ``at``, without marks around."""
     found: list[list] = []
-    for m, label, lead in zip(_WORD.finditer(line), path, leads, strict=True):
+    for m, label, score in zip(_WORD.finditer(line), path, sure, strict=True):
         name = LABELS[label]
         if name[0] == "B":
-            found.append([name[2:], m.start(), m.end(), [lead]])
+            found.append([name[2:], m.start(), m.end(), score])
         elif name[0] == "I":
             found[-1][2] = m.end()
-            found[-1][3].append(lead)
     out = []
-    for kind, a, b, lead in found:
-        core, score = line[a:b], sum(lead) / len(lead)
+    for kind, a, b, score in found:
+        core = line[a:b]
         left, right = len(core) - len(core.lstrip(_EDGE)), len(core.rstrip(_EDGE))
-        if right > left and score >= MIN_LEAD:
+        if right > left and score >= MIN_POSTERIOR:
             out.append((kind, at + a + left, at + a + right, score))
     return out
 

@@ -144,4 +144,26 @@ def plain_rows(n: int = 100, words: int = 14, seed: int = 5) -> list[str]:
     return out
 
 
-LABELLED = [*_MARKED, *plain_rows()]
+def repeated_rows(seed: int = 6) -> list[str]:
+    """Rows of one word or a few words over and over, lower case and capitals, alone and behind plain words."""
+    rng, out = random.Random(seed), []
+    for k in (2, 3, 4, 6):
+        for shaped in (str.lower, str.capitalize, str.upper):
+            for n in (1, 2):
+                words = [shaped("".join(rng.choices(_SYLLABLES, k=rng.randint(2, 4)))) for _ in range(n)]
+                out.append(" ".join(words * k))
+                out.append(" ".join([rng.choice(_SMALL), *words * k, rng.choice(_SMALL)]))
+    return out
+
+
+#: Personal data with plain words behind it: where a span ends.
+_FOLLOWED = [
+    "my email is [email|peter (at) example (dot) org] and the dog was in the house of the lake",
+    "write to [email|lena (at) example (dot) net] on monday or in the morning of the day",
+    "mail: [email|info {at} example {dot} com] der hund und die katze im garten",
+    "My name is [name|John Miller] and the house of the town was on the lake",
+    "Call [name|Eva Klein] at home on the day of the meeting in the garden",
+    "card number [card|5500-0000-0000-0004] was paid on the day of the order",
+]
+
+LABELLED = [*_MARKED, *_FOLLOWED, *plain_rows(), *repeated_rows()]

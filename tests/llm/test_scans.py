@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from sensorwatch.llm import pii_crf, pii_labelled, secret_scan
 from sensorwatch.llm.spans import digests
 
@@ -145,3 +147,39 @@ def test_tables(docs, empty):
         assert found.columns == [*docs.columns, "found"] and found.count() == len(ROWS)
         assert digests(found, base, kinds).count() == len(ROWS)
         assert scan(empty).count() == 0
+
+
+def test_repeated_words_and_long_lines_are_no_personal_data():
+    field = pii_crf.train(pii_crf.LABELLED)
+    texts = [
+        "Orre " * 300, "antion " * 4000, "Orre antion " * 500 + "\n" + "der hund und die katze " * 400,
+        "My name is the house and " + "lina " * 200, "mail it to " + "the old town hall " * 300, "Versa " * 3,
+        "x" * 5000 + " " + "Ab" * 3000 + " # " + "*" * 900,
+    ]
+    for text, (base, added) in zip(texts, pii_crf.find_all(texts, field), strict=True):
+        assert (base, added) == ([], []), text[:40]
+    adjacent = "Name: John Miller, 555-0143-221\nMrs. Eva Klein eva (at) example (dot) org"
+    [(_, added)] = pii_crf.find_all([adjacent], field)
+    assert [(k, adjacent[a:b]) for k, a, b, _ in added] == [
+        ("name", "John Miller"), ("phone", "555-0143-221"), ("name", "Eva Klein"), ("email", "eva (at) example (dot) org"),
+    ]
+    assert all(pii_crf.MIN_POSTERIOR <= s <= 1 for *_, s in added)
+
+
+def test_span_probabilities_equal_enumeration():
+    from itertools import product
+
+    field = pii_crf.train(pii_crf.LABELLED[:40])
+    line = "call Eva Klein now".split()
+    scores, _ = field.emissions([line])
+    scores = scores.astype(float)
+
+    def weight(p):
+        return field.first[p[0]] + sum(scores[t, x] for t, x in enumerate(p)) + sum(field.inner[a, b] for a, b in zip(p, p[1:]))
+
+    b = pii_crf.LABELS.index("B-name")
+    paths = list(product(range(len(pii_crf.LABELS)), repeat=len(line)))
+    values = np.exp([weight(p) for p in paths])
+    want = sum(v for p, v in zip(paths, values) if p[1] == b and p[2] == b + 1 and p[3] != b + 1) / values.sum()
+    got = field._posteriors(scores, [0, b, b + 1, 0])
+    assert got[0] == got[3] == 0 and abs(got[1] - want) < 1e-9 and got[1] == got[2]
