@@ -35,6 +35,9 @@ HEADLINE = [
     "stream_alerts_append",
     "stream_alerts_by_sensor",
     "supplier_rule_hits",
+    "part_rule_hits",
+    "supplier_rules_csv",
+    "decode_quarantine",
 ]
 # Not timed by default: `stream_late_data` and `stream_alerts_emitted` run one
 # availableNow query per 5-day period (six or seven runs here); their time
