@@ -18,14 +18,14 @@ NOTES = {
     "then `Generate` (explode) on pane rows and a second partial+final aggregation per window; "
     "the only `Filter` runs on aggregated rows.",
     "window_avg_by_sensor": "Same two stages keyed by (pane, sensor id); `user_id` joins the scan.",
-    "alerts": "Windows listed once per axis that a rule bounds, rules once per covered cell of one axis; equi-join on "
-    "(axis, cell) plus the exact predicate, Spark's choice to broadcast the few rules.",
+    "alerts": "Windows listed once per combination of tree levels in use, rules at the nodes that make up their range on all "
+    "axes; equi-join on the node numbers plus the exact predicate, Spark's choice to broadcast the few rules.",
     "supplier_rule_hits": "The same join with a rule per supplier, then a count per rule.",
     "decode_readings": "One `from_json` per message; fields read from its struct.",
     "stream_alerts (executed micro-batch)": "Streaming alerts in append mode, as executed for the query's last micro-batch (the eviction batch without new "
     "input, hence the empty scan; batches with data have the same operators over the file source): "
     "partial aggregation before the state shuffle, `StateStoreRestore`/`StateStoreSave` keyed by window (eviction by "
-    "watermark), and the stream-static equi-join on cells with the rules broadcast.",
+    "watermark), and the stream-static equi-join on tree nodes with the rules broadcast.",
 }
 
 
