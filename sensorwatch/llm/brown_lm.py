@@ -1,39 +1,46 @@
 """LM scoring with Brown class-based bigrams.
 
 Method: exchange clustering moves words between classes as long as the class
-bigram likelihood of the training text grows; a text's probability is the
-product of class transitions and of word emissions within classes, both
-smoothed.
+bigram likelihood of the training text grows; a word's probability is that of
+its class after the class before, times its own within its class, mixed with
+the word's overall frequency.
 
 Over the corpus, in Spark:
 
 1. texts are read in blocks of bounded size; a block's words get local numbers,
    its documents become number sequences, its dictionary carries training counts;
-2. dictionaries meet by word (one row per block and word, so no word is a large
-   group) and give exact corpus counts for every word;
-3. a start: each block gets the counts back, documents become sequences of word
-   buckets (the ``OWN`` most frequent words have their own, all others share
-   ``TAIL`` hashed ones), and the buckets are moved one after the other on the
-   driver with exact likelihood changes, from counts summed in one pass a sweep;
-4. from there every training word has its own class. Words live at homes (as
-   many as the blocks need), which know the blocks and local numbers of their
-   words. A sweep sends the classes to the blocks, sums per word the classes of
-   its left and right neighbours there, and adds these up at the homes. Sweeps
-   are of two kinds in turn: the words outside the most frequent ones move at their homes, by
-   exact likelihood changes against the class table (``CLASSES`` x ``CLASSES``
-   numbers), in small groups after each of which a home's copy of the table
+2. words live at homes (as many as the blocks need), which add up exact corpus
+   counts for every word and know the blocks that have it. The blocks get the
+   counts back once and number their words anew, by home and place there, so
+   that later just classes and counts travel, in that order;
+3. words seen ``RARE`` times and more have classes of their own, all rarer ones
+   share a class (1), which is also that of words never seen; class 0 is the
+   end token's alone. The number of classes grows with the vocabulary
+   (:func:`class_count`);
+4. a start: the ``OWN`` most frequent words are moved one after the other with
+   exact likelihood changes, from counts summed in one pass a sweep, while all
+   others are in class 1;
+5. sweeps over all words with classes: the homes send the classes to the blocks,
+   these sum per word the classes of its left and right neighbours, the homes
+   add them up. Sweeps are of two kinds in turn: words outside the most frequent
+   ones move at their homes, by exact likelihood changes against the table of
+   class bigrams, in small groups after each of which a home's copy of the table
    follows, as if all homes had moved alike; the ``OWN`` most frequent ones move
-   on the driver as before. A sweep that does not raise the likelihood is
-   undone; the sweeps end when it no longer rises;
-5. a last pass scores all documents.
+   on the driver as before. A sweep that does not raise the likelihood is undone;
+   the sweeps end when neither kind raises it by ``RISE`` nats a token;
+6. a tenth of the training documents (crc32 of the id modulo 10 is 1) takes no
+   part in the clustering: for each class, the weight of the class model against
+   the word's overall frequency is what makes these documents most probable. Both
+   models then count all training documents;
+7. a last pass scores all documents.
 
-Words of no training document have no neighbours to count and stay in the class
-of their bucket.
+Each sweep's table replaces the one before, whose folder is removed.
 
 Contract: null text counts as empty (just the end token); a null id counts as
 the empty text for the held-out rule; repeated rows are documents of their own;
-an empty table gives an empty result; without training documents all words are
-unknown; only the id and text columns are read.
+an empty table gives an empty result; with no training document every word is
+unknown; only the id and text columns are read, whatever other columns are
+called.
 """
 
 from __future__ import annotations
@@ -42,29 +49,31 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
 
-from .common import cut, map_batches, materialize, quoted, read_table, text_column
+from .common import cut, map_batches, materialize, quoted, read_table, release, text_column
 
-#: Own and shared buckets of the start, classes (class 0 is the end token's alone).
-OWN, TAIL, CLASSES = 2047, 2048, 32
-#: The likelihood rises if it gains more than this a training token (nats); share of the words that move at the least.
-RISE, LEAST_SHARE = 1e-3, 1 / 16
+#: Words moved one by one on the driver; occurrences from which a word has a class of its own.
+OWN, RARE = 2047, 3
+#: A sweep counts as a rise if it gains more than this a training token (nats); share of the words that move at the least.
+RISE, LEAST_SHARE = 1e-2, 1 / 16
 #: Homes of words per block; words are weighed at once up to this many entries and this share of a home's tokens.
 HOMES, MOVE_ENTRIES, MOVE_SHARE = 4, 20_000, 1 / 64
 #: A block ends at this many words or distinct words.
 BLOCK_WORDS, BLOCK_DISTINCT = 1_500_000, 250_000
 ADD = 0.1
+#: Weights of the class model that are tried.
+WEIGHTS = np.arange(100) / 100
 
 _BLOCKS = T.StructType(
     [
         T.StructField("block", T.LongType()),
         T.StructField("doc_id", T.LongType()),
-        T.StructField("held_out", T.BooleanType()),
+        T.StructField("fold", T.IntegerType()),  # 0: held out, 1: weights of the models
         T.StructField("sequence", T.BinaryType()),  # local word numbers, uint32
         T.StructField("words", T.ArrayType(T.BinaryType())),
         T.StructField("counts", T.ArrayType(T.LongType())),
@@ -72,19 +81,26 @@ _BLOCKS = T.StructType(
 )
 _SEQUENCES = T.StructType(
     [
+        T.StructField("block", T.LongType()),
         T.StructField("doc_id", T.LongType()),
-        T.StructField("held_out", T.BooleanType()),
+        T.StructField("fold", T.IntegerType()),
         T.StructField("n_tokens", T.LongType()),
         T.StructField("n_known", T.LongType()),
         T.StructField("log_counts", T.DoubleType()),  # sum of log10(count + ADD) over the words
+        T.StructField("sequence", T.BinaryType()),  # numbers of classed words from 1, 0 for all others, uint32
         T.StructField("buckets", T.BinaryType()),  # uint16, the end token's 0 last
     ]
 )
 
 
-def held_out(doc_id: str = "doc_id") -> Column:
+def class_count(n_words: int) -> int:
+    """Classes for so many words with classes: 16 for 4,000 words, 32 for 260,000, 64 for 17 million; 128 at the most."""
+    return int(min(128, max(4, round(4 * n_words ** (1 / 6)))))
+
+
+def fold(doc_id: str = "doc_id") -> Column:
     text = F.coalesce(quoted(doc_id).cast("string"), F.lit(""))
-    return F.crc32(text.cast("binary")) % 10 == 0
+    return (F.crc32(text.cast("binary")) % 10).cast("int")
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -95,7 +111,7 @@ def words_of(text: bytes) -> list[bytes]:
 def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Documents as local number sequences, and a dictionary row per block."""
     source = docs.select(
-        quoted(doc_id).cast("long").alias("doc_id"), held_out(doc_id).alias("held_out"), text_column(text).cast("binary").alias("text")
+        quoted(doc_id).cast("long").alias("doc_id"), fold(doc_id).alias("fold"), text_column(text).cast("binary").alias("text")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +129,7 @@ def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
             columns = [
                 pa.array([block] * (n + 1), pa.int64()),
                 pa.array([r[0] for r in rows] + [None], pa.int64()),
-                pa.array([r[1] for r in rows] + [None], pa.bool_()),
+                pa.array([r[1] for r in rows] + [None], pa.int32()),
                 pa.array([r[2] for r in rows] + [None], pa.binary()),
                 pa.array([None] * n + [list(numbers)], pa.list_(pa.binary())),
                 pa.array([None] * n + [counts.tolist()], pa.list_(pa.int64())),
@@ -121,15 +137,15 @@ def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
             return pa.RecordBatch.from_arrays(columns, names=_BLOCKS.names)
 
         for batch in cut(batches, "text"):
-            triples = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "held_out", "text")), strict=True)
-            for i, held, data in triples:
+            triples = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "fold", "text")), strict=True)
+            for i, part_of, data in triples:
                 words = words_of(data)
                 for w in words:
                     if w not in numbers:
                         numbers[w] = len(numbers)
                 ids = np.fromiter(map(numbers.__getitem__, words), dtype=np.uint32, count=len(words))
-                rows.append((i, held, ids.tobytes()))
-                if not held:
+                rows.append((i, part_of, ids.tobytes()))
+                if part_of:
                     seen.append(ids)
                 total += len(words) + 1
                 if total >= BLOCK_WORDS or len(numbers) >= BLOCK_DISTINCT:
@@ -142,57 +158,146 @@ def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     return map_batches(source, run, _BLOCKS)
 
 
-def word_counts(blocked: DataFrame) -> DataFrame:
-    """Per block and word: local number, the word, its corpus count, and whether this is the word's first row."""
-    pairs = F.posexplode(F.arrays_zip("words", "counts")).alias("number", "pair")
-    rows = blocked.where("words IS NOT NULL").select("block", pairs)
-    rows = rows.select("block", "number", F.col("pair.words").alias("word"), F.col("pair.counts").alias("n"))
-    by_word = Window.partitionBy("word")
-    first = F.row_number().over(by_word.orderBy("block")) == 1
-    return rows.select("block", "number", "word", F.sum("n").over(by_word).alias("count"), first.alias("first"))
+_ROUTES = "array<struct<block: bigint, numbers: binary, counts: binary, places: binary>>"
+_HOMES = f"home int, words array<binary>, totals binary, routes {_ROUTES}"
 
 
-def with_buckets(counted: DataFrame, own: list[bytes]) -> DataFrame:
-    """Adds the bucket of each word: 1 to ``OWN`` for the own words in order, then the hashed ones; 0 is the end."""
-    spark = counted.sparkSession
-    table = spark.createDataFrame([(bytearray(w), i + 1) for i, w in enumerate(own)], "_own binary, _place int")
-    joined = counted.join(F.broadcast(table), F.col("word") == F.col("_own"), "left")
-    hashed = F.pmod(F.crc32("word"), F.lit(TAIL)) + (OWN + 1)
-    return joined.withColumn("bucket", F.coalesce("_place", hashed).cast("int")).drop("_own", "_place")
+def _squeeze(values: np.ndarray, dtype, rising: bool = False) -> bytes:
+    """Packed numbers; of ``rising`` ones the differences."""
+    values = np.asarray(values).astype(dtype)
+    data = (np.diff(values, prepend=values.dtype.type(0)) if rising else values).tobytes()
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
 
-def block_texts(blocked: DataFrame) -> DataFrame:
-    return blocked.where("words IS NULL").select("block", "doc_id", "held_out", "sequence")
+def _loosen(data: bytes, dtype, rising: bool = False) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    out = np.frombuffer(pa.decompress(data[8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b"", dtype=dtype)
+    return np.cumsum(out, dtype=dtype) if rising else out
+
 
+def word_homes(blocked: DataFrame, n: int) -> DataFrame:
+    """``n`` homes of words.
+
+    A word's place is its rank among the home's words with classes, by bytes;
+    these are listed with their counts (``words``, ``totals``). For each block
+    there are its local numbers and the corpus counts, the words with places
+    first (``places``, rising), then the others.
+    """
+    rare = RARE
 
-def sequences(blocked: DataFrame, bucketed: DataFrame, texts: DataFrame | None = None) -> DataFrame:
-    """Documents as bucket sequences with their word statistics; each block meets its own words."""
+    def run(words: pa.Table) -> pa.Table:
+        coded = words.column("word").combine_chunks()
+        coded = (coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded).dictionary_encode()
+        of, names = coded.indices.to_numpy(), coded.dictionary
+        totals = np.zeros(len(names), dtype=np.int64)
+        np.add.at(totals, of, words.column("n").to_numpy())
+        order = pc.sort_indices(names).to_numpy()
+        classed = order[totals[order] >= rare]
+        place = np.full(len(names), len(names), dtype=np.int64)
+        place[classed] = np.arange(len(classed))
+        block, number = words.column("block").to_numpy(), words.column("number").to_numpy()
+        at = np.lexsort((number, place[of], block))
+        block, number, of = block[at], number[at], of[at]
+        starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+        routes = []
+        for a, b in zip(starts, [*starts[1:], len(block)], strict=True):
+            places = place[of[a:b]]
+            routes.append({
+                "block": int(block[a]),
+                "numbers": _squeeze(number[a:b], np.uint32),
+                "counts": _squeeze(totals[of[a:b]], np.int64),
+                "places": _squeeze(places[places < len(names)], np.uint32, True),
+            })
+        columns = [pa.array([words.column("home")[0].as_py()], pa.int32())]
+        columns += [pa.array([names.take(pa.array(classed)).to_pylist()], pa.list_(pa.binary()))]
+        # the last number is that of the training words without classes
+        types = np.r_[totals[classed], int(((totals > 0) & (totals < rare)).sum()), int(totals[totals < rare].sum())]
+        route = pa.struct([("block", pa.int64()), *[(c, pa.binary()) for c in ("numbers", "counts", "places")]])
+        columns += [pa.array([_squeeze(types, np.int64)], pa.binary()), pa.array([routes], pa.list_(route))]
+        return pa.Table.from_arrays(columns, names=["home", "words", "totals", "routes"])
+
+    pairs = F.posexplode(F.arrays_zip("words", "counts")).alias("number", "pair")
+    rows = blocked.where("fold IS NULL").select("block", pairs)
+    word = F.col("pair.words")
+    rows = rows.select(F.pmod(F.xxhash64(word), F.lit(n)).cast("int").alias("home"), "block", "number", word.alias("word"), F.col("pair.counts").alias("n"))
+    return rows.groupBy("home").applyInArrow(run, _HOMES)
+
+
+def vocabulary(homes: DataFrame) -> tuple[list[tuple[int, int, int]], int, int, int]:
+    """(home, place, bucket) of the ``OWN`` most frequent words with classes; words with classes, training words and tokens in all."""
+    most = OWN
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                totals = _loosen(row["totals"], np.int64)
+                counts, rest = totals[:-2], totals[-2:]
+                top = sorted(range(len(counts)), key=lambda i: (-counts[i], row["words"][i]))[:most]
+                rows = [(row["home"], i, row["words"][i], int(counts[i])) for i in top]
+                rows.append((row["home"], -1, None, len(counts)))
+                rows.append((row["home"], -2, None, int(rest[0]) + len(counts)))
+                rows.append((row["home"], -3, None, int(counts.sum() + rest[1])))
+                kinds = pa.int32(), pa.int32(), pa.binary(), pa.int64()
+                columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays(columns, names=["home", "place", "word", "n"])
+
+    found = materialize(map_batches(homes.select("home", "words", "totals"), run, "home int, place int, word binary, n bigint"), "lm-top")
+    sums = {r["place"]: r["n"] for r in found.where("place < 0").groupBy("place").agg(F.sum("n").alias("n")).collect()}
+    top = found.where("place >= 0").orderBy(F.desc("n"), "word").limit(OWN).collect()  # fixed number of rows
+    release(found)
+    return [(r["home"], r["place"], i + 1) for i, r in enumerate(top)], *[int(sums.get(k, 0)) for k in (-1, -2, -3)]
+
+
+def _by_home(own: list[tuple[int, int, int]]) -> dict[int, dict[int, int]]:
+    out: dict[int, dict[int, int]] = {}
+    for home, place, bucket in own:
+        out.setdefault(home, {})[place] = bucket
+    return out
+
+
+def sequences(blocked: DataFrame, homes: DataFrame, own: list[tuple[int, int, int]]) -> DataFrame:
+    """Documents in the numbers that the homes' order gives, with buckets (``OWN`` + 1: any other word) and word statistics."""
+    at, other = _by_home(own), OWN + 1
 
     def run(docs: pa.Table, words: pa.Table) -> pa.Table:
-        number = words.column("number").to_numpy()
-        count, bucket = np.zeros(len(number), dtype=np.int64), np.zeros(len(number), dtype=np.uint16)
-        count[number] = words.column("count").to_numpy()
-        bucket[number] = words.column("bucket").to_numpy()
+        numbers, counts, buckets, sizes = [], [], [], []
+        for row in words.sort_by("home").to_pylist():
+            places, mine = _loosen(row["places"], np.uint32, True), at.get(row["home"], {})
+            numbers.append(_loosen(row["numbers"], np.uint32))
+            counts.append(_loosen(row["counts"], np.int64))
+            bucket = np.full(len(numbers[-1]), other, dtype=np.uint16)
+            for i in np.flatnonzero(np.isin(places, np.array(list(mine), dtype=np.uint32))).tolist():
+                bucket[i] = mine[int(places[i])]
+            buckets.append(bucket)
+            sizes.append(len(places))
+        n = sum(map(len, numbers))
+        count, bucket, new = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.uint16), np.zeros(n, dtype=np.uint32)
+        before = 1
+        for number, c, b, size in zip(numbers, counts, buckets, sizes, strict=True):
+            count[number], bucket[number] = c, b
+            new[number[:size]] = np.arange(before, before + size, dtype=np.uint32)
+            before += size
         log_count = np.log10(count + ADD)
-        n, known, logs, parts = [], [], [], []
+        lengths, known, logs, parts, shorts = [], [], [], [], []
         for data in docs.column("sequence").to_pylist():
             ids = np.frombuffer(data, dtype=np.uint32)
-            n.append(len(ids) + 1)
+            lengths.append(len(ids) + 1)
             known.append(int((count[ids] > 0).sum()))
             logs.append(float(log_count[ids].sum()))
-            parts.append(bucket[ids].tobytes() + b"\0\0")
-        columns = [docs.column("doc_id"), docs.column("held_out"), pa.array(n, pa.int64()), pa.array(known, pa.int64())]
-        columns += [pa.array(logs, pa.float64()), pa.array(parts, pa.binary())]
+            parts.append(new[ids].tobytes())
+            shorts.append(bucket[ids].tobytes() + b"\0\0")
+        columns = [docs.column(c) for c in ("block", "doc_id", "fold")] + [pa.array(lengths, pa.int64()), pa.array(known, pa.int64())]
+        columns += [pa.array(logs, pa.float64()), pa.array(parts, pa.binary()), pa.array(shorts, pa.binary())]
         return pa.Table.from_arrays(columns, names=_SEQUENCES.names)
 
-    texts = block_texts(blocked) if texts is None else texts
-    dictionary = bucketed.select("block", "number", "count", "bucket")
-    return texts.groupBy("block").cogroup(dictionary.groupBy("block")).applyInArrow(run, _SEQUENCES)
+    texts = blocked.where("fold IS NOT NULL").select("block", "doc_id", "fold", "sequence")
+    route = homes.select("home", F.explode("routes").alias("r")).select("r.block", "home", "r.numbers", "r.counts", "r.places")
+    return texts.groupBy("block").cogroup(route.groupBy("block")).applyInArrow(run, _SEQUENCES)
 
 
-def neighbours(trained: DataFrame, classes: np.ndarray) -> np.ndarray:
-    """Per bucket: counts by left class, by right class, and of itself behind itself: (buckets, 2 * CLASSES + 1)."""
-    k, size = CLASSES, len(classes)
+def neighbours(trained: DataFrame, classes: np.ndarray, k: int) -> np.ndarray:
+    """Per bucket: counts by left class, by right class, and of itself behind itself: (buckets, 2 * k + 1)."""
+    size = len(classes)
     shared = trained.sparkSession.sparkContext.broadcast(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,8 +330,9 @@ def _phi(x: np.ndarray) -> np.ndarray:
 
 def class_bigrams(counts: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Counts of (left class, class) from the buckets' left neighbours."""
-    out = np.zeros((CLASSES, CLASSES))
-    np.add.at(out.T, classes, counts[:, :CLASSES])
+    k = counts.shape[1] // 2
+    out = np.zeros((k, k))
+    np.add.at(out.T, classes, counts[:, :k])
     return out
 
 
@@ -236,16 +342,16 @@ def likelihood(bigrams: np.ndarray) -> float:
 
 
 def exchange(counts: np.ndarray, classes: np.ndarray, bigrams: np.ndarray | None = None) -> np.ndarray:
-    """One sweep: every bucket (but the end's) moves to the class that raises the likelihood most.
+    """One sweep: every own word moves to the class that raises the likelihood most.
 
     ``bigrams`` are given if ``counts`` has only some of the words.
     """
-    k = CLASSES
+    k = counts.shape[1] // 2
     classes = classes.copy()
     bigrams = class_bigrams(counts, classes) if bigrams is None else bigrams.copy()
     mass = counts[:, :k].sum(axis=1)
     for w in np.argsort(-mass, kind="stable"):
-        if w == 0 or mass[w] == 0:
+        if w in (0, len(classes) - 1) or mass[w] == 0:
             continue
         left, right, own = counts[w, :k].copy(), counts[w, k : 2 * k].copy(), counts[w, -1]
         g = classes[w]
@@ -272,51 +378,37 @@ def exchange(counts: np.ndarray, classes: np.ndarray, bigrams: np.ndarray | None
     return classes
 
 
-def first_classes() -> np.ndarray:
-    """The most frequent words start in classes of their own, the others follow in turn; the end has class 0."""
-    size = 1 + OWN + TAIL
-    classes = 1 + (np.arange(size) - 1) % (CLASSES - 1)
-    classes[0] = 0
+def first_classes(k: int) -> np.ndarray:
+    """By bucket: the most frequent words start in classes of their own, the others follow in turn; class 0 is the end's, 1 that of all other words."""
+    classes = 2 + (np.arange(OWN + 2) - 1) % (k - 2)
+    classes[0], classes[-1] = 0, 1
     return classes
 
 
-def cluster(trained: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of the buckets, and the class bigram counts under them."""
-    classes = first_classes()
-    counts = neighbours(trained, classes)
+def cluster(trained: DataFrame, k: int) -> np.ndarray:
+    """Classes of the buckets."""
+    classes = first_classes(k)
+    counts = neighbours(trained, classes, k)
     best, found = classes, class_bigrams(counts, classes)
     while True:
         classes = exchange(counts, classes)
-        counts = neighbours(trained, classes)
+        counts = neighbours(trained, classes, k)
         bigrams = class_bigrams(counts, classes)
-        if likelihood(bigrams) <= likelihood(found) + RISE * found.sum():
-            break
-        best, found = classes, bigrams
-    return best, found
+        rise = likelihood(bigrams) - likelihood(found)
+        if rise > 0:
+            best, found = classes, bigrams
+        if rise <= RISE * found.sum():
+            return best
 
 
-# --- every word ----------------------------------------------------------
+# --- every word with a class ---------------------------------------------
 
-_HOMES = "home int, counts binary, buckets binary, routes array<struct<block: bigint, numbers: binary, places: binary>>"
-_CLASSED = "block bigint, home int, numbers binary, places binary, classes binary, counts binary"
 #: Words with neighbours: per word its place at home, class, count beside itself, number of entries; entries are
-#: (class to the left, or CLASSES + class to the right; count).
+#: (class to the left, or k + class to the right; count).
 _PACKED = {"places": np.uint32, "classes": np.uint8, "own": np.int64, "sizes": np.uint8, "codes": np.uint8, "values": np.int64}
-_COUNTED = "home int, " + ", ".join(f"{c} binary" for c in _PACKED)
-_STATE = _COUNTED + ", bigrams array<bigint>, types array<bigint>"
-
-
-def _squeeze(values: np.ndarray, dtype, rising: bool = False) -> bytes:
-    """Packed numbers; of ``rising`` ones the differences."""
-    values = np.asarray(values).astype(dtype)
-    data = (np.diff(values, prepend=values.dtype.type(0)) if rising else values).tobytes()
-    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
-
-
-def _loosen(data: bytes, dtype, rising: bool = False) -> np.ndarray:
-    size = int.from_bytes(data[:8], "little")
-    out = np.frombuffer(pa.decompress(data[8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b"", dtype=dtype)
-    return np.cumsum(out, dtype=dtype) if rising else out
+_CLASSED = "block bigint, home int, places binary, classes binary"
+_COUNTED = "home int, " + ", ".join(f"{c} binary" for c in _PACKED) + ", tuned binary"
+_STATE = "home int, " + ", ".join(f"{c} binary" for c in _PACKED) + ", bigrams array<bigint>, tuned array<bigint>, types array<bigint>"
 
 
 def _pack(**arrays: np.ndarray) -> list[bytes]:
@@ -332,36 +424,9 @@ def _binaries(rows: list, k: int) -> pa.Array:
     return pa.array([r[k] for r in rows], pa.binary())
 
 
-def word_homes(bucketed: DataFrame, n: int) -> DataFrame:
-    """``n`` homes of words: counts and buckets by place, and for each block its local numbers and their places."""
-
-    def run(words: pa.Table) -> pa.Table:
-        column = lambda c: words.column(c).to_numpy()
-        place = words.column("word").combine_chunks().dictionary_encode()
-        place = (pa.chunked_array([place]) if isinstance(place, pa.Array) else place).combine_chunks()
-        place = (place.chunk(0) if isinstance(place, pa.ChunkedArray) else place).indices.to_numpy()
-        counts, buckets = np.zeros(place.max() + 1, dtype=np.int64), np.zeros(place.max() + 1, dtype=np.uint16)
-        counts[place], buckets[place] = column("count"), column("bucket")
-        order = np.lexsort((column("number"), column("block")))
-        block, number, place = column("block")[order], column("number")[order], place[order]
-        starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-        routes = [
-            {"block": int(block[a]), "numbers": _squeeze(number[a:b], np.uint32, True), "places": _squeeze(place[a:b], np.uint32)}
-            for a, b in zip(starts, [*starts[1:], len(block)], strict=True)
-        ]
-        route = pa.struct([("block", pa.int64()), ("numbers", pa.binary()), ("places", pa.binary())])
-        columns = [pa.array([words.column("home")[0].as_py()], pa.int32())]
-        columns += [pa.array([counts.tobytes()], pa.binary()), pa.array([buckets.tobytes()], pa.binary())]
-        return pa.Table.from_arrays([*columns, pa.array([routes], pa.list_(route))], names=["home", "counts", "buckets", "routes"])
-
-    home = F.pmod(F.xxhash64("word"), F.lit(n)).cast("int").alias("home")
-    rows = bucketed.select(home, "block", "number", "word", "count", "bucket")
-    return rows.groupBy("home").applyInArrow(run, _HOMES)
-
-
 def move_gains(bigrams: np.ndarray, classes: np.ndarray, own: np.ndarray, sizes: np.ndarray, codes: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Likelihood of each word in each class (words, classes), up to a constant a word, if just that word moves."""
-    k, n = CLASSES, len(classes)
+    k, n = len(bigrams), len(classes)
     word, at = np.repeat(np.arange(n), sizes), np.arange(n)
     both = np.zeros((n, 2 * k))
     both[word, codes] = values
@@ -399,7 +464,7 @@ def move_gains(bigrams: np.ndarray, classes: np.ndarray, own: np.ndarray, sizes:
 
 def _move(bigrams: np.ndarray, counts: np.ndarray, own: np.ndarray, old: np.ndarray, new: np.ndarray, times: float) -> np.ndarray:
     """The class bigrams after ``times`` such moves of words with these neighbours (the word itself not among them)."""
-    k, out = CLASSES, bigrams.copy()
+    k, out = len(bigrams), bigrams.copy()
     for classes, sign in ((old, -times), (new, times)):
         np.add.at(out.T, classes, sign * counts[:, :k])
         np.add.at(out, classes, sign * counts[:, k:])
@@ -409,7 +474,7 @@ def _move(bigrams: np.ndarray, counts: np.ndarray, own: np.ndarray, old: np.ndar
 
 def best_classes(bigrams: np.ndarray, home: int, counted: dict[str, np.ndarray], free: np.ndarray, share: float, sweep: int, homes: int) -> np.ndarray:
     """The class of each word after a sweep in which a ``share`` of the ``free`` words (another one each sweep) may move."""
-    k, classes = CLASSES, counted["classes"].astype(np.int64)
+    k, classes = len(bigrams), counted["classes"].astype(np.int64)
     sizes, own = counted["sizes"].astype(np.int64), counted["own"].astype(float)
     mix = counted["places"].astype(np.uint64) * np.uint64(_ODD[0]) + np.uint64((home * _ODD[1] + sweep * _ODD[2]) % 2**64)
     mix = (mix ^ (mix >> np.uint64(29))) * np.uint64(_ODD[1])
@@ -446,104 +511,123 @@ _ODD = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 
 
 def classed_words(
-    homes: DataFrame, state: DataFrame | None, start: np.ndarray, bigrams: np.ndarray | None = None, share: float = 0.0, sweep: int = 0, n: int = 1,
-    with_counts: bool = False,
+    homes: DataFrame, state: DataFrame | None, own: list[tuple[int, int, int]], start: np.ndarray, bigrams: np.ndarray | None = None,
+    share: float = 0.0, sweep: int = 0, n: int = 1,
 ) -> DataFrame:
-    """Per block and home the numbers, classes and, if asked for, counts of the words: of ``state`` after moves, own and unknown ones by bucket."""
-    names = [x.split()[0] for x in _CLASSED.split(", ")]
+    """Per block and home the classes of the words in the order of their places: of ``state`` after moves, own ones by bucket."""
+    names, at = [x.split()[0] for x in _CLASSED.split(", ")], _by_home(own)
+    slim = homes.select("home", F.col("routes.block").alias("blocks"), F.col("routes.places").alias("routed"))
     if state is None:
-        joined = homes.select("*", *[F.lit(None).cast("binary").alias(c) for c in _PACKED])
+        joined = slim.select("*", *[F.lit(None).cast("binary").alias(c) for c in _PACKED])
     else:
-        joined = homes.join(state.select("home", *_PACKED), "home", "left")
+        joined = slim.join(state.select("home", *_PACKED), "home", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 (row,) = batch.slice(i, 1).to_pylist()
-                counts = np.frombuffer(row["counts"], dtype=np.int64)
-                buckets = np.frombuffer(row["buckets"], dtype=np.uint16)
-                classes = start[buckets].astype(np.uint8)
+                routes = [_loosen(r, np.uint32, True) for r in row["routed"]]
+                mine = at.get(row["home"], {})
+                classes = np.ones(1 + max((int(r[-1]) for r in routes if len(r)), default=-1), dtype=np.uint8)
                 if row["places"] is not None:
                     counted = _unpack(row)
-                    places, free = counted["places"], buckets[counted["places"]] > OWN
+                    free = ~np.isin(counted["places"], np.array(list(mine), dtype=np.uint32))
                     moved = best_classes(bigrams, row["home"], counted, free, share, sweep, n) if share else counted["classes"]
-                    classes[places[free]] = moved[free]
-                rows = []
-                for r in row["routes"]:
-                    places = _loosen(r["places"], np.uint32)
-                    count = _squeeze(counts[places], np.int64) if with_counts else None
-                    rows.append((r["block"], row["home"], r["numbers"], r["places"], _squeeze(classes[places], np.uint8), count))
-                columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32())]
-                yield pa.RecordBatch.from_arrays([*columns, *[_binaries(rows, k) for k in range(2, 6)]], names=names)
+                    classes[counted["places"]] = moved
+                for place, bucket in mine.items():
+                    classes[place] = start[bucket]
+                columns = [pa.array(row["blocks"], pa.int64()), pa.array([row["home"]] * len(routes), pa.int32())]
+                columns += [pa.array(row["routed"], pa.binary()), pa.array([_squeeze(classes[r], np.uint8) for r in routes], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return map_batches(joined, run, _CLASSED)
 
 
-def _by_number(words: pa.Table, column: str, dtype) -> np.ndarray:
-    """A block's values by local number."""
-    numbers = [_loosen(x, np.uint32, True) for x in words.column("numbers").to_pylist()]
-    out = np.zeros(1 + max((int(x.max()) for x in numbers), default=-1), dtype=dtype)
-    for at, data in zip(numbers, words.column(column).to_pylist(), strict=True):
-        out[at] = _loosen(data, dtype)
-    return out
+def _block_classes(words: pa.Table) -> tuple[np.ndarray, list[dict]]:
+    """A block's classes by number (0: the words without; the last one is the end token), and the homes in order."""
+    rows = words.sort_by("home").to_pylist()
+    each = [_loosen(r["classes"], np.uint8) for r in rows]
+    return np.concatenate([np.ones(1, dtype=np.uint8), *each, np.zeros(1, dtype=np.uint8)]), rows
 
 
-def word_neighbours(texts: DataFrame, classed: DataFrame) -> DataFrame:
-    """Per home its training words with the counts of their neighbours' classes, and the class bigrams these add up to."""
-    k, names = CLASSES, ["home", *_PACKED]
+def word_neighbours(texts: DataFrame, classed: DataFrame, k: int) -> DataFrame:
+    """Per home its words with the counts of their neighbours' classes, and the class bigrams these add up to.
 
-    def block(docs: pa.Table, words: pa.Table) -> pa.Table:
-        of = np.r_[_by_number(words, "classes", np.uint8), np.uint8(0)].astype(np.int64)
-        end = np.array([len(of) - 1], dtype=np.uint32)  # the end token, also before a document's first word
+    Bigrams whose right word has no class of its own are told by their left
+    one's class or, of two such words, by an entry of their own beside the
+    homes' rows (``home`` -1).
+    """
+    names = ["home", *_PACKED]
+
+    def ids_of(docs: pa.Table, end: np.ndarray, wanted) -> np.ndarray:
         parts = [end]
-        for data, held in zip(docs.column("sequence").to_pylist(), docs.column("held_out").to_pylist(), strict=True):
-            if not held:
+        for data, f in zip(docs.column("sequence").to_pylist(), docs.column("fold").to_pylist(), strict=True):
+            if wanted(f):
                 parts += [np.frombuffer(data, dtype=np.uint32), end]
-        ids = np.concatenate(parts).astype(np.int64)
+        return np.concatenate(parts).astype(np.int64)
+
+    def block(docs: pa.Table, words: pa.Table) -> pa.Table:
+        of, homes = _block_classes(words)
+        of, size = of.astype(np.int64), len(of)
+        end = np.array([size - 1], dtype=np.uint32)  # the end token, also before a document's first word
+        ids = ids_of(docs, end, lambda f: f > 1)
+        tuning = of[ids_of(docs, end, lambda f: f == 1)]
         before, after = ids[:-1], ids[1:]
-        left = np.bincount(after * k + of[before], minlength=len(of) * k).astype(np.uint32).reshape(-1, k)
-        right = np.bincount(before * k + of[after], minlength=len(of) * k).astype(np.uint32).reshape(-1, k)
-        own = np.bincount(after[before == after], minlength=len(of))
-        rows = []
-        for row in words.select(["home", "numbers", "places", "classes"]).to_pylist():
-            places = _loosen(row["places"], np.uint32)
-            order = np.argsort(places)
-            places, number = places[order], _loosen(row["numbers"], np.uint32, True)[order]
+        left = np.bincount(after * k + of[before], minlength=size * k).astype(np.uint32).reshape(-1, k)
+        right = np.bincount(before * k + of[after], minlength=size * k).astype(np.uint32).reshape(-1, k)
+        own = np.bincount(after[before == after], minlength=size)
+        # what no home sees: bigrams that end in a word without a class of its own, or in the end token
+        bigrams = np.zeros((k, k), dtype=np.int64)
+        bigrams[:, 1] += left[0]
+        bigrams[:, 0] += left[-1]
+        tuned = np.bincount(tuning[:-1] * k + tuning[1:], minlength=k * k)
+        rows, start = [(-1, *_pack(**dict.fromkeys(_PACKED, ())), np.r_[bigrams.ravel(), tuned].astype(np.int64).tobytes())], 1
+        for row in homes:
+            classes = _loosen(row["classes"], np.uint8)
+            number = slice(start, start + len(classes))
+            start += len(classes)
             counts = np.concatenate([left[number], right[number]], axis=1)
             some = counts.any(axis=1)
             counts = counts[some]
             if len(counts):
                 w, codes = np.nonzero(counts)
+                places = _loosen(row["places"], np.uint32, True)[some]
                 sizes = np.bincount(w, minlength=len(counts))
-                packed = _pack(places=places[some], classes=_loosen(row["classes"], np.uint8)[order][some],
-                               own=own[number][some], sizes=sizes, codes=codes, values=counts[w, codes])
-                rows.append((row["home"], *packed))
-        columns = [pa.array([r[0] for r in rows], pa.int32()), *[_binaries(rows, 1 + i) for i in range(len(_PACKED))]]
-        return pa.Table.from_arrays(columns, names=names)
+                packed = _pack(places=places, classes=classes[some], own=own[number][some], sizes=sizes, codes=codes, values=counts[w, codes])
+                rows.append((row["home"], *packed, None))
+        columns = [pa.array([r[0] for r in rows], pa.int32()), *[_binaries(rows, 1 + i) for i in range(len(_PACKED) + 1)]]
+        return pa.Table.from_arrays(columns, names=[*names, "tuned"])
 
     def home(parts: pa.Table) -> pa.Table:
-        each = [_unpack(r) for r in parts.to_pylist()]
-        n = 1 + max(int(x["places"].max()) for x in each)
-        counts, own, classes = np.zeros(n * 2 * k, dtype=np.int64), np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
-        for x in each:  # a block names a word and a neighbour's class once
-            counts[np.repeat(x["places"].astype(np.int64), x["sizes"]) * (2 * k) + x["codes"]] += x["values"]
-            own[x["places"]] += x["own"]
-            classes[x["places"]] = x["classes"]
-        counts = counts.reshape(n, 2 * k)
-        places = np.flatnonzero(counts.any(axis=1))
-        counts, own, classes = counts[places], own[places], classes[places]
-        w, codes = np.nonzero(counts)
-        packed = _pack(places=places, classes=classes, own=own, sizes=np.bincount(w, minlength=len(places)), codes=codes, values=counts[w, codes])
-        bigrams = np.zeros((k, k), dtype=np.int64)
-        np.add.at(bigrams.T, classes, counts[:, :k])
-        np.add.at(bigrams[:, 0], classes, counts[:, k])  # to the end token
-        types = np.bincount(classes, minlength=k)
-        columns = [pa.array([parts.column("home")[0].as_py()], pa.int32()), *[pa.array([x], pa.binary()) for x in packed]]
-        columns += [pa.array([bigrams.ravel().tolist()], pa.list_(pa.int64())), pa.array([types.tolist()], pa.list_(pa.int64()))]
-        return pa.Table.from_arrays(columns, names=[*names, "bigrams", "types"])
+        number, bigrams, tuned, types = parts.column("home")[0].as_py(), np.zeros((k, k), dtype=np.int64), np.zeros(k * k, dtype=np.int64), np.zeros(k, dtype=np.int64)
+        if number < 0:
+            for data in parts.column("tuned").to_pylist():
+                both = np.frombuffer(data, dtype=np.int64)
+                bigrams += both[: k * k].reshape(k, k)
+                tuned += both[k * k :]
+            packed = [None] * len(_PACKED)
+        else:
+            each = [_unpack(r) for r in parts.to_pylist()]
+            n = 1 + max(int(x["places"].max()) for x in each)
+            counts, own, classes = np.zeros(n * 2 * k, dtype=np.int64), np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+            for x in each:  # a block names a word and a neighbour's class once
+                counts[np.repeat(x["places"].astype(np.int64), x["sizes"]) * (2 * k) + x["codes"]] += x["values"]
+                own[x["places"]] += x["own"]
+                classes[x["places"]] = x["classes"]
+            counts = counts.reshape(n, 2 * k)
+            places = np.flatnonzero(counts.any(axis=1))
+            counts, own, classes = counts[places], own[places], classes[places]
+            w, codes = np.nonzero(counts)
+            packed = _pack(places=places, classes=classes, own=own, sizes=np.bincount(w, minlength=len(places)), codes=codes, values=counts[w, codes])
+            np.add.at(bigrams.T, classes, counts[:, :k])
+            types = np.bincount(classes, minlength=k)
+        columns = [pa.array([number], pa.int32()), *[pa.array([x], pa.binary()) for x in packed]]
+        columns += [pa.array([x.ravel().tolist()], pa.list_(pa.int64())) for x in (bigrams, tuned, types)]
+        return pa.Table.from_arrays(columns, names=[*names, "bigrams", "tuned", "types"])
 
     counted = texts.groupBy("block").cogroup(classed.groupBy("block")).applyInArrow(block, _COUNTED)
-    return counted.groupBy("home").applyInArrow(home, _STATE)
+    # what a block adds to the class bigrams is first summed over groups of blocks
+    return counted.groupBy("home", F.when(F.col("home") < 0, F.pmod(F.xxhash64("tuned"), F.lit(64))).alias("part")).applyInArrow(home, _STATE)
 
 
 def _summed(state: DataFrame, column: str, size: int) -> np.ndarray:
@@ -553,26 +637,9 @@ def _summed(state: DataFrame, column: str, size: int) -> np.ndarray:
     return out
 
 
-def own_words(homes: DataFrame) -> list[tuple[int, int, int]]:
-    """(home, place, bucket) of the at most ``OWN`` words with buckets of their own."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for home, data in zip(*(batch.column(c).to_pylist() for c in ("home", "buckets")), strict=True):
-                buckets = np.frombuffer(data, dtype=np.uint16)
-                at = np.flatnonzero(buckets <= OWN)
-                columns = [pa.array([home] * len(at), pa.int32()), pa.array(at.astype(np.int32)), pa.array(buckets[at].astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, names=["home", "place", "bucket"])
-
-    return [tuple(r) for r in map_batches(homes.select("home", "buckets"), run, "home int, place int, bucket int").collect()]
-
-
-def own_counts(state: DataFrame, own: list[tuple[int, int, int]]) -> np.ndarray:
+def own_counts(state: DataFrame, own: list[tuple[int, int, int]], k: int) -> np.ndarray:
     """The neighbours of the own words as in :func:`neighbours`; zeros for all other buckets."""
-    k = CLASSES
-    at = {}
-    for home, place, bucket in own:
-        at.setdefault(home, {})[place] = bucket
+    at = _by_home(own)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -588,30 +655,31 @@ def own_counts(state: DataFrame, own: list[tuple[int, int, int]]) -> np.ndarray:
                     buckets.append(mine[int(counted["places"][w])])
                 yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(rows, pa.list_(pa.int64()))], names=["bucket", "counts"])
 
-    out = np.zeros((1 + OWN + TAIL, 2 * k + 1))
-    for row in map_batches(state.select("home", *_PACKED), run, "bucket int, counts array<bigint>").collect():
+    out = np.zeros((OWN + 2, 2 * k + 1))
+    for row in map_batches(state.where("home >= 0").select("home", *_PACKED), run, "bucket int, counts array<bigint>").collect():
         out[row["bucket"]] = row["counts"]
     return out
 
 
-def cluster_words(texts: DataFrame, homes: DataFrame, start: np.ndarray, n_docs: int) -> tuple[DataFrame, np.ndarray, np.ndarray, list[float]]:
-    """The state of all training words, the classes by bucket (right for own words), the class bigrams, and the likelihoods on the way."""
-    n, own = homes.count(), own_words(homes)
+def cluster_words(
+    texts: DataFrame, homes: DataFrame, own: list[tuple[int, int, int]], start: np.ndarray, k: int
+) -> tuple[DataFrame, np.ndarray, np.ndarray, list[float]]:
+    """The state of all words with classes, the classes of the own ones by bucket, the class bigrams, and the likelihoods on the way."""
+    n = homes.count()
 
     def counted(words: DataFrame) -> tuple[DataFrame, np.ndarray]:
-        state = materialize(word_neighbours(texts, words), "lm-sweep")
-        bigrams = _summed(state, "bigrams", CLASSES * CLASSES).reshape(CLASSES, CLASSES)
-        bigrams[0, 0] = n_docs - bigrams[0].sum()  # empty documents
-        return state, bigrams
+        state = materialize(word_neighbours(texts, words, k), "lm-sweep")
+        return state, _summed(state, "bigrams", k * k).reshape(k, k)
 
-    state, bigrams = counted(classed_words(homes, None, start))
+    state, bigrams = counted(classed_words(homes, None, own, start))
     kept, share, sweep, still, frequent = [likelihood(bigrams)], 1.0, 0, 0, False
     while still < 2:  # neither kind of sweep raises it any more
         sweep += 1
-        moved = exchange(own_counts(state, own), start, bigrams) if frequent else start
-        words = classed_words(homes, state, moved) if frequent else classed_words(homes, state, start, bigrams, share, sweep, n)
+        moved = exchange(own_counts(state, own, k), start, bigrams) if frequent else start
+        words = classed_words(homes, state, own, moved) if frequent else classed_words(homes, state, own, start, bigrams, share, sweep, n)
         tried, found = counted(words)
         rise = likelihood(found) - kept[-1]
+        release(state if rise > 0 else tried)
         if rise > 0:
             state, bigrams, start = tried, found, moved
             kept.append(likelihood(found))
@@ -623,66 +691,73 @@ def cluster_words(texts: DataFrame, homes: DataFrame, start: np.ndarray, n_docs:
     return state, start, bigrams, kept
 
 
-def tables(bigrams: np.ndarray, class_words: np.ndarray, class_types: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """log10 of the transitions (left class, class), and of the emission denominators per class."""
+def transitions(bigrams: np.ndarray, types: np.ndarray) -> np.ndarray:
+    """Probability of (left class, class), over the class's tokens and types: times a word's count + ``ADD`` it is the word's."""
     total = bigrams.sum()
-    prior = (bigrams.sum(axis=0) + ADD) / (total + ADD * CLASSES)
-    moves = np.log10((bigrams + prior[None, :]) / (bigrams.sum(axis=1, keepdims=True) + 1.0))
-    below = np.log10(class_words + ADD * (class_types + 1))
-    below[0] = 0.0  # the end token is all of its class
-    return moves, below
+    prior = (bigrams.sum(axis=0) + ADD) / (total + ADD * len(bigrams))
+    below = bigrams.sum(axis=0) + ADD * (types + 1)
+    below[0] = 1.0  # the end token is all of its class
+    return (bigrams + prior[None, :]) / (bigrams.sum(axis=1, keepdims=True) + 1.0) / below[None, :]
+
+
+def weights(bigrams: np.ndarray, tuned: np.ndarray, types: np.ndarray) -> np.ndarray:
+    """Per left class the weight of the class model that makes the ``tuned`` bigrams most probable beside the ``bigrams``.
+
+    Both models give a word its count + ``ADD`` times a number that depends on
+    the classes alone, so these bigrams are all that is needed.
+    """
+    n = bigrams.sum()
+    plain = np.full(len(bigrams), 1 / (n + ADD * (types.sum() + 2)))
+    plain[0] *= bigrams[:, 0].sum() + ADD
+    mixed = WEIGHTS[:, None, None] * transitions(bigrams, types) + (1 - WEIGHTS)[:, None, None] * plain
+    fits = (tuned * np.log(mixed)).sum(axis=2)
+    # ten tokens more that are as all are, for left classes that hardly occur there
+    fits += 10 * fits.sum(axis=1, keepdims=True) / max(1.0, tuned.sum())
+    return WEIGHTS[fits.argmax(axis=0)]
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``, ``perplexity``."""
     blocked = materialize(blocks(docs, doc_id, text), "lm-blocks")
-    counted = materialize(word_counts(blocked), "lm-words")
-    # fixed number of rows: the words with buckets of their own
-    top = counted.where("first AND count > 0").orderBy(F.desc("count"), "word").limit(OWN).select("word").collect()
-    bucketed = with_buckets(counted, [bytes(r[0]) for r in top])
-    per = bucketed.where("first").groupBy("bucket").agg(
-        F.sum("count").alias("words"), F.sum(F.when(F.col("count") > 0, 1).otherwise(0)).alias("types")
-    )
-    bucket_words, bucket_types = np.zeros(1 + OWN + TAIL), np.zeros(1 + OWN + TAIL)
-    for row in per.collect():  # one row per bucket
-        bucket_words[row["bucket"]], bucket_types[row["bucket"]] = row["words"], row["types"]
+    n_blocks = blocked.where("fold IS NULL").count()
+    n_docs = blocked.where("fold > 0").count()
+    homes = materialize(word_homes(blocked, max(1, HOMES * n_blocks)), "lm-homes")
+    own, n_classed, n_words, n_tokens = vocabulary(homes)
+    found = materialize(sequences(blocked, homes, own), "lm-sequences")
+    release(blocked)
+    k, n, v = class_count(n_classed), n_tokens + n_docs, n_words + (n_docs > 0)
+    start = cluster(found.where("fold > 1"), k)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # each sweep meets the texts where they are: only classes and counts are shuffled
-    texts = block_texts(blocked).repartition(parts, "block").persist(StorageLevel.DISK_ONLY)
-    found = materialize(sequences(blocked, bucketed, texts).select("held_out", "buckets"), "lm-sequences")
-    trained = found.where("NOT held_out")
-    n_docs = trained.count()
-    n = int(bucket_words.sum()) + n_docs
-    v = int(bucket_types.sum()) + (n_docs > 0)
-    start, _ = cluster(trained)
-    n_blocks = blocked.where("words IS NOT NULL").count()
-    homes = materialize(word_homes(bucketed, max(1, HOMES * n_blocks)), "lm-homes")
-    state, start, bigrams, _ = cluster_words(texts, homes, start, n_docs)
-    class_words, class_types = bigrams.sum(axis=0), _summed(state, "types", CLASSES)
-    moves, below = tables(bigrams, class_words, class_types)
-    names = ["doc_id", "held_out", "n_tokens", "n_known", "log_counts", "score"]
-
-    def run(docs: pa.Table, words: pa.Table) -> pa.Table:
-        of = np.r_[_by_number(words, "classes", np.uint8), np.uint8(0)]
-        count = _by_number(words, "counts", np.int64)
-        log_count, end = np.log10(count + ADD), np.array([len(of) - 1], dtype=np.uint32)
-        lengths, known, logs, sums = [], [], [], []
-        for data in docs.column("sequence").to_pylist():
-            ids = np.frombuffer(data, dtype=np.uint32)
-            after = of[np.r_[ids, end]]
-            lengths.append(len(after))
-            known.append(int((count[ids] > 0).sum()))
-            logs.append(float(log_count[ids].sum()))
-            sums.append(logs[-1] + float((moves[np.r_[0, after[:-1]], after] - below[after]).sum()))
-        columns = [docs.column("doc_id"), docs.column("held_out"), pa.array(lengths, pa.int64()), pa.array(known, pa.int64())]
-        return pa.Table.from_arrays([*columns, pa.array(logs, pa.float64()), pa.array(sums, pa.float64())], names=names)
-
-    words = classed_words(homes, state, start, with_counts=True)
-    scored = texts.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(
-        run, "doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, score double"
-    )
-    scored = materialize(scored, "lm-scores")
-    texts.unpersist()
+    texts = found.drop("buckets").repartition(parts, "block").persist(StorageLevel.DISK_ONLY)
+    try:
+        state, start, bigrams, _ = cluster_words(texts, homes, own, start, k)
+        types = _summed(state, "types", k)
+        types[1] += max(0, n_words - types.sum())
+        tuned = _summed(state, "tuned", k * k).reshape(k, k)
+        share = weights(bigrams, tuned, types)[:, None]
+        plain = np.full(k, 1 / (n + ADD * (v + 1)))
+        plain[0] *= n_docs + ADD
+        logs = np.log10(share * transitions(bigrams + tuned, types) + (1 - share) * plain)
+        names = ["doc_id", "held_out", "n_tokens", "n_known", "log_counts", "score"]
+
+        def run(docs: pa.Table, words: pa.Table) -> pa.Table:
+            of, _ = _block_classes(words)
+            end, sums = np.array([len(of) - 1], dtype=np.uint32), []
+            for data, known in zip(docs.column("sequence").to_pylist(), docs.column("log_counts").to_pylist(), strict=True):
+                after = of[np.r_[np.frombuffer(data, dtype=np.uint32), end]]
+                sums.append(known + float(logs[np.r_[0, after[:-1]], after].sum()))
+            columns = [docs.column("doc_id"), pc.equal(docs.column("fold"), 0), *[docs.column(c) for c in names[2:5]]]
+            return pa.Table.from_arrays([*columns, pa.array(sums, pa.float64())], names=names)
+
+        words = classed_words(homes, state, own, start)
+        scored = texts.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(
+            run, "doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, score double"
+        )
+        scored = materialize(scored, "lm-scores")
+    finally:
+        texts.unpersist()
+    release(found, homes, state)
     end = float(np.log10(n_docs + ADD))
     per_token = float(np.log10(n + ADD * (v + 1)))
     # the end token is known as soon as there is a training document

@@ -118,24 +118,24 @@ def test_lm_base_and_model(spark, docs, empty):
 
 def test_exchange_raises_the_likelihood(spark):
     text = " ".join(["the cat sleeps", "a dog runs", "the dog sleeps", "a cat runs"] * 50)
-    df = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
+    df = spark.createDataFrame([(2, text), (4, text)], "doc_id long, text string")
     blocked = materialize(brown_lm.blocks(df), "test")
-    counted = materialize(brown_lm.word_counts(blocked), "test")
-    top = [bytes(r.word) for r in counted.where("first").orderBy(F.desc("count"), "word").select("word").collect()]
-    seq = materialize(brown_lm.sequences(blocked, brown_lm.with_buckets(counted, top)), "test")
-    classes = brown_lm.first_classes()
-    counts = brown_lm.neighbours(seq, classes)
+    homes = materialize(brown_lm.word_homes(blocked, 3), "test")
+    own, classed, words, tokens = brown_lm.vocabulary(homes)
+    assert (len(own), classed, words, tokens) == (6, 6, 6, 2 * 600)
+    seq = materialize(brown_lm.sequences(blocked, homes, own), "test")
+    classes = brown_lm.first_classes(5)
+    counts = brown_lm.neighbours(seq, classes, 5)
     moved = brown_lm.exchange(counts, classes)
     before = brown_lm.likelihood(brown_lm.class_bigrams(counts, classes))
-    after = brown_lm.likelihood(brown_lm.class_bigrams(brown_lm.neighbours(seq, moved), moved))
+    after = brown_lm.likelihood(brown_lm.class_bigrams(brown_lm.neighbours(seq, moved, 5), moved))
     assert after >= before - 1e-6 and moved[0] == 0 and (moved[1:] > 0).all()
 
 
 def test_every_word_has_its_own_class(spark, monkeypatch):
     import random
 
-    monkeypatch.setattr(brown_lm, "OWN", 4)
-    monkeypatch.setattr(brown_lm, "TAIL", 1)  # all other words start in one bucket
+    monkeypatch.setattr(brown_lm, "OWN", 4)  # all other words start in one bucket
     rng = random.Random(5)
     rows = [(i, " ".join(f"{'nv'[k % 2]}{rng.randrange(100)}" for k in range(200))) for i in range(60)]
     out = brown_lm.score(spark.createDataFrame(rows, "doc_id long, text string")).where("held_out").collect()
@@ -143,10 +143,117 @@ def test_every_word_has_its_own_class(spark, monkeypatch):
     assert gain > 0.5 * math.log10(2)  # nouns and verbs take turns: each word is one of a hundred, not of two hundred
 
 
+def _some_texts():
+    import random
+
+    rng = random.Random(3)
+    noun, verb = [f"n{i}" for i in range(60)], [f"V{i}" for i in range(40)]
+    rows = [(i, " ".join((noun if k % 2 else verb)[int(rng.random() ** 2 * 40)] for k in range(rng.randrange(60)))) for i in range(150)]
+    return [*rows, (150, "rare words never seen before n1"), (151, None), (None, "n1 v1")]
+
+
+def test_lm_score_by_brute_force(spark, monkeypatch):
+    """The scores from their definition, with the classes that the operator has found."""
+    import numpy as np
+
+    monkeypatch.setattr(brown_lm, "OWN", 8)
+    monkeypatch.setattr(brown_lm, "BLOCK_WORDS", 700)
+    got, whole = {}, brown_lm.cluster_words
+
+    def watched(texts, homes, own, start, k):
+        state, start, bigrams, kept = whole(texts, homes, own, start, k)
+        words = {r.home: r.words for r in homes.collect()}
+        for r in state.where("home >= 0").collect():
+            found = brown_lm._unpack(r.asDict())
+            got.update((bytes(words[r.home][p]), int(c)) for p, c in zip(found["places"], found["classes"], strict=True))
+        got[None] = k, kept
+        return state, start, bigrams, kept
+
+    monkeypatch.setattr(brown_lm, "cluster_words", watched)
+    rows = _some_texts()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    out = {r.doc_id: r for r in brown_lm.score(df).collect()}
+    k, kept = got.pop(None)
+    assert all(y > x for x, y in zip(kept, kept[1:], strict=False)) and len(set(got.values())) > 2
+    tok = {i: (t or "").encode().lower().split() + [None] for i, t in rows}
+    part = {i: zlib.crc32(("" if i is None else str(i)).encode()) % 10 for i, _ in rows}
+    c = collections.Counter(w for i, ws in tok.items() if part[i] for w in ws)
+    of = lambda w: 0 if w is None else got.get(w, 1)
+    table = {True: np.zeros((k, k)), False: np.zeros((k, k))}
+    for i, ws in tok.items():
+        for x, y in zip([None, *ws[:-1]], ws, strict=True):
+            if part[i]:
+                table[part[i] == 1][of(x), of(y)] += 1
+    types = np.bincount([of(w) for w in c if w is not None], minlength=k)
+
+    def probability(bigrams, x, y, plain_words):
+        """(class model, word's frequency) of the word ``y`` behind the class ``x``."""
+        h, n = of(y), bigrams.sum()
+        prior = (bigrams[:, h].sum() + 0.1) / (n + 0.1 * k)
+        move = (bigrams[x, h] + prior) / (bigrams[x].sum() + 1)
+        one = c[y] + 0.1
+        plain = (bigrams[:, 0].sum() + 0.1 if y is None else one) / (n + 0.1 * plain_words)
+        return move * (1 if y is None else one / (bigrams[:, h].sum() + 0.1 * (types[h] + 1))), plain
+
+    v = len(c)
+    fits = np.zeros((k, 100))
+    for i, ws in tok.items():
+        for x, y in zip([None, *ws[:-1]], ws, strict=True):
+            if part[i] == 1:
+                a, b = probability(table[False], of(x), y, v + 1)
+                one = 1 if y is None else c[y] + 0.1  # leaves the best weight as it is
+                fits[of(x)] += [math.log((s * a + (1 - s) * b) / one) for s in np.arange(100) / 100]
+    fits += 10 * fits.sum(axis=0) / table[True].sum()
+    share = fits.argmax(axis=1) / 100
+    both = table[True] + table[False]
+    for i, ws in tok.items():
+        want = 0.0
+        for x, y in zip([None, *ws[:-1]], ws, strict=True):
+            a, b = probability(both, of(x), y, v + 1)
+            want += math.log10(share[of(x)] * a + (1 - share[of(x)]) * b)
+        assert out[i].score == pytest.approx(want), i
+
+
+def test_lm_reruns_agree_and_leave_only_the_scores(spark, monkeypatch):
+    import os
+
+    from sensorwatch.session import checkpoint_root
+
+    monkeypatch.setattr(brown_lm, "OWN", 8)
+    monkeypatch.setattr(brown_lm, "BLOCK_WORDS", 300)  # many blocks
+    folder = f"{checkpoint_root(spark)}/llm".removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    df = materialize(spark.createDataFrame(_some_texts(), "doc_id long, text string").repartition(3, "doc_id"), "test")
+    runs, parts = [], spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (parts, "3"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            runs.append({r.doc_id: round(r.score, 6) for r in brown_lm.score(df).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert runs[0] == runs[1]
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before}
+    assert left == {"test", "lm-scores"}
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_lm_beats_single_words_on_held_out_texts(spark, sf):
+    out = brown_lm.op6_brown_lm(spark, f"/root/testdata/{sf}").where("held_out")
+    (row,) = out.agg(F.sum("score").alias("score"), F.sum("base_score").alias("base")).collect()
+    assert row.score > row.base
+
+
+def test_lm_without_training_documents(spark):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0][:3]
+    out = brown_lm.score(spark.createDataFrame([(i, "some words") for i in ids], "doc_id long, text string")).collect()
+    assert len(out) == 3 and all(r.held_out and r.n_known == 0 and r.train_tokens == 0 for r in out)
+    assert all(math.isfinite(r.score) for r in out)
+
+
 def test_moves_change_the_likelihood_as_weighed():
     import numpy as np
 
-    rng, k = np.random.default_rng(0), brown_lm.CLASSES
+    rng, k = np.random.default_rng(0), 32
     ids = np.r_[0, rng.integers(0, 40, 2000) ** 2 // 40, 0]
     classes = np.r_[0, 1 + rng.integers(0, k - 1, 39)]
 
