@@ -22,12 +22,12 @@ Over the corpus, in Spark:
    others are in class 1;
 5. sweeps over all words with classes: the homes send the classes to the blocks,
    these sum per word the classes of its left and right neighbours, the homes
-   add them up. Sweeps are of two kinds in turn: words outside the most frequent
-   ones move at their homes, by exact likelihood changes against the table of
-   class bigrams, in small groups after each of which a home's copy of the table
-   follows, as if all homes had moved alike; the ``OWN`` most frequent ones move
-   on the driver as before. A sweep that does not raise the likelihood is undone;
-   the sweeps end when neither kind raises it by ``RISE`` nats a token;
+   add them up. Then words outside the most frequent ones move at their homes, by
+   exact likelihood changes against the table of class bigrams, in small groups
+   after each of which a home's copy of the table follows, as if all homes had
+   moved alike; the ``OWN`` most frequent ones move on the driver as before. A
+   sweep that does not raise the likelihood is undone and tried with a quarter of
+   the words; the sweeps end when one raises it by no more than ``RISE`` nats a token;
 6. a tenth of the training documents (crc32 of the id modulo 10 is 1) takes no
    part in the clustering: for each class, the weight of the class model against
    the word's overall frequency is what makes these documents most probable. Both
@@ -60,7 +60,7 @@ from .common import cut, map_batches, materialize, quoted, read_table, release,
 #: Words moved one by one on the driver; occurrences from which a word has a class of its own.
 OWN, RARE = 2047, 3
 #: A sweep counts as a rise if it gains more than this a training token (nats); share of the words that move at the least.
-RISE, LEAST_SHARE = 1e-2, 1 / 16
+RISE, LEAST_SHARE = 5e-2, 1 / 16
 #: Homes of words per block; words are weighed at once up to this many entries and this share of a home's tokens.
 HOMES, MOVE_ENTRIES, MOVE_SHARE = 4, 20_000, 1 / 64
 #: A block ends at this many words or distinct words.
@@ -672,22 +672,18 @@ def cluster_words(
         return state, _summed(state, "bigrams", k * k).reshape(k, k)
 
     state, bigrams = counted(classed_words(homes, None, own, start))
-    kept, share, sweep, still, frequent = [likelihood(bigrams)], 1.0, 0, 0, False
-    while still < 2:  # neither kind of sweep raises it any more
+    kept, share, sweep, rise = [likelihood(bigrams)], 1.0, 0, np.inf
+    while rise > RISE * bigrams.sum() or share > LEAST_SHARE and rise <= 0:
         sweep += 1
-        moved = exchange(own_counts(state, own, k), start, bigrams) if frequent else start
-        words = classed_words(homes, state, own, moved) if frequent else classed_words(homes, state, own, start, bigrams, share, sweep, n)
-        tried, found = counted(words)
+        moved = exchange(own_counts(state, own, k), start, bigrams)
+        tried, found = counted(classed_words(homes, state, own, moved, bigrams, share, sweep, n))
         rise = likelihood(found) - kept[-1]
         release(state if rise > 0 else tried)
         if rise > 0:
             state, bigrams, start = tried, found, moved
             kept.append(likelihood(found))
-        if rise <= 0 and not frequent and share > LEAST_SHARE:
+        else:  # too many moved at once: fewer next time
             share /= 4
-            continue
-        still = 0 if rise > RISE * bigrams.sum() else still + 1
-        frequent = not frequent
     return state, start, bigrams, kept
 
 

@@ -124,11 +124,11 @@ def test_exchange_raises_the_likelihood(spark):
     own, classed, words, tokens = brown_lm.vocabulary(homes)
     assert (len(own), classed, words, tokens) == (6, 6, 6, 2 * 600)
     seq = materialize(brown_lm.sequences(blocked, homes, own), "test")
-    classes = brown_lm.first_classes(5)
-    counts = brown_lm.neighbours(seq, classes, 5)
+    classes = brown_lm.first_classes(32)
+    counts = brown_lm.neighbours(seq, classes, 32)
     moved = brown_lm.exchange(counts, classes)
     before = brown_lm.likelihood(brown_lm.class_bigrams(counts, classes))
-    after = brown_lm.likelihood(brown_lm.class_bigrams(brown_lm.neighbours(seq, moved, 5), moved))
+    after = brown_lm.likelihood(brown_lm.class_bigrams(brown_lm.neighbours(seq, moved, 32), moved))
     assert after >= before - 1e-6 and moved[0] == 0 and (moved[1:] > 0).all()
 
 
