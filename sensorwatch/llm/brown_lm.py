@@ -27,7 +27,8 @@ Over the corpus, in Spark:
    after each of which a home's copy of the table follows, as if all homes had
    moved alike; the ``OWN`` most frequent ones move on the driver as before. A
    sweep that does not raise the likelihood is undone and tried with a quarter of
-   the words; the sweeps end when one raises it by no more than ``RISE`` nats a token;
+   the words; the sweeps end when one raises it by no more than ``RISE`` nats a token
+   and by no more than the one before;
 6. a tenth of the training documents (crc32 of the id modulo 10 is 1) takes no
    part in the clustering: for each class, the weight of the class model against
    the word's overall frequency is what makes these documents most probable. Both
@@ -60,7 +61,7 @@ from .common import cut, map_batches, materialize, quoted, read_table, release,
 #: Words moved one by one on the driver; occurrences from which a word has a class of its own.
 OWN, RARE = 2047, 3
 #: A sweep counts as a rise if it gains more than this a training token (nats); share of the words that move at the least.
-RISE, LEAST_SHARE = 5e-2, 1 / 16
+RISE, LEAST_SHARE = 1e-2, 1 / 16
 #: Homes of words per block; words are weighed at once up to this many entries and this share of a home's tokens.
 HOMES, MOVE_ENTRIES, MOVE_SHARE = 4, 20_000, 1 / 64
 #: A block ends at this many words or distinct words.
@@ -515,7 +516,7 @@ def classed_words(
     share: float = 0.0, sweep: int = 0, n: int = 1,
 ) -> DataFrame:
     """Per block and home the classes of the words in the order of their places: of ``state`` after moves, own ones by bucket."""
-    names, at = [x.split()[0] for x in _CLASSED.split(", ")], _by_home(own)
+    names, at, k = [x.split()[0] for x in _CLASSED.split(", ")], _by_home(own), int(start.max()) + 1
     slim = homes.select("home", F.col("routes.block").alias("blocks"), F.col("routes.places").alias("routed"))
     if state is None:
         joined = slim.select("*", *[F.lit(None).cast("binary").alias(c) for c in _PACKED])
@@ -528,7 +529,9 @@ def classed_words(
                 (row,) = batch.slice(i, 1).to_pylist()
                 routes = [_loosen(r, np.uint32, True) for r in row["routed"]]
                 mine = at.get(row["home"], {})
-                classes = np.ones(1 + max((int(r[-1]) for r in routes if len(r)), default=-1), dtype=np.uint8)
+                size = 1 + max((int(r[-1]) for r in routes if len(r)), default=-1)
+                # a start over all classes: words that are all in one have no reason to part
+                classes = (2 + (np.arange(size) * 7919 + row["home"]) % (k - 2)).astype(np.uint8)
                 if row["places"] is not None:
                     counted = _unpack(row)
                     free = ~np.isin(counted["places"], np.array(list(mine), dtype=np.uint32))
@@ -672,9 +675,10 @@ def cluster_words(
         return state, _summed(state, "bigrams", k * k).reshape(k, k)
 
     state, bigrams = counted(classed_words(homes, None, own, start))
-    kept, share, sweep, rise = [likelihood(bigrams)], 1.0, 0, np.inf
-    while rise > RISE * bigrams.sum() or share > LEAST_SHARE and rise <= 0:
-        sweep += 1
+    kept, share, sweep, rise, last = [likelihood(bigrams)], 1.0, 0, np.inf, 0.0
+    # small rises that grow lead away from a saddle
+    while rise > max(0.0, min(last, RISE * bigrams.sum())) or share > LEAST_SHARE and rise <= 0:
+        sweep, last = sweep + 1, rise if sweep else 0.0
         moved = exchange(own_counts(state, own, k), start, bigrams)
         tried, found = counted(classed_words(homes, state, own, moved, bigrams, share, sweep, n))
         rise = likelihood(found) - kept[-1]
