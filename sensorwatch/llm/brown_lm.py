@@ -20,7 +20,8 @@ Over the corpus, in Spark:
 4. a start: the ``OWN`` most frequent words are moved one after the other with
    exact likelihood changes, from counts summed in one pass a sweep, while all
    others are in class 1;
-5. sweeps over all words with classes: the homes send the classes to the blocks,
+5. sweeps over all words with classes, the others starting spread over all classes
+   (words that are all in one have no reason to part): the homes send the classes to the blocks,
    these sum per word the classes of its left and right neighbours, the homes
    add them up. Then words outside the most frequent ones move at their homes, by
    exact likelihood changes against the table of class bigrams, in small groups
