@@ -17,20 +17,22 @@ residual.
 * A node that holds a large share of the windows can be dealt over salts
   (``hot``): its windows go to one salt each, its rules to all of them.
 
-No hint is given: Spark broadcasts the listed rules while its statistics put
-them below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides
-beyond. The statistics do not count the listing.
+Spark's statistics count neither the listing nor, in a stream's batch without
+input, the windows that come from its state. So the join's form is given by a
+hint (:func:`_hinted`), from sizes that are counted: what is broadcast stays
+below ``spark.sql.autoBroadcastJoinThreshold`` as listed, all else is shuffled.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import DEFAULT, AlertSettings
 from ..functions.predicates import rule_predicate
@@ -41,6 +43,8 @@ SALTS, HOT_SHARE = 16, 1 / 50
 #: Comparisons written out in one expression; more separators are looked up in blocks of this many.
 _TREE = 16
 _OWN = "_rj_"
+#: Size of listed rules that need not be counted.
+_TOO_LARGE = 1 << 62
 
 
 @dataclass(frozen=True)
@@ -49,11 +53,13 @@ class Axes:
 
     ``separators[i]`` ascends; a value's cell is the number of separators below
     it. ``uses`` holds bit masks of bounded axes; None stands for all.
+    ``listed`` is the size in bytes of the listed rules (None: not counted yet).
     """
 
     separators: tuple[tuple[float, ...], ...]
     fanout: int
     uses: frozenset[int] | None
+    listed: int | None = None
 
     def fan(self, i: int) -> int:
         """Children of a node of an axis: of few cells the root is the only parent."""
@@ -100,20 +106,71 @@ def rule_candidates(
     for name in (*averages.columns, *rules.columns):
         if name.startswith(_OWN):
             raise ValueError(f"column {name}: names with {_OWN} are used by the rule join")
-    # a rule with a blank bound never fires
-    bounds = [f"{m}_{e}" for m in settings.measures for e in ("min", "max")]
-    live = rules.where(" AND ".join(f"`{b}` IS NOT NULL" for b in bounds))
+    live = _live(rules, settings)
     axes = rule_axes(live, settings) if axes is None else axes
+    if axes.listed is None:
+        axes = replace(axes, listed=_listed_bytes(live, axes, settings))
     if averages.isStreaming:  # rules that change later may be bounded on other axes
-        axes = Axes(axes.separators, axes.fanout, None)
+        axes = replace(axes, uses=None)
     windows = _salted(list_windows(averages, axes, settings), hot, False)
+    if axes.listed > _most(live):  # the listing is far larger than the rules' files, whose splits may be few
+        live = live.repartition(int(live.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     listed = _salted(_list_rules(live, axes, settings), hot, True)
     keys = [f"{_OWN}{i}" for i in range(len(settings.measures))] + ([f"{_OWN}salt"] if hot else [])
-    return windows.join(listed, on=keys, how="inner")
+    return _hinted(averages, windows, listed, keys, axes, SALTS if hot else 1)
+
+
+def _hinted(averages: DataFrame, windows: DataFrame, listed: DataFrame, keys: list[str], axes: Axes, times: int) -> DataFrame:
+    """The join in the form that the counted sizes allow.
+
+    Rules are broadcast if they are below the session's threshold as listed
+    (``times`` for salts). If not, the windows of a batch are counted, a pass more
+    over the averages, and broadcast if they are. Otherwise both sides are sorted
+    and merged, which takes bounded memory. A stream keeps the form that its
+    rules had at its start; its windows are never broadcast.
+    """
+    most = _most(averages)
+    if axes.listed * times <= most:
+        return windows.join(F.broadcast(listed), on=keys, how="inner")
+    if not averages.isStreaming and most > 0:
+        rows, width = averages.agg(F.count("*"), F.sum(F.expr(_width(averages)))).first()
+        if ((width or 0) + rows * 8 * len(keys)) * len(axes.combinations()) <= most:
+            return F.broadcast(windows).join(listed, on=keys, how="inner")
+    return windows.hint("merge").join(listed.hint("merge"), on=keys, how="inner")
+
+
+def _most(df: DataFrame) -> int:
+    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
+def _width(df: DataFrame) -> str:
+    """SQL: a row's size in bytes, about as a hash table of a broadcast holds it."""
+    fixed = [f for f in df.schema.fields if not isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.VariantType))]
+    other = [f"coalesce(octet_length(CAST(`{f.name}` AS STRING)), 0)" for f in df.schema.fields if f not in fixed]
+    return " + ".join([f"CAST({32 + 8 * len(df.columns) + sum(_nested(f.dataType) for f in fixed)} AS BIGINT)", *other])
+
+
+def _nested(kind: T.DataType) -> int:
+    return sum(8 + _nested(f.dataType) for f in kind.fields) if isinstance(kind, T.StructType) else 0
+
+
+def _live(rules: DataFrame, settings: AlertSettings) -> DataFrame:
+    """A rule with a blank bound never fires."""
+    bounds = [f"{m}_{e}" for m in settings.measures for e in ("min", "max")]
+    return rules.where(" AND ".join(f"`{b}` IS NOT NULL" for b in bounds))
+
+
+def _listed_bytes(live: DataFrame, axes: Axes, settings: AlertSettings) -> int:
+    """The size of all listed rules, counted without listing them; of rules that are too large as they are, ``_TOO_LARGE``."""
+    if (live.agg(F.expr(f"sum({_width(live)})")).first()[0] or 0) > _most(live):
+        return _TOO_LARGE
+    nodes = " * ".join(f"CAST(size({_OWN}n{i}) AS BIGINT)" for i in range(len(settings.measures)))
+    width = f"({_width(live)} + {8 * len(settings.measures)})"
+    return _rule_nodes(live, axes, settings).agg(F.expr(f"coalesce(sum({nodes} * {width}), 0)")).first()[0]
 
 
 def rule_axes(rules: DataFrame, settings: AlertSettings = DEFAULT) -> Axes:
-    """Cuts of each axis, and the sets of axes that rules bound: one aggregate job on the rules.
+    """Cuts of each axis, the sets of axes that rules bound, and the size of the listed rules: aggregate jobs on the rules.
 
     At most ``rule_bins + 1`` numbers an axis and ``2 ^ axes`` masks come to the driver.
     """
@@ -138,7 +195,8 @@ def rule_axes(rules: DataFrame, settings: AlertSettings = DEFAULT) -> Axes:
     cuts = [sorted(set(found[i]["at"])) if i in found else [] for i in range(len(measures))]
     # v > the next number below c means v >= c
     separators = tuple(tuple(s for c in own for s in (math.nextafter(c, -math.inf), c)) for own in cuts)
-    return Axes(separators, settings.rule_fanout, frozenset(int(m) for m in found[-1]["masks"]) if found else frozenset())
+    axes = Axes(separators, settings.rule_fanout, frozenset(int(m) for m in found[-1]["masks"]) if found else frozenset())
+    return replace(axes, listed=_listed_bytes(_live(rules, settings), axes, settings))
 
 
 def _number(x: float) -> str:
@@ -216,8 +274,8 @@ def _node(axes: Axes, i: int, level: int, place: str) -> str:
     return f"{before} + {place}"
 
 
-def _list_rules(live: DataFrame, axes: Axes, settings: AlertSettings) -> DataFrame:
-    """Each rule at the nodes that make up its range, on all axes at once.
+def _rule_nodes(live: DataFrame, axes: Axes, settings: AlertSettings) -> DataFrame:
+    """Adds, per axis, the array of nodes that make up a rule's range.
 
     Level by level from the leaves: of the range ``a`` to ``b`` of a level's
     nodes, those that are no whole set of siblings are listed, and their parents
@@ -260,12 +318,18 @@ def _list_rules(live: DataFrame, axes: Axes, settings: AlertSettings) -> DataFra
     for i, own in enumerate(lists):
         root = f"array(CAST({_node(axes, i, axes.levels(i), '0')} AS INT))"
         nodes.append(f"concat({', '.join(own)}, IF({_OWN}a{i} <= {_OWN}b{i}, {root}, {none}))")
+    return out.selectExpr(*kept, *[f"{n} AS {_OWN}n{i}" for i, n in enumerate(nodes)])
+
+
+def _list_rules(live: DataFrame, axes: Axes, settings: AlertSettings) -> DataFrame:
+    """Each rule at the nodes that make up its range, on all axes at once."""
+    out, kept = _rule_nodes(live, axes, settings), [f"`{c}`" for c in live.columns]
     # not explode: the filter that Spark derives from it would be pushed down and repeat the whole cover per reference
-    out = out.selectExpr(*kept, *[f"{n} AS {_OWN}n{i}" for i, n in enumerate(nodes)])
-    for i in range(len(measures)):
-        rest = [f"{_OWN}{k}" for k in range(i)] + [f"{_OWN}n{k}" for k in range(i + 1, len(measures))]
+    n = len(settings.measures)
+    for i in range(n):
+        rest = [f"{_OWN}{k}" for k in range(i)] + [f"{_OWN}n{k}" for k in range(i + 1, n)]
         out = out.selectExpr(*kept, *rest, f"explode_outer({_OWN}n{i}) AS {_OWN}{i}")
-    return out.where(" AND ".join(f"{_OWN}{i} IS NOT NULL" for i in range(len(measures))))
+    return out.where(" AND ".join(f"{_OWN}{i} IS NOT NULL" for i in range(n)))
 
 
 def hot_nodes(averages: DataFrame, axes: Axes, settings: AlertSettings = DEFAULT) -> list[tuple[int, ...]]:
