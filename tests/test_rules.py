@@ -259,3 +259,35 @@ def test_output_columns(spark):
     avgs = _averages(spark, [(44.0, 20.0)])
     out = match_rules(avgs, read_rules(spark))
     assert out.columns == list(RULE_COLUMNS) + ["window", "avg_temperature", "avg_humidity"]
+
+
+def test_rules_that_are_many_only_as_listed_are_not_broadcast(spark, tmp_path):
+    bounds = "15 + id * 37 % 7000 / 100D AS humidity_min, 20 + id * 37 % 7000 / 100D AS humidity_max"
+    bounds += ", 25 + id * 53 % 2000 / 100D AS temperature_min, 28 + id * 53 % 2000 / 100D AS temperature_max"
+    path = str(tmp_path / "rules")
+    spark.range(4_000).selectExpr("CAST(id AS INT) AS id", *bounds.split(", "), "100 AS code", "'r' AS message").coalesce(1).write.parquet(path)
+    rules = spark.read.parquet(path)
+    rows = [tuple(r) for r in rules.collect()]
+    values = [(25.0 + i % 20, 15.0 + i * 7 % 71) for i in range(30)] + [(None, 40.0), (30.0, None)]
+    _averages(spark, values).write.parquet(str(tmp_path / "averages"))
+    avgs = spark.read.schema(AVG_SCHEMA).parquet(str(tmp_path / "averages"))
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def hits(df):
+        return sorted((r.id, r.avg_temperature, r.avg_humidity) for r in df.collect())
+
+    want = sorted((i, *values[w]) for i, w in _brute(values, rows))
+    axes = rule_axes(rules)
+    assert _list_rules(rules, axes, AlertSettings()).count() * 50 < axes.listed  # bytes a listed row
+    few = match_rules(avgs, rules)  # few windows: these are broadcast
+    assert plan(few).count("BroadcastExchange") == 1 and "BuildLeft" in plan(few)
+    assert hits(few) == want
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2000")
+    try:
+        many = match_rules(avgs, rules)  # neither side is small
+        assert "BroadcastExchange" not in plan(many) and "SortMergeJoin" in plan(many)
+        assert hits(many) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
