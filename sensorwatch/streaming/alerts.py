@@ -4,7 +4,8 @@
   the rule join that held a large share of the last batch's windows are dealt
   over salts, so no task gets a third of all rows, whatever the join's form.
 * :func:`transitions` keeps each window's sums and the rules that fire for it in
-  state, and emits a row only when a rule starts or stops firing.
+  state, a row per window and group of sensors, and emits a row only when a rule
+  starts or stops firing.
 * :func:`start_publish_once` keeps a ledger of message keys beside the output, so a
   replayed batch, or a restart without checkpoint, publishes nothing twice.
 """
@@ -14,8 +15,10 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -74,52 +77,83 @@ def start_alerts(
 MOST_RULES = 10_000
 
 
+#: Groups of sensors in a window; a group's sensors share a state row, so calls to the state do not grow with the sensors.
+#: Fixed for the life of a checkpoint.
+SENSOR_GROUPS = 512
+#: Stands for a sensor without id.
+_NO_ID = -(1 << 63)
+
+
 class _Transitions(StatefulProcessor):
-    """State of a window: sums and counts per measure, and which rules fire. Its timer ends it when the watermark has passed."""
+    """State of a window's group of sensors, each as an array: ids (ascending), sums and counts per measure, which rules fire.
 
-    def __init__(self, rules: list[tuple], measures: tuple[str, ...], unused: float, keys: list[str]):
-        self.rules, self.measures, self.unused, self.keys = rules, measures, unused, keys
+    A timer ends it when the watermark has passed.
+    """
+
+    def __init__(self, rules: list[tuple], measures: tuple[str, ...], unused: float, by_sensor: bool):
+        self.rules, self.measures, self.unused, self.by_sensor = rules, measures, unused, by_sensor
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        sums = T.StructType()
-        for i in range(len(self.measures)):
-            sums = sums.add(f"s{i}", T.LongType()).add(f"n{i}", T.LongType())
-        self.sums = handle.getValueState("sums", sums)
-        self.firing = handle.getValueState("firing", T.StructType().add("rules", T.ArrayType(T.IntegerType())))
-
-    def _fires(self, averages: list[float | None]) -> list[int]:
-        def holds(average: float | None, lo: float, hi: float) -> bool:
-            if lo == self.unused and hi == self.unused:
-                return True
-            return average is not None and (lo == self.unused or average >= lo) and (hi == self.unused or average <= hi)
-
-        return [n for n, bounds in enumerate(self.rules) if all(holds(a, lo, hi) for a, (lo, hi) in zip(averages, bounds[2:], strict=True))]
-
-    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        old = self.sums.get() if self.sums.exists() else None
-        totals = [int(v or 0) for v in old] if old is not None else [0] * (2 * len(self.measures))
-        for row in rows:
-            if row["measure"] is not None:
-                totals[2 * row["measure"]] += row["value"]
-                totals[2 * row["measure"] + 1] += 1
+        self.state = handle.getValueState("sensors", "ids binary, totals binary, sizes binary, firing binary")
+
+    def _fires(self, averages: np.ndarray) -> Iterator[np.ndarray]:
+        """Per rule the rows for which it fires; a used bound fails on NaN."""
+        for bounds in self.rules:
+            holds = np.ones(len(averages), dtype=bool)
+            for i, (lo, hi) in enumerate(bounds[2:]):
+                if lo != self.unused:
+                    holds &= averages[:, i] >= lo
+                if hi != self.unused:
+                    holds &= averages[:, i] <= hi
+            yield np.flatnonzero(holds)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        width, times = 2 * len(self.measures), max(1, len(self.rules))
+        parts = [f[["sensor", "measure", "value"]].to_numpy(np.int64) for f in rows]
+        sensor, measure, value = np.concatenate(parts).T
+        touched = np.unique(sensor)
+        old = self.state.get()
         if old is None:
             self.handle.registerTimer(key[1])
-        self.sums.update(tuple(totals))
-        averages = [totals[2 * i] / totals[2 * i + 1] if totals[2 * i + 1] else None for i in range(len(self.measures))]
-        before = set(self.firing.get()[0] or []) if self.firing.exists() else set()
-        now = self._fires(averages)
-        if before != set(now):
-            self.firing.update((now,))
-        for n in sorted(before ^ set(now)):
-            rule = self.rules[n]
-            change = "raised" if n not in before else "cleared"
-            named = {f"avg_{m}": a for m, a in zip(self.measures, averages, strict=True)}
-            yield Row(**dict(zip(self.keys, key, strict=True)), id=rule[0], code=rule[1], change=change, **named)
-
-    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.sums.clear()
-        self.firing.clear()
+            ids, totals, before = touched, np.zeros((len(touched), width), dtype=np.int64), np.zeros(0, dtype=np.int64)
+        else:
+            known = np.frombuffer(old[0], dtype=np.int64)
+            ids = np.union1d(known, touched)
+            place = np.searchsorted(ids, known)
+            totals = np.zeros((len(ids), width), dtype=np.int64)
+            totals[place] = np.frombuffer(old[1], dtype=np.int64).reshape(-1, width)
+            # a firing rule is one number: the sensor's place times the number of rules, and the rule's number
+            before = np.repeat(place, np.frombuffer(old[2], dtype=np.int32)) * times + np.frombuffer(old[3], dtype=np.int32)
+        measured = measure >= 0
+        at, column = np.searchsorted(ids, sensor[measured]), 2 * measure[measured]
+        np.add.at(totals, (at, column), value[measured])
+        np.add.at(totals, (at, column + 1), 1)
+        here = np.searchsorted(ids, touched)
+        sums, counts = totals[:, 0::2], totals[:, 1::2]
+        averages = np.where(counts > 0, sums / np.maximum(counts, 1), np.nan)
+        fired = [here[w] * times + n for n, w in enumerate(self._fires(averages[here]))]
+        now = np.sort(np.concatenate(fired)) if fired else np.zeros(0, dtype=np.int64)
+        again = np.isin(before // times, here)
+        changes = np.setxor1d(before[again], now)
+        firing = np.sort(np.concatenate([before[~again], now]))
+        sizes = np.bincount(firing // times, minlength=len(ids)).astype(np.int32)
+        self.state.update((ids.tobytes(), totals.tobytes(), sizes.tobytes(), (firing % times).astype(np.int32).tobytes()))
+        if not len(changes):
+            return
+        who, which = changes // times, (changes % times).tolist()
+        out = {"window_start": np.full(len(who), key[0]), "window_end": np.full(len(who), key[1])}
+        if self.by_sensor:
+            out["sensor_id"] = pd.array([None if i == _NO_ID else i for i in ids[who].tolist()], dtype="Int64")
+        out["id"] = pd.array([self.rules[n][0] for n in which], dtype="Int64")
+        out["code"] = pd.array([self.rules[n][1] for n in which], dtype="Int64")
+        out["change"] = np.where(np.isin(changes, now), "raised", "cleared")
+        for i, m in enumerate(self.measures):
+            out[f"avg_{m}"] = averages[who, i]
+        yield pd.DataFrame(out)
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
         return iter(())
 
     def close(self) -> None:
@@ -145,15 +179,19 @@ def transitions(readings: DataFrame, rules: DataFrame, settings: AlertSettings =
     window = F.window("timestamp", settings.window, settings.slide).alias("window")
     measure = F.coalesce(*[F.when((F.col("sensor") == m) & F.col("value").isNotNull(), F.lit(i)) for i, m in enumerate(measures)])
     # the window itself stays beside the keys: it carries the watermark by which late rows are dropped
-    rows = timed.select(window, F.col("id").alias("sensor_id"), measure.alias("measure"), "value")
+    sensor = F.coalesce(F.col("id").cast("long"), F.lit(_NO_ID)) if by_sensor else F.lit(0).cast("long")
+    value = F.coalesce(F.col("value").cast("long"), F.lit(0))
+    rows = timed.select(window, sensor.alias("sensor"), F.coalesce(measure, F.lit(-1)).alias("measure"), value.alias("value"))
     rows = rows.withColumns({"window_start": F.unix_millis("window.start"), "window_end": F.unix_millis("window.end")})
-    keys = ["window_start", "window_end", *(["sensor_id"] if by_sensor else [])]
-    schema = T.StructType([rows.schema[k] for k in keys])
+    rows = rows.withColumn("group", F.pmod(F.xxhash64("sensor"), F.lit(SENSOR_GROUPS)) if by_sensor else F.lit(0).cast("long"))
+    schema = T.StructType().add("window_start", T.LongType()).add("window_end", T.LongType())
+    if by_sensor:
+        schema = schema.add("sensor_id", readings.schema["id"].dataType)
     schema = schema.add("id", T.IntegerType()).add("code", T.IntegerType()).add("change", T.StringType())
     for m in measures:
         schema = schema.add(f"avg_{m}", T.DoubleType())
-    processor = _Transitions(values, measures, float(settings.unused_bound), keys)
-    out = rows.groupBy(*keys).transformWithState(processor, schema, "Update", "EventTime")
+    processor = _Transitions(values, measures, float(settings.unused_bound), by_sensor)
+    out = rows.groupBy("window_start", "window_end", "group").transformWithStateInPandas(processor, schema, "Update", "EventTime")
     bounds = "named_struct('start', timestamp_millis(window_start), 'end', timestamp_millis(window_end)) AS window"
     return out.selectExpr(bounds, *out.columns[2:])
 

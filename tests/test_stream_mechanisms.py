@@ -191,3 +191,26 @@ def test_windows_from_state_are_not_broadcast(spark, tmp_path):
     build = plan.split("BroadcastExchange")[1]
     assert "humidity_min" in build and "StateStoreRestore" not in build
     assert spark.read.schema(found.schema).parquet(f"{base}/table").count() > 0
+
+
+def test_transitions_of_many_sensors_share_state_rows(spark, tmp_path):
+    src, base = str(tmp_path / "in"), run_dir(spark, "t_sensors")
+    settings, found = AlertSettings(window="1 minute", slide="1 minute"), []
+    for value in (50, 10, 60):  # a run each: too wet or not, by the mean so far: 50, 30, 40
+        rows = spark.range(5_000).selectExpr(
+            "timestamp_seconds(1704067200) AS timestamp", "CAST(IF(id = 7, NULL, id) AS INT) AS id", "'humidity' AS sensor",
+            f"CAST(IF(id % 2 = 0, 70, {value}) AS INT) AS value",
+        )
+        rows.coalesce(1).write.mode("append").parquet(src)
+        changes = alerts.transitions(spark.readStream.schema(READING).parquet(src), read_rules(spark), settings, by_sensor=True)
+        query = alerts.start_transitions(changes, f"{base}/log", f"{base}/ckpt", 2)
+        query.awaitTermination()
+        found.append(max(op.numRowsTotal for p in query.recentProgress for op in p.stateOperators))
+    assert max(found) <= 2 * alerts.SENSOR_GROUPS  # a row and a timer each, not one per sensor
+    log = sinks.read_changelog(spark, f"{base}/log", changes.schema).orderBy("batch_id", "sensor_id").collect()
+    wet = [(r.sensor_id, r.change, r.avg_humidity) for r in log if r.code == 102]
+    dry = [(r.sensor_id, r.change, r.avg_humidity) for r in log if r.code == 101]
+    assert wet == [(i, "raised", 70.0) for i in range(0, 5_000, 2)]  # told once, not again with every run
+    odd = [None, *[i for i in range(1, 5_000, 2) if i != 7]]
+    assert dry == [(i, "raised", 30.0) for i in odd]  # 40 is still too dry
+    assert {r.code for r in log} == {101, 102} and {r.avg_temperature for r in log} == {None}
