@@ -20,7 +20,8 @@ residual.
 Spark's statistics count neither the listing nor, in a stream's batch without
 input, the windows that come from its state. So the join's form is given by a
 hint (:func:`_hinted`), from sizes that are counted: what is broadcast stays
-below ``spark.sql.autoBroadcastJoinThreshold`` as listed, all else is shuffled.
+below ``spark.sql.autoBroadcastJoinThreshold`` as listed, and below ``BROADCAST``
+however high that is set, all else is shuffled.
 """
 
 from __future__ import annotations
@@ -43,6 +44,8 @@ SALTS, HOT_SHARE = 16, 1 / 50
 #: Comparisons written out in one expression; more separators are looked up in blocks of this many.
 _TREE = 16
 _OWN = "_rj_"
+#: Bytes that are broadcast at the most: the driver holds such a table several times over, whatever threshold a session sets.
+BROADCAST = 10 << 20
 #: Size of listed rules that need not be counted.
 _TOO_LARGE = 1 << 62
 
@@ -123,7 +126,7 @@ def rule_candidates(
 def _hinted(averages: DataFrame, windows: DataFrame, listed: DataFrame, keys: list[str], axes: Axes, times: int) -> DataFrame:
     """The join in the form that the counted sizes allow.
 
-    Rules are broadcast if they are below the session's threshold as listed
+    Rules are broadcast if they are below :func:`_most` as listed
     (``times`` for salts). If not, the windows of a batch are counted, a pass more
     over the averages, and broadcast if they are. Otherwise both sides are sorted
     and merged, which takes bounded memory. A stream keeps the form that its
@@ -140,7 +143,8 @@ def _hinted(averages: DataFrame, windows: DataFrame, listed: DataFrame, keys: li
 
 
 def _most(df: DataFrame) -> int:
-    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    """Bytes that may be broadcast: the session's threshold, up to ``BROADCAST``."""
+    return min(BROADCAST, df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
 def _width(df: DataFrame) -> str:

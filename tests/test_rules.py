@@ -291,3 +291,22 @@ def test_rules_that_are_many_only_as_listed_are_not_broadcast(spark, tmp_path):
         assert hits(many) == want
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_high_threshold_does_not_broadcast_listed_rules(spark, tmp_path):
+    bounds = ["15 + id * 37 % 7000 / 100D AS humidity_min", "20 + id * 37 % 7000 / 100D AS humidity_max"]
+    bounds += ["25 + id * 53 % 2000 / 100D AS temperature_min", "28 + id * 53 % 2000 / 100D AS temperature_max"]
+    path = str(tmp_path / "rules")
+    spark.range(4_000).selectExpr("CAST(id AS INT) AS id", *bounds, "100 AS code", "'r' AS message").coalesce(1).write.parquet(path)
+    rules = spark.read.parquet(path)
+    values = [(25.0 + i % 20, 15.0 + i * 7 % 71) for i in range(30)] + [(None, 40.0), (30.0, None)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        assert rule_axes(rules).listed > 10 << 20
+        fired = match_rules(_averages(spark, values), rules)
+        plan = fired._jdf.queryExecution().executedPlan().toString()
+        assert "BuildRight" not in plan and "BuildLeft" in plan  # the few windows, not the rules
+        got = sorted((r.id, r.avg_temperature, r.avg_humidity) for r in fired.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == sorted((i, *values[w]) for i, w in _brute(values, [tuple(r) for r in rules.collect()]))
