@@ -165,15 +165,19 @@ _HOMES = f"home int, words array<binary>, totals binary, routes {_ROUTES}"
 
 
 def _squeeze(values: np.ndarray, dtype, rising: bool = False) -> bytes:
-    """Packed numbers; of ``rising`` ones the differences."""
+    """Packed numbers, as narrow as they are; of ``rising`` ones the differences."""
     values = np.asarray(values).astype(dtype)
-    data = (np.diff(values, prepend=values.dtype.type(0)) if rising else values).tobytes()
-    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+    values = np.diff(values, prepend=values.dtype.type(0)) if rising else values
+    if values.itemsize > 1 and len(values) and values.min() >= 0:
+        values = values.astype(np.min_scalar_type(values.max()))
+    data = values.tobytes()
+    return bytes([values.itemsize]) + len(data).to_bytes(7, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
 
 def _loosen(data: bytes, dtype, rising: bool = False) -> np.ndarray:
-    size = int.from_bytes(data[:8], "little")
-    out = np.frombuffer(pa.decompress(data[8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b"", dtype=dtype)
+    width, size, dtype = data[0], int.from_bytes(data[1:8], "little"), np.dtype(dtype)
+    out = pa.decompress(data[8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+    out = np.frombuffer(out, dtype=dtype if width == dtype.itemsize else f"u{width}").astype(dtype, copy=False)
     return np.cumsum(out, dtype=dtype) if rising else out
 
 
@@ -426,8 +430,17 @@ def _binaries(rows: list, k: int) -> pa.Array:
     return pa.array([r[k] for r in rows], pa.binary())
 
 
+def _rises(rows: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """What each cell's ``_phi`` gains if a row's ``x`` is added."""
+    return _phi(rows + x[:, None]) - _phi(rows)
+
+
 def move_gains(bigrams: np.ndarray, classes: np.ndarray, own: np.ndarray, sizes: np.ndarray, codes: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Likelihood of each word in each class (words, classes), up to a constant a word, if just that word moves."""
+    """Likelihood of each word in each class (words, classes), up to a constant a word, if just that word moves.
+
+    Words differ in few numbers: logarithms are taken once for each different (neighbours' class, count) and each
+    different count of a word, then again only where the word's own counts are missing: at its own class.
+    """
     k, n = len(bigrams), len(classes)
     word, at = np.repeat(np.arange(n), sizes), np.arange(n)
     both = np.zeros((n, 2 * k))
@@ -436,30 +449,35 @@ def move_gains(bigrams: np.ndarray, classes: np.ndarray, own: np.ndarray, sizes:
     both[at, k + classes] -= own
     left, right = both[:, :k], both[:, k:]
     mass = left.sum(axis=1) + own
-    diagonal = np.tile(np.diag(bigrams), (n, 1))
-    diagonal[at, classes] -= left[at, classes] + right[at, classes] + own
-    np.maximum(diagonal, 0, out=diagonal)  # a home's copy of the table is an estimate
-    gain = _phi(diagonal + left + right + own[:, None]) - _phi(diagonal)
+    added = left + right + own[:, None]
+    w, c = np.nonzero(added)
+    there = np.diag(bigrams)[c] - np.where(c == classes[w], added[w, c], 0.0)
+    np.maximum(there, 0, out=there)  # a home's copy of the table is an estimate
+    gain = np.zeros((n, k))
+    gain[w, c] = _phi(there + added[w, c]) - _phi(there)
     for side, other, table in ((left, right, bigrams), (right, left, bigrams.T)):
         w, a = np.nonzero(side)
         if not len(w):
             continue
         x, g, i = side[w, a], classes[w], np.arange(len(w))
-        cells = table[a].copy()  # without the word itself
-        cells[i, g] -= x
-        same = a == g
-        cells[same] -= other[w[same]]
-        cells[i[same], g[same]] -= own[w[same]]
-        np.maximum(cells, 0, out=cells)
-        change = _phi(cells + x[:, None]) - _phi(cells)
+        different, place = np.unique(a + k * x, return_inverse=True)
+        change = _rises(table[(different % k).astype(np.int64)], different // k)[place]
+        cells = np.maximum(table[a, g] - x, 0)  # without the word itself
+        change[i, g] = _phi(cells + x) - _phi(cells)
+        same = np.flatnonzero(a == g)
+        j, c = np.nonzero(other[w[same]])
+        j = same[j]
+        cells = np.maximum(table[a[j], c] - other[w[j], c], 0)
+        change[j, c] = _phi(cells + x[j]) - _phi(cells)
         change[i, a] = 0.0  # the diagonal is counted above
         starts = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
         gain[w[starts]] += np.add.reduceat(change, starts, axis=0)
+    different, place = np.unique(mass, return_inverse=True)
     for total in (bigrams.sum(axis=0), bigrams.sum(axis=1)):
-        rest = np.tile(total, (n, 1))
-        rest[at, classes] -= mass
-        np.maximum(rest, 0, out=rest)
-        gain -= _phi(rest + mass[:, None]) - _phi(rest)
+        change = _rises(np.tile(total, (len(different), 1)), different)[place]
+        rest = np.maximum(total[classes] - mass, 0)
+        change[at, classes] = _phi(rest + mass) - _phi(rest)
+        gain -= change
     gain[:, 0] = -np.inf
     return gain
 
@@ -468,9 +486,8 @@ def _move(bigrams: np.ndarray, counts: np.ndarray, own: np.ndarray, old: np.ndar
     """The class bigrams after ``times`` such moves of words with these neighbours (the word itself not among them)."""
     k, out = len(bigrams), bigrams.copy()
     for classes, sign in ((old, -times), (new, times)):
-        np.add.at(out.T, classes, sign * counts[:, :k])
-        np.add.at(out, classes, sign * counts[:, k:])
-        np.add.at(out, (classes, classes), sign * own)
+        sums = (classes == np.arange(k)[:, None]).astype(float) @ np.c_[counts, own]
+        out += sign * (sums[:, :k].T + sums[:, k : 2 * k] + np.diag(sums[:, -1]))
     return np.maximum(out, 0)
 
 
@@ -522,7 +539,9 @@ def classed_words(
     if state is None:
         joined = slim.select("*", *[F.lit(None).cast("binary").alias(c) for c in _PACKED])
     else:
-        joined = slim.join(state.select("home", *_PACKED), "home", "left")
+        # moves take far more time than their bytes tell
+        parts = int(homes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        joined = slim.repartition(parts, "home").join(state.select("home", *_PACKED).repartition(parts, "home"), "home", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -576,28 +595,30 @@ def word_neighbours(texts: DataFrame, classed: DataFrame, k: int) -> DataFrame:
         end = np.array([size - 1], dtype=np.uint32)  # the end token, also before a document's first word
         ids = ids_of(docs, end, lambda f: f > 1)
         tuning = of[ids_of(docs, end, lambda f: f == 1)]
-        before, after = ids[:-1], ids[1:]
-        left = np.bincount(after * k + of[before], minlength=size * k).astype(np.uint32).reshape(-1, k)
-        right = np.bincount(before * k + of[after], minlength=size * k).astype(np.uint32).reshape(-1, k)
+        before, after, near = ids[:-1], ids[1:], of[ids]
         own = np.bincount(after[before == after], minlength=size)
+        # (word, class to its left or k + class to its right)
+        counts = np.bincount(np.concatenate([after * (2 * k) + near[:-1], before * (2 * k) + (near[1:] + k)]), minlength=size * 2 * k)
         # what no home sees: bigrams that end in a word without a class of its own, or in the end token
         bigrams = np.zeros((k, k), dtype=np.int64)
-        bigrams[:, 1] += left[0]
-        bigrams[:, 0] += left[-1]
+        bigrams[:, 1] += counts[:k]
+        bigrams[:, 0] += counts[-2 * k : -k]
+        entries = np.flatnonzero(counts)
+        values = counts[entries]
+        del counts
+        w, codes = np.divmod(entries, 2 * k)
+        sizes = np.bincount(w, minlength=size)
+        ends = np.r_[0, np.cumsum(sizes)]
         tuned = np.bincount(tuning[:-1] * k + tuning[1:], minlength=k * k)
         rows, start = [(-1, *_pack(**dict.fromkeys(_PACKED, ())), np.r_[bigrams.ravel(), tuned].astype(np.int64).tobytes())], 1
         for row in homes:
             classes = _loosen(row["classes"], np.uint8)
             number = slice(start, start + len(classes))
             start += len(classes)
-            counts = np.concatenate([left[number], right[number]], axis=1)
-            some = counts.any(axis=1)
-            counts = counts[some]
-            if len(counts):
-                w, codes = np.nonzero(counts)
+            some, mine = np.flatnonzero(sizes[number]), slice(ends[number.start], ends[number.stop])
+            if len(some):
                 places = _loosen(row["places"], np.uint32, True)[some]
-                sizes = np.bincount(w, minlength=len(counts))
-                packed = _pack(places=places, classes=classes[some], own=own[number][some], sizes=sizes, codes=codes, values=counts[w, codes])
+                packed = _pack(places=places, classes=classes[some], own=own[number][some], sizes=sizes[number][some], codes=codes[mine], values=values[mine])
                 rows.append((row["home"], *packed, None))
         columns = [pa.array([r[0] for r in rows], pa.int32()), *[_binaries(rows, 1 + i) for i in range(len(_PACKED) + 1)]]
         return pa.Table.from_arrays(columns, names=[*names, "tuned"])

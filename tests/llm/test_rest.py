@@ -275,6 +275,39 @@ def test_moves_change_the_likelihood_as_weighed():
             assert gain[c] - gain[classes[w]] == pytest.approx(want, abs=1e-6)
 
 
+def test_lm_packed_numbers_come_back():
+    import numpy as np
+
+    for numbers in ([], [0], [1, 255, 3], [0, 256, 70_000], [5, 1 << 31], [2**40, 7]):
+        for dtype in (np.uint8, np.uint32, np.int64):
+            if max(numbers, default=0) <= np.iinfo(dtype).max:
+                for rising in (False, True):
+                    given = np.array(sorted(numbers) if rising else numbers, dtype=dtype)
+                    back = brown_lm._loosen(brown_lm._squeeze(given, dtype, rising), dtype, rising)
+                    assert back.dtype == dtype and back.tolist() == given.tolist()
+    small = np.ones(1000, dtype=np.int64)
+    assert brown_lm._squeeze(small, np.int64)[:8] == bytes([1]) + (1000).to_bytes(7, "little")
+
+
+def test_lm_gains_take_logarithms_once_for_equal_words(monkeypatch):
+    import numpy as np
+
+    rng, k, n, taken = np.random.default_rng(1), 32, 3000, 0
+    table = rng.integers(0, 500, (k, k)).astype(float)
+    whole = brown_lm._phi
+
+    def counted(x):
+        nonlocal taken
+        taken += np.size(x)
+        return whole(x)
+
+    monkeypatch.setattr(brown_lm, "_phi", counted)
+    sizes = np.full(n, 6)
+    codes = np.concatenate([np.sort(np.r_[rng.choice(k, 3, replace=False), k + rng.choice(k, 3, replace=False)]) for _ in range(n)])
+    gain = brown_lm.move_gains(table, rng.integers(1, k, n), np.zeros(n), sizes, codes, rng.integers(1, 4, 6 * n))
+    assert gain.shape == (n, k) and taken < 2 * n * k  # once for each neighbour and class would be over 12 times n * k
+
+
 def test_quality_sketch_and_verdicts(spark, docs, empty):
     clean = [(i, f"line {i} has some plain words in it and goes on for a while, word{i} at the end", "en", f"s{i % 2}") for i in range(400)]
     junk = [(1000 + i, " ".join(f"w{i}{k}###" for k in range(30)), "en", "s0") for i in range(20)]
