@@ -47,7 +47,9 @@ called.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -118,7 +120,7 @@ def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
-        numbers: dict[bytes, int] = {}
+        numbers: dict[bytes, int] = defaultdict(count().__next__)  # a new word takes the next number
         rows: list[tuple] = []
         seen: list[np.ndarray] = []
         total = 0
@@ -142,9 +144,6 @@ def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
             triples = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "fold", "text")), strict=True)
             for i, part_of, data in triples:
                 words = words_of(data)
-                for w in words:
-                    if w not in numbers:
-                        numbers[w] = len(numbers)
                 ids = np.fromiter(map(numbers.__getitem__, words), dtype=np.uint32, count=len(words))
                 rows.append((i, part_of, ids.tobytes()))
                 if part_of:
@@ -153,7 +152,7 @@ def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
                 if total >= BLOCK_WORDS or len(numbers) >= BLOCK_DISTINCT:
                     yield flush()
                     number, total = number + 1, 0
-                    numbers, rows, seen = {}, [], []
+                    numbers, rows, seen = defaultdict(count().__next__), [], []
         if rows:
             yield flush()
 
@@ -587,28 +586,31 @@ def word_neighbours(texts: DataFrame, classed: DataFrame, k: int) -> DataFrame:
         for data, f in zip(docs.column("sequence").to_pylist(), docs.column("fold").to_pylist(), strict=True):
             if wanted(f):
                 parts += [np.frombuffer(data, dtype=np.uint32), end]
-        return np.concatenate(parts).astype(np.int64)
+        return np.concatenate(parts)
 
     def block(docs: pa.Table, words: pa.Table) -> pa.Table:
         of, homes = _block_classes(words)
-        of, size = of.astype(np.int64), len(of)
+        size = len(of)
         end = np.array([size - 1], dtype=np.uint32)  # the end token, also before a document's first word
         ids = ids_of(docs, end, lambda f: f > 1)
-        tuning = of[ids_of(docs, end, lambda f: f == 1)]
-        before, after, near = ids[:-1], ids[1:], of[ids]
-        own = np.bincount(after[before == after], minlength=size)
-        # (word, class to its left or k + class to its right)
-        counts = np.bincount(np.concatenate([after * (2 * k) + near[:-1], before * (2 * k) + (near[1:] + k)]), minlength=size * 2 * k)
-        # what no home sees: bigrams that end in a word without a class of its own, or in the end token
-        bigrams = np.zeros((k, k), dtype=np.int64)
-        bigrams[:, 1] += counts[:k]
-        bigrams[:, 0] += counts[-2 * k : -k]
-        entries = np.flatnonzero(counts)
-        values = counts[entries]
-        del counts
-        w, codes = np.divmod(entries, 2 * k)
+        tuning = of[ids_of(docs, end, lambda f: f == 1)].astype(np.int64)
+        # (word, class to its left or k + class to its right), sorted: takes less time and memory than a table of all there could be
+        kind = np.uint32 if size * 2 * k < 1 << 32 else np.uint64
+        near, ids = of[ids].astype(kind), ids.astype(kind)
+        before, after = ids[:-1], ids[1:]
+        own = np.bincount(after[before == after].astype(np.int64), minlength=size)
+        entries = np.concatenate([after * kind(2 * k) + near[:-1], before * kind(2 * k) + (near[1:] + kind(k))])
+        entries.sort()
+        first = np.flatnonzero(np.r_[True, entries[1:] != entries[:-1]][: len(entries)])
+        values = np.diff(first, append=len(entries))
+        w, codes = (x.astype(np.int64) for x in np.divmod(entries[first], kind(2 * k)))
         sizes = np.bincount(w, minlength=size)
         ends = np.r_[0, np.cumsum(sizes)]
+        # what no home sees: bigrams that end in a word without a class of its own, or in the end token
+        bigrams = np.zeros((k, k), dtype=np.int64)
+        for word, class_ in ((0, 1), (size - 1, 0)):
+            left = slice(ends[word], ends[word] + np.searchsorted(codes[ends[word] : ends[word + 1]], k))
+            bigrams[codes[left], class_] += values[left]
         tuned = np.bincount(tuning[:-1] * k + tuning[1:], minlength=k * k)
         rows, start = [(-1, *_pack(**dict.fromkeys(_PACKED, ())), np.r_[bigrams.ravel(), tuned].astype(np.int64).tobytes())], 1
         for row in homes:
