@@ -454,11 +454,15 @@ def move_gains(bigrams: np.ndarray, classes: np.ndarray, own: np.ndarray, sizes:
     np.maximum(there, 0, out=there)  # a home's copy of the table is an estimate
     gain = np.zeros((n, k))
     gain[w, c] = _phi(there + added[w, c]) - _phi(there)
-    for side, other, table in ((left, right, bigrams), (right, left, bigrams.T)):
-        w, a = np.nonzero(side)
+    codes = codes.astype(np.int64)
+    for side, other, table, mine in ((left, right, bigrams, codes < k), (right, left, bigrams.T, codes >= k)):
+        w, a = word[mine], codes[mine] % k
+        x = side[w, a]
+        if not x.all():  # nothing beside itself
+            w, a, x = w[x != 0], a[x != 0], x[x != 0]
         if not len(w):
             continue
-        x, g, i = side[w, a], classes[w], np.arange(len(w))
+        g, i = classes[w], np.arange(len(w))
         different, place = np.unique(a + k * x, return_inverse=True)
         change = _rises(table[(different % k).astype(np.int64)], different // k)[place]
         cells = np.maximum(table[a, g] - x, 0)  # without the word itself

@@ -12,10 +12,10 @@ def test_query(spark, name):
     assert len(got)
     if name in ORACLE:
         con = duckdb.connect()
-        for t in ("documents", "conversations"):
+        for t in ("documents", "conversations", "benchmark"):
             con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
         want = con.sql(ORACLE[name]).df()
         cols = sorted(got.columns)
         assert cols == sorted(want.columns)
-        rows = lambda d: sorted(map(tuple, d[cols].astype(str).values.tolist()))
+        rows = lambda d: sorted(map(tuple, d[cols].convert_dtypes().astype(str).values.tolist()))
         assert rows(got) == rows(want)
