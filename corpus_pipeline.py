@@ -48,7 +48,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     model = public_tokenizers.path("piece_bpe_32k.model")
     source = docs.select("doc_id", "source", text_column().alias("text"))
-    both = decode(encode(source, model), model)
+    # written between, else a task holds a Python worker of each kind at once, both with the memory of encoding
+    both = decode(materialize(encode(source, model), "pipeline-ids"), model)
     # the space mark is how the model writes a space
     same = F.col("decoded") == F.replace("text", F.lit("▁"), F.lit(" "))
     n = F.size("ids").cast("long")

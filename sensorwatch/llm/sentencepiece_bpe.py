@@ -36,6 +36,9 @@ from .common import cut, map_batches, process_memo, quoted, read_table, remember
 SPACE = "▁"
 #: Words remembered per Python worker (about 0.2 KB each); later ones are encoded again where they occur.
 MEMO_WORDS = 250_000
+#: Text and ids handled at once in a Python worker, and symbols merged at once (a longer word goes alone): two
+#: workers of each kind run beside an executor's heap, and merge rounds take about 100 bytes a symbol.
+TEXT_BYTES, IDS, SYMBOLS = 1 << 19, 1 << 17, 1 << 17
 _NONE = np.iinfo(np.int32).max
 
 
@@ -171,7 +174,16 @@ class Encoder:
         return self.runs[n]
 
     def merge_words(self, words: list[str]) -> list[bytes]:
-        """The ids of each word as little-endian int32 bytes, by merge rounds over all words at once."""
+        """The ids of each word as little-endian int32 bytes, about ``SYMBOLS`` characters at once."""
+        out, ends = [], np.cumsum([len(w) + 1 for w in words])
+        while len(out) < len(words):
+            start = len(out)
+            stop = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + SYMBOLS, side="right"))
+            out += self._merge(words[start : max(start + 1, stop)])
+        return out
+
+    def _merge(self, words: list[str]) -> list[bytes]:
+        """Merge rounds over all these words at once."""
         texts = [SPACE + w.replace(" ", SPACE) for w in words]
         lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
         flat = "".join(texts)
@@ -305,7 +317,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", into: str = "id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared)
-        for batch in cut(batches, hidden, 2 << 20):
+        for batch in cut(batches, hidden, TEXT_BYTES):
             parts = encoder.encode(batch.column(hidden).to_pylist())
             ends = np.cumsum([0] + [len(p) // 4 for p in parts]).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(parts), dtype=np.int32))
@@ -324,10 +336,15 @@ def decode(encoded: DataFrame, model_path: str, ids: str = "ids", into: str = "d
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = shared.value
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                texts = pa.array([decode_ids(x or [], raw) for x in part.column(ids).to_pylist()], pa.string())
+            lists, start = batch.column(ids), 0
+            ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            while start < batch.num_rows:
+                stop = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + IDS, side="right"))
+                part = batch.slice(start, min(256, max(1, stop - start)))
+                each = [x.values.to_numpy().tolist() if x.is_valid else [] for x in part.column(ids)]
+                texts = pa.array([decode_ids(x, raw) for x in each], pa.string())
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], texts], names=[*kept, into])
+                start += part.num_rows
 
     return map_batches(encoded.select(*map(quoted, kept)), run, schema, memo="sentencepiece")
 
@@ -351,7 +368,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared)
         names = [str(i) for i in range(encoder.m["size"])]
-        for batch in cut(batches, "text", 2 << 20):
+        for batch in cut(batches, "text", TEXT_BYTES):
             n, ids_sha, text_sha = [], [], []
             for part in encoder.encode(batch.column("text").to_pylist()):
                 ids = np.frombuffer(part, dtype=np.int32).tolist()

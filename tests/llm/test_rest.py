@@ -364,3 +364,11 @@ def test_digest_helper():
     from sensorwatch.llm.spans import sha256
 
     assert sha256("é") == hashlib.sha256("é".encode()).hexdigest()
+
+
+def test_pipeline_tokens_hold_one_python_worker_a_task(spark, docs):
+    import corpus_pipeline
+
+    out = corpus_pipeline.tokens(spark, docs, "")
+    # encoding and decoding in one stage would keep two workers a task, with the memory of encoding in each
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1

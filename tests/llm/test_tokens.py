@@ -51,6 +51,28 @@ def test_encode_and_decode_tables(docs, empty):
     assert spm.encode(empty, MODEL).count() == 0
 
 
+def test_new_words_are_merged_in_bounded_arrays(monkeypatch):
+    sizes, whole = [], spm.PairTable.merged
+
+    def watched(self, left, right):
+        sizes.append(len(left))
+        return whole(self, left, right)
+
+    monkeypatch.setattr(spm.PairTable, "merged", watched)
+    rng = random.Random(5)
+    text = " ".join("".join(rng.choices("abcdeé漢", k=9)) for _ in range(40_000))
+    encoder = spm.Encoder(spm.load_model(MODEL))
+    assert np.frombuffer(encoder.encode([text])[0], dtype=np.int32).tolist() == LIBRARY.encode(text)
+    assert max(sizes) <= 1 << 17
+
+
+def test_decode_of_null_empty_and_long_ids(spark):
+    ids = [LIBRARY.encode(t) for t in ("a b", "", "é漢 " * 70_000)]
+    rows = [(0, None), *[(i + 1, x) for i, x in enumerate(ids * 2)]]
+    out = spm.decode(spark.createDataFrame(rows, "doc_id long, ids array<int>").coalesce(1), MODEL).collect()
+    assert {r.doc_id: r.decoded for r in out} == {i: LIBRARY.decode(x or []) for i, x in rows}
+
+
 def test_files_round_trip(spark, docs, empty, tmp_path):
     path = str(tmp_path / "ids")
     token_files.write_tokens(docs, path, BYTES, end_id=2)
