@@ -65,8 +65,11 @@ from .common import cut, map_batches, materialize, quoted, read_table, release,
 OWN, RARE = 2047, 3
 #: A sweep counts as a rise if it gains more than this a training token (nats); share of the words that move at the least.
 RISE, LEAST_SHARE = 1e-2, 1 / 16
-#: Homes of words per block; words are weighed at once up to this many entries and this share of a home's tokens.
-HOMES, MOVE_ENTRIES, MOVE_SHARE = 4, 20_000, 1 / 64
+#: Few blocks have that many homes of words each, up to ``LEAST_HOMES`` in all, many share one: a home's work and its bytes to
+#: and from each block cost little beside what each call costs only if it has many words.
+HOMES, LEAST_HOMES, BLOCKS_A_HOME = 4, 16, 4
+#: Words are weighed at once up to this many entries and this share of a home's tokens.
+MOVE_ENTRIES, MOVE_SHARE = 20_000, 1 / 64
 #: A block ends at this many words or distinct words.
 BLOCK_WORDS, BLOCK_DISTINCT = 1_500_000, 250_000
 ADD = 0.1
@@ -180,6 +183,10 @@ def _loosen(data: bytes, dtype, rising: bool = False) -> np.ndarray:
     return np.cumsum(out, dtype=dtype) if rising else out
 
 
+def home_count(n_blocks: int) -> int:
+    return max(1, min(HOMES * n_blocks, LEAST_HOMES), n_blocks // BLOCKS_A_HOME)
+
+
 def word_homes(blocked: DataFrame, n: int) -> DataFrame:
     """``n`` homes of words.
 
@@ -749,7 +756,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     blocked = materialize(blocks(docs, doc_id, text), "lm-blocks")
     n_blocks = blocked.where("fold IS NULL").count()
     n_docs = blocked.where("fold > 0").count()
-    homes = materialize(word_homes(blocked, max(1, HOMES * n_blocks)), "lm-homes")
+    homes = materialize(word_homes(blocked, home_count(n_blocks)), "lm-homes")
     own, n_classed, n_words, n_tokens = vocabulary(homes)
     found = materialize(sequences(blocked, homes, own), "lm-sequences")
     release(blocked)

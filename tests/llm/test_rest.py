@@ -236,6 +236,29 @@ def test_lm_reruns_agree_and_leave_only_the_scores(spark, monkeypatch):
     assert left == {"test", "lm-scores"}
 
 
+def test_lm_homes_grow_slower_than_blocks(spark, monkeypatch):
+    """A sweep packs bytes for each home and block, and weighs each home's words in many groups: homes must have many words."""
+    monkeypatch.setattr(brown_lm, "BLOCK_WORDS", 50)
+    df = spark.createDataFrame(_some_texts(), "doc_id long, text string").repartition(2, "doc_id")
+    blocked = materialize(brown_lm.blocks(df), "test")
+    n_blocks, asked, whole = blocked.where("fold IS NULL").count(), [], brown_lm.word_homes
+
+    def watched(given, n):
+        asked.append(n)
+        return whole(blocked, n)
+
+    monkeypatch.setattr(brown_lm, "word_homes", watched)
+    monkeypatch.setattr(brown_lm, "blocks", lambda *_: blocked)
+    monkeypatch.setattr(brown_lm, "cluster_words", lambda *_: (_ for _ in ()).throw(InterruptedError))
+    with pytest.raises(InterruptedError):
+        brown_lm.score(df)
+    homes = whole(blocked, asked[0]).select("words", F.explode("routes.block").alias("block")).collect()
+    assert n_blocks > 64 and len(homes) <= n_blocks * max(16, n_blocks // 4)  # before: 4 homes for each block
+    words = [w for r in whole(blocked, asked[0]).collect() for w in r.words]
+    assert len(words) == len(set(words)) > 50  # all words with classes, each at one home
+    assert [brown_lm.home_count(n) for n in (0, 1, 4, 64, 112, 6400)] == [1, 4, 16, 16, 28, 1600]
+
+
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
 def test_lm_beats_single_words_on_held_out_texts(spark, sf):
     out = brown_lm.op6_brown_lm(spark, f"/root/testdata/{sf}").where("held_out")
