@@ -9,7 +9,7 @@ Over the corpus, in Spark:
 
 1. texts are read in blocks of bounded size; a block's words get local numbers,
    its documents become number sequences, its dictionary carries training counts;
-2. words live at homes (as many as the blocks need), which add up exact corpus
+2. words live at homes (a quarter of the blocks, more if these are few), which add up exact corpus
    counts for every word and know the blocks that have it. The blocks get the
    counts back once and number their words anew, by home and place there, so
    that later just classes and counts travel, in that order;
